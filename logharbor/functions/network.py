@@ -2,80 +2,94 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4_PATTERN = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
-_HEX_GROUPS = r"^[0-9a-f]{1,4}$"
+_HEX_GROUP = r"^[0-9a-f]{1,4}$"
+_MAPPED = "0:0:0:0:0:ffff:"
 
 
 def is_ipv4(text: Column) -> Column:
     return text.rlike(IPV4_PATTERN)
 
 
-def _hex_of_octets(text: Column, first: int) -> Column:
-    """Two octets of a dotted quad as one hexadecimal group."""
-    octets = F.split(text, r"\.")
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over a value that is computed once, whatever the number of its uses."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _hex_group(octets: Column, first: int) -> Column:
     value = octets[first].cast("int") * 256 + octets[first + 1].cast("int")
     return F.lower(F.hex(value))
 
 
-def _ipv6_groups(text: Column) -> Column:
-    """The eight groups without leading zeros, or null when the text is not an IPv6 address."""
-    body = F.lower(text)
-    tail = F.substring_index(body, ":", -1)
-    dotted = tail.contains(".")
-    quad = F.when(is_ipv4(tail), F.concat(_hex_of_octets(tail, 0), F.lit(":"), _hex_of_octets(tail, 2)))
-    head = body.substr(F.lit(1), F.length(body) - F.length(tail))
-    body = F.when(dotted, F.concat(head, quad)).otherwise(body)
-
-    halves = F.split(body, "::")
-    left = F.filter(F.split(F.get(halves, F.lit(0)), ":"), lambda g: g != "")
-    right = F.filter(F.split(F.coalesce(F.get(halves, F.lit(1)), F.lit("")), ":"), lambda g: g != "")
-    shown = F.size(left) + F.size(right)
-    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - shown, F.lit(0)))
-    groups = F.concat(left, zeros, right)
-
-    compressed = F.size(halves) == 2
-    stray_colon = F.when(
-        compressed,
-        F.get(halves, F.lit(0)).startswith(":") | F.get(halves, F.lit(1)).endswith(":")
-        | F.get(halves, F.lit(0)).endswith(":") | F.get(halves, F.lit(1)).startswith(":"),
-    ).otherwise(body.startswith(":") | body.endswith(":"))
-    valid = (
-        (F.size(halves) <= 2)
-        & ~stray_colon
-        & F.when(compressed, shown <= 7).otherwise(shown == 8)
-        & F.forall(groups, lambda g: g.rlike(_HEX_GROUPS))
-    )
-    short = F.transform(groups, lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
-    return F.when(F.coalesce(valid, F.lit(False)), short)
+def _plain_groups(address: Column) -> Column:
+    """The address with a dotted-quad ending written as two hexadecimal groups."""
+
+    def replace_quad(tail: Column) -> Column:
+        octets = F.split(tail, r"\.")
+        quad = F.concat_ws(":", _hex_group(octets, 0), _hex_group(octets, 2))
+        head = F.substring(address, F.lit(1), F.length(address) - F.length(tail))
+        return F.when(~tail.contains("."), address).when(is_ipv4(tail), F.concat(head, quad))
+
+    return _bind(F.substring_index(address, ":", -1), replace_quad)
+
 
+def _expand(body: Column) -> Column:
+    """Eight groups without leading zeros joined by ':', null for a malformed address."""
 
-def _compress(groups: Column) -> Column:
-    """Text of eight groups with the first longest run of two or more zero groups as '::'."""
-    text = F.array_join(groups, ":")
-    result = text
-    for run in range(2, 9):
+    def from_halves(halves: Column) -> Column:
+        left, right = F.get(halves, F.lit(0)), F.coalesce(F.get(halves, F.lit(1)), F.lit(""))
+        pieces = F.struct(
+            F.filter(F.split(left, ":"), lambda g: g != "").alias("left"),
+            F.filter(F.split(right, ":"), lambda g: g != "").alias("right"),
+        )
+        stray = (
+            left.startswith(":") | left.endswith(":") | right.startswith(":") | right.endswith(":")
+        )
+
+        def from_pieces(p: Column) -> Column:
+            shown = F.size(p["left"]) + F.size(p["right"])
+            zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - shown, F.lit(0)))
+            fits = F.when(F.size(halves) == 2, shown <= 7).otherwise(shown == 8)
+            whole = _bind(
+                F.concat(p["left"], zeros, p["right"]),
+                lambda groups: F.when(
+                    F.forall(groups, lambda g: g.rlike(_HEX_GROUP)),
+                    F.array_join(F.transform(groups, lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":"),
+                ),
+            )
+            return F.when(fits, whole)
+
+        return F.when((F.size(halves) <= 2) & ~stray, _bind(pieces, from_pieces))
+
+    return _bind(F.split(body, "::"), from_halves)
+
+
+def _compress(full: Column) -> Column:
+    """The first longest run of two or more zero groups as '::'; mapped IPv4 in dotted form."""
+    arms = []
+    for run in range(8, 1, -1):
         pattern = rf"^(.*?)(?:^|:)0(?::0){{{run - 1}}}(?::|$)(.*)$"
-        result = F.when(text.rlike(pattern), F.regexp_replace(text, pattern, "$1::$2")).otherwise(result)
-    low = F.conv(F.get(groups, F.lit(6)), 16, 10).cast("int")
-    last = F.conv(F.get(groups, F.lit(7)), 16, 10).cast("int")
-    octets = [F.floor(low / 256), low % 256, F.floor(last / 256), last % 256]
-    mapped = F.concat(F.lit("::ffff:"), F.concat_ws(".", *[o.cast("string") for o in octets]))
-    return F.when(text.startswith("0:0:0:0:0:ffff:"), mapped).otherwise(result)
+        arms.append(F.when(full.rlike(pattern), F.regexp_replace(full, pattern, "$1::$2")))
+    groups = F.split(full, ":")
+    high, low = (F.conv(F.get(groups, F.lit(i)), 16, 10).cast("int") for i in (6, 7))
+    octets = [F.shiftright(high, 8), high % 256, F.shiftright(low, 8), low % 256]
+    dotted = F.concat(F.lit("::ffff:"), F.concat_ws(".", *[o.cast("string") for o in octets]))
+    return F.when(full.startswith(_MAPPED), dotted).otherwise(F.coalesce(*arms, full))
 
 
 def canonical_ipv6(text: Column) -> Column:
-    scope = F.when(text.contains("%"), F.substring_index(text, "%", -1))
-    address = F.substring_index(text, "%", 1)
-    plain = _compress(_ipv6_groups(address))
-    bad_scope = (F.length(text) - F.length(F.replace(text, F.lit("%"), F.lit("")))) > 1
-    return (
-        F.when(scope.isNull(), plain)
-        .when((scope != "") & ~bad_scope, F.concat(plain, F.lit("%"), scope))
-    )
+    address = F.lower(F.substring_index(text, "%", 1))
+    plain = _bind(address, lambda a: _bind(_bind(_plain_groups(a), _expand), _compress))
+    scoped = text.contains("%")
+    good_scope = text.rlike("^[^%]*%[^%]+$")
+    scope = F.when(scoped, F.concat(F.lit("%"), F.substring_index(text, "%", -1))).otherwise("")
+    return F.when(~scoped | good_scope, F.concat(plain, scope))
 
 
 def canonical_ip(text: Column) -> Column:

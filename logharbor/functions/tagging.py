@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 REASON = "reason"
 
 
+def computed_once(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """Select that a later filter is not pushed through.
+
+    A filter on a derived column is otherwise rewritten below the projection, where every expression
+    it depends on is evaluated a second time for every row. Predicates stop at a generator's output.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def first_reason(*checks: tuple[Column, str | Column]) -> Column:
     """Text of the first check that is true, null when none is."""
     arms = [

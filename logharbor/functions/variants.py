@@ -30,6 +30,17 @@ def variant_type(value: Column) -> Column:
     )
 
 
+def parse_strict(text: Column) -> Column:
+    """VARIANT of a text that is exactly one JSON value, else null.
+
+    The parser stops after the first value. Text that continues cannot close both an array and an
+    object around it, so it fails in one of the two wrappings.
+    """
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
+
+
 def json_path(field: str) -> str:
     return f"$.{field}" if field.isidentifier() else f"$['{field}']"
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logharbor.functions.tagging import REASON, first_reason, missing_names
+from logharbor.functions.tagging import REASON, computed_once, first_reason, missing_names
 from logharbor.functions.timestamps import LOG_FORMATS, as_timestamp, parse_timestamp
 from logharbor.specs import TABLES, FieldSpec, TableSpec
 
@@ -22,14 +22,6 @@ def mapped_column(df: DataFrame, spec: TableSpec, target: str) -> Column:
     return F.coalesce(*present) if present else F.lit(None)
 
 
-def event_time(df: DataFrame, spec: TableSpec, as_of, target: str = "TimeGenerated") -> Column:
-    """The event time column, else the first candidate that has a value, else `as_of`."""
-    names = [*spec.sources_of(target), *(c for c in TIME_CANDIDATES if c not in spec.mapping)]
-    present = [name for name in names if name in df.columns]
-    arms = [to_type(F.col(f"`{n}`"), df.schema[n].dataType, FieldSpec(target, "datetime")) for n in present]
-    return F.coalesce(*arms, as_timestamp(as_of))
-
-
 def to_type(value: Column, found: T.DataType, wanted: FieldSpec) -> Column:
     """Value in the declared type; null where it does not convert."""
     if wanted.type == "datetime":
@@ -78,7 +70,8 @@ def prepare_rows(
         (F.col("_failed"), "preparation_error:ValueError"),
         (missing != "", F.concat(F.lit("missing_fields:"), missing)),
     )
-    return final.select(
+    return computed_once(
+        final,
         *keep,
         *[f.name for f in spec.fields],
         F.lit(classification).alias("DataClassification"),
@@ -162,8 +155,6 @@ def drop_report(tagged: DataFrame) -> DataFrame:
 
     The reasons form a small table bounded by the spec, so the totals come from a window over it.
     """
-    from pyspark.sql import Window
-
     whole = Window.partitionBy()
     per_reason = tagged.groupBy(REASON).agg(F.count("*").alias("dropped"))
     lost = F.sum(F.when(F.col(REASON).isNotNull(), F.col("dropped"))).over(whole)

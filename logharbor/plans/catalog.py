@@ -2,6 +2,7 @@
 
 from logharbor.plans import (  # noqa: F401
     detection_queries,
+    ingest_queries,
 )
 from logharbor.plans.registry import QUERIES
 

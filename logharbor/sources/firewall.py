@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logharbor.functions.network import canonical_ip
-from logharbor.functions.tagging import REASON, first_reason, missing_names
+from logharbor.functions.tagging import REASON, computed_once, first_reason, missing_names
 from logharbor.functions.timestamps import LOG_FORMATS, as_timestamp, parse_timestamp
 
 # Field order of a line, required fields and known actions.
@@ -67,7 +67,8 @@ def parse_firewall_lines(lines: DataFrame, as_of, line: str = "line") -> DataFra
         (missing != "", F.concat(F.lit("missing_fields:"), missing)),
         (~F.col("FirewallAction").isin(*ACTIONS), "bad_action"),
     )
-    return typed.select(
+    return computed_once(
+        typed,
         *lines.columns,
         *LINE_LAYOUT,
         F.lit("Firewall").alias("LogSource"),

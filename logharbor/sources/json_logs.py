@@ -7,8 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.functions.tagging import REASON, first_reason
-from logharbor.functions.variants import deeper_than, variant_field, variant_type
+from logharbor.functions.tagging import REASON, computed_once, first_reason
+from logharbor.functions.variants import deeper_than, parse_strict, variant_field, variant_type
 
 # Limits on one JSON payload.
 MAX_BYTES = 10 * 1024 * 1024
@@ -34,7 +34,7 @@ def parse_json_lines(
     schema = schema or JsonSchema()
     text = F.col(line)
     fits = F.octet_length(text) <= max_bytes
-    parsed = lines.withColumn("record", F.when(fits, F.try_parse_json(text)))
+    parsed = lines.withColumn("record", F.when(fits, parse_strict(text)))
 
     checks = [
         (~fits, "too_large"),
@@ -51,7 +51,7 @@ def parse_json_lines(
         wrong = value.isNotNull() & ~F.coalesce(same, F.lit(False))
         checks.append((wrong, f"wrong_type:{name}"))
 
-    tagged = parsed.withColumn(REASON, first_reason(*checks))
+    tagged = computed_once(parsed, *lines.columns, "record", first_reason(*checks).alias(REASON))
     return tagged.withColumn("record", F.when(F.col(REASON).isNull(), F.col("record")))
 
 
@@ -62,10 +62,10 @@ def explode_json_objects(objects: DataFrame, content: str = "content") -> DataFr
     """
     keep = [c for c in objects.columns if c != content]
     text = F.col(content)
-    whole = F.try_parse_json(text)
+    whole = parse_strict(text)
     lines = F.filter(F.split(F.trim(text), "\n"), lambda part: F.trim(part) != "")
     by_line = F.filter(
-        F.transform(lines, lambda part: F.try_parse_json(part)), lambda v: v.isNotNull()
+        F.transform(lines, parse_strict), lambda v: v.isNotNull()
     )
     shaped = objects.withColumn("_whole", whole).withColumn(
         "_records",
