@@ -48,7 +48,7 @@ def _redact_value(value: Column, dtype: T.DataType, name: str) -> Column:
     if isinstance(dtype, T.ArrayType):
         element = dtype.elementType
         if isinstance(element, T.StringType):
-            return F.transform(value, redact_text)
+            return F.transform(value, lambda item: redact_text(item))
         if isinstance(element, T.StructType):
             return F.transform(value, lambda v: _redact_struct(v, element))
         return value

@@ -3,6 +3,7 @@
 from logharbor.plans import (  # noqa: F401
     detection_queries,
     ingest_queries,
+    protection_queries,
 )
 from logharbor.plans.registry import QUERIES
 

@@ -452,8 +452,8 @@ def _(spark, sf_dir):
     "dlq_backlog",
     with_views(
         "fw",
-        f"""with {DEAD_SQL}, batches as (select min(failed_at) as at from numbered group by error_category, day, batch_no)
-select count(*) as batches, round(max(epoch_us(timestamp '{AS_OF.replace("T", " ")}') - epoch_us(at)) / 1000000.0::double, 3) as oldest_age_seconds
+        f"""with {DEAD_SQL}, batches as (select min(failed_at) as first_at from numbered group by error_category, day, batch_no)
+select count(*) as batches, round(max(epoch_us(timestamp '{AS_OF.replace("T", " ")}') - epoch_us(first_at)) / 1000000.0::double, 3) as oldest_age_seconds
 from batches""",
     ),
 )
@@ -476,10 +476,13 @@ from numbered group by 1""",
     ),
 )
 def _(spark, sf_dir):
-    """Bad ports are mended on replay and pass; bad times stay dead letters."""
+    """Bad ports are mended on replay and pass; bad times stay dead letters.
+
+    The records are kept unredacted here: a redacted address would not parse again.
+    """
     batches = sinks.dead_letter_batches(
         failed_rows(spark, sf_dir), batch_size=20, order=["failed_at", "event_id"],
-        identity=F.col("event_id").cast("string"),
+        identity=F.col("event_id").cast("string"), redact=False,
     )
 
     def reroute(records):

@@ -64,8 +64,9 @@ def compare(spark, con, build, oracle: str | None, sf_dir: str) -> tuple[bool, s
         return False, f"columns differ: {sorted(df.columns)} / {sorted(names)}"
     if got == want:
         return True, f"{len(got)} rows"
-    extra = [r for r in got if r not in set(want)][:3]
-    lost = [r for r in want if r not in set(got)][:3]
+    got_set, want_set = set(got), set(want)
+    extra = [r for r in got if r not in want_set][:3]
+    lost = [r for r in want if r not in got_set][:3]
     return False, f"rows {len(got)}/{len(want)}\n    spark only: {extra}\n    oracle only: {lost}"
 
 
@@ -80,7 +81,7 @@ def main() -> int:
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     sf_dir = f"/root/testdata/{args.sf}"
-    conf = {"spark_sql_shuffle_partitions": "8", "spark_driver_memory": "12g"}
+    conf = {"spark_sql_shuffle_partitions": "8", "spark_driver_memory": "4g"}
     spark = build_session("compare", "local[8]", **conf)
     if args.rows:
         spark.conf.set("spark.logharbor.maxGroupRows", args.rows)

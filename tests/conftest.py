@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", spark_sql_shuffle_partitions="4", spark_driver_memory="8g")
+    session = build_session("tests", "local[8]", spark_sql_shuffle_partitions="4", spark_driver_memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
