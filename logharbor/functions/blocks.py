@@ -50,14 +50,27 @@ class Blocks:
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], min_width: float = 0.0):
         self.keys, self.order = list(keys), list(order)
-        self.large = F.broadcast(large_keys(df, self.keys, order[0], min_width))
+        self.large = large_keys(df, self.keys, order[0], min_width)
+        if self.keys:
+            self.large = F.broadcast(self.large)
         self.df = self._blocked(df, "left")
         self._source = df
 
     def _blocked(self, df: DataFrame, how: str) -> DataFrame:
+        if not self.keys:
+            return self._blocked_whole(df, how)
         joined = df.alias("d").join(self.large.alias("h"), same_key("d", "h", self.keys), how)
         return joined.select("d.*", block_number(F.col(f"d.{self.order[0]}")).alias(BLOCK))
 
+    def _blocked_whole(self, df: DataFrame, how: str) -> DataFrame:
+        """One order over the whole frame: the single start and width are a scalar subquery."""
+        extent = self.large.select(F.struct("_start", "_width")).scalar()
+        staged = df.withColumn("_extent", extent).withColumns(
+            {"_start": F.col("_extent._start"), "_width": F.col("_extent._width")}
+        )
+        out = staged.withColumn(BLOCK, block_number(F.col(self.order[0]))).drop("_extent", "_start", "_width")
+        return out.where(F.col(BLOCK).isNotNull()) if how == "inner" else out
+
     @property
     def window(self):
         return Window.partitionBy(*self.keys, BLOCK).orderBy(*self.order)
@@ -91,14 +104,18 @@ class Blocks:
     def carry_last(self, df: DataFrame, values: dict[str, Column]) -> DataFrame:
         """Adds for each value its last non-null occurrence in the earlier blocks of the key.
 
-        Values are expressions over the columns of the frame the blocks were made from.
+        `df` is the blocked frame or one derived from it; only rows of large keys are aggregated.
         """
         order = F.struct(*self.order)
-        edges = self._edge_rows(
-            [
-                F.max_by(v, F.when(v.isNotNull(), order)).alias(name)
-                for name, v in values.items()
-            ]
+        edges = (
+            df.where(F.col(BLOCK).isNotNull())
+            .groupBy(*self.keys, BLOCK)
+            .agg(
+                *[
+                    F.max_by(v, F.when(v.isNotNull(), order)).alias(name)
+                    for name, v in values.items()
+                ]
+            )
         )
         edges = edges.select(
             *self.keys,

@@ -2,7 +2,9 @@
 
 from logharbor.plans import (  # noqa: F401
     detection_queries,
+    feature_queries,
     ingest_queries,
+    metric_queries,
     protection_queries,
 )
 from logharbor.plans.registry import QUERIES

@@ -152,6 +152,7 @@ def with_views(names: str | list[str], body: str) -> str:
     body = body.strip()
     if not parts:
         return body
-    if body.lower().startswith("with "):
-        return "with " + ",\n".join(parts) + ",\n" + body[5:]
+    for opening in ("with recursive ", "with "):
+        if body.lower().startswith(opening):
+            return opening + ",\n".join(parts) + ",\n" + body[len(opening) :]
     return "with " + ",\n".join(parts) + "\n" + body

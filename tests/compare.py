@@ -85,7 +85,7 @@ def main() -> int:
     spark = build_session("compare", "local[8]", **conf)
     if args.rows:
         spark.conf.set("spark.logharbor.maxGroupRows", args.rows)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     oracles, bad = oracle_sql(), 0
     for name, build in queries().items():
