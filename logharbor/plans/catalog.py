@@ -6,6 +6,7 @@ from logharbor.plans import (  # noqa: F401
     ingest_queries,
     metric_queries,
     protection_queries,
+    stream_queries,
 )
 from logharbor.plans.registry import QUERIES
 

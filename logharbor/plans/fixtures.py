@@ -132,6 +132,14 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
+def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same view over a stream of the files of its table."""
+    inputs, text = _VIEWS[name]
+    schema = table(spark, sf_dir, inputs[0]).schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{inputs[0]}*.parquet").parquet(sf_dir)
+    return spark.sql(text.replace(f"from {inputs[0]}", f"from {{{inputs[0]}}}"), **{inputs[0]: files})
+
+
 def firewall_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pipe-delimited lines, some with a bad time or a bad port."""
     text = """
