@@ -1,9 +1,9 @@
 """Ordered work per key when one key may hold a large share of all rows.
 
 A window over (key, time) sorts every row of a key in one task. Here a key with more rows than
-`max_rows` is cut into time blocks, the window runs per (key, block), and what a block needs from
+the row limit is cut into time blocks, the window runs per (key, block), and what a block needs from
 its neighbours travels in a small table with one row per block of a large key. That table and the
-list of large keys have at most (all rows / max_rows) entries plus one per large key, so both are
+list of large keys have at most (all rows / row limit) entries plus one per large key, so both are
 broadcast; the data itself is shuffled once. Keys below the limit take the plain window.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from logharbor.session import max_group_rows
 
 BLOCK = "_block"
+QUANTILES = 256
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:
@@ -25,31 +26,72 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     return condition
 
 
+def _micros(ts: str | Column) -> Column:
+    return F.unix_micros(ts)
+
+
 def large_keys(df: DataFrame, keys: list[str], ts: str, min_width: float = 0.0) -> DataFrame:
-    """Keys over the row limit with the start and the width (seconds) of their blocks."""
+    """Keys over the row limit, each with `_cut`: how its time is divided into blocks.
+
+    Without `min_width` the edges are quantiles of the key's times, so that bursts are cut as finely
+    as their rows demand; past 256 quantiles each is divided evenly. With it, all blocks of a key have
+    one width of at least that many seconds.
+    """
     limit = max_group_rows(df.sparkSession)
-    second = F.unix_micros(ts) / F.lit(1e6)
-    stats = df.groupBy(*keys).agg(
-        F.count("*").alias("_rows"), F.min(second).alias("_start"), F.max(second).alias("_end")
+    counts = df.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), F.min(ts).alias("_start"), F.max(ts).alias("_end")
+    )
+    counts = counts.where(F.col("_rows") > limit)
+    parts = F.ceil(F.col("_rows") / F.lit(float(limit))).cast("int")
+    start, end = _micros("_start"), _micros("_end")
+    if min_width:
+        even = F.greatest((end - start) / parts, F.lit(min_width * 1e6))
+        cut = F.struct(start.alias("start"), even.alias("width"))
+        return counts.select(*keys, cut.alias("_cut"))
+
+    sizes = counts.select(*keys, parts.alias("_parts"), start.alias("_first"), end.alias("_last"))
+    if keys:
+        small = F.broadcast(sizes.select(*keys, "_parts", "_first", "_last"))
+        joined = df.alias("d").join(small.alias("c"), same_key("d", "c", keys), "inner")
+        rows = joined.select(*[f"d.{k}" for k in keys], "_parts", "_first", "_last", _micros(f"d.{ts}").alias("_us"))
+        grouped = rows.groupBy(*keys, "_parts", "_first", "_last")
+    else:
+        size = sizes.select(F.struct("_parts", "_first", "_last")).scalar()
+        rows = df.select(_micros(ts).alias("_us")).withColumn("_size", size).where(F.col("_size").isNotNull())
+        grouped = rows.select("_us", "_size.*").groupBy("_parts", "_first", "_last")
+    fractions = [i / QUANTILES for i in range(1, QUANTILES)]
+    quantiles = grouped.agg(F.percentile_approx("_us", fractions, 10_000).alias("_q"))
+    # as many of the quantiles as the key needs, evenly chosen
+    used = F.least(F.col("_parts"), F.lit(QUANTILES))
+    chosen = F.transform(
+        F.sequence(F.lit(1), used - 1), lambda j: F.element_at("_q", F.floor(j * QUANTILES / used).cast("int"))
     )
-    parts = F.ceil(F.col("_rows") / F.lit(float(limit)))
-    width = (F.col("_end") - F.col("_start")) / parts
-    return stats.where(F.col("_rows") > limit).select(
-        *keys, "_start", F.greatest(width, F.lit(float(max(min_width, 1e-6)))).alias("_width")
+    cut = F.struct(
+        F.concat(F.array("_first"), chosen, F.array(F.col("_last") + 1)).alias("edges"),
+        F.ceil(F.col("_parts") / F.lit(float(QUANTILES))).cast("bigint").alias("inner"),
     )
+    return quantiles.select(*keys, cut.alias("_cut"))
 
 
-def block_number(ts: Column) -> Column:
-    """Block of a time for a row that carries `_start` and `_width`; null for a small key."""
-    second = F.unix_micros(ts) / F.lit(1e6)
-    return F.floor((second - F.col("_start")) / F.col("_width"))
+def block_number(ts: Column, even: bool) -> Column:
+    """Block of a time for a row that carries `_cut`; null for a small key. Grows with time."""
+    us = _micros(ts)
+    if even:
+        return F.floor((us - F.col("_cut.start")) / F.col("_cut.width"))
+    edges, inner = F.col("_cut.edges"), F.col("_cut.inner")
+    # number of edges at or before the time; the last edge lies beyond every time
+    outer = F.size(F.filter(edges, lambda e: e <= us))
+    low, high = F.get(edges, outer - 1), F.get(edges, outer)
+    share = F.floor((us - low) / (high - low) * inner)
+    block = (outer - 1).cast("bigint") * inner + F.least(share, inner - 1)
+    return F.when(F.col("_cut").isNotNull(), block)
 
 
 class Blocks:
     """A frame whose large keys are cut into blocks; `order` is a total order within a key."""
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], min_width: float = 0.0):
-        self.keys, self.order = list(keys), list(order)
+        self.keys, self.order, self.even = list(keys), list(order), min_width > 0
         self.large = large_keys(df, self.keys, order[0], min_width)
         if self.keys:
             self.large = F.broadcast(self.large)
@@ -60,15 +102,12 @@ class Blocks:
         if not self.keys:
             return self._blocked_whole(df, how)
         joined = df.alias("d").join(self.large.alias("h"), same_key("d", "h", self.keys), how)
-        return joined.select("d.*", block_number(F.col(f"d.{self.order[0]}")).alias(BLOCK))
+        return joined.select("d.*", block_number(F.col(f"d.{self.order[0]}"), self.even).alias(BLOCK))
 
     def _blocked_whole(self, df: DataFrame, how: str) -> DataFrame:
-        """One order over the whole frame: the single start and width are a scalar subquery."""
-        extent = self.large.select(F.struct("_start", "_width")).scalar()
-        staged = df.withColumn("_extent", extent).withColumns(
-            {"_start": F.col("_extent._start"), "_width": F.col("_extent._width")}
-        )
-        out = staged.withColumn(BLOCK, block_number(F.col(self.order[0]))).drop("_extent", "_start", "_width")
+        """One order over the whole frame: the single cut is a scalar subquery."""
+        staged = df.withColumn("_cut", self.large.select("_cut").scalar())
+        out = staged.withColumn(BLOCK, block_number(F.col(self.order[0]), self.even)).drop("_cut")
         return out.where(F.col(BLOCK).isNotNull()) if how == "inner" else out
 
     @property
@@ -163,7 +202,7 @@ class Blocks:
         )
         ts = F.col(f"d.{self.order[0]}")
         later = ts + F.make_dt_interval(secs=F.lit(float(window_seconds)))
-        homes = F.array_distinct(F.array(block_number(ts), block_number(later)))
+        homes = F.array_distinct(F.array(block_number(ts, True), block_number(later, True)))
         return joined.select("d.*", F.posexplode(homes).alias("_copy", BLOCK)).select(
             "*", (F.col("_copy") == 0).alias("_own")
         ).drop("_copy")

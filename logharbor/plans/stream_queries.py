@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.operators.alerts import alert_episodes, apply_conditions
-from logharbor.plans.fixtures import AS_OF, firewall_lines, stream_view, view, with_views
-from logharbor.plans.metric_queries import CONDITIONS
+from logharbor.plans.fixtures import AS_OF, firewall_lines, stream_view, with_views
+from logharbor.plans.metric_queries import CONDITIONS, EPISODES_SQL
 from logharbor.plans.registry import query
 from logharbor.session import scratch_dir
 from logharbor.sources.firewall import parse_firewall_lines
@@ -114,21 +113,26 @@ def _(spark, sf_dir):
     return rows.withColumn("total", F.col("total").cast("bigint"))
 
 
-@query("stream_alerts")
+# the last sample of a check interval stands for the interval
+_CHECKED_SQL = """checked as (select series, name, arg_max(value, ts) as value, max(ts) as ts, arg_max(event_id, ts) as event_id
+  from metrics group by series, name, epoch_us(ts) // 30000000)"""
+
+
+@query(
+    "stream_alerts",
+    with_views(
+        "metrics",
+        f"""with {_CHECKED_SQL}, {EPISODES_SQL.replace("from metrics", "from checked")}
+select alert, series, severity, 'fired' as event, fired_at as ts, value from episodes
+union all select e.alert, e.series, e.severity, 'resolved', e.resolved_at, j.value
+from episodes e join judged j on j.alert = e.alert and j.series = e.series and j.ts = e.resolved_at""",
+    ),
+)
 def _(spark, sf_dir):
     events = alerts.alert_events(stream_view(spark, sf_dir, "metrics"), CONDITIONS)
     return spark.read.parquet(drain(events, scratch_dir(spark, "alerts"))).drop("epoch")
 
 
-def batch_alerts(spark, sf_dir):
-    """The same events from the batch operator, over the last sample of each check interval."""
-    check = F.floor(F.unix_micros("ts") / (alerts.CHECK_SECONDS * 1_000_000))
-    samples = view(spark, sf_dir, "metrics").groupBy("series", "name", check.alias("check")).agg(
-        F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"), F.max("event_id").alias("event_id")
-    )
-    return alert_episodes(apply_conditions(samples, CONDITIONS), ["series"], "event_id")
-
-
 @query(
     "stream_patterns",
     "select md5(concat(event_type, '/', cast(user_id % 5 as varchar))) as pattern, count(*) as frequency from events group by 1",

@@ -19,15 +19,16 @@ EVENTS = "alert string, series string, severity string, event string, ts timesta
 STATE = "since long, fired boolean, last long"
 
 
-def _latest_per_check(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """The last sample of every check interval, built while the rows stream past."""
+def _latest_per_check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The last sample of every timeline and check interval, built while the rows stream past."""
     kept = None
     for frame in frames:
-        frame = frame.assign(us=frame["ts"].astype("int64") // _unit(frame["ts"]))
-        frame["check"] = frame["us"] // (CHECK_SECONDS * 1_000_000)
+        micros = frame["ts"].astype("int64") // _unit(frame["ts"])
+        frame = frame.assign(us=micros, check=micros // (CHECK_SECONDS * 1_000_000))
         joined = frame if kept is None else pd.concat([kept, frame])
-        kept = joined.sort_values("us", kind="stable").groupby("check").tail(1)
-    return kept if kept is not None else pd.DataFrame()
+        kept = joined.sort_values("us", kind="stable").groupby(["alert", "series", "check"]).tail(1)
+    if kept is not None:
+        yield kept.drop(columns=["us", "check"])
 
 
 def _unit(ts: pd.Series) -> int:
@@ -38,13 +39,14 @@ def _follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
     """Advance one timeline: remember since when the condition holds, fire once, resolve once."""
     since, fired, last = state.get if state.exists else (-1, False, -1)
     out = []
-    for row in _latest_per_check(frames).itertuples():
-        if row.us <= last:
+    for row in (row for frame in _latest_per_check(frames) for row in frame.itertuples()):
+        us = row.ts.value // 1000
+        if us <= last:
             continue
-        last = row.us
+        last = us
         if row.holds:
-            since = row.us if since < 0 else since
-            if not fired and row.us - since >= row.duration * 1_000_000:
+            since = us if since < 0 else since
+            if not fired and us - since >= row.duration * 1_000_000:
                 fired = True
                 out.append((key[0], key[1], row.severity, "fired", row.ts, row.value))
         else:
@@ -58,11 +60,13 @@ def _follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
 def alert_events(samples: DataFrame, conditions: list[AlertCondition]) -> DataFrame:
     """Events of each (alert, series); samples have series, name, ts and value.
 
-    Only the last sample of a check interval is judged, so a timeline's work in one micro-batch is
-    bounded by the time the batch covers, and its state is three numbers.
+    Only the last sample of a check interval is judged. Every partition first reduces its rows to
+    those, so what a timeline sends to its task is bounded by the time a micro-batch covers, not by
+    its number of samples. The state of a timeline is three numbers.
     """
     judged = apply_conditions(samples.select("series", "name", "ts", "value"), conditions)
     judged = judged.select("alert", "series", "severity", "duration", "holds", "ts", "value")
-    return judged.groupBy("alert", "series").applyInPandasWithState(
+    reduced = judged.mapInPandas(_latest_per_check, judged.schema)
+    return reduced.groupBy("alert", "series").applyInPandasWithState(
         _follow, EVENTS, STATE, "append", GroupStateTimeout.NoTimeout
     )
