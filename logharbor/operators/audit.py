@@ -16,25 +16,29 @@ EVENT_FIELDS = (
 )
 
 
+# UTF-16 units with a short escape in JSON.
+SHORT_ESCAPES = {"0022": '\\"', "005C": "\\\\", "000A": "\\n", "000D": "\\r", "0009": "\\t", "0008": "\\b", "000C": "\\f"}
+
+
 def _json_text(text: Column) -> Column:
-    """A string as a JSON literal with ASCII escapes, as the hash is taken over."""
-    plain = F.concat(F.lit('"'), text, F.lit('"'))
-    quoted = F.to_json(F.array(text))
-    quoted = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
-    return F.when(text.isNull(), "null").when(text.rlike(r'^[ !#-\[\]-~]*$'), plain).otherwise(_ascii(quoted))
-
-
-def _ascii(quoted: Column) -> Column:
-    r"""Characters beyond ASCII as \uXXXX in UTF-16 units, as well as DEL left as it is."""
-    units = F.hex(F.encode(quoted, "UTF-16BE"))
-    groups = F.regexp_extract_all(units, F.lit("(.{4})"), F.lit(1))
-    shown = F.transform(
-        groups,
-        lambda u: F.when(u <= "007F", F.char(F.conv(u, 16, 10).cast("bigint"))).otherwise(
-            F.concat(F.lit("\\u"), F.lower(u))
-        ),
-    )
-    return F.array_join(shown, "")
+    """A string as a JSON literal in ASCII, as the hash is taken over; most need no escapes."""
+    plain = text.rlike(r"^[ !#-\[\]-~]*$")
+    body = F.when(plain, text).otherwise(_escaped(text))
+    return F.when(text.isNull(), "null").otherwise(F.concat(F.lit('"'), body, F.lit('"')))
+
+
+def _escaped(text: Column) -> Column:
+    """Text with JSON escapes, one UTF-16 unit at a time."""
+    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("(.{4})"), F.lit(1))
+
+    def shown(unit: Column) -> Column:
+        out = F.when(unit.between("0020", "007E"), F.char(F.conv(unit, 16, 10).cast("bigint")))
+        out = out.otherwise(F.concat(F.lit("\\u"), F.lower(unit)))
+        for code, escape in SHORT_ESCAPES.items():
+            out = F.when(unit == code, F.lit(escape)).otherwise(out)
+        return out
+
+    return F.array_join(F.transform(units, shown), "")
 
 
 def canonical_event(df: DataFrame, details: str = "details") -> Column:

@@ -24,6 +24,7 @@ SESSION_CONF = {
 def build_session(app: str = "logharbor", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session with the library's settings; `conf` uses underscores for dots."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     for key, value in SESSION_CONF.items():

@@ -38,7 +38,7 @@ def read_objects(
     spark: SparkSession, folder: str, glob: str | None = None, newer_than: str | None = None
 ) -> DataFrame:
     """One row per object with its whole text, for formats that span lines."""
-    raw = spark.read.options(wholetext="true", **_options(glob, newer_than)).text(folder)
+    raw = spark.read.options(**_options(glob, newer_than)).text(folder, wholetext=True)
     return raw.select(F.make_valid_utf8("value").alias("content"), *_file_columns())
 
 
