@@ -118,10 +118,6 @@ class Blocks:
     def running(self):
         return self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def _edge_rows(self, aggs: list[Column]) -> DataFrame:
-        """Aggregates per block, for the blocks of large keys only."""
-        return self._blocked(self._source, "inner").groupBy(*self.keys, BLOCK).agg(*aggs)
-
     def _earlier(self):
         return (
             Window.partitionBy(*self.keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -132,13 +128,30 @@ class Blocks:
         joined = df.alias("d").join(small.alias("e"), same_key("d", "e", [*self.keys, BLOCK]), "left")
         return joined.select("d.*", *[f"e.{n}" for n in names])
 
-    def number(self, name: str) -> DataFrame:
-        """Adds the 1-based position of each row within its key."""
-        edges = self._edge_rows([F.count("*").alias("_n")])
-        edges = edges.withColumn("_before", F.sum("_n").over(self._earlier()))
-        df = self._attach(self.df, edges, ["_before"])
-        position = F.row_number().over(self.window) + F.coalesce("_before", F.lit(0))
-        return df.withColumn(name, position.cast("bigint")).drop("_before")
+    def number(self, name: str, df: DataFrame | None = None, within: list[str] = ()) -> DataFrame:
+        """Adds the 1-based position of each row within its key, or within (key, `within`).
+
+        A group inside a key is no larger than the key, so it is split by the same blocks; then `df`
+        is the blocked frame with the extra columns.
+        """
+        df = self.df if df is None else df
+        group = [*self.keys, *within]
+        window = Window.partitionBy(*group, BLOCK).orderBy(*self.order)
+        here = F.row_number().over(window).cast("bigint")
+        large = df.where(F.col(BLOCK).isNotNull())
+        counts = large.groupBy(*group, BLOCK).agg(F.count("*").alias("_n"))
+        earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        edges = counts.select(*group, BLOCK, F.sum("_n").over(earlier).alias("_before"))
+        if not within:
+            out = self._attach(df.withColumn(name, here), edges, ["_before"])
+            return out.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
+        # one row per block and inner group need not be small: join it, for the rows of large keys only
+        joined = large.withColumn(name, here).alias("d").join(
+            edges.alias("e"), same_key("d", "e", [*group, BLOCK]), "left"
+        )
+        joined = joined.select("d.*", "e._before")
+        joined = joined.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
+        return df.where(F.col(BLOCK).isNull()).withColumn(name, here).unionByName(joined)
 
     def carry_last(self, df: DataFrame, values: dict[str, Column]) -> DataFrame:
         """Adds for each value its last non-null occurrence in the earlier blocks of the key.
@@ -175,8 +188,8 @@ class Blocks:
             out = out.withColumn(new, value)
         return out.drop(*[f"_c_{new}" for new in columns])
 
-    def upcoming(self, element: Column, length: int, name: str) -> DataFrame:
-        """Adds the array of this and the next rows of the key, at most `length` of them."""
+    def upcoming(self, element: Column, length: int, name: str, df: DataFrame | None = None) -> DataFrame:
+        """Adds the array of `element` (text) of this and the next rows of the key, up to `length`."""
         head = self._blocked(self._source, "inner")
         head = head.withColumn("_rn", F.row_number().over(self.window)).where(F.col("_rn") < length)
         edges = head.groupBy(*self.keys, BLOCK).agg(
@@ -186,7 +199,7 @@ class Blocks:
         edges = edges.withColumn(
             "_next", F.slice(F.flatten(F.collect_list("_head").over(following)), 1, length - 1)
         )
-        df = self._attach(self.df, edges, ["_next"])
+        df = self._attach(self.df if df is None else df, edges, ["_next"])
         here = F.collect_list(element).over(self.window.rowsBetween(0, length - 1))
         rest = F.coalesce(F.transform("_next", lambda s: s["v"]), F.array().cast("array<string>"))
         df = df.withColumn("_here", here)

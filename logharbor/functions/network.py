@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-IPV4_PATTERN = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
-_HEX_GROUP = r"^[0-9a-f]{1,4}$"
+IPV4_PATTERN = rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z"
+_HEX_GROUP = r"^[0-9a-f]{1,4}\z"
 _MAPPED = "0:0:0:0:0:ffff:"
 
 
@@ -87,7 +87,7 @@ def canonical_ipv6(text: Column) -> Column:
     address = F.lower(F.substring_index(text, "%", 1))
     plain = _bind(address, lambda a: _bind(_bind(_plain_groups(a), _expand), _compress))
     scoped = text.contains("%")
-    good_scope = text.rlike("^[^%]*%[^%]+$")
+    good_scope = text.rlike(r"^[^%]*%[^%]+\z")
     scope = F.when(scoped, F.concat(F.lit("%"), F.substring_index(text, "%", -1))).otherwise("")
     return F.when(~scoped | good_scope, F.concat(plain, scope))
 

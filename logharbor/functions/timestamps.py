@@ -66,7 +66,7 @@ def shape_of(fmt: str) -> str:
             parts.append(_DIRECTIVES[token][2])
         else:
             parts.append(r"\s+".join(re.escape(p) for p in re.split(r"\s+", token)))
-    return "^" + "".join(parts) + "$"
+    return "^" + "".join(parts) + r"\z"
 
 
 def parse_timestamp(text: Column, formats: list[str] | None = None) -> Column:

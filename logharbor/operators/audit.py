@@ -22,8 +22,10 @@ SHORT_ESCAPES = {"0022": '\\"', "005C": "\\\\", "000A": "\\n", "000D": "\\r", "0
 
 def _json_text(text: Column) -> Column:
     """A string as a JSON literal in ASCII, as the hash is taken over; most need no escapes."""
-    plain = text.rlike(r"^[ !#-\[\]-~]*$")
-    body = F.when(plain, text).otherwise(_escaped(text))
+    plain = text.rlike(r"^[ !#-\[\]-~]*\z")
+    printable = text.rlike(r"^[ -~]*\z")
+    quoted = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    body = F.when(plain, text).when(printable, quoted).otherwise(_escaped(text))
     return F.when(text.isNull(), "null").otherwise(F.concat(F.lit('"'), body, F.lit('"')))
 
 

@@ -29,10 +29,6 @@ def pipeline_lag(samples: DataFrame, as_of, name: str, column: str = "name") ->
     return newest.select(F.coalesce(lag_seconds(F.col("ts"), as_of), F.lit(0.0)).alias("lag_seconds"))
 
 
-def _steps(samples: DataFrame, keys: list[str], tie: str, window_seconds: float) -> Blocks:
-    return Blocks(samples, keys, ["ts", tie], min_width=window_seconds)
-
-
 def _gain() -> Column:
     """Growth since the sample before; a fall is a restart from zero, a first sample adds nothing."""
     fell = F.col("value") < F.col("_previous")
@@ -47,21 +43,27 @@ def counter_increase(samples: DataFrame, keys: list[str], tie: str, window_secon
     The window is (t - w, t]; nothing is extrapolated to its edges. The growth over a window is the
     difference of two running totals, so the cost per row does not grow with the window.
     """
-    blocks = _steps(samples, keys, tie, window_seconds)
+    blocks = Blocks(samples, keys, ["ts", tie], min_width=window_seconds)
     gains = blocks.previous({"_previous": "value"}).withColumn("_gain", _gain())
-    spread = blocks.with_lookback(gains, window_seconds)
-    group = [*keys, BLOCK]
-    micros = F.unix_micros("ts")
+    # small keys stay where the gains were computed; only the rows of large keys move once more
+    small = gains.where(F.col(BLOCK).isNull()).withColumn("_own", F.lit(True))
+    large = blocks.with_lookback(gains.where(F.col(BLOCK).isNotNull()), window_seconds)
+    parts = [_window_growth(part, [*keys, BLOCK], tie, window_seconds) for part in (small, large)]
+    out = parts[0].unionByName(parts[1])
+    return out.drop("_previous", "_gain", BLOCK)
+
+
+def _window_growth(rows: DataFrame, group: list[str], tie: str, window_seconds: float) -> DataFrame:
+    """Adds `increase` to the rows a block owns, from running totals over the block."""
     running = Window.partitionBy(*group).orderBy("ts", tie).rowsBetween(Window.unboundedPreceding, 0)
     before = (
         Window.partitionBy(*group)
         .orderBy("_us")
         .rangeBetween(Window.unboundedPreceding, -int(window_seconds * 1_000_000))
     )
-    totals = spread.withColumns({"_us": micros, "_total": F.sum("_gain").over(running)})
+    totals = rows.withColumns({"_us": F.unix_micros("ts"), "_total": F.sum("_gain").over(running)})
     increase = F.col("_total") - F.coalesce(F.max("_total").over(before), F.lit(0.0))
-    out = totals.withColumn("increase", increase).where("_own")
-    return out.drop("_previous", "_gain", "_total", "_us", "_own", BLOCK)
+    return totals.withColumn("increase", increase).where("_own").drop("_total", "_us", "_own")
 
 
 def counter_rate(samples: DataFrame, keys: list[str], tie: str, window_seconds: float) -> DataFrame:

@@ -39,16 +39,34 @@ def label_clusters(
     return joined.withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("bigint")))
 
 
+def _hashed(blocks: Blocks, element: Column, length: int, df: DataFrame | None = None) -> DataFrame:
+    windows = blocks.upcoming(element.cast("string"), length, "_window", df)
+    full = F.size("_window") == length
+    pattern = F.when(full, F.md5(F.array_join("_window", "\x1f")))
+    return windows.withColumn("pattern", pattern).drop("_window")
+
+
 def sequence_hashes(rows: DataFrame, keys: list[str], order: list[str], element: Column, length: int = WINDOW) -> DataFrame:
     """Adds `pattern`, the md5 of this and the next rows of the key.
 
     Rows with fewer than `length` rows from there on have no pattern.
     """
+    return _hashed(Blocks(rows, keys, order), element, length).drop(BLOCK)
+
+
+def numbered_sequences(
+    rows: DataFrame, keys: list[str], order: list[str], element: Column, length: int = WINDOW
+) -> DataFrame:
+    """Every row with its position in the key, its pattern and how often that has occurred so far.
+
+    Position and pattern share one shuffle by key; the running count adds one by (key, pattern).
+    """
     blocks = Blocks(rows, keys, order)
-    windows = blocks.upcoming(element.cast("string"), length, "_window")
-    full = F.size("_window") == length
-    hashed = windows.withColumn("pattern", F.when(full, F.md5(F.array_join("_window", "\x1f"))))
-    return hashed.drop("_window", BLOCK)
+    placed = blocks.number("start_idx").withColumn("start_idx", F.col("start_idx") - 1)
+    hashed = _hashed(blocks, element, length, placed)
+    counted = blocks.number("_frequency", hashed, within=["pattern"])
+    frequency = F.when(F.col("pattern").isNotNull(), F.col("_frequency"))
+    return counted.withColumns({"frequency": frequency, "length": F.lit(length)}).drop("_frequency", BLOCK)
 
 
 def repeat_sequences(
@@ -61,13 +79,9 @@ def repeat_sequences(
 ) -> DataFrame:
     """Windows whose pattern has occurred more than `repeats` times in their key so far.
 
-    Adds `start_idx`, `length` and `frequency` (the running count) to the row a window starts at.
+    The row a window starts at carries `start_idx`, `length` and `frequency` (the running count).
     """
-    numbered = running_number(rows, keys, order, "start_idx")
-    hashed = sequence_hashes(numbered, keys, order, element, length).where(F.col("pattern").isNotNull())
-    counted = running_number(hashed, [*keys, "pattern"], order, "frequency")
-    found = counted.where(F.col("frequency") > repeats)
-    return found.withColumns({"start_idx": F.col("start_idx") - 1, "length": F.lit(length)})
+    return numbered_sequences(rows, keys, order, element, length).where(F.col("frequency") > repeats)
 
 
 def frequent_patterns(hashed: DataFrame, n: int = TOP_PATTERNS, significant: int = SIGNIFICANT) -> DataFrame:
@@ -82,22 +96,24 @@ def frequent_patterns(hashed: DataFrame, n: int = TOP_PATTERNS, significant: int
     )
 
 
-def attach_sequences(rows: DataFrame, sequences: DataFrame, keys: list[str], position: str) -> DataFrame:
-    """Adds the first sequence that covers each row: `sequence_id` (its start) and `frequency`.
+def attach_sequences(numbered: DataFrame, keys: list[str], repeats: int = REPEATS) -> DataFrame:
+    """Rows of `numbered_sequences` with the first repeating sequence that covers each of them.
 
-    A sequence names the few positions it covers, so the interval join is an equi join on
-    (key, position), which is unique per row.
+    Adds `sequence_id` (its start) and its `frequency`. A sequence names the few positions it covers,
+    so the interval join is an equi join on (key, position), which is unique per row.
     """
-    covered = sequences.select(
+    found = numbered.where(F.col("frequency") > repeats)
+    covered = found.select(
         *keys,
-        F.explode(F.sequence("start_idx", F.col("start_idx") + F.col("length") - 1)).alias(position),
+        F.explode(F.sequence("start_idx", F.col("start_idx") + F.col("length") - 1)).alias("_idx"),
         "start_idx",
         "frequency",
     )
-    first = covered.groupBy(*keys, position).agg(
+    first = covered.groupBy(*keys, "_idx").agg(
         F.min("start_idx").alias("sequence_id"), F.min_by("frequency", "start_idx").alias("frequency")
     )
-    return rows.join(first, [*keys, position], "left")
+    rows = numbered.drop("frequency", "pattern", "length").withColumnRenamed("start_idx", "_idx")
+    return rows.join(first, [*keys, "_idx"], "left").withColumnRenamed("_idx", "idx")
 
 
 def enrich(rows: DataFrame) -> DataFrame:

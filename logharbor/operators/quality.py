@@ -192,7 +192,10 @@ def with_violations(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def violations(df: DataFrame, rules: list[Rule], key: list[str]) -> DataFrame:
     """One row per violated rule and table row."""
-    return with_violations(df, rules).select(*key, F.inline(VIOLATIONS))
+    # the outer form keeps the optimizer from testing the size of the array first, which would
+    # evaluate every rule twice
+    rows = with_violations(df, rules).select(*key, F.inline_outer(VIOLATIONS))
+    return rows.where(F.col("rule_no").isNotNull())
 
 
 def summary(df: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -197,11 +197,9 @@ ATTACH_SQL = """attached as (
 
 
 def attached(spark, sf_dir):
-    from logharbor.functions.blocks import running_number
-
     rows = item_rows(spark, sf_dir)
-    numbered = running_number(rows, ["user_id"], ["ts", "event_id"], "idx").withColumn("idx", F.col("idx") - 1)
-    return patterns.attach_sequences(numbered, sequences(spark, sf_dir), ["user_id"], "idx")
+    numbered = patterns.numbered_sequences(rows, ["user_id"], ["ts", "event_id"], F.col("item"))
+    return patterns.attach_sequences(numbered, ["user_id"], repeats=3)
 
 
 @query(

@@ -201,7 +201,7 @@ def _(spark, sf_dir):
 
 def _redacted_sql(column: str) -> str:
     for kind, pattern in redaction.PII_PATTERNS.items():
-        column = f"regexp_replace({column}, '{pattern.removeprefix('(?U)')}', '{redaction.marker(kind)}', 'g')"
+        column = f"regexp_replace({column}, '{pattern}', '{redaction.marker(kind)}', 'g')"
     return column
 
 
@@ -239,8 +239,8 @@ def _(spark, sf_dir):
 @query(
     "pii_report",
     "\nunion all ".join(
-        f"""select '{kind}' as pattern, count(*) filter (regexp_matches(text, '{p.removeprefix('(?U)')}')) as rows_hit,
-  coalesce(cast(sum(len(regexp_extract_all(text, '{p.removeprefix('(?U)')}'))) as bigint), 0) as matches from documents"""
+        f"""select '{kind}' as pattern, count(*) filter (regexp_matches(text, '{p}')) as rows_hit,
+  coalesce(cast(sum(len(regexp_extract_all(text, '{p}'))) as bigint), 0) as matches from documents"""
         for kind, p in redaction.PII_PATTERNS.items()
     ),
 )
