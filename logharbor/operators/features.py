@@ -135,14 +135,16 @@ def merge_states(*states: DataFrame) -> DataFrame:
 
 def scale(df: DataFrame, columns: list[str], state: DataFrame) -> DataFrame:
     """Columns centred and divided by their deviation (1 where it is 0); the state is a subquery."""
-    entry = F.struct("feature", F.struct("mean", F.sqrt(F.col("squares") / F.col("n")).alias("dev")))
-    lookup = state.agg(F.map_from_entries(F.collect_list(entry)).alias("s")).scalar()
+    deviation = F.sqrt(F.col("squares") / F.col("n"))
+
+    def entry(c: str) -> Column:
+        of_c = F.col("feature") == c
+        mean, spread = F.max(F.when(of_c, F.col("mean"))), F.max(F.when(of_c & (deviation > 0), deviation))
+        return F.struct(mean.alias("mean"), F.coalesce(spread, F.lit(1.0)).alias("deviation")).alias(c)
+
+    lookup = state.agg(F.struct(*[entry(c) for c in columns]).alias("s")).scalar()
     staged = df.withColumn("_scaler", lookup)
-    scaled = {}
-    for c in columns:
-        s = F.try_element_at("_scaler", F.lit(c))
-        deviation = F.when(s["dev"] > 0, s["dev"]).otherwise(1.0)
-        scaled[c] = (F.col(c) - s["mean"]) / deviation
+    scaled = {c: (F.col(c) - F.col(f"_scaler.{c}.mean")) / F.col(f"_scaler.{c}.deviation") for c in columns}
     return staged.withColumns(scaled).drop("_scaler")
 
 

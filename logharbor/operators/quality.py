@@ -271,37 +271,49 @@ def sensitive_columns(df: DataFrame, key: list[str], columns: list[str]) -> Data
 def sensitive_values(df: DataFrame, key: list[str], json_text: str, max_depth: int = 8) -> DataFrame:
     """String values at any path of a JSON column that point at a secret.
 
-    Each level is one explode of the objects and lists of the level before it; strings leave the
-    walk as soon as they are met. Objects inside lists are entered, lists inside lists are not.
+    Only texts that mention a pattern (or hide letters in escapes) are parsed, once each. The walk
+    goes level by level inside the row; objects inside lists are entered, lists inside lists are not.
     """
-    walk = df.select(*key, F.lit("").alias("path"), parse_strict(F.col(json_text)).alias("v"))
-    level = walk.where(variant_type(F.col("v")) == "dict").withColumn("in_list", F.lit(False))
-    found = []
-    for _ in range(max_depth):
-        members = F.try_variant_get("v", "$", "map<string,variant>")
-        children = level.where(variant_type(F.col("v")) == "dict").select(
-            *key, F.col("path").alias("_up"), F.explode(members).alias("_name", "v")
-        )
-        children = children.select(
-            *key,
-            F.when(F.col("_up") == "", F.col("_name")).otherwise(F.concat("_up", F.lit("."), "_name")).alias("path"),
-            "v",
-        )
-        items = children.where(variant_type(F.col("v")) == "list").select(
-            *key,
-            F.col("path").alias("_up"),
-            F.posexplode(F.try_variant_get("v", "$", "array<variant>")).alias("_i", "v"),
-        )
-        items = items.select(
-            *key, F.concat("_up", F.lit("["), F.col("_i").cast("string"), F.lit("]")).alias("path"), "v"
+    text = F.col(json_text)
+    hinted = text.rlike("(?i)" + "|".join(SENSITIVE_PATTERNS)) | text.contains("\\u")
+    root = F.struct(F.lit("").alias("path"), parse_strict(text).alias("v"))
+    walk = df.where(hinted).select(*key, F.array(root).alias("_level0"))
+    levels = []
+    for depth in range(max_depth):
+        walk = walk.withColumn(f"_level{depth + 1}", _next_level(F.col(f"_level{depth}")))
+        levels.append(F.col(f"_level{depth + 1}"))
+    texts = F.filter(F.concat(*levels), lambda e: variant_type(e["v"]) == "string")
+    values = walk.select(*key, F.inline_outer(texts)).select(
+        *key, "path", F.try_variant_get("v", "$", "string").alias("value")
+    )
+    found = values.where(is_sensitive(F.col("value")))
+    return found.withColumn("warnings", sensitive_patterns(F.col("value")))
+
+
+def _next_level(level: Column) -> Column:
+    """Members of the objects of a level, and the elements of the lists among those members."""
+
+    def members(entry: Column) -> Column:
+        fields = F.map_entries(F.try_variant_get(entry["v"], "$", "map<string,variant>"))
+        prefix = F.when(entry["path"] == "", "").otherwise(F.concat(entry["path"], F.lit(".")))
+        return F.transform(
+            fields, lambda m: F.struct(F.concat(prefix, m["key"]).alias("path"), m["value"].alias("v"))
         )
-        level = children.unionByName(items)
-        texts = level.where(variant_type(F.col("v")) == "string").select(
-            *key, "path", F.try_variant_get("v", "$", "string").alias("value")
+
+    def elements(entry: Column) -> Column:
+        listed = F.try_variant_get(entry["v"], "$", "array<variant>")
+        return F.transform(
+            listed,
+            lambda v, i: F.struct(
+                F.concat(entry["path"], F.lit("["), i.cast("string"), F.lit("]")).alias("path"), v.alias("v")
+            ),
         )
-        found.append(texts.where(is_sensitive(F.col("value"))))
-        level = level.where(variant_type(F.col("v")) == "dict")
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out.withColumn("warnings", sensitive_patterns(F.col("value")))
+
+    objects = F.filter(level, lambda e: variant_type(e["v"]) == "dict")
+    children = F.flatten(F.transform(objects, lambda e: members(e)))
+
+    def with_elements(found: Column) -> Column:
+        lists = F.filter(found, lambda e: variant_type(e["v"]) == "list")
+        return F.concat(found, F.flatten(F.transform(lists, lambda e: elements(e))))
+
+    return F.get(F.transform(F.array(children), lambda c: with_elements(c)), F.lit(0))

@@ -173,13 +173,26 @@ def drop_report(tagged: DataFrame) -> DataFrame:
 
 
 def schema_report(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Columns found against columns declared: name, both types, and whether they agree."""
+    """Columns found against columns declared, whether they agree, and the nulls each one holds.
+
+    A declared column that is absent counts as null in every row.
+    """
     found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     declared = {f.name: f.spark_type.simpleString() for f in spec.fields}
-    rows = [
-        (name, found.get(name), declared.get(name), found.get(name) == declared.get(name))
-        for name in [*declared, *(n for n in found if n not in declared)]
-    ]
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, found_type string, declared_type string, conforms boolean"
+    names = [*declared, *(n for n in found if n not in declared)]
+    totals = df.agg(
+        F.count("*").alias("_rows"),
+        *[(F.count(f"`{n}`") if n in found else F.lit(0)).alias(f"_n{i}") for i, n in enumerate(names)],
     )
+    lines = [
+        F.struct(
+            F.lit(n).alias("column_name"),
+            F.lit(found.get(n)).cast("string").alias("found_type"),
+            F.lit(declared.get(n)).cast("string").alias("declared_type"),
+            F.lit(found.get(n) == declared.get(n)).alias("conforms"),
+            F.col("_rows").alias("rows"),
+            (F.col("_rows") - F.col(f"_n{i}")).alias("nulls"),
+        )
+        for i, n in enumerate(names)
+    ]
+    return totals.select(F.inline(F.array(*lines)))

@@ -160,11 +160,12 @@ from events group by 1, 2""",
 def _(spark, sf_dir):
     """Objects of three layouts made from the events: array, one value per line, single value.
 
-    One object holds at most the rows of one user in one hour, as a rotated log file would.
+    An object holds rows of one user and hour, 500 at most, as a rotated log file would.
     """
     events = table(spark, sf_dir, "events")
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
-    parts = events.groupBy("user_id", hour.alias("hour")).agg(F.collect_list("props").alias("parts"))
+    chunk = F.floor(F.col("event_id") / 500)
+    parts = events.groupBy("user_id", hour.alias("hour"), chunk).agg(F.collect_list("props").alias("parts"))
     content = (
         F.when(F.size("parts") == 1, F.get("parts", F.lit(0)))
         .when(F.col("user_id") % 2 == 0, F.concat(F.lit("["), F.array_join("parts", ", "), F.lit("]")))
@@ -375,7 +376,25 @@ def _(spark, sf_dir):
     return routing.unsupported_types(typed_rows(spark, sf_dir))
 
 
-@query("schema_conformance")
+_SCHEMA_COLUMNS = [
+    ("TimeGenerated", "timestamp", "timestamp"), ("SourceIP", "string", "string"), ("DestinationIP", "string", "string"),
+    ("Action", "string", "string"), ("Protocol", "string", "string"), ("SourcePort", "int", "int"),
+    ("DestinationPort", "int", "int"), ("BytesTransferred", "bigint", "bigint"), ("RuleName", "string", "string"),
+    ("event_id", "bigint", None),
+]
+
+
+@query(
+    "schema_conformance",
+    with_views(
+        "fw",
+        " union all ".join(
+            f"select '{name}' as column_name, '{found}' as found_type, {repr(declared) if declared else 'null'} as declared_type, "
+            f"{str(found == declared).lower()} as conforms, count(*) as rows, count(*) - count({name}) as nulls from fw"
+            for name, found, declared in _SCHEMA_COLUMNS
+        ),
+    ),
+)
 def _(spark, sf_dir):
     return routing.schema_report(view(spark, sf_dir, "fw"), FIREWALL)
 
