@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logharbor.functions.binding import bind
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4_PATTERN = rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z"
 _HEX_GROUP = r"^[0-9a-f]{1,4}\z"
@@ -17,11 +17,6 @@ def is_ipv4(text: Column) -> Column:
     return text.rlike(IPV4_PATTERN)
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` over a value that is computed once, whatever the number of its uses."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _hex_group(octets: Column, first: int) -> Column:
     value = octets[first].cast("int") * 256 + octets[first + 1].cast("int")
     return F.lower(F.hex(value))
@@ -36,7 +31,7 @@ def _plain_groups(address: Column) -> Column:
         head = F.substring(address, F.lit(1), F.length(address) - F.length(tail))
         return F.when(~tail.contains("."), address).when(is_ipv4(tail), F.concat(head, quad))
 
-    return _bind(F.substring_index(address, ":", -1), replace_quad)
+    return bind(F.substring_index(address, ":", -1), replace_quad)
 
 
 def _expand(body: Column) -> Column:
@@ -56,7 +51,7 @@ def _expand(body: Column) -> Column:
             shown = F.size(p["left"]) + F.size(p["right"])
             zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - shown, F.lit(0)))
             fits = F.when(F.size(halves) == 2, shown <= 7).otherwise(shown == 8)
-            whole = _bind(
+            whole = bind(
                 F.concat(p["left"], zeros, p["right"]),
                 lambda groups: F.when(
                     F.forall(groups, lambda g: g.rlike(_HEX_GROUP)),
@@ -65,9 +60,9 @@ def _expand(body: Column) -> Column:
             )
             return F.when(fits, whole)
 
-        return F.when((F.size(halves) <= 2) & ~stray, _bind(pieces, from_pieces))
+        return F.when((F.size(halves) <= 2) & ~stray, bind(pieces, from_pieces))
 
-    return _bind(F.split(body, "::"), from_halves)
+    return bind(F.split(body, "::"), from_halves)
 
 
 def _compress(full: Column) -> Column:
@@ -85,7 +80,7 @@ def _compress(full: Column) -> Column:
 
 def canonical_ipv6(text: Column) -> Column:
     address = F.lower(F.substring_index(text, "%", 1))
-    plain = _bind(address, lambda a: _bind(_bind(_plain_groups(a), _expand), _compress))
+    plain = bind(address, lambda a: bind(bind(_plain_groups(a), _expand), _compress))
     scoped = text.contains("%")
     good_scope = text.rlike(r"^[^%]*%[^%]+\z")
     scope = F.when(scoped, F.concat(F.lit("%"), F.substring_index(text, "%", -1))).otherwise("")

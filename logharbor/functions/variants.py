@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logharbor.functions.binding import bind
+
 #: JSON type names used by schemas and messages.
 TYPE_NAMES = {
     "string": "str",
@@ -16,11 +18,9 @@ TYPE_NAMES = {
 }
 
 
-def variant_type(value: Column) -> Column:
-    """string, integer, float, boolean, list, dict or null for the JSON value in a VARIANT."""
-    shape = F.schema_of_variant(value)
+def _type_of_shape(shape: Column) -> Column:
     return (
-        F.when(value.isNull() | (shape == "VOID"), F.lit(None).cast("string"))
+        F.when(shape.isNull() | (shape == "VOID"), F.lit(None).cast("string"))
         .when(shape == "STRING", "string")
         .when(shape == "BOOLEAN", "boolean")
         .when((shape == "BIGINT") | shape.rlike(r"^DECIMAL\(\d+,0\)$"), "integer")
@@ -30,6 +30,11 @@ def variant_type(value: Column) -> Column:
     )
 
 
+def variant_type(value: Column) -> Column:
+    """string, integer, float, boolean, list, dict or null for the JSON value in a VARIANT."""
+    return bind(F.schema_of_variant(value), _type_of_shape)
+
+
 def parse_strict(text: Column) -> Column:
     """VARIANT of a text that is exactly one JSON value, else null.
 

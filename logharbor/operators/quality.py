@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logharbor.functions.binding import bind
 from logharbor.functions.network import ip_version
 from logharbor.functions.timestamps import parse_timestamp
 from logharbor.functions.variants import TYPE_NAMES, parse_strict, variant_type
@@ -65,11 +66,15 @@ def _type(value, dtype, p):
         found = variant_type(value)
     else:
         found = F.when(value.isNotNull(), F.lit(_declared_type(dtype)))
-    # a boolean is also an integer
-    fits = (found == expected) | ((found == "boolean") & F.lit(expected == "integer"))
     names = F.create_map(*[F.lit(x) for pair in TYPE_NAMES.items() for x in pair])
-    shown = F.coalesce(F.try_element_at(names, found), found)
-    return F.when(found.isNotNull() & ~fits, F.concat(F.lit(f"Expected type {expected}, got "), shown))
+
+    def message(kind: Column) -> Column:
+        # a boolean is also an integer
+        fits = (kind == expected) | ((kind == "boolean") & F.lit(expected == "integer"))
+        shown = F.coalesce(F.try_element_at(names, kind), kind)
+        return F.when(kind.isNotNull() & ~fits, F.concat(F.lit(f"Expected type {expected}, got "), shown))
+
+    return bind(found, message)
 
 
 def _regex(value, dtype, p):
@@ -97,11 +102,15 @@ def _enum(value, dtype, p):
 
 
 def _ip(value, dtype, p):
-    version, wanted = ip_version(value), p.get("version")
-    wrong = F.when(version.isNull(), "Invalid IP address")
-    if wanted in (4, 6):
-        wrong = F.coalesce(wrong, F.when(version != wanted, f"Must be an IPv{wanted} address"))
-    return F.when(~_blank(value, dtype), wrong)
+    wanted = p.get("version")
+
+    def message(version: Column) -> Column:
+        wrong = F.when(version.isNull(), "Invalid IP address")
+        if wanted in (4, 6):
+            wrong = F.coalesce(wrong, F.when(version != wanted, f"Must be an IPv{wanted} address"))
+        return wrong
+
+    return F.when(~_blank(value, dtype), bind(ip_version(value), message))
 
 
 def _timestamp(value, dtype, p):

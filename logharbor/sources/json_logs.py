@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logharbor.functions.binding import bind
 from logharbor.functions.tagging import REASON, computed_once, first_reason
 from logharbor.functions.variants import deeper_than, parse_strict, variant_field, variant_type
 
@@ -45,10 +46,13 @@ def parse_json_lines(
         checks.append((variant_field(F.col("record"), name).isNull(), f"missing_field:{name}"))
     for name, expected in schema.types.items():
         value = variant_field(F.col("record"), name)
-        found = variant_type(value)
-        # a boolean is also an integer
-        same = (found == expected) | ((found == "boolean") & F.lit(expected == "integer"))
-        wrong = value.isNotNull() & ~F.coalesce(same, F.lit(False))
+
+        def misfits(found, expected=expected):
+            # a boolean is also an integer; null has no type
+            same = (found == expected) | ((found == "boolean") & F.lit(expected == "integer"))
+            return ~F.coalesce(same, F.lit(False))
+
+        wrong = value.isNotNull() & bind(variant_type(value), misfits)
         checks.append((wrong, f"wrong_type:{name}"))
 
     tagged = computed_once(parsed, *lines.columns, "record", first_reason(*checks).alias(REASON))

@@ -15,7 +15,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_its_oracle(spark, con, name):
-    spark.conf.set(MAX_GROUP_ROWS_KEY, "11")
+    spark.conf.set(MAX_GROUP_ROWS_KEY, "30")
     try:
         ok, note = compare(spark, con, queries()[name], oracle_sql().get(name), SF)
     finally:
