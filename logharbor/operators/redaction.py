@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,6 +117,45 @@ def redact_frame(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
+def _redact_member(name: str | None, value, compiled: dict[str, re.Pattern]):
+    """One JSON value; objects and lists are entered before the name is judged."""
+    if isinstance(value, dict):
+        return {k: _redact_member(k, v, compiled) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_redact_member(None, v, compiled) if isinstance(v, (str, dict)) else v for v in value]
+    if name is not None and is_pii_name(name):
+        return marker(name)
+    if isinstance(value, str):
+        for kind, pattern in compiled.items():
+            value = pattern.sub(marker(kind), value)
+    return value
+
+
+def redact_json(text: Column) -> Column:
+    """JSON text with its members redacted at any depth, for records without a declared structure.
+
+    The names are only known per value, so this runs in Python, in Arrow batches. Text that is not
+    JSON is redacted as plain text.
+    """
+
+    @F.pandas_udf("string")
+    def redacted(texts: pd.Series) -> pd.Series:
+        compiled = {kind: re.compile(p) for kind, p in PII_PATTERNS.items()}
+
+        def one(item):
+            if item is None:
+                return None
+            try:
+                value = json.loads(item)
+            except ValueError:
+                return _redact_member(None, item, compiled)
+            return json.dumps(_redact_member(None, value, compiled), ensure_ascii=False)
+
+        return texts.map(one)
+
+    return redacted(text)
+
+
 def pii_report(df: DataFrame, column: str, patterns: dict[str, str] | None = None) -> DataFrame:
     """Per pattern: rows with a match and number of matches; one pass, one row per pattern.
 

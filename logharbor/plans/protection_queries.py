@@ -236,6 +236,21 @@ def _(spark, sf_dir):
     return redaction.redact_frame(people)
 
 
+@query(
+    "pii_redact_json",
+    """
+select event_id, concat('{"user": {"email": "[REDACTED:EMAIL]", "seen": "from [REDACTED:IPV4]"}, "tokens": ["[REDACTED:EMAIL]", 5], "kind": "',
+  event_type, '", "props": ', props, '}') as record from events""",
+)
+def _(spark, sf_dir):
+    user = F.col("user_id").cast("string")
+    record = F.concat(
+        F.lit('{"user": {"email": "user'), user, F.lit('", "seen": "from 10.0.0.'), user, F.lit('"}, "tokens": ["u'),
+        user, F.lit('@example.com", 5], "kind": "'), F.col("event_type"), F.lit('", "props": '), F.col("props"), F.lit("}"),
+    )
+    return table(spark, sf_dir, "events").select("event_id", redaction.redact_json(record).alias("record"))
+
+
 @query(
     "pii_report",
     "\nunion all ".join(
