@@ -227,18 +227,23 @@ def running_number(df: DataFrame, keys: list[str], order: list[str], name: str)
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, spread: list[str]
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str,
+    spread: list[str],
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join against a side that is unique per key, with large left keys spread over tasks.
 
     Left keys over the row limit get a salt from the `spread` columns; only those keys are repeated
-    on the right. The list of large keys is bounded by (left rows / limit), hence broadcast.
+    on the right. The list of large keys is bounded by (left rows / limit), hence broadcast. `counts`
+    gives the left rows per key (`_rows`) where they are known already.
     """
     limit = max_group_rows(left.sparkSession)
+    counts = left.groupBy(*on).agg(F.count("*").alias("_rows")) if counts is None else counts
     large = (
-        left.groupBy(*on)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > limit)
+        counts.where(F.col("_rows") > limit)
         .select(*on, F.ceil(F.col("_rows") / F.lit(float(limit))).cast("int").alias("_salts"))
     )
     large = F.broadcast(large)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logharbor.functions.blocks import BLOCK, Blocks, running_number, salted_join
 from logharbor.operators.features import MISSING_PRIORITY
+from logharbor.session import cut_lineage
 
 # Window length, reporting limits, cluster size and the priority of urgent rows.
 WINDOW = 5
@@ -17,25 +18,39 @@ MIN_CLUSTER = 5
 URGENT = 0.8
 
 
+def _group_sizes(features: DataFrame, columns: list[str], ts: str, tie: str) -> DataFrame:
+    """Size and first row of every group of equal features, written once for the uses that follow."""
+    sizes = features.groupBy(*columns).agg(
+        F.count("*").alias("size"), F.min(ts).alias("_first"), F.min_by(tie, ts).alias("_tie")
+    )
+    return cut_lineage(sizes)
+
+
+def _number_clusters(sizes: DataFrame, columns: list[str], min_size: int) -> DataFrame:
+    numbered = running_number(sizes.where(F.col("size") >= min_size), [], ["_first", "_tie"], "_number")
+    return numbered.select(*columns, "size", (F.col("_number") - 1).alias("cluster"))
+
+
 def cluster_table(features: DataFrame, columns: list[str], ts: str, tie: str, min_size: int = MIN_CLUSTER) -> DataFrame:
     """Clusters of integer-valued features with their size and label.
 
     Rows whose features differ are at least 1 apart, so density clustering with a radius below 1 is
     grouping by equality. Labels number the clusters by their first row.
     """
-    sizes = features.groupBy(*columns).agg(
-        F.count("*").alias("size"), F.min(ts).alias("_first"), F.min_by(tie, ts).alias("_tie")
-    )
-    numbered = running_number(sizes.where(F.col("size") >= min_size), [], ["_first", "_tie"], "_number")
-    return numbered.select(*columns, "size", (F.col("_number") - 1).alias("cluster"))
+    return _number_clusters(_group_sizes(features, columns, ts, tie), columns, min_size)
 
 
 def label_clusters(
     features: DataFrame, columns: list[str], ts: str, tie: str, min_size: int = MIN_CLUSTER
 ) -> DataFrame:
-    """Rows with their cluster label, -1 for noise; a very large cluster is spread over tasks."""
-    clusters = cluster_table(features, columns, ts, tie, min_size).drop("size")
-    joined = salted_join(features, clusters, columns, "left", [tie])
+    """Rows with their cluster label, -1 for noise; a very large cluster is spread over tasks.
+
+    The rows are read twice: once for the sizes of the groups, once for the join.
+    """
+    sizes = _group_sizes(features, columns, ts, tie)
+    clusters = _number_clusters(sizes, columns, min_size).drop("size")
+    counts = sizes.select(*columns, F.col("size").alias("_rows"))
+    joined = salted_join(features, clusters, columns, "left", [tie], counts)
     return joined.withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("bigint")))
 
 

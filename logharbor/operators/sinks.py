@@ -17,12 +17,28 @@ DLQ_KEYS = ["table_name", "error_category", "day", "batch_no"]
 
 
 def write_routed(
-    rows: DataFrame, path: str, spec, mode: str = "append", time: str = "TimeGenerated", fmt: str = "json"
+    rows: DataFrame,
+    path: str,
+    spec,
+    mode: str = "append",
+    time: str = "TimeGenerated",
+    fmt: str = "json",
+    rows_per_file: int | None = None,
+    rebalance: bool = False,
 ) -> None:
-    """Accepted rows as gzip files of at most `batch_size` rows, partitioned by table and day."""
+    """Accepted rows as gzip files partitioned by table and day.
+
+    `rows_per_file` bounds the files, e.g. to the batch size of a consumer that takes one file at a
+    time. `rebalance` spends a shuffle on evenly sized files: adaptive execution gathers small days and
+    splits large ones.
+    """
     out = rows.withColumns({"table_name": F.lit(spec.table_name), "day": F.to_date(time)})
-    writer = out.write.mode(mode).partitionBy("table_name", "day")
-    writer.option("compression", "gzip").option("maxRecordsPerFile", spec.batch_size).format(fmt).save(path)
+    if rebalance:
+        out = out.hint("rebalance", "day")
+    writer = out.write.mode(mode).partitionBy("table_name", "day").option("compression", "gzip")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.format(fmt).save(path)
 
 
 def with_batch_counts(counts: DataFrame, specs=None) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of one key that a single task may sort; larger keys are split (see functions.blocks).
 MAX_GROUP_ROWS_KEY = "spark.logharbor.maxGroupRows"
@@ -66,3 +66,12 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(work_dir(spark), "logharbor", purpose, uuid.uuid4().hex)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame as written to the shared checkpoint folder, so that later uses do not compute it again."""
+    folder = work_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

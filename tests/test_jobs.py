@@ -28,12 +28,18 @@ def routed(spark, n, day=0):
 
 
 def test_routed_files_are_gzip_partitioned_and_bounded(spark, tmp_path):
-    sinks.write_routed(routed(spark, 2500).coalesce(1), str(tmp_path), FIREWALL)
+    sinks.write_routed(routed(spark, 2500).coalesce(1), str(tmp_path), FIREWALL, rows_per_file=FIREWALL.batch_size)
     files = sorted(tmp_path.glob("table_name=Custom_Firewall_CL/day=2024-01-01/*.json.gz"))
     assert len(files) == 3
     assert spark.read.json(str(tmp_path)).count() == 2500
 
 
+def test_rebalanced_write_makes_one_file_per_small_day(spark, tmp_path):
+    rows = routed(spark, 50).unionByName(routed(spark, 50, 1)).repartition(8)
+    sinks.write_routed(rows, str(tmp_path), FIREWALL, rebalance=True)
+    assert len(list(tmp_path.glob("table_name=*/day=*/*.json.gz"))) == 2
+
+
 def test_expired_days_are_removed(spark, tmp_path):
     for day in (0, 40, 100):
         sinks.write_routed(routed(spark, 3, day), str(tmp_path), FIREWALL)
