@@ -50,3 +50,15 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch | None])
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     return run
+
+
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts hold about `limit` bytes; a longer text is a run of its own."""
+    begin = size = 0
+    for row, length in enumerate(batch.column(column)):
+        n = len(length.as_buffer()) if length.is_valid else 0
+        if size and size + n > limit:
+            yield batch.slice(begin, row - begin)
+            begin, size = row, 0
+        size += n
+    yield batch.slice(begin)
