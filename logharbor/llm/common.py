@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,28 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Ite
             begin, size = row, 0
         size += n
     yield batch.slice(begin)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables that hold all rows of each of their keys, from batches that come sorted by the key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key)
+        changes = pc.indices_nonzero(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)))
+        if held and keys[0] != held[-1].column(key)[-1]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(changes):
+            cut = changes[-1].as_py() + 1
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held, batch = [], batch.slice(cut)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def runs(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins, and the end."""
+    return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
