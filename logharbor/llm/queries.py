@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logharbor.llm import bpe, exact_dedup, minhash
+from logharbor.llm import bpe, exact_dedup, minhash, repeats
 from logharbor.llm.common import read_table, session
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Build:
 
 QUERIES: dict[str, Build] = {
     "op1_bpe": over("documents", bpe.digest_rows),
+    "op3_suffix_dedup": over("documents", repeats.digest_rows),
     "op6_exact_dedup": over("documents", exact_dedup.digest_rows),
     "op10_minhash_dedup": over("documents", minhash.component_rows),
 }
