@@ -13,15 +13,15 @@ import re
 import struct
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from logharbor.llm.common import by_batch, text_slices, whole_text
+from logharbor.llm.common import arrow_column, whole_text
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Words and token pairs whose answer a worker keeps; beyond that it starts over.
@@ -249,12 +249,6 @@ def loaded(spec: str) -> Bpe:
     return _LOADED[key]
 
 
-def with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in df.columns:
-        raise ValueError(f"the table already has a column {name}")
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
 def _shipped(df: DataFrame, tokenizer: str):
     """The tokenizer file, read on the driver and sent to the workers; it has a few MB whatever the input."""
     with open(tokenizer, encoding="utf-8") as file:
@@ -265,48 +259,41 @@ def encode(df: DataFrame, text_col: str = "text", out: str = "token_ids", tokeni
     """The table with the ids of each whole text in a new column; null and empty texts have no ids.
 
     Rows are encoded one by one, so repeated rows and ties do not matter; an empty table stays empty.
-    Other columns are passed on; a column named `out` is an error. Texts are normalised and split as
+    Other columns are passed on; one that is named `out` is replaced. Texts are normalised and split as
     the tokenizer file says, and special tokens written out in a text become their ids.
     """
     spec = _shipped(df, tokenizer)
 
-    def work(batch: pa.RecordBatch) -> pa.Table:
-        bpe, tables = loaded(spec.value), []
-        for part in text_slices(batch, text_col):
-            packed = [bpe.encode(text or "") for text in part.column(text_col).to_pylist()]
-            ends = pa.array([0, *map(len, packed)], pa.int64())
-            offsets = pc.cast(pc.divide(pc.cumulative_sum(ends), 4), pa.int32())
-            values = pa.Array.from_buffers(pa.int32(), sum(map(len, packed)) // 4, [None, pa.py_buffer(b"".join(packed))])
-            tables.append(pa.Table.from_batches([part]).append_column(out, pa.ListArray.from_arrays(offsets, values)))
-        return pa.concat_tables(tables)
+    def work(texts: pa.Array) -> pa.Array:
+        bpe = loaded(spec.value)
+        packed = [bpe.encode(text) for text in texts.to_pylist()]
+        offsets = np.cumsum([0, *map(len, packed)]) // 4
+        ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids)
 
-    return df.mapInArrow(by_batch(work), with_column(df, out, T.ArrayType(T.IntegerType())))
+    return df.withColumn(out, arrow_column(work, "array<int>")(whole_text(text_col)))
 
 
 def decode(df: DataFrame, ids_col: str = "token_ids", out: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:
     """The table with the text of each list of ids, special tokens included.
 
     The file names no decoder, so token texts are joined by single spaces. Ids outside the vocabulary
-    are left out; null and empty lists give an empty text.
+    are left out; null and empty lists give an empty text. A column named `out` is replaced.
     """
     spec = _shipped(df, tokenizer)
 
-    def work(batch: pa.RecordBatch) -> pa.Table:
-        lists = batch.column(ids_col)
-        lists = lists if not lists.null_count else pc.fill_null(lists, pa.scalar([], lists.type))
+    def work(lists: pa.Array) -> pa.Array:
         names = pa.array(vocabulary(spec.value))
-        ids, offsets = lists.flatten(), lists.offsets
-        offsets = pc.subtract(offsets, offsets[0])
-        known = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names))), False)
-        named = pc.take(names, pc.if_else(known, ids, None))
+        ids, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        named = pc.take(names, pc.if_else(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names))), ids, None))
+        offsets -= offsets[0]
         if named.null_count:
-            kept = pa.array([0]).cast(pa.int64()) if not len(named) else pc.cumulative_sum(pc.cast(named.is_valid(), pa.int64()))
-            offsets = pc.cast(pc.take(pa.concat_arrays([pa.array([0], pa.int64()), kept]), offsets), pa.int32())
+            offsets = np.concatenate([[0], np.cumsum(named.is_valid().to_numpy(zero_copy_only=False))])[offsets]
             named = named.drop_null()
-        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, named), " ")
-        return pa.Table.from_batches([batch]).append_column(out, texts)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), named), " ")
 
-    return df.mapInArrow(by_batch(work), with_column(df, out, T.StringType()))
+    lists = F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>"))
+    return df.withColumn(out, arrow_column(work, "string", 1 << 20)(lists))
 
 
 _NAMES: dict[str, list[str | None]] = {}

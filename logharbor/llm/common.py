@@ -54,15 +54,27 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch | None])
     return run
 
 
+def arrow_column(work: Callable[[pa.Array], pa.Array], kind: str, limit: int = 8 << 20) -> Callable[[Column], Column]:
+    """A function of one column, applied to about `limit` bytes of its values at a time."""
+
+    @F.arrow_udf(kind)
+    def apply(values: pa.Array) -> pa.Array:
+        batch = pa.record_batch({"value": values})
+        return pa.concat_arrays([work(part.column("value")) for part in text_slices(batch, "value", limit)])
+
+    return apply
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold about `limit` bytes; a longer text is a run of its own."""
-    begin = size = 0
-    for row, length in enumerate(batch.column(column)):
-        n = len(length.as_buffer()) if length.is_valid else 0
-        if size and size + n > limit:
+    values = batch.column(column)
+    sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    begin = total = 0
+    for row, size in enumerate(sizes.to_pylist()):
+        if total and total + (size or 0) > limit:
             yield batch.slice(begin, row - begin)
-            begin, size = row, 0
-        size += n
+            begin, total = row, 0
+        total += size or 0
     yield batch.slice(begin)
 
 
