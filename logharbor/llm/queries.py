@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logharbor.llm import bpe, exact_dedup, minhash, repeats, toxicity
+from logharbor.llm import bpe, exact_dedup, minhash, quality, repeats, toxicity
 from logharbor.llm.common import read_table, session
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Build:
 QUERIES: dict[str, Build] = {
     "op1_bpe": over("documents", bpe.digest_rows),
     "op3_suffix_dedup": over("documents", repeats.digest_rows),
+    "op5_quality": quality.op5_quality,
     "op6_exact_dedup": over("documents", exact_dedup.digest_rows),
     "op7_toxicity": toxicity.op7_toxicity,
     "op10_minhash_dedup": over("documents", minhash.component_rows),
