@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logharbor.llm import bpe, exact_dedup, minhash, pages, quality, repeats, toxicity
+from logharbor.llm import bpe, contamination, exact_dedup, minhash, pages, quality, repeats, toxicity
 from logharbor.llm.common import read_table, session
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +23,12 @@ QUERIES: dict[str, Build] = {
     "op5_quality": quality.op5_quality,
     "op6_exact_dedup": over("documents", exact_dedup.digest_rows),
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_decontaminate": contamination.op8_decontaminate,
     "op9_main_text": pages.op9_main_text,
     "op10_minhash_dedup": over("documents", minhash.component_rows),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op8_decontaminate": contamination.ORACLE,
 }
