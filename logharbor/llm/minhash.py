@@ -108,14 +108,20 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block whose signatures agree, from different components; given in the first band they share."""
+    """Links of a block across components, one for each probe and other component.
+
+    A pair is looked at in the first band that it shares, and if its signatures agree; it is a link by its full sets.
+    """
     for table in whole_groups(batches, "part"):
         table = table.combine_chunks()
         columns = {c: table.column(c).to_numpy() for c in ("part", "bucket", "node", "component", "n_shingles", "probe", "loose")}
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, MINIMA)
         bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, MINIMA // BAND)
+        rows, inverse = np.unique(columns["node"], return_index=True, return_inverse=True)[1:]
+        hashes, starts = shingle_sets(table.column("text").take(pa.array(rows)).combine_chunks(), WORDS)
+        sets = [hashes[starts[k] : starts[k + 1]] for k in range(len(rows))]
         edges = runs(columns["part"])
-        found = [np.zeros((0, 3), np.int64)]
+        found = [np.zeros((0, 2), np.int64)]
         for begin, end in zip(edges, edges[1:]):
             here = slice(begin, end)
             bucket, node, component, n, probe, loose = (columns[c][here] for c in list(columns)[1:])
@@ -129,17 +135,26 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.flatnonzero(ok)
                 if len(at):
                     same = codes[at] == bands[here][x]
-                    first = at[codes[at, same.argmax(1)] == bucket[x]]
-                    found.append(np.stack([np.full(len(first), node[x]), node[fixed][first], agree[first]], 1))
-        a, b, agree = np.concatenate(found).T
-        yield pa.record_batch({"a": a, "b": b, "agree": pa.array(agree, pa.int32())})
-
-
-def _across(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b, agree) that share a bucket and are not in one component yet.
+                    at = at[codes[at, same.argmax(1)] == bucket[x]]
+                if len(at):
+                    own = sets[inverse[begin + x]]
+                    others = [sets[k] for k in inverse[begin + fixed[at]]]
+                    size = np.array([len(o) for o in others])
+                    joined = np.concatenate(others)
+                    hit = own[np.minimum(np.searchsorted(own, joined), len(own) - 1)] == joined
+                    shared = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]]))
+                    at = fixed[at[100 * shared >= PERCENT * (size + len(own) - shared)]]
+                    at = at[np.unique(component[at], return_index=True)[1]]
+                    found.append(np.stack([np.full(len(at), node[x]), node[at]], 1))
+        a, b = np.concatenate(found).T
+        yield pa.record_batch({"a": a, "b": b})
+
+
+def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Links (a, b) of rows that share a bucket and are not in one component yet; enough to join their components.
 
     In each bucket the rows outside its most frequent component are compared with all others. Both sides
-    are cut into blocks, so no task holds a whole bucket; only pairs that pass leave a task.
+    are cut into blocks, so no task holds a whole bucket, and only links leave a task.
     """
     placed = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     counts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -157,8 +172,8 @@ def _across(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFra
     fixed = rows.withColumns({"probe": F.lit(False), "i": F.pmod(spread, "blocks").cast("int"), "j": F.explode(F.expr("sequence(0, probes - 1)"))})
     probe = rows.where("loose").withColumns({"probe": F.lit(True), "j": F.pmod(spread, "probes").cast("int"), "i": F.explode(F.expr("sequence(0, blocks - 1)"))})
     blocks = fixed.unionByName(probe).select("bucket", "node", "component", "probe", "loose", F.xxhash64("bucket", "i", "j").alias("part"))
-    blocks = blocks.join(classes.select("node", "n_shingles", "bands", "sketch"), "node")
-    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(_compare, "a long, b long, agree int")
+    blocks = blocks.join(classes.select("node", "n_shingles", "bands", "sketch"), "node").join(texts, "node")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(_compare, "a long, b long")
 
 
 def _matching(batch: pa.RecordBatch) -> pa.Table | None:
@@ -184,8 +199,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A class meets, in each band, the smallest class of its bucket; of these the one whose signature
     agrees best is confirmed on the full sets. Where a bucket then still holds several components, its
-    rows are compared across them, first with the best partner only, then with all that remain. So a
-    large group is joined by few links, and no pair that could join two components is left out.
+    rows are compared across them. So a large group is joined by few links, and no pair that could join
+    two components is left out.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("content"))
     signed = written(rows.mapInArrow(by_batch(_sign), _SIGNATURE), "minhash")
@@ -206,10 +221,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         stars = stars.join(classes.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
     stars = _best(stars.mapInArrow(by_batch(_agreement), "a long, b long, agree int"))
     links = written(_confirmed(stars, texts), "minhash")
-    for best_only in (True, False):
-        pairs = _across(members, classes, components(links))
-        pairs = _best(pairs) if best_only else pairs.select("a", "b")
-        links = written(links.unionByName(_confirmed(pairs, texts)), "minhash")
+    links = links.unionByName(_across(members, classes, texts, components(links)))
 
     placed = classes.select("digest", "id", "node").join(components(links), "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))

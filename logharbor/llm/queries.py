@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logharbor.llm import bpe, contamination, exact_dedup, lines, minhash, pages, quality, repeats, toxicity
+from logharbor.llm import bpe, chat, contamination, exact_dedup, lines, minhash, pages, quality, repeats, toxicity
 from logharbor.llm.common import read_table, session
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Build:
 
 QUERIES: dict[str, Build] = {
     "op1_bpe": over("documents", bpe.digest_rows),
+    "op2_chat_format": chat.op2_chat_format,
     "op3_suffix_dedup": over("documents", repeats.digest_rows),
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_quality": quality.op5_quality,
