@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from logharbor.llm.common import by_batch, runs, text_slices, whole_groups, whole_text, written
 from logharbor.llm.components import components
+from logharbor.llm.lines import row_key
 from logharbor.llm.shingles import WORDS, mixed, shingle_sets
 
 #: Minima of a signature and minima of a band. A pair at the threshold shares no band with a chance of 5e-6.
@@ -25,7 +26,7 @@ BLOCK = 1000
 
 _DRAW = np.random.default_rng(5).integers(0, 1 << 63, (2, MINIMA), dtype=np.uint64)
 _SCALE, _SHIFT = (_DRAW[0] << np.uint64(1)) | np.uint64(1), _DRAW[1]
-_SIGNATURE = "id long, n_shingles long, digest binary, bands array<long>, sketch binary"
+_SIGNATURE = "key binary, id long, n_shingles long, digest binary, bands array<long>, sketch binary"
 
 
 def signatures_of(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -62,6 +63,7 @@ def _sign(batch: pa.RecordBatch) -> pa.Table:
         at = np.full(len(sizes), -1)
         at[full] = np.arange(len(full))
         columns = {
+            "key": part.column("key"),
             "id": part.column("id"),
             "n_shingles": pa.array(sizes, pa.int64()),
             "digest": [_digest(hashes[i:j]) for i, j in zip(starts, starts[1:])],
@@ -189,13 +191,13 @@ def _best(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`id, n_shingles, component_id, kept` for every row; rows in one component are chained by links.
+    """`key, id, n_shingles, component_id, kept` for every row; rows in one component are chained by links.
 
     Two rows are linked when their sets of five-word shingles have a Jaccard similarity of at least 0.75.
     Null and empty texts have no set and no link; a shorter text is one shingle. Rows with equal sets
     are one class, so repeated rows and ties take part once. `component_id` is the smallest id of the
-    component; a null id counts as larger than any, and a row is kept if its id is the component's. An
-    empty table gives an empty result, and other columns are not read.
+    component; a null id counts as larger than any, and a row is kept if its id is the component's. `key`
+    names id and text. An empty table gives an empty result, and other columns are not read.
 
     A class meets, in each band, the smallest class of its bucket; of these the one whose signature
     agrees best is confirmed on the full sets. Where a bucket then still holds several components, its
@@ -203,6 +205,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     two components is left out.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("content"))
+    rows = rows.withColumn("key", row_key(F.col("id"), F.col("content")))
     signed = written(rows.mapInArrow(by_batch(_sign), _SIGNATURE), "minhash")
     classes = signed.where("n_shingles > 0").groupBy("digest").agg(
         F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]
@@ -227,11 +230,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("id").alias("component_id"))
     labels = placed.join(least, "component").select("digest", "component_id")
-    out = signed.select("id", "n_shingles", "digest").join(labels, "digest", "left")
+    out = signed.select("key", "id", "n_shingles", "digest").join(labels, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
-    out = out.select("id", "n_shingles", component.alias("component_id"))
+    out = out.select("key", "id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def component_rows(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).withColumnRenamed("id", "doc_id")
+    return near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
