@@ -230,9 +230,9 @@ def _candidates(hits: DataFrame, lines: DataFrame) -> DataFrame:
     return single.unionByName(met).distinct()
 
 
-def _row_key(text: Column) -> Column:
+def row_key(number: Column, text: Column) -> Column:
     """Names a row by its id and text; rows that agree in both are one document."""
-    return F.unhex(F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("-")), F.lit(":"), text)))
+    return F.unhex(F.md5(F.concat(F.coalesce(number.cast("string"), F.lit("-")), F.lit(":"), text)))
 
 
 def _rebuilt(batch: pa.RecordBatch) -> pa.Table:
@@ -266,7 +266,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blocks, from which only pairs leave whose byte counts allow so few edits.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("content"))
-    rows = rows.select("id", "content", _row_key(F.col("content")).alias("key"))
+    rows = rows.select("id", "content", row_key(F.col("id"), F.col("content")).alias("key"))
     lines = rows.mapInArrow(by_batch(_occurrences), "digest binary, node long, id long, n int, key binary")
     place = F.struct("id", "n", "key")
     kinds = lines.groupBy("digest", "node").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
@@ -280,8 +280,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     nodes = hits.select("node").unionByName(hits.where("lo = hi").select(F.col("lo").alias("node"))).distinct()
     wanted = kinds.join(nodes, "node").groupBy("place.key").agg(F.collect_list(F.struct("node", "place.n")).alias("wanted"))
-    texts = rows.join(wanted, "key").dropDuplicates(["key"]).select("content", "wanted")
-    texts = written(texts.mapInArrow(by_batch(_cut), "node long, line binary, size int, counts binary"), "lines")
+    texts = rows.join(wanted, "key").select("content", "wanted")
+    texts = texts.mapInArrow(by_batch(_cut), "node long, line binary, size int, counts binary")
+    texts = written(texts.dropDuplicates(["node", "line"]), "lines")
 
     pairs = _candidates(hits, texts)
     for side in "ab":

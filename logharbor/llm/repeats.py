@@ -8,14 +8,16 @@ are compared in suffix order, by their longest previous and next factors.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logharbor.llm.common import by_batch, runs, text_slices, whole_groups, whole_text, written
+from logharbor.llm.lines import row_key
 from logharbor.llm.shingles import mixed, powers, text_bytes
 from logharbor.llm.suffixes import factors
 
@@ -23,11 +25,15 @@ from logharbor.llm.suffixes import factors
 LENGTH = 400
 #: Bytes of an anchor.
 ANCHOR = 32
-#: Different segments of one anchor that one task compares; beyond it their windows are matched one by one.
+#: Different segments of one anchor that one task compares; a larger group is split.
 GROUP = 1000
+#: Window starts of a part when a group is split for the first, second and third time.
+WIDTHS = (64, 8, 1)
+#: Low bits of a packed minimum that hold its place; any Arrow batch has fewer bytes.
+PLACE = np.uint64(31)
 
 _VALUE = np.random.default_rng(17).integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_BASE = 0x9E3779B97F4A7C15
 _MARK = "struct<anchor: bigint, segment: bigint, lo: int, hi: int, n: int>"
 
 
@@ -50,24 +56,23 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(body: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of window starts with one anchor: text, anchor hash, first and last start (within all bytes).
+    """Runs of window starts with one anchor: text, anchor hash and place, first and last start (in all bytes).
 
     The anchor of a window is the leftmost of its ANCHOR-byte strings with the least hash. It depends on
     the window's bytes only, so equal windows have equal anchors at equal distances.
     """
     count = np.maximum(np.diff(starts) - length + 1, 0)
     if not count.any():
-        return (np.zeros(0, np.int64),) * 4
-    text = np.repeat(np.arange(len(count)), count)
-    first = np.concatenate([[0], np.cumsum(count)])[:-1]
-    window = np.arange(count.sum()) - np.repeat(first - starts[:-1], count)
-    hashes = window_hashes(body, ANCHOR, _BASES[0])
-    bits = np.uint64(max(len(hashes), 2).bit_length())
-    packed = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
+        return (np.zeros(0, np.int64),) * 5
+    hashes = window_hashes(body, ANCHOR, _BASE)
+    packed = (hashes >> PLACE << PLACE) | np.arange(len(hashes), dtype=np.uint64)
     least = sliding_minimum(packed, length - ANCHOR + 1)
-    anchor = (least[window] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    text = np.repeat(np.arange(len(count)), count)
+    window = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - starts[:-1], count)
+    anchor = (least[window] & ((np.uint64(1) << PLACE) - np.uint64(1))).astype(np.int64)
     begin = runs(anchor * len(count) + text)
-    return text[begin[:-1]], hashes[anchor[begin[:-1]]].view(np.int64), window[begin[:-1]], window[begin[1:] - 1]
+    first = begin[:-1]
+    return text[first], hashes[anchor[first]].view(np.int64), anchor[first], window[first], window[begin[1:] - 1]
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -83,9 +88,9 @@ def merged(spans: np.ndarray) -> np.ndarray:
 def _mark(keep_first: bool, length: int):
     def work(batch: pa.RecordBatch) -> pa.Table:
         tables = []
-        for part in text_slices(batch, "content", 4 << 20):
+        for part in text_slices(batch, "content", 2 << 20):
             body, starts = text_bytes(part.column("content"))
-            text, anchor, lo, hi = segments(body, starts, length)
+            text, anchor, _, lo, hi = segments(body, starts, length)
             view = memoryview(body) if len(body) else memoryview(b"")
             digest = np.fromiter((xxhash.xxh3_64_intdigest(view[a : b + length]) for a, b in zip(lo, hi)), np.uint64, len(lo))
             digest = digest.view(np.int64)
@@ -126,7 +131,7 @@ def span_lists(spans: list[np.ndarray]) -> pa.ListArray:
 
 
 def _cut(length: int):
-    """The segments that are asked for, with their bytes; those of crowded anchors as hashes of their windows."""
+    """The segments that are asked for, with their bytes."""
 
     def work(batch: pa.RecordBatch) -> pa.Table | None:
         texts, out = batch.column("content").to_pylist(), []
@@ -160,7 +165,7 @@ def _factored(keep_first: bool, length: int):
             count = np.diff(starts) - length + 1
             owner = np.repeat(np.arange(len(count)), count)
             window = np.arange(count.sum()) + np.repeat(starts[:-1] - np.concatenate([[0], np.cumsum(count)])[:-1], count)
-            earlier, later = factors(body, window, length)
+            earlier, later = factors(body, window, length, length)
             repeated = (earlier if keep_first else np.maximum(earlier, later)) >= length
             if not keep_first:  # a segment that occurs more often has been settled by its number
                 repeated &= (table.column("n").to_numpy() == 1)[owner]
@@ -177,25 +182,58 @@ def _factored(keep_first: bool, length: int):
     return run
 
 
-def _windows(length: int):
-    """Two hashes of every window of a segment."""
+def _split(width: int, length: int):
+    """Parts of segments whose windows begin at most `width` places apart, counted from the anchor.
+
+    All windows of such a part hold the bytes from its last start to `length` after its first one. So equal
+    windows are in parts with equal such cores, and the core is the new anchor.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.Table:
         body, starts = text_bytes(batch.column("data"))
-        count = np.diff(starts) - length + 1
-        owner = np.repeat(np.arange(len(count)), count)
-        step = np.arange(count.sum()) - np.repeat(np.concatenate([[0], np.cumsum(count)])[:-1], count)
-        window = step + starts[:-1][owner]
-        rows = pa.array(owner)
-        out = {c: batch.column(c).take(rows) for c in ("id", "key", "n")}
-        out["lo"] = pa.array((batch.column("lo").to_numpy()[owner] + step).astype(np.int32))
-        for name, base in zip(("one", "two"), _BASES):
-            out[name] = pa.array(window_hashes(body, length, base)[window].view(np.int64))
-        return pa.table(out)
+        view = memoryview(body)
+        row, _, anchor, lo, hi = segments(body, starts, length)
+        out = {c: [] for c in ("row", "anchor", "segment", "lo", "hi", "data")}
+        for k, place, first, last in zip(row.tolist(), anchor.tolist(), lo.tolist(), hi.tolist()):
+            shift = batch.column("lo")[k].as_py() - int(starts[k])
+            while first <= last:
+                part = (place - first) // width
+                end = min(last, place - part * width)
+                core = view[place - part * width : place - (part + 1) * width + 1 + length]
+                data = view[first : end + length]
+                values = (k, xxhash.xxh3_64_intdigest(core, part), xxhash.xxh3_64_intdigest(data), first + shift, end + shift, bytes(data))
+                for c, value in zip(out, values):
+                    out[c].append(value)
+                first = end + 1
+        rows = pa.array(out.pop("row"), pa.int64())
+        kept = {c: batch.column(c).take(rows) for c in ("id", "key", "n")}
+        hashes = {c: pa.array(np.array(out[c], np.uint64).view(np.int64)) for c in ("anchor", "segment")}
+        return pa.table(kept | hashes | {"lo": pa.array(out["lo"], pa.int32()), "hi": pa.array(out["hi"], pa.int32()), "data": pa.array(out["data"], pa.binary())})
 
     return work
 
 
+def _settled(pieces: DataFrame, first: bool, length: int, group: int) -> Iterator[DataFrame]:
+    """Spans of repeated windows among pieces of the same anchor; crowded groups are split by their cores."""
+    for width in [w for w in WIDTHS if w == 1 or w <= length - ANCHOR]:
+        calm = pieces.where("not crowded").repartition("anchor").sortWithinPartitions("anchor", "id", "lo", "key")
+        yield calm.mapInArrow(_factored(first, length), "key binary, lo int, hi int")
+        crowded = pieces.where("crowded")
+        if crowded.isEmpty():
+            return
+        parts = crowded.mapInArrow(
+            by_batch(_split(width, length)), "id long, key binary, n long, anchor long, segment long, lo int, hi int, data binary"
+        )
+        kinds = parts.groupBy("anchor", "segment").agg(F.sum("n").alias("n"), F.min(F.struct("id", "lo", "key")).alias("place"))
+        parts = written(parts.drop("n").join(kinds, ["anchor", "segment"]), "repeats")
+        leads = F.struct("key", "lo").eqNullSafe(F.struct("place.key", "place.lo"))
+        again = parts.where((F.col("n") > 1) & ~leads) if first else parts.where("n > 1")
+        yield again.select("key", "lo", (F.col("hi") + length).alias("hi"))
+        kept = parts.where(leads)
+        crowd = kept.groupBy("anchor").agg((F.count(F.lit(1)) > group).alias("crowded"))
+        pieces = written(kept.join(crowd, "anchor"), "repeats")
+
+
 def _removed(batch: pa.RecordBatch) -> pa.Table:
     """Maximal runs of the spans of each text, and the bytes outside them."""
     lists, kept, sizes = [], [], []
@@ -210,11 +248,6 @@ def _removed(batch: pa.RecordBatch) -> pa.Table:
     return pa.table(out | {"kept": pa.array(kept, pa.binary())})
 
 
-def _row_key(text: Column) -> Column:
-    """Names a row by its id and text; rows that agree in both have the same spans."""
-    return F.unhex(F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("-")), F.lit(":"), text)))
-
-
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: str = "none", group: int = GROUP
 ) -> DataFrame:
@@ -228,12 +261,12 @@ def repeated_passages(
     not read.
 
     Per anchor only one copy of each different segment is compared, so copies of any number do not meet
-    in one task. An anchor with more than `group` different segments is crowded: its windows are hashed
-    (128 bits) and counted instead, which gives the same answer.
+    in one task. An anchor with more than `group` different segments is split: into parts of 64, then 8,
+    then single window starts, whose common bytes are the new anchor, until no group is crowded.
     """
     first = keep == "first"
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("content"))
-    rows = rows.select("id", "content", _row_key(F.col("content")).alias("key"))
+    rows = rows.select("id", "content", row_key(F.col("id"), F.col("content")).alias("key"))
     signed = rows.mapInArrow(
         by_batch(_mark(first, length)),
         f"id long, key binary, marks array<{_MARK}>, spans array<struct<lo: int, hi: int>>",
@@ -260,22 +293,16 @@ def repeated_passages(
         "place.key", F.struct("anchor", "place.lo", "place.hi", "n", "crowded").alias("mark")
     )
     wanted = wanted.groupBy("key").agg(F.collect_list("mark").alias("wanted"))
-    pieces = rows.join(wanted, "key").dropDuplicates(["key"]).select("id", "content", "key", "wanted")
+    pieces = rows.join(wanted, "key").select("id", "content", "key", "wanted")
     pieces = pieces.mapInArrow(
         by_batch(_cut(length)), "id long, key binary, anchor long, lo int, hi int, n long, crowded boolean, data binary"
     )
-    pieces = written(pieces, "repeats")
-    calm = pieces.where("not crowded").repartition("anchor").sortWithinPartitions("anchor", "id", "lo", "key")
-    calm = calm.mapInArrow(_factored(first, length), "key binary, lo int, hi int")
-    windows = pieces.where("crowded").mapInArrow(by_batch(_windows(length)), "id long, key binary, n long, lo int, one long, two long")
-    seen = windows.groupBy("one", "two").agg(F.sum("n").alias("all"), F.min(F.struct("id", "lo", "key")).alias("place")).where("all > 1")
-    busy = windows.join(seen, ["one", "two"])
-    if first:
-        busy = busy.where(~F.struct("key", "lo").eqNullSafe(F.struct("place.key", "place.lo")))
-    busy = busy.select("key", "lo", (F.col("lo") + length).alias("hi"))
+    if first:  # rows that repeat id and text are one place
+        pieces = pieces.dropDuplicates(["anchor", "key", "lo"])
+    settled = _settled(written(pieces, "repeats"), first, length, group)
 
     local = signed.select("key", F.expr("inline(spans)"))
-    spans = whole.unionByName(calm).unionByName(busy).unionByName(local)
+    spans = reduce(DataFrame.unionByName, settled, whole.unionByName(local))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     out = rows.join(spans, "key", "left").select("id", "content", "spans")
     return out.mapInArrow(by_batch(_removed), "id long, n_bytes long, spans array<struct<lo: int, hi: int>>, kept binary")

@@ -19,11 +19,21 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+#: Powers that a worker keeps for each base; longer lists are made anew.
+_KEPT = 1 << 22
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    if n > len(_POWERS.get(base, ())):
+        out = np.full(max(n, min(2 * n, _KEPT)), base, np.uint64)
+        out[:1] = 1
+        out = np.multiply.accumulate(out)
+        if n > _KEPT:
+            return out
+        _POWERS[base] = out
+    return _POWERS[base][:n]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -6,14 +6,19 @@ import numpy as np
 
 
 def _ranked(keys: np.ndarray) -> np.ndarray:
-    return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
+    order = np.argsort(keys)
+    fresh = np.zeros(len(keys), np.uint64)
+    fresh[1:] = keys[order[1:]] != keys[order[:-1]]
+    out = np.empty(len(keys), np.uint64)
+    out[order] = np.cumsum(fresh)
+    return out
 
 
 def prefix_ranks(data: np.ndarray, depth: int) -> dict[int, np.ndarray]:
-    """By length 8, 16, 32 .. up to `depth`: the rank of the substring of that length at each position.
+    """By length 8, 24, 72 .. up to `depth`: the rank of the substring of that length at each position.
 
-    Prefix doubling: a rank of twice the length comes from the ranks of both halves. Past the end a
-    substring continues with zero bytes, so only substrings inside the data may be compared.
+    A rank of three times the length (twice, for data over 2 MB) comes from the ranks of its parts. Past
+    the end a substring continues with zero bytes, so only substrings inside the data may be compared.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
@@ -21,12 +26,14 @@ def prefix_ranks(data: np.ndarray, depth: int) -> dict[int, np.ndarray]:
     for k in range(8):
         first = (first << np.uint64(8)) | padded[k : k + n]
     ranks, length = {8: _ranked(first)}, 8
-    while length * 2 <= depth:
-        half = ranks[length]
-        second = np.zeros(n, np.uint64)
-        second[: max(n - length, 0)] = half[length:] + np.uint64(1)
-        ranks[length * 2] = _ranked(half * np.uint64(n + 1) + second)
-        length *= 2
+    parts, bits = (3, 21) if n < (1 << 21) - 1 else (2, 32)
+    while length * parts <= depth:
+        key = np.zeros(n, np.uint64)
+        for k in range(parts):
+            key <<= np.uint64(bits)
+            key[: max(n - k * length, 0)] += ranks[length][k * length :] + np.uint64(1)
+        ranks[length * parts] = _ranked(key)
+        length *= parts
     return ranks
 
 
@@ -54,42 +61,47 @@ def nearest_smaller(values: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray,
 
     All places jump at once: a place whose candidate is too large takes over the candidate's candidate.
     """
-    n = len(values)
-    at = np.arange(n) - 1
-    least = shared.copy()
+    at, least = np.arange(len(values)) - 1, shared.copy()
+    jumps = np.arange(len(values))
     while True:
-        open_ = np.flatnonzero((at >= 0) & (values[np.maximum(at, 0)] > values))
-        if not len(open_):
+        jumps = jumps[(at[jumps] >= 0) & (values[np.maximum(at[jumps], 0)] > values[jumps])]
+        if not len(jumps):
             least[at < 0] = 0
             return at, least
-        via = at[open_]
-        least[open_] = np.minimum(least[open_], least[via])
-        at[open_] = at[via]
+        via = at[jumps]
+        least[jumps], at[jumps] = np.minimum(least[jumps], least[via]), at[via]
 
 
-def factors(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Longest previous and longest next factor of each start, at most `depth`.
+def factors(data: np.ndarray, starts: np.ndarray, depth: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factor of each start, at most `depth`; lengths below `least` are zero.
 
     The first is the longest prefix of the suffix that also starts at an earlier of the `starts`, the
     second at a later one; both may overlap it. `starts` ascends, and `depth` bytes follow each of them.
     In suffix order the earlier start that shares most is the nearest one to the left or to the right
     with a smaller position; the later one has a larger position.
     """
+    found = np.zeros((2, len(starts)), np.int64)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return found[0], found[1]
     ranks = prefix_ranks(data, depth)
     top = max(ranks)
-    rest = starts + max(depth - top, 0)
-    order = np.lexsort((starts, ranks[top][rest], ranks[top][starts]) if depth <= 2 * top else (starts, ranks[top][starts]))
+    # ranks of substrings that cover `depth` bytes together, compared in turn: the suffix order
+    covers = [ranks[top][starts + at] for at in sorted({*range(0, depth - top, top), depth - top})]
+    order = np.lexsort((starts, *covers[::-1]))
     place = starts[order]
-    shared = np.zeros(len(place), np.int64)
-    shared[1:] = common_prefix(data, ranks, place[:-1], place[1:], depth)
-    mirrored = np.concatenate([[0], shared[1:][::-1]])
-    found = []
-    for sign in (1, -1):
+    if least >= depth:
+        same = np.logical_and.reduce([c[order[1:]] == c[order[:-1]] for c in covers])
+        after = np.where(same, depth, 0)
+    else:
+        after = common_prefix(data, ranks, place[:-1], place[1:], depth)
+    shared = np.zeros(len(place) + 1, np.int64)
+    shared[1:-1] = np.where(after >= least, after, 0)
+    # starts that share less than `least` with both neighbours share less with all
+    kept = np.flatnonzero((shared[1:] > 0) | (shared[:-1] > 0))
+    place, order, shared = place[kept], order[kept], shared[:-1][kept]
+    mirrored = np.concatenate([shared[1:], [0]])[::-1]
+    for k, sign in enumerate((1, -1)):
         left = nearest_smaller(sign * place, shared)[1]
         right = nearest_smaller(sign * place[::-1], mirrored)[1][::-1]
-        out = np.empty(len(place), np.int64)
-        out[order] = np.maximum(left, right)
-        found.append(out)
+        found[k, order] = np.maximum(left, right)
     return found[0], found[1]
