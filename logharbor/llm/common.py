@@ -14,6 +14,8 @@ from logharbor.session import prepare, scratch_dir
 
 #: Rows of one Arrow batch; texts are long, so batches are smaller than Spark's default.
 BATCH_ROWS = 1000
+#: Bytes of text that are worked on at a time, so that the arrays stay in the processor's cache.
+SLICE = 1 << 19
 
 
 def session(spark: SparkSession) -> SparkSession:

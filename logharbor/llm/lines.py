@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logharbor.llm.common import by_batch, read_table, runs, session, text_slices, whole_groups, whole_text, written
+from logharbor.llm.common import SLICE, by_batch, read_table, runs, session, text_slices, whole_groups, whole_text, written
 from logharbor.llm.shingles import mixed, powers, text_bytes
 
 #: Edits (insert, delete or replace a UTF-8 byte) up to which two lines count as one.
@@ -32,6 +32,8 @@ _VALUE = np.random.default_rng(41).integers(1, 1 << 63, 256, dtype=np.uint64)
 _CLASS = (np.random.default_rng(43).permutation(256) % CLASSES).astype(np.int64)
 _BASE = 0x9E3779B97F4A7C15
 _WHITE = b" \t\n\r\x0b\x0c"
+_SOLID = np.ones(256, bool)
+_SOLID[list(_WHITE)] = False
 
 
 def edit_distance(a: bytes, b: bytes, most: int) -> int:
@@ -81,12 +83,7 @@ def edit_distance(a: bytes, b: bytes, most: int) -> int:
 
 def cut_lines(body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Text, number, begin and end of every judged line; white space at its ends is left out."""
-    step = np.arange(len(body))
-    white = np.zeros(256, bool)
-    white[list(_WHITE)] = True
-    solid = ~white[body]
-    after = np.append(np.minimum.accumulate(np.where(solid, step, len(body))[::-1])[::-1], len(body))
-    before = np.append(-1, np.maximum.accumulate(np.where(solid, step, -1)))
+    solid = np.flatnonzero(_SOLID[body])
     breaks = np.flatnonzero(body == 10)
     begin = np.sort(np.concatenate([starts[:-1], breaks + 1]), kind="stable")
     text = np.searchsorted(starts, begin, side="right") - 1
@@ -96,7 +93,10 @@ def cut_lines(body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     end = np.append(breaks, len(body))[np.searchsorted(breaks, begin)]
     end = np.minimum(end, starts[text + 1])
     number = np.searchsorted(breaks, begin) - np.searchsorted(breaks, starts[text])
-    lo, hi = after[begin], before[end] + 1
+    first, last = np.searchsorted(solid, begin), np.searchsorted(solid, end)
+    some = last > first
+    lo, hi = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+    lo[some], hi[some] = solid[first[some]], solid[last[some] - 1] + 1
     judged = hi - lo >= LEAST_BYTES
     return text[judged], number[judged], lo[judged], hi[judged]
 
@@ -143,7 +143,7 @@ def _node(digests: list[bytes]) -> np.ndarray:
 
 def _occurrences(batch: pa.RecordBatch) -> pa.Table:
     tables = []
-    for part in text_slices(batch, "content"):
+    for part in text_slices(batch, "content", SLICE):
         body, starts = text_bytes(part.column("content"))
         text, number, lo, hi = cut_lines(body, starts)
         rows, digests = pa.array(text), _digests(body, lo, hi)
@@ -157,7 +157,7 @@ def _keys(index_only: bool):
 
     def work(batch: pa.RecordBatch) -> pa.Table:
         tables = []
-        for part in text_slices(batch, "content", 2 << 20):
+        for part in text_slices(batch, "content", SLICE):
             body, starts = text_bytes(part.column("content"))
             _, _, lo, hi = cut_lines(body, starts)
             node = _node(_digests(body, lo, hi))
@@ -267,7 +267,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("content"))
     rows = rows.select("id", "content", row_key(F.col("id"), F.col("content")).alias("key"))
-    lines = rows.mapInArrow(by_batch(_occurrences), "digest binary, node long, id long, n int, key binary")
+    lines = written(rows.mapInArrow(by_batch(_occurrences), "digest binary, node long, id long, n int, key binary"), "lines")
     place = F.struct("id", "n", "key")
     kinds = lines.groupBy("digest", "node").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
     kinds = written(kinds, "lines")

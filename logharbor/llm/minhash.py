@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.llm.common import by_batch, runs, text_slices, whole_groups, whole_text, written
+from logharbor.llm.common import SLICE, by_batch, runs, text_slices, whole_groups, whole_text, written
 from logharbor.llm.components import components
 from logharbor.llm.lines import row_key
 from logharbor.llm.shingles import WORDS, mixed, shingle_sets
@@ -53,7 +53,7 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 def _sign(batch: pa.RecordBatch) -> pa.Table:
     tables = []
-    for part in text_slices(batch, "content", 2 << 20):
+    for part in text_slices(batch, "content", SLICE):
         hashes, starts = shingle_sets(part.column("content"), WORDS)
         sizes = np.diff(starts)
         full = np.flatnonzero(sizes)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.llm.common import by_batch, runs, text_slices, whole_groups, whole_text, written
+from logharbor.llm.common import SLICE, by_batch, runs, text_slices, whole_groups, whole_text, written
 from logharbor.llm.lines import row_key
 from logharbor.llm.shingles import mixed, powers, text_bytes
 from logharbor.llm.suffixes import factors
@@ -88,7 +88,7 @@ def merged(spans: np.ndarray) -> np.ndarray:
 def _mark(keep_first: bool, length: int):
     def work(batch: pa.RecordBatch) -> pa.Table:
         tables = []
-        for part in text_slices(batch, "content", 2 << 20):
+        for part in text_slices(batch, "content", SLICE):
             body, starts = text_bytes(part.column("content"))
             text, anchor, _, lo, hi = segments(body, starts, length)
             view = memoryview(body) if len(body) else memoryview(b"")
