@@ -1,10 +1,11 @@
 """Ordered work per key when one key may hold a large share of all rows.
 
-A window over (key, time) sorts every row of a key in one task. Here a key with more rows than
-the row limit is cut into time blocks, the window runs per (key, block), and what a block needs from
-its neighbours travels in a small table with one row per block of a large key. That table and the
-list of large keys have at most (all rows / row limit) entries plus one per large key, so both are
-broadcast; the data itself is shuffled once. Keys below the limit take the plain window.
+A window over (key, time) sorts every row of a key in one task. Here every key is cut into time buckets
+of one width, the window runs per (key, bucket), and what a bucket needs from earlier or later ones
+travels in a table with one row per bucket: each bucket is summed up, a window over the buckets of a
+key turns the summaries into what is carried, and an equi join hands it to the rows. There is no
+counting pass and no other plan for large keys. Rows of one key within one bucket are not cut apart, so
+the width (`spark.logharbor.bucketSeconds`) is chosen for the busiest key.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logharbor.session import max_group_rows
+from logharbor.session import bucket_seconds, max_group_rows
 
+#: Names a bucket: the key columns and the bucket's number. A struct compares null keys as equal.
+AT = "_at"
 BLOCK = "_block"
-QUANTILES = 256
+NO_TIME = -(1 << 62)
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:
@@ -26,204 +29,75 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     return condition
 
 
-def _micros(ts: str | Column) -> Column:
-    return F.unix_micros(ts)
-
-
-def large_keys(df: DataFrame, keys: list[str], ts: str, min_width: float = 0.0) -> DataFrame:
-    """Keys over the row limit, each with `_cut`: how its time is divided into blocks.
-
-    Without `min_width` the edges are quantiles of the key's times, so that bursts are cut as finely
-    as their rows demand; past 256 quantiles each is divided evenly. With it, all blocks of a key have
-    one width of at least that many seconds.
-    """
-    limit = max_group_rows(df.sparkSession)
-    counts = df.groupBy(*keys).agg(
-        F.count("*").alias("_rows"), F.min(ts).alias("_start"), F.max(ts).alias("_end")
-    )
-    counts = counts.where(F.col("_rows") > limit)
-    parts = F.ceil(F.col("_rows") / F.lit(float(limit))).cast("int")
-    start, end = _micros("_start"), _micros("_end")
-    if min_width:
-        even = F.greatest((end - start) / parts, F.lit(min_width * 1e6))
-        cut = F.struct(start.alias("start"), even.alias("width"))
-        return counts.select(*keys, cut.alias("_cut"))
-
-    sizes = counts.select(*keys, parts.alias("_parts"), start.alias("_first"), end.alias("_last"))
-    if keys:
-        small = F.broadcast(sizes.select(*keys, "_parts", "_first", "_last"))
-        joined = df.alias("d").join(small.alias("c"), same_key("d", "c", keys), "inner")
-        rows = joined.select(*[f"d.{k}" for k in keys], "_parts", "_first", "_last", _micros(f"d.{ts}").alias("_us"))
-        grouped = rows.groupBy(*keys, "_parts", "_first", "_last")
-    else:
-        size = sizes.select(F.struct("_parts", "_first", "_last")).scalar()
-        rows = df.select(_micros(ts).alias("_us")).withColumn("_size", size).where(F.col("_size").isNotNull())
-        grouped = rows.select("_us", "_size.*").groupBy("_parts", "_first", "_last")
-    fractions = [i / QUANTILES for i in range(1, QUANTILES)]
-    quantiles = grouped.agg(F.percentile_approx("_us", fractions, 10_000).alias("_q"))
-    # as many of the quantiles as the key needs, evenly chosen
-    used = F.least(F.col("_parts"), F.lit(QUANTILES))
-    chosen = F.transform(
-        F.sequence(F.lit(1), used - 1), lambda j: F.element_at("_q", F.floor(j * QUANTILES / used).cast("int"))
-    )
-    cut = F.struct(
-        F.concat(F.array("_first"), chosen, F.array(F.col("_last") + 1)).alias("edges"),
-        F.ceil(F.col("_parts") / F.lit(float(QUANTILES))).cast("bigint").alias("inner"),
-    )
-    return quantiles.select(*keys, cut.alias("_cut"))
-
-
-def block_number(ts: Column, even: bool) -> Column:
-    """Block of a time for a row that carries `_cut`; null for a small key. Grows with time."""
-    us = _micros(ts)
-    if even:
-        return F.floor((us - F.col("_cut.start")) / F.col("_cut.width"))
-    edges, inner = F.col("_cut.edges"), F.col("_cut.inner")
-    # number of edges at or before the time; the last edge lies beyond every time
-    outer = F.size(F.filter(edges, lambda e: e <= us))
-    low, high = F.get(edges, outer - 1), F.get(edges, outer)
-    share = F.floor((us - low) / (high - low) * inner)
-    block = (outer - 1).cast("bigint") * inner + F.least(share, inner - 1)
-    return F.when(F.col("_cut").isNotNull(), block)
-
-
 class Blocks:
-    """A frame whose large keys are cut into blocks; `order` is a total order within a key."""
+    """A frame whose keys are cut into time buckets; `order` is a total order within a key, its time first."""
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], min_width: float = 0.0):
-        self.keys, self.order, self.even = list(keys), list(order), min_width > 0
-        self.large = large_keys(df, self.keys, order[0], min_width)
-        if self.keys:
-            self.large = F.broadcast(self.large)
-        self.df = self._blocked(df, "left")
-        self._source = df
+        self.keys, self.order = list(keys), list(order)
+        self.width = int(max(bucket_seconds(df.sparkSession), min_width) * 1_000_000)
+        self.df = df.withColumn(AT, self.place(self.number_of(F.col(order[0]))))
 
-    def _blocked(self, df: DataFrame, how: str) -> DataFrame:
-        if not self.keys:
-            return self._blocked_whole(df, how)
-        joined = df.alias("d").join(self.large.alias("h"), same_key("d", "h", self.keys), how)
-        return joined.select("d.*", block_number(F.col(f"d.{self.order[0]}"), self.even).alias(BLOCK))
+    def number_of(self, time: Column) -> Column:
+        """Number of the bucket of a time; rows without a time come first, in a bucket of their own."""
+        return F.coalesce(F.floor(F.unix_micros(time) / F.lit(self.width)).cast("bigint"), F.lit(NO_TIME))
 
-    def _blocked_whole(self, df: DataFrame, how: str) -> DataFrame:
-        """One order over the whole frame: the single cut is a scalar subquery."""
-        staged = df.withColumn("_cut", self.large.select("_cut").scalar())
-        out = staged.withColumn(BLOCK, block_number(F.col(self.order[0]), self.even)).drop("_cut")
-        return out.where(F.col(BLOCK).isNotNull()) if how == "inner" else out
+    def place(self, number: Column) -> Column:
+        return F.struct(*self.keys, number.alias(BLOCK))
 
     @property
     def window(self):
-        return Window.partitionBy(*self.keys, BLOCK).orderBy(*self.order)
+        return Window.partitionBy(AT).orderBy(*self.order)
 
     @property
     def running(self):
         return self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def _earlier(self):
-        return (
-            Window.partitionBy(*self.keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        )
-
-    def _attach(self, df: DataFrame, edges: DataFrame, names: list[str]) -> DataFrame:
-        small = F.broadcast(edges.select(*self.keys, BLOCK, *names))
-        joined = df.alias("d").join(small.alias("e"), same_key("d", "e", [*self.keys, BLOCK]), "left")
-        return joined.select("d.*", *[f"e.{n}" for n in names])
-
-    def number(self, name: str, df: DataFrame | None = None, within: list[str] = ()) -> DataFrame:
-        """Adds the 1-based position of each row within its key, or within (key, `within`).
+    def neighbours(self, begin: int, end: int):
+        """Buckets of the same key from `begin` to `end` places away."""
+        keys = [F.col(f"{AT}.{k}") for k in self.keys]
+        return Window.partitionBy(*keys).orderBy(f"{AT}.{BLOCK}").rowsBetween(begin, end)
 
-        A group inside a key is no larger than the key, so it is split by the same blocks; then `df`
-        is the blocked frame with the extra columns.
-        """
-        df = self.df if df is None else df
-        group = [*self.keys, *within]
-        window = Window.partitionBy(*group, BLOCK).orderBy(*self.order)
-        here = F.row_number().over(window).cast("bigint")
-        large = df.where(F.col(BLOCK).isNotNull())
-        counts = large.groupBy(*group, BLOCK).agg(F.count("*").alias("_n"))
-        earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        edges = counts.select(*group, BLOCK, F.sum("_n").over(earlier).alias("_before"))
-        if not within:
-            out = self._attach(df.withColumn(name, here), edges, ["_before"])
-            return out.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
-        # one row per block and inner group need not be small: join it, for the rows of large keys only
-        joined = large.withColumn(name, here).alias("d").join(
-            edges.alias("e"), same_key("d", "e", [*group, BLOCK]), "left"
-        )
-        joined = joined.select("d.*", "e._before")
-        joined = joined.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
-        return df.where(F.col(BLOCK).isNull()).withColumn(name, here).unionByName(joined)
+    @property
+    def earlier(self):
+        return self.neighbours(Window.unboundedPreceding, -1)
 
-    def carry_last(self, df: DataFrame, values: dict[str, Column]) -> DataFrame:
-        """Adds for each value its last non-null occurrence in the earlier blocks of the key.
-
-        `df` is the blocked frame or one derived from it; only rows of large keys are aggregated.
-        """
-        order = F.struct(*self.order)
-        edges = (
-            df.where(F.col(BLOCK).isNotNull())
-            .groupBy(*self.keys, BLOCK)
-            .agg(
-                *[
-                    F.max_by(v, F.when(v.isNotNull(), order)).alias(name)
-                    for name, v in values.items()
-                ]
-            )
-        )
-        edges = edges.select(
-            *self.keys,
-            BLOCK,
-            *[F.last(n, ignorenulls=True).over(self._earlier()).alias(n) for n in values],
-        )
-        return self._attach(df, edges, list(values))
+    def carried(self, df: DataFrame, summary: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
+        """Adds to every row the `carry` columns, windows over the summaries of its key's buckets."""
+        sums = df.groupBy(AT).agg(*[c.alias(name) for name, c in summary.items()])
+        edges = sums.select(AT, *[c.alias(name) for name, c in carry.items()])
+        return df.join(edges, AT)
 
     def previous(self, columns: dict[str, str]) -> DataFrame:
         """Adds the value each column had in the row before, null in the first row of a key."""
-        carried = self.carry_last(
-            self.df, {f"_c_{new}": F.struct(F.col(old).alias("v")) for new, old in columns.items()}
-        )
-        out = carried
+        order = F.struct(*self.order)
+        summary = {f"_l_{new}": F.max_by(F.struct(F.col(old).alias("v")), order) for new, old in columns.items()}
+        carry = {f"_c_{new}": F.last(f"_l_{new}").over(self.earlier) for new in columns}
+        out = self.carried(self.df, summary, carry)
         first = F.row_number().over(self.window) == 1
         for new, old in columns.items():
-            value = F.when(first, F.col(f"_c_{new}.v")).otherwise(F.lag(old).over(self.window))
-            out = out.withColumn(new, value)
-        return out.drop(*[f"_c_{new}" for new in columns])
-
-    def upcoming(self, element: Column, length: int, name: str, df: DataFrame | None = None) -> DataFrame:
-        """Adds the array of `element` (text) of this and the next rows of the key, up to `length`."""
-        head = self._blocked(self._source, "inner")
-        head = head.withColumn("_rn", F.row_number().over(self.window)).where(F.col("_rn") < length)
-        edges = head.groupBy(*self.keys, BLOCK).agg(
-            F.sort_array(F.collect_list(F.struct("_rn", element.alias("v")))).alias("_head")
-        )
-        following = Window.partitionBy(*self.keys).orderBy(BLOCK).rowsBetween(1, length - 1)
-        edges = edges.withColumn(
-            "_next", F.slice(F.flatten(F.collect_list("_head").over(following)), 1, length - 1)
-        )
-        df = self._attach(self.df if df is None else df, edges, ["_next"])
-        here = F.collect_list(element).over(self.window.rowsBetween(0, length - 1))
-        rest = F.coalesce(F.transform("_next", lambda s: s["v"]), F.array().cast("array<string>"))
-        df = df.withColumn("_here", here)
-        return df.withColumn(name, F.slice(F.concat("_here", rest), 1, length)).drop("_here", "_next")
+            out = out.withColumn(new, F.when(first, F.col(f"_c_{new}.v")).otherwise(F.lag(old).over(self.window)))
+        return out.drop(*carry)
 
     def with_lookback(self, df: DataFrame, window_seconds: float) -> DataFrame:
-        """Repeats rows near the end of a block in the block after it, marked by `_own` = false.
+        """Repeats rows near the end of a bucket in the bucket after it, marked by `_own` = false.
 
-        Needs blocks at least `window_seconds` wide, so a row is repeated at most once.
+        Needs buckets at least `window_seconds` wide, so a row is repeated at most once.
         """
-        joined = df.drop(BLOCK).alias("d").join(
-            self.large.alias("h"), same_key("d", "h", self.keys), "left"
-        )
-        ts = F.col(f"d.{self.order[0]}")
-        later = ts + F.make_dt_interval(secs=F.lit(float(window_seconds)))
-        homes = F.array_distinct(F.array(block_number(ts, True), block_number(later, True)))
-        return joined.select("d.*", F.posexplode(homes).alias("_copy", BLOCK)).select(
-            "*", (F.col("_copy") == 0).alias("_own")
-        ).drop("_copy")
+        time = F.col(self.order[0])
+        later = time + F.make_dt_interval(secs=F.lit(float(window_seconds)))
+        homes = F.array_distinct(F.array(self.number_of(time), self.number_of(later)))
+        out = df.drop(AT).select("*", F.posexplode(homes).alias("_copy", BLOCK))
+        return out.withColumns({"_own": F.col("_copy") == 0, AT: self.place(F.col(BLOCK))}).drop("_copy", BLOCK)
 
 
 def running_number(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Position of each row within its key in the given order, starting at 1."""
-    return Blocks(df, keys, order).number(name).drop(BLOCK)
+    blocks = Blocks(df, keys, order)
+    out = blocks.carried(
+        blocks.df, {"_n": F.count(F.lit(1))}, {"_before": F.coalesce(F.sum("_n").over(blocks.earlier), F.lit(0))}
+    )
+    number = (F.row_number().over(blocks.window) + F.col("_before")).cast("bigint")
+    return out.withColumn(name, number).drop("_before", AT)
 
 
 def salted_join(
@@ -237,8 +111,8 @@ def salted_join(
     """Equi join against a side that is unique per key, with large left keys spread over tasks.
 
     Left keys over the row limit get a salt from the `spread` columns; only those keys are repeated
-    on the right. The list of large keys is bounded by (left rows / limit), hence broadcast. `counts`
-    gives the left rows per key (`_rows`) where they are known already.
+    on the right. The list of large keys is bounded by (left rows / limit). `counts` gives the left rows
+    per key (`_rows`) where they are known already.
     """
     limit = max_group_rows(left.sparkSession)
     counts = left.groupBy(*on).agg(F.count("*").alias("_rows")) if counts is None else counts
@@ -246,7 +120,6 @@ def salted_join(
         counts.where(F.col("_rows") > limit)
         .select(*on, F.ceil(F.col("_rows") / F.lit(float(limit))).cast("int").alias("_salts"))
     )
-    large = F.broadcast(large)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread_left = (
         left.alias("d").join(large.alias("h"), same_key("d", "h", on), "left")

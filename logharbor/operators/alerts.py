@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.functions.blocks import Blocks
+from logharbor.functions.blocks import AT, Blocks
 from logharbor.functions.timestamps import bin_time, width_seconds
 from logharbor.specs import AlertCondition
 
@@ -55,15 +55,30 @@ def alert_episodes(judged: DataFrame, keys: list[str], tie: str) -> DataFrame:
 
     Input rows carry `alert`, `severity`, `duration` and `holds`; each (alert, keys) is one timeline.
     A run of true samples fires at its first sample at least `duration` seconds after its start, and
-    resolves at the next false sample. Only the start of the run needs the order, and it is carried
-    across the blocks of a large timeline; the episode itself is a grouped minimum.
+    resolves at the next false sample. Only the start of the run needs the order: a bucket hands on
+    whether the condition held at its end and where the last run began; the episode itself is a
+    grouped minimum.
     """
-    line = ["alert", *keys]
-    blocks = Blocks(judged, line, ["ts", tie])
-    df = blocks.previous({"_held": "holds"})
-    held = F.coalesce("_held", F.lit(False))
+    line, order = ["alert", *keys], ["ts", tie]
+    blocks = Blocks(judged, line, order)
+    inside = F.lag("holds").over(blocks.window)
+    df = blocks.df.withColumns({"_inside": inside, "_first": F.row_number().over(blocks.window) == 1})
+    began = F.col("holds") & ~F.col("_inside")
+    place = F.struct(*order)
+    summary = {
+        "_head": F.min_by(F.struct("ts", "holds"), place),
+        "_tail": F.max_by("holds", place),
+        "_began": F.max(F.when(began, F.col("ts"))),
+    }
+    before = F.coalesce(F.last("_tail").over(blocks.earlier), F.lit(False))
+    # where the last run of a bucket began: inside, or at its first sample if nothing held before that
+    opens = F.when(F.col("_head.holds") & ~F.col("_before"), F.col("_head.ts"))
+    sums = df.groupBy(AT).agg(*[c.alias(name) for name, c in summary.items()]).withColumn("_before", before)
+    sums = sums.withColumn("_opened", F.coalesce("_began", opens))
+    edges = sums.select(AT, "_before", F.last("_opened", ignorenulls=True).over(blocks.earlier).alias("_open_before"))
+    df = df.join(edges, AT)
+    held = F.when(F.col("_first"), F.col("_before")).otherwise(F.coalesce("_inside", F.lit(False)))
     opening = F.when(F.col("holds") & ~held, F.col("ts"))
-    df = blocks.carry_last(df, {"_open_before": opening})
     start = F.coalesce(F.last(opening, ignorenulls=True).over(blocks.running), F.col("_open_before"))
     df = df.withColumn("started_at", start).where(F.col("holds") | held)
     age = F.unix_micros("ts") - F.unix_micros("started_at")
@@ -79,6 +94,12 @@ def alert_episodes(judged: DataFrame, keys: list[str], tie: str) -> DataFrame:
     )
 
 
+def last_per_check(samples: DataFrame, keys: list[str], tie: str, check: str) -> DataFrame:
+    """The last sample of each series and interval, for jobs that look at a metric once per interval."""
+    newest = F.max_by(F.struct(*samples.columns), F.struct("ts", tie))
+    return samples.groupBy(*keys, F.window("ts", check).alias("_w")).agg(newest.alias("_s")).select("_s.*")
+
+
 def threshold_alerts(samples: DataFrame, conditions: list[AlertCondition], name: str = "name") -> DataFrame:
     """Every sample above its limit is an alert row."""
     judged = apply_conditions(samples, conditions, name)
@@ -185,13 +206,16 @@ def failure_streaks(
     A run opens at its first call that is at least the `min_failures`-th failure in a row and the
     `min_calls`-th call of its key.
     """
-    order = ["ts", tie]
-    blocks = Blocks(calls, [key], order)
+    blocks = Blocks(calls, [key], ["ts", tie])
+    df = blocks.df.withColumn("_nth", F.row_number().over(blocks.window))
+    good = F.when(F.col("failed") == 0, F.col("_nth"))
+    sums = df.groupBy(AT).agg(F.count(F.lit(1)).alias("_n"), F.max(good).alias("_good"))
+    sums = sums.withColumn("_calls", F.coalesce(F.sum("_n").over(blocks.earlier), F.lit(0)))
+    last_good = F.max(F.col("_calls") + F.col("_good")).over(blocks.earlier)
+    df = df.join(sums.select(AT, "_calls", last_good.alias("_good_before")), AT)
+    df = df.withColumn("_call", F.col("_nth") + F.col("_calls"))
     good = F.when(F.col("failed") == 0, F.col("_call"))
-    df = blocks.carry_last(blocks.number("_call"), {"_good_before": good})
-    since_good = F.coalesce(
-        F.last(good, ignorenulls=True).over(blocks.running), F.col("_good_before"), F.lit(0)
-    )
+    since_good = F.coalesce(F.max(good).over(blocks.running), F.col("_good_before"), F.lit(0))
     runs = df.withColumn("_after", since_good).where(F.col("failed") == 1)
     nth = F.col("_call") - F.col("_after")
     opens = (nth >= min_failures) & (F.col("_call") >= min_calls)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.functions.blocks import BLOCK, Blocks, running_number, salted_join
+from logharbor.functions.blocks import AT, Blocks, running_number, salted_join
 from logharbor.operators.features import MISSING_PRIORITY
 from logharbor.session import cut_lineage
 
@@ -20,10 +20,9 @@ URGENT = 0.8
 
 def _group_sizes(features: DataFrame, columns: list[str], ts: str, tie: str) -> DataFrame:
     """Size and first row of every group of equal features, written once for the uses that follow."""
-    sizes = features.groupBy(*columns).agg(
-        F.count("*").alias("size"), F.min(ts).alias("_first"), F.min_by(tie, ts).alias("_tie")
-    )
-    return cut_lineage(sizes)
+    sizes = features.groupBy(*columns).agg(F.count("*").alias("size"), F.min(F.struct(ts, tie)).alias("_at_first"))
+    place = F.col("_at_first")
+    return cut_lineage(sizes.select(*columns, "size", place[ts].alias("_first"), place[tie].alias("_tie")))
 
 
 def _number_clusters(sizes: DataFrame, columns: list[str], min_size: int) -> DataFrame:
@@ -54,11 +53,27 @@ def label_clusters(
     return joined.withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("bigint")))
 
 
-def _hashed(blocks: Blocks, element: Column, length: int, df: DataFrame | None = None) -> DataFrame:
-    windows = blocks.upcoming(element.cast("string"), length, "_window", df)
-    full = F.size("_window") == length
-    pattern = F.when(full, F.md5(F.array_join("_window", "\x1f")))
-    return windows.withColumn("pattern", pattern).drop("_window")
+def _sequenced(rows: DataFrame, keys: list[str], order: list[str], element: Column, length: int) -> DataFrame:
+    """Adds `start_idx`, the position in the key, and `pattern`; keeps the bucket column.
+
+    A bucket hands on its number of rows and its first `length` - 1 elements, which complete the windows
+    at the end of the buckets before it.
+    """
+    blocks = Blocks(rows, keys, order)
+    df = blocks.df.withColumns({"_nth": F.row_number().over(blocks.window), "_element": element.cast("string")})
+    head = F.when(F.col("_nth") < length, F.struct("_nth", F.col("_element").alias("v")))
+    sums = df.groupBy(AT).agg(F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list(head)).alias("_head"))
+    following = F.flatten(F.collect_list("_head").over(blocks.neighbours(1, length - 1)))
+    edges = sums.select(
+        AT,
+        F.coalesce(F.sum("_n").over(blocks.earlier), F.lit(0)).alias("_before"),
+        F.transform(F.slice(following, 1, length - 1), lambda h: h["v"]).alias("_next"),
+    )
+    here = F.collect_list("_element").over(blocks.window.rowsBetween(0, length - 1))
+    df = df.join(edges, AT).withColumn("_window", F.slice(F.concat(here, "_next"), 1, length))
+    pattern = F.when(F.size("_window") == length, F.md5(F.array_join("_window", "\x1f")))
+    start = (F.col("_nth") + F.col("_before") - 1).cast("bigint")
+    return df.withColumns({"start_idx": start, "pattern": pattern}).drop("_nth", "_element", "_before", "_next", "_window")
 
 
 def sequence_hashes(rows: DataFrame, keys: list[str], order: list[str], element: Column, length: int = WINDOW) -> DataFrame:
@@ -66,7 +81,7 @@ def sequence_hashes(rows: DataFrame, keys: list[str], order: list[str], element:
 
     Rows with fewer than `length` rows from there on have no pattern.
     """
-    return _hashed(Blocks(rows, keys, order), element, length).drop(BLOCK)
+    return _sequenced(rows, keys, order, element, length).drop(AT, "start_idx")
 
 
 def numbered_sequences(
@@ -74,14 +89,13 @@ def numbered_sequences(
 ) -> DataFrame:
     """Every row with its position in the key, its pattern and how often that has occurred so far.
 
-    Position and pattern share one shuffle by key; the running count adds one by (key, pattern).
+    The rows with their patterns are written once; they are numbered per (key, pattern) from there, in
+    the same buckets.
     """
-    blocks = Blocks(rows, keys, order)
-    placed = blocks.number("start_idx").withColumn("start_idx", F.col("start_idx") - 1)
-    hashed = _hashed(blocks, element, length, placed)
-    counted = blocks.number("_frequency", hashed, within=["pattern"])
+    hashed = cut_lineage(_sequenced(rows, keys, order, element, length).drop(AT))
+    counted = running_number(hashed, [*keys, "pattern"], order, "_frequency")
     frequency = F.when(F.col("pattern").isNotNull(), F.col("_frequency"))
-    return counted.withColumns({"frequency": frequency, "length": F.lit(length)}).drop("_frequency", BLOCK)
+    return counted.withColumns({"frequency": frequency, "length": F.lit(length)}).drop("_frequency")
 
 
 def repeat_sequences(
@@ -114,9 +128,11 @@ def frequent_patterns(hashed: DataFrame, n: int = TOP_PATTERNS, significant: int
 def attach_sequences(numbered: DataFrame, keys: list[str], repeats: int = REPEATS) -> DataFrame:
     """Rows of `numbered_sequences` with the first repeating sequence that covers each of them.
 
-    Adds `sequence_id` (its start) and its `frequency`. A sequence names the few positions it covers,
+    Adds `sequence_id` (its start) and its `frequency`. The rows are written once, since the sequences
+    are found in them and attached to them. A sequence names the few positions it covers,
     so the interval join is an equi join on (key, position), which is unique per row.
     """
+    numbered = cut_lineage(numbered)
     found = numbered.where(F.col("frequency") > repeats)
     covered = found.select(
         *keys,

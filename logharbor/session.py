@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of one key that a single task may sort; larger keys are split (see functions.blocks).
+#: Width of the time buckets that ordered work per key is cut into (see functions.blocks).
+BUCKET_SECONDS_KEY = "spark.logharbor.bucketSeconds"
+BUCKET_SECONDS_DEFAULT = 3600
+#: Rows of one join key that a single task may get; larger keys are spread (see functions.blocks).
 MAX_GROUP_ROWS_KEY = "spark.logharbor.maxGroupRows"
 MAX_GROUP_ROWS_DEFAULT = 5_000_000
 
@@ -35,11 +40,37 @@ def build_session(app: str = "logharbor", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings that results depend on to a session made elsewhere."""
+    """Apply the runtime settings that results depend on to a session made elsewhere, and ship the package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    A driver that was started elsewhere has it on its own path only.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = pathlib.Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="logharbor-package-")  # the driver serves it to the executors from here
+    archive = os.path.join(folder, f"{root.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
+def bucket_seconds(spark: SparkSession) -> float:
+    return float(spark.conf.get(BUCKET_SECONDS_KEY, str(BUCKET_SECONDS_DEFAULT)))
+
+
 def max_group_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(MAX_GROUP_ROWS_KEY, str(MAX_GROUP_ROWS_DEFAULT)))
 

@@ -1,12 +1,14 @@
 """Ordered operators on a frame where one key holds most rows, against plain Python."""
 
 import datetime
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from logharbor.functions.blocks import BLOCK, Blocks, running_number, salted_join
+from logharbor.functions.blocks import AT, BLOCK, Blocks, running_number, salted_join
+from logharbor.operators.patterns import sequence_hashes
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -34,13 +36,9 @@ def by_key():
     return groups
 
 
-def test_large_keys_are_cut_and_small_ones_are_not(frame, small_groups):
-    counts = Blocks(frame, ["key"], ["ts", "id"]).df.groupBy("key").agg(
-        F.count_distinct(BLOCK).alias("blocks"), F.count(BLOCK).alias("cut")
-    )
-    got = {r["key"]: r for r in counts.collect()}
-    assert got["hot"]["blocks"] > 3
-    assert all(got[k]["cut"] in (0, len(v)) for k, v in by_key().items())
+def test_every_key_is_cut_by_the_same_width(frame, small_groups):
+    buckets = {(r["key"], r[BLOCK]) for r in Blocks(frame, ["key"], ["ts", "id"]).df.select(f"{AT}.*").collect()}
+    assert buckets == {(r[1], int(r[2].timestamp()) // small_groups) for r in rows()}
 
 
 def test_positions(frame, small_groups):
@@ -60,27 +58,24 @@ def test_previous_value(frame, small_groups):
     assert got == {r[0]: g[i - 1][3] if i else None for g in by_key().values() for i, r in enumerate(g)}
 
 
-def test_upcoming_elements(frame, small_groups):
-    df = Blocks(frame, ["key"], ["ts", "id"]).upcoming(F.col("id").cast("string"), 4, "next")
-    got = {r["id"]: r["next"] for r in df.collect()}
-    assert got == {r[0]: [str(x[0]) for x in g[i : i + 4]] for g in by_key().values() for i, r in enumerate(g)}
-
-
-def test_last_value_is_carried_over_empty_blocks(frame, small_groups):
-    blocks = Blocks(frame, ["key"], ["ts", "id"])
-    three = F.when(F.col("value") == 3.0, F.col("id"))
-    df = blocks.carry_last(blocks.df, {"_before": three})
-    last = F.coalesce(F.last(three, ignorenulls=True).over(blocks.running), F.col("_before"))
-    got = {r["id"]: r["last"] for r in df.withColumn("last", last).collect()}
+def test_sequences_over_bucket_edges(frame, small_groups):
+    df = sequence_hashes(frame, ["key"], ["ts", "id"], F.col("id"), 4)
+    got = {r["id"]: r["pattern"] for r in df.collect()}
     want = {}
     for group in by_key().values():
-        seen = None
-        for row in group:
-            seen = row[0] if row[3] == 3.0 else seen
-            want[row[0]] = seen
+        for i, row in enumerate(group):
+            four = [str(x[0]) for x in group[i : i + 4]]
+            want[row[0]] = hashlib.md5("\x1f".join(four).encode()).hexdigest() if len(four) == 4 else None
     assert got == want
 
 
+def test_rows_without_a_time_come_first(spark, small_groups):
+    rows = [(1, "a", START), (2, "a", None), (3, "a", START + datetime.timedelta(days=1)), (4, None, None)]
+    frame = spark.createDataFrame(rows, "id long, key string, ts timestamp")
+    got = {r["id"]: r["n"] for r in running_number(frame, ["key"], ["ts", "id"], "n").collect()}
+    assert got == {2: 1, 1: 2, 3: 3, 4: 1}
+
+
 def test_salted_join_keeps_every_row(spark, frame, small_groups):
     right = spark.createDataFrame([("hot", 1), ("a", 2)], "key string, mark int")
     joined = salted_join(frame, right, ["key"], "left", ["id"]).collect()

@@ -1,11 +1,14 @@
 """Properties of the physical plans that matter at scale."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import queries
 from logharbor.functions.tagging import accepted
 from logharbor.operators.detections import detect_bruteforce, detect_exfiltration
 from logharbor.plans.fixtures import firewall_lines
+from logharbor.session import BUCKET_SECONDS_KEY
 from logharbor.sources.firewall import parse_firewall_lines
 from tests.conftest import SF
 from tests.test_detections import AS_OF, FIREWALL, SCHEMA
@@ -36,3 +39,23 @@ def test_parsing_is_one_narrow_pass_without_python(spark):
     assert "Exchange" not in plan and "Python" not in plan
     # the filter sits above the generator, so the parse below is evaluated once
     assert plan.index("Filter isnull(reason") < plan.index("Generate inline")
+
+
+@pytest.mark.parametrize(
+    ("name", "scans"), [("alert_episodes", 2), ("failure_streaks", 2), ("repeat_sequences", 2), ("sequence_attach", 2), ("counter_delta", 2)]
+)
+def test_ordered_work_has_one_plan_at_every_size(spark, name, scans):
+    """The rows are read at most twice, and no plan depends on how many rows a key has."""
+    plans = []
+    for width in ("600", "50000"):
+        spark.conf.set(BUCKET_SECONDS_KEY, width)
+        try:
+            df = queries()[name](spark, SF)
+        finally:
+            spark.conf.unset(BUCKET_SECONDS_KEY)
+        plans.append(re.sub(r"#\d+L?|\b\d+\b|plan_id=\S+", "", df._jdf.queryExecution().optimizedPlan().toString()))
+        df.collect()
+        final = plan_of(df)
+        final = final[final.index("== Final Plan ==") : final.index("== Initial Plan ==")] if "== Initial Plan ==" in final else final
+        assert len(re.findall(r"FileScan|Scan ExistingRDD", final)) <= scans
+    assert re.findall(r"Join|Window|Aggregate|Relation", plans[0]) == re.findall(r"Join|Window|Aggregate|Relation", plans[1])
