@@ -103,22 +103,34 @@ def replay(batches: DataFrame, reroute: Callable[[DataFrame], DataFrame]) -> Dat
 
 
 def replay_folder(
-    spark: SparkSession, dlq: str, archive: str, routed: str, spec, reroute: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    dlq: str,
+    archive: str,
+    routed: str,
+    spec,
+    reroute: Callable[[DataFrame], DataFrame],
+    run: str,
 ) -> DataFrame:
     """Replay the dead-letter table at `dlq`: passed rows go to `routed`, passed batches to `archive`.
 
-    The failures are written to a new folder next to the table and are what the next run reads; the
-    caller swaps it in. Returns the summary row.
+    Everything is written below `run=<run>`, which a repeated run overwrites, so a replay that stopped
+    half-way is repeated as a whole. The failures go to `<dlq>_left/run=<run>`, which is what the next
+    run reads. Each batch is re-routed once and its outcome written first. Records are only as good as
+    they were kept: addresses that were redacted in a dead letter do not parse again. Returns the
+    summary row.
     """
+    place = f"run={run}"
     batches = spark.read.parquet(dlq)
-    outcome = replay(batches, reroute)
+    outcome = f"{archive}/outcome/{place}"
+    replay(batches, reroute).select("batch_id", "archived").write.mode("overwrite").parquet(outcome)
+    outcome = spark.read.schema("batch_id string, archived boolean").parquet(outcome)
     done = outcome.where("archived").select("batch_id")
-    records = batches.join(done, "batch_id", "left_semi")
-    records = records.select("batch_id", F.explode("data").alias("record")).select("batch_id", "record.*")
+    passed_batches = batches.join(done, "batch_id", "left_semi")
+    records = passed_batches.select("batch_id", F.explode("data").alias("record")).select("batch_id", "record.*")
     passed = reroute(records).where(F.col(REASON).isNull()).drop(REASON, "batch_id")
-    write_routed(passed, routed, spec)
-    batches.join(done, "batch_id", "left_semi").write.mode("append").parquet(archive)
-    batches.join(done, "batch_id", "left_anti").write.mode("overwrite").parquet(f"{dlq.rstrip('/')}_left")
+    write_routed(passed, f"{routed}/{place}", spec, mode="overwrite")
+    passed_batches.write.mode("overwrite").parquet(f"{archive}/batches/{place}")
+    batches.join(done, "batch_id", "left_anti").write.mode("overwrite").parquet(f"{dlq.rstrip('/')}_left/{place}")
     return outcome.agg(
         F.count("*").alias("processed"),
         F.count_if(F.col("archived")).alias("archived"),

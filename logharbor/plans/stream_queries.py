@@ -36,7 +36,7 @@ def ingested(spark, sf_dir, root, write=ingest.write_batch):
     paths = ingest.IngestPaths.under(root)
     running = ingest.start_ingest(lines, lambda df: parse_firewall_lines(df, AS_OF), FIREWALL, paths, write)
     running.awaitTermination()
-    return paths, running
+    return paths
 
 
 @query(
@@ -48,7 +48,7 @@ def ingested(spark, sf_dir, root, write=ingest.write_batch):
     ),
 )
 def _(spark, sf_dir):
-    paths, _ = ingested(spark, sf_dir, scratch_dir(spark, "stream_ingest"))
+    paths = ingested(spark, sf_dir, scratch_dir(spark, "stream_ingest"))
     return ingest.read_routed(spark, paths).select(
         "TimeGenerated", "SourceIP", "DestinationIP", "FirewallAction", "DestinationPort", "BytesTransferred", "table_name"
     )
@@ -68,16 +68,37 @@ def _(spark, sf_dir):
     def broken(rows, path):
         raise TimeoutError("upload timeout")
 
-    paths, _ = ingested(spark, sf_dir, scratch_dir(spark, "stream_dead_letter"), broken)
+    paths = ingested(spark, sf_dir, scratch_dir(spark, "stream_dead_letter"), broken)
     return spark.read.parquet(paths.dead_letters).groupBy("error_category").agg(
         F.count("*").alias("batches"), F.sum("record_count").alias("records")
     )
 
 
+@query(
+    "stream_dead_letter_all",
+    with_views(
+        "fw",
+        """select count(*) as input_rows, count(*) filter (event_id % 17 <> 0 and event_id % 19 <> 0) as dead_rows,
+  count(*) filter (event_id % 17 = 0 or event_id % 19 = 0) as quarantined_rows from fw""",
+    ),
+)
+def _(spark, sf_dir):
+    """A sink that fails loses nothing: accepted rows are dead letters, quarantined ones are kept apart."""
+
+    def broken(rows, path):
+        raise OSError("no space left")
+
+    paths = ingested(spark, sf_dir, scratch_dir(spark, "stream_dead_letter_all"), broken)
+    dead = spark.read.parquet(paths.dead_letters).agg(F.sum("record_count").alias("dead_rows"))
+    kept = spark.read.parquet(paths.quarantine).agg(F.count("*").alias("quarantined_rows"))
+    rows = ingest.progress_metrics(spark, paths).where(F.col("name") == "input_rows").agg(F.sum("value").cast("long").alias("input_rows"))
+    return rows.select("input_rows", dead.scalar().alias("dead_rows"), kept.scalar().alias("quarantined_rows"))
+
+
 @query("stream_progress", "select count(*)::double as input_rows from events")
 def _(spark, sf_dir):
-    _, running = ingested(spark, sf_dir, scratch_dir(spark, "stream_progress"))
-    rows = ingest.progress_metrics(spark, running).where(F.col("name") == "input_rows")
+    paths = ingested(spark, sf_dir, scratch_dir(spark, "stream_progress"))
+    rows = ingest.progress_metrics(spark, paths).where(F.col("name") == "input_rows")
     return rows.agg(F.sum("value").alias("input_rows"))
 
 
@@ -113,26 +134,46 @@ def _(spark, sf_dir):
     return rows.withColumn("total", F.col("total").cast("bigint"))
 
 
-# the last sample of a check interval stands for the interval
-_CHECKED_SQL = """checked as (select series, name, arg_max(value, ts) as value, max(ts) as ts, arg_max(event_id, ts) as event_id
-  from metrics group by series, name, epoch_us(ts) // 30000000)"""
+# samples that the last watermark has passed, judged in order
+_WAITED_SQL = "waited as (select * from metrics where ts < (select date_trunc('millisecond', max(ts)) - interval '10 minutes' from metrics))"
 
 
-@query(
-    "stream_alerts",
-    with_views(
-        "metrics",
-        f"""with {_CHECKED_SQL}, {EPISODES_SQL.replace("from metrics", "from checked")}
+def _events_sql(samples: str) -> str:
+    episodes = EPISODES_SQL.replace("from metrics", f"from {samples}")
+    episodes = episodes.replace("min(ts) filter (not holds) as resolved_at", "min(ts) filter (not holds) as resolved_at, arg_min(value, ts) filter (not holds) as resolved_value")
+    return f"""{episodes}
 select alert, series, severity, 'fired' as event, fired_at as ts, value from episodes
-union all select e.alert, e.series, e.severity, 'resolved', e.resolved_at, j.value
-from episodes e join judged j on j.alert = e.alert and j.series = e.series and j.ts = e.resolved_at""",
-    ),
-)
+union all select alert, series, severity, 'resolved', resolved_at, resolved_value from episodes where resolved_at is not null"""
+
+
+@query("stream_alerts", with_views("metrics", f"with {_WAITED_SQL}, {_events_sql('waited')}"))
 def _(spark, sf_dir):
-    events = alerts.alert_events(stream_view(spark, sf_dir, "metrics"), CONDITIONS)
+    events = alerts.alert_events(stream_view(spark, sf_dir, "metrics"), CONDITIONS, "event_id")
     return spark.read.parquet(drain(events, scratch_dir(spark, "alerts"))).drop("epoch")
 
 
+@query(
+    "alert_table",
+    with_views("metrics", f"with {_WAITED_SQL}, {_events_sql('waited')}").replace(
+        "\nselect alert, series, severity, 'fired'", ", rows as (select alert, series, severity, 'fired'"
+    )
+    + ") select alert, event, count(*) as rows from rows group by 1, 2",
+)
+def _(spark, sf_dir):
+    """Alert rows appended per epoch to a table; every epoch is written twice, which changes nothing."""
+    events = alerts.alert_events(stream_view(spark, sf_dir, "metrics"), CONDITIONS, "event_id")
+    root = scratch_dir(spark, "alert_table")
+
+    def append(batch: DataFrame, epoch: int) -> None:
+        for _ in range(2):
+            alerts.append_alerts(batch, epoch, f"{root}/alerts")
+
+    events.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(append).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(f"{root}/alerts").groupBy("alert", "event").agg(F.count("*").alias("rows"))
+
+
 @query(
     "stream_patterns",
     "select md5(concat(event_type, '/', cast(user_id % 5 as varchar))) as pattern, count(*) as frequency from events group by 1",

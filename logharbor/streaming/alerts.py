@@ -2,71 +2,86 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from logharbor.functions.timestamps import width_seconds
 from logharbor.operators.alerts import apply_conditions
 from logharbor.specs import AlertCondition
 
-# Fixed value: seconds between two looks at a condition.
-CHECK_SECONDS = 30
-
 EVENTS = "alert string, series string, severity string, event string, ts timestamp, value double"
-# since and last are microseconds, -1 for none
-STATE = "since long, fired boolean, last long"
-
+# microseconds since when the condition holds (-1: it does not), and the samples that wait for the watermark
+STATE = "since long, fired boolean, us array<long>, tie array<double>, holds array<boolean>, value array<double>"
 
-def _latest_per_check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The last sample of every timeline and check interval, built while the rows stream past."""
-    kept = None
-    for frame in frames:
-        micros = frame["ts"].astype("int64") // _unit(frame["ts"])
-        frame = frame.assign(us=micros, check=micros // (CHECK_SECONDS * 1_000_000))
-        joined = frame if kept is None else pd.concat([kept, frame])
-        kept = joined.sort_values("us", kind="stable").groupby(["alert", "series", "check"]).tail(1)
-    if kept is not None:
-        yield kept.drop(columns=["us", "check"])
 
+def _follower(check_us: int) -> Callable:
+    def follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Advance one timeline as far as the watermark: remember since when the condition holds, fire and resolve once."""
+        since, fired, *waiting = state.get if state.exists else (-1, False, [], [], [], [])
+        samples = list(zip(*waiting))
+        for frame in frames:
+            us = frame["ts"].astype("datetime64[us]").astype("int64")
+            samples += zip(us.tolist(), frame["tie"].tolist(), frame["holds"].tolist(), frame["value"].tolist())
+        samples.sort(key=lambda s: s[:2])
+        passed = state.getCurrentWatermarkMs() * 1000
+        if check_us:
+            passed = passed // check_us * check_us
+        due = [s for s in samples if s[0] < passed]
+        samples = samples[len(due) :]
+        if check_us:
+            due = list({us // check_us: (us, *rest) for us, *rest in due}.values())
+        out = []
+        severity, duration = key[2], int(key[3])
+        for us, _, holds, value in due:
+            if holds:
+                since = us if since < 0 else since
+                if not fired and us - since >= duration * 1_000_000:
+                    fired = True
+                    out.append((key[0], key[1], severity, "fired", pd.Timestamp(us, unit="us"), value))
+            else:
+                if fired:
+                    out.append((key[0], key[1], severity, "resolved", pd.Timestamp(us, unit="us"), value))
+                since, fired = -1, False
+        if samples or since >= 0:
+            state.update((since, fired, *([s[k] for s in samples] for k in range(4))))
+            if samples:
+                state.setTimeoutTimestamp(max(samples[0][0] // 1000, state.getCurrentWatermarkMs()) + 1 + check_us // 1000)
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["alert", "series", "severity", "event", "ts", "value"])
 
-def _unit(ts: pd.Series) -> int:
-    return {"ns": 1000, "us": 1, "ms": 1}[ts.dt.unit]
+    return follow
 
 
-def _follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Advance one timeline: remember since when the condition holds, fire once, resolve once."""
-    since, fired, last = state.get if state.exists else (-1, False, -1)
-    out = []
-    for row in (row for frame in _latest_per_check(frames) for row in frame.itertuples()):
-        us = row.ts.value // 1000
-        if us <= last:
-            continue
-        last = us
-        if row.holds:
-            since = us if since < 0 else since
-            if not fired and us - since >= row.duration * 1_000_000:
-                fired = True
-                out.append((key[0], key[1], row.severity, "fired", row.ts, row.value))
-        else:
-            if fired:
-                out.append((key[0], key[1], row.severity, "resolved", row.ts, row.value))
-            since, fired = -1, False
-    state.update((since, fired, last))
-    yield pd.DataFrame(out, columns=["alert", "series", "severity", "event", "ts", "value"])
+def alert_events(
+    samples: DataFrame,
+    conditions: list[AlertCondition],
+    tie: str = "value",
+    late: str = "10 minutes",
+    check: str | None = None,
+) -> DataFrame:
+    """Events of each (alert, series); samples have series, name, ts, value and the numeric `tie` column.
 
+    Samples wait until the watermark passes them, so those up to `late` behind the newest one are judged
+    in the order of their times, as the batch job does; of equal times in the order of `tie`. Later ones
+    are dropped, and Spark counts them in the progress of the query (numRowsDroppedByWatermark). With
+    `check`, only the last sample of each such interval is judged, as after `last_per_check`. The state of
+    a timeline is the samples that wait and, while its condition holds, since when; else there is none.
+    """
+    columns = ["series", "name", "ts", "value", F.col(tie).cast("double").alias("tie")]
+    judged = apply_conditions(samples.select(*columns), conditions).withWatermark("ts", late)
+    judged = judged.select("alert", "series", "severity", "duration", "ts", "tie", "holds", "value")
+    return judged.groupBy("alert", "series", "severity", "duration").applyInPandasWithState(
+        _follower(int(width_seconds(check) * 1_000_000) if check else 0),
+        EVENTS, STATE, "append", GroupStateTimeout.EventTimeTimeout,
+    )
 
-def alert_events(samples: DataFrame, conditions: list[AlertCondition]) -> DataFrame:
-    """Events of each (alert, series); samples have series, name, ts and value.
 
-    Only the last sample of a check interval is judged. Every partition first reduces its rows to
-    those, so what a timeline sends to its task is bounded by the time a micro-batch covers, not by
-    its number of samples. The state of a timeline is three numbers.
-    """
-    judged = apply_conditions(samples.select("series", "name", "ts", "value"), conditions)
-    judged = judged.select("alert", "series", "severity", "duration", "holds", "ts", "value")
-    reduced = judged.mapInPandas(_latest_per_check, judged.schema)
-    return reduced.groupBy("alert", "series").applyInPandasWithState(
-        _follow, EVENTS, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+def append_alerts(events: DataFrame, epoch: int, path: str) -> None:
+    """Alert rows of one micro-batch as a folder of its epoch; a repeated epoch overwrites it."""
+    events.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")

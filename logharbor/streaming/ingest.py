@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from logharbor.functions.tagging import REASON
+from logharbor.operators.reports import error_category
 from logharbor.operators.sinks import dead_letter_batches
 
 Writer = Callable[[DataFrame, str], None]
@@ -28,44 +30,64 @@ class IngestPaths:
 
     routed: str
     dead_letters: str
+    quarantine: str
+    progress: str
     checkpoint: str
 
     @classmethod
     def under(cls, root: str) -> IngestPaths:
-        return cls(f"{root}/routed", f"{root}/dead_letters", f"{root}/checkpoint")
+        return cls(*[f"{root}/{name}" for name in ("routed", "dead_letters", "quarantine", "progress", "checkpoint")])
 
 
 def route_batch(
-    tagged: DataFrame, epoch: int, paths: IngestPaths, spec, category: Callable[[Exception], str], write: Writer
+    tagged: DataFrame, epoch: int, paths: IngestPaths, spec, category: Callable[[Exception], Column], write: Writer
 ) -> None:
-    """Write one micro-batch in a single pass; if the write fails, keep its rows as dead letters."""
+    """Write one micro-batch in a single pass; if the write fails, keep every row of it.
+
+    Accepted rows then become dead letters, and quarantined ones go to a folder of their own. Every
+    output is a folder of the epoch that a repeated epoch overwrites, the metrics of the batch included.
+    """
     status = F.when(F.col(REASON).isNull(), "accepted").otherwise("quarantined")
-    rows = tagged.withColumns({"table_name": F.lit(spec.table_name), STATUS: status})
+    seen = Observation()
+    rows = tagged.observe(seen, F.count(F.lit(1)).alias("input_rows"), F.count(REASON).alias("quarantined_rows"))
+    rows = rows.withColumns({"table_name": F.lit(spec.table_name), STATUS: status})
+    began = time.time()
+    failure = None
     try:
         write(rows, f"{paths.routed}/epoch={epoch}")
     except Exception as error:
-        record = F.struct(*[c for c in tagged.columns if c != REASON])
-        failed = tagged.where(F.col(REASON).isNull()).select(
-            F.lit(spec.table_name).alias("table_name"),
-            F.col("ProcessingTime").alias("failed_at"),
-            F.lit(str(error)[:500]).alias("error"),
-            F.lit(category(error)).alias("error_category"),
-            record.alias("record"),
-            F.sha2(F.to_json(record), 256).alias("_id"),
-        )
-        batches = dead_letter_batches(failed, spec.batch_size, ["failed_at", "_id"], F.col("_id"))
-        batches.write.mode("overwrite").parquet(f"{paths.dead_letters}/epoch={epoch}")
-
-
-def default_category(error: Exception) -> str:
-    name, text = type(error).__name__.lower(), str(error).lower()
-    if "timeout" in name or "timeout" in text:
-        return "network_timeout"
-    if "connection" in name:
-        return "network_connection"
-    if "validation" in name or isinstance(error, ValueError):
-        return "validation_error"
-    return f"unknown_error:{type(error).__name__}"
+        failure = error
+        _keep_failed(tagged, epoch, paths, spec, error, category(error))
+    if failure is None:
+        counts = dict(seen.get)
+    else:  # the write stopped somewhere, so what it saw is not the batch
+        counts = tagged.agg(F.count(F.lit(1)).alias("input_rows"), F.count(REASON).alias("quarantined_rows")).first().asDict()
+    counts |= {"batch_seconds": time.time() - began, "failed": float(failure is not None)}
+    samples = [(epoch, datetime.now(timezone.utc), name, float(value)) for name, value in counts.items()]
+    progress = tagged.sparkSession.createDataFrame(samples, PROGRESS)
+    progress.coalesce(1).write.mode("overwrite").parquet(f"{paths.progress}/epoch={epoch}")
+
+
+def _keep_failed(tagged: DataFrame, epoch: int, paths: IngestPaths, spec, error: Exception, category: Column) -> None:
+    record = F.struct(*[c for c in tagged.columns if c != REASON])
+    failed = tagged.where(F.col(REASON).isNull()).select(
+        F.lit(spec.table_name).alias("table_name"),
+        F.col("ProcessingTime").alias("failed_at"),
+        F.lit(str(error)).alias("error"),
+        category.alias("error_category"),
+        record.alias("record"),
+        F.sha2(F.to_json(record), 256).alias("_id"),
+    )
+    batches = dead_letter_batches(failed, spec.batch_size, ["failed_at", "_id"], F.col("_id"))
+    batches.write.mode("overwrite").parquet(f"{paths.dead_letters}/epoch={epoch}")
+    tagged.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(f"{paths.quarantine}/epoch={epoch}")
+
+
+def default_category(error: Exception) -> Column:
+    """The category that the failure reports would give this error."""
+    status = F.lit(getattr(error, "status_code", None)).cast("string")
+    kind = "ValueError" if isinstance(error, ValueError) else type(error).__name__
+    return error_category(F.lit(kind), F.lit(str(error)), status)
 
 
 def start_ingest(
@@ -74,7 +96,7 @@ def start_ingest(
     spec,
     paths: IngestPaths,
     write: Writer = write_batch,
-    category: Callable[[Exception], str] = default_category,
+    category: Callable[[Exception], Column] = default_category,
     every: str | None = None,
 ) -> StreamingQuery:
     """Start the job; with `every` it polls on that interval, else it drains what is there and stops."""
@@ -92,28 +114,9 @@ def read_routed(spark: SparkSession, paths: IngestPaths, status: str = "accepted
     return rows.drop(STATUS, "epoch")
 
 
-PROGRESS = T.StructType(
-    [
-        T.StructField("query", T.StringType()),
-        T.StructField("epoch", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-    ]
-)
-
-
-def progress_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Metric samples of the progress Spark keeps for a query: rows, rows per second, duration."""
-    from datetime import datetime
-
-    rows = []
-    for p in query.recentProgress:
-        ts = datetime.fromisoformat(str(p["timestamp"]).replace("Z", "+00:00"))
-        sample = {
-            "input_rows": p["numInputRows"],
-            "processed_rows_per_second": p["processedRowsPerSecond"],
-            "batch_seconds": p["durationMs"].get("triggerExecution", 0) / 1000,
-        }
-        rows += [(p["name"], p["batchId"], ts, name, float(value or 0)) for name, value in sample.items()]
-    return spark.createDataFrame(rows, PROGRESS)
+PROGRESS = "batch long, ts timestamp, name string, value double"
+
+
+def progress_metrics(spark: SparkSession, paths: IngestPaths) -> DataFrame:
+    """Metric samples of every batch that was committed: rows, quarantined rows, seconds, whether the write failed."""
+    return spark.read.schema(PROGRESS).parquet(paths.progress)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from logharbor.operators import alerts, audit, features, metrics, patterns, reports, sinks
 from logharbor.specs import FIREWALL, AlertCondition
 from logharbor.streaming import ingest
-from logharbor.streaming.alerts import alert_events
+from logharbor.streaming.alerts import alert_events, append_alerts
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -74,13 +74,13 @@ def test_replay_archives_what_passes(spark, tmp_path):
         rows = records.withColumn("TimeGenerated", F.lit(START).cast("timestamp"))
         return rows.withColumn("reason", F.when(F.col("state") == "bad", "still bad"))
 
-    summary = sinks.replay_folder(
-        spark, str(tmp_path / "dlq"), str(tmp_path / "archive"), str(tmp_path / "routed"), FIREWALL, reroute
-    )
-    assert tuple(summary.first()) == (9, 6, 3)
-    assert spark.read.parquet(str(tmp_path / "archive")).count() == 6
-    assert spark.read.parquet(str(tmp_path / "dlq_left")).count() == 3
-    assert spark.read.json(str(tmp_path / "routed")).count() == 6
+    folders = [str(tmp_path / name) for name in ("dlq", "archive", "routed")]
+    for _ in range(2):  # a repeated run changes nothing
+        summary = sinks.replay_folder(spark, *folders, FIREWALL, reroute, "7")
+        assert tuple(summary.first()) == (9, 6, 3)
+        assert spark.read.parquet(str(tmp_path / "archive" / "batches")).count() == 6
+        assert spark.read.parquet(str(tmp_path / "dlq_left")).count() == 3
+        assert spark.read.json(str(tmp_path / "routed")).count() == 6
 
 
 def test_backlog_of_nothing(spark):
@@ -150,23 +150,55 @@ def test_episodes_follow_the_samples(spark, small_groups):
     assert sorted(events) == followed(samples())
 
 
-def test_streamed_events_follow_the_samples_over_several_batches(spark, tmp_path):
-    rows = samples()
-    for part in range(4):
-        chunk = spark.createDataFrame(rows[part * 100 : part * 100 + 100], SAMPLES).coalesce(1)
-        chunk.write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(SAMPLES).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+def streamed(spark, path, rows, parts, **options):
+    """Events of a stream over `parts` files, one micro-batch each."""
+    size = -(-len(rows) // parts)
+    for k in range(parts):
+        chunk = spark.createDataFrame(rows[k * size : k * size + size], SAMPLES).coalesce(1)
+        chunk.write.mode("append").parquet(str(path / "in"))
+    stream = spark.readStream.schema(SAMPLES).option("maxFilesPerTrigger", 1).parquet(str(path / "in"))
 
     def keep(df, epoch):
-        df.write.mode("overwrite").parquet(str(tmp_path / "out" / f"epoch={epoch}"))
+        append_alerts(df, epoch, str(path / "out"))
 
     query = (
-        alert_events(stream, [CONDITION]).writeStream.foreachBatch(keep)
-        .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+        alert_events(stream, [CONDITION], "event_id", **options).writeStream.foreachBatch(keep)
+        .option("checkpointLocation", str(path / "check")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted((r.event, r.ts) for r in got) == followed(rows)
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    return sorted((r.event, r.ts) for r in spark.read.parquet(str(path / "out")).collect()), dropped
+
+
+def test_streamed_events_are_those_of_the_batch_job_in_spite_of_disorder(spark, tmp_path):
+    rows = samples()
+    rng = random.Random(2)
+    # up to nine minutes out of place, over the files too; a last sample lets the watermark pass the others
+    mixed = sorted(rows, key=lambda r: (r[3] + datetime.timedelta(seconds=rng.randrange(540)), r[0]))
+    last = (9999, "s1", "other", rows[-1][3] + datetime.timedelta(hours=1), 0.0)
+    assert mixed != rows
+    flush = (10000, "s2", "load", last[3], 0.0)
+    got, dropped = streamed(spark, tmp_path, [*mixed, last, flush], 5)
+    assert got == followed(rows) and dropped == 0
+
+
+def test_samples_behind_the_watermark_are_counted(spark, tmp_path):
+    times = [(0, "s1", 9.0), (7200, "s1", 0.0), (7300, "s2", 0.0), (60, "s1", 9.0), (9000, "s2", 0.0)]
+    rows = [(k, series, "load", at(second), value) for k, (second, series, value) in enumerate(times)]
+    got, dropped = streamed(spark, tmp_path, rows, 5)
+    assert got == [] and dropped == 1
+
+
+def test_looking_once_per_interval_is_the_same_in_batch_and_stream(spark, tmp_path):
+    rows = samples()
+    frame = spark.createDataFrame(rows, SAMPLES)
+    checked = alerts.last_per_check(frame, ["series", "name"], "event_id", "2 minutes")
+    judged = alerts.apply_conditions(checked, [CONDITION])
+    episodes = alerts.alert_episodes(judged, ["series"], "event_id").collect()
+    want = [("fired", r.fired_at) for r in episodes] + [("resolved", r.resolved_at) for r in episodes if r.resolved_at]
+    flush = (10000, "s1", "load", rows[-1][3] + datetime.timedelta(hours=1), float(rows[-1][4]))
+    got, _ = streamed(spark, tmp_path, [*rows, flush], 3, check="2 minutes")
+    assert got == sorted(want)
 
 
 def test_notifications_repeat_no_sooner_than_two_hours(spark):
@@ -243,3 +275,44 @@ def test_a_repeated_epoch_is_written_once(spark, tmp_path):
         ingest.route_batch(df, 0, paths, FIREWALL, ingest.default_category, ingest.write_batch)
     assert [r.n for r in ingest.read_routed(spark, paths).collect()] == [1]
     assert [r.n for r in ingest.read_routed(spark, paths, "quarantined").collect()] == [2]
+    counts = {r["name"]: r.value for r in ingest.progress_metrics(spark, paths).collect()}
+    assert (counts["input_rows"], counts["quarantined_rows"], counts["failed"]) == (2.0, 1.0, 0.0)
+
+
+def test_a_failed_write_keeps_every_row_and_the_whole_error(spark, tmp_path):
+    paths = ingest.IngestPaths.under(str(tmp_path))
+    df = spark.createDataFrame([(1, at(0), None), (2, at(1), "bad")], "n int, ProcessingTime timestamp, reason string")
+
+    def broken(rows, path):
+        raise TimeoutError("x" * 900)
+
+    ingest.route_batch(df, 3, paths, FIREWALL, ingest.default_category, broken)
+    dead = spark.read.parquet(paths.dead_letters).first()
+    assert (len(dead.error), dead.error_category, dead.record_count) == (900, "network_timeout", 1)
+    assert [(r.n, r.reason) for r in spark.read.parquet(paths.quarantine).collect()] == [(2, "bad")]
+    assert {r["name"]: r.value for r in ingest.progress_metrics(spark, paths).collect()}["failed"] == 1.0
+
+
+def test_progress_covers_batches_that_spark_has_forgotten(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(6):
+        (tmp_path / "in" / f"{k}.txt").write_text(f"{k}\n")
+    paths = ingest.IngestPaths.under(str(tmp_path))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        lines = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "in"))
+        ingest.start_ingest(lines, lambda df: df.withColumn("reason", F.lit(None).cast("string")), FIREWALL, paths).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    rows = ingest.progress_metrics(spark, paths).where("name = 'input_rows'")
+    assert (rows.count(), rows.agg(F.sum("value")).first()[0]) == (6, 6.0)
+
+
+def test_ties_do_not_depend_on_the_order_of_the_input(spark):
+    rows = [("a", at(0), 1.0, k) for k in range(6)] + [("b", at(0), 2.0, k) for k in range(9, 3, -1)]
+    schema = "k string, ts timestamp, value double, tie int"
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, schema).withColumn("value", F.col("value") + F.col("tie"))
+        assert {r.k: r.value for r in metrics.latest_metrics(frame, ["k"], "tie").collect()} == {"a": 6.0, "b": 11.0}
+        labels = patterns.cluster_table(spark.createDataFrame(order, schema), ["k", "value"], "ts", "tie")
+        assert {r.k: r.cluster for r in labels.collect()} == {"a": 0, "b": 1}
