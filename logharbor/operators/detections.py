@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logharbor.functions.blocks import same_key
 from logharbor.functions.sums import megabytes, wide_sum
 from logharbor.functions.timestamps import bin_time, since
 
@@ -56,8 +57,8 @@ def detect_exfiltration(
 ) -> DataFrame:
     """Sources sending more than `min_bytes` to transfer ports within one time bin.
 
-    Rows are first reduced to one per (source, bin, target), so a hot source reaches the second
-    aggregation as its distinct targets only.
+    Rows are first reduced to one per (source, bin, target). Targets are collected only for the sums that
+    pass the limit, so an innocent source with many targets is never gathered.
     """
     per_target = (
         fw.where(since(F.col("TimeGenerated"), as_of, lookback))
@@ -65,40 +66,33 @@ def detect_exfiltration(
         .groupBy("SourceIP", bin_time(F.col("TimeGenerated"), bin_width).alias("TimeGenerated"), "DestinationIP")
         .agg(wide_sum(F.col("BytesTransferred")).alias("bytes"), F.count("*").alias("rows"))
     )
-    return (
-        per_target.groupBy("TimeGenerated", "SourceIP")
-        .agg(
-            F.sum("bytes").alias("total"),
-            F.sum("rows").alias("TransferCount"),
-            F.array_sort(F.collect_list("DestinationIP")).alias("DestinationIPs"),
-        )
-        .where(F.col("total") > F.lit(min_bytes))
-        .select(
-            "TimeGenerated",
-            "SourceIP",
-            megabytes(F.col("total")).alias("TotalMB"),
-            "TransferCount",
-            "DestinationIPs",
-        )
-        .orderBy(F.desc("TotalMB"), "TimeGenerated", "SourceIP")
-    )
+    keys = ["TimeGenerated", "SourceIP"]
+    totals = per_target.groupBy(*keys).agg(F.sum("bytes").alias("total"), F.sum("rows").alias("TransferCount"))
+    totals = totals.where(F.col("total") > F.lit(min_bytes))
+    named = per_target.alias("d").join(totals.select(*keys).alias("e"), same_key("d", "e", keys), "left_semi")
+    targets = named.groupBy(*keys).agg(F.array_sort(F.collect_list("DestinationIP")).alias("DestinationIPs"))
+    found = totals.alias("d").join(targets.alias("e"), same_key("d", "e", keys))
+    return found.select(
+        "d.TimeGenerated",
+        "d.SourceIP",
+        megabytes(F.col("total")).alias("TotalMB"),
+        "TransferCount",
+        "DestinationIPs",
+    ).orderBy(F.desc("TotalMB"), "TimeGenerated", "SourceIP")
 
 
 def block_summary(fw: DataFrame, as_of, lookback: str = "24 hours", approx: bool = False) -> DataFrame:
     """Blocked traffic per rule: events, distinct sources, ports aimed at.
 
-    The port set has at most 65536 members, so it is kept in the aggregation buffer.
+    Ports are reduced to one row per (rule, port) apart from the sources, so that no set is carried
+    through the distinct count; a rule has at most 65536 ports.
     """
-    return (
-        fw.where(since(F.col("TimeGenerated"), as_of, lookback) & F.col("Action").isin(*BLOCKING))
-        .groupBy("RuleName")
-        .agg(
-            F.count("*").alias("BlockCount"),
-            _distinct("SourceIP", approx).alias("UniqueSourceIPs"),
-            F.array_sort(F.collect_set("DestinationPort")).alias("TopTargetPorts"),
-        )
-        .orderBy(F.desc("BlockCount"), "RuleName")
-    )
+    rows = fw.where(since(F.col("TimeGenerated"), as_of, lookback) & F.col("Action").isin(*BLOCKING))
+    counts = rows.groupBy("RuleName").agg(F.count("*").alias("BlockCount"), _distinct("SourceIP", approx).alias("UniqueSourceIPs"))
+    ports = rows.groupBy("RuleName", "DestinationPort").agg(F.lit(1).alias("_one"))
+    ports = ports.groupBy("RuleName").agg(F.array_sort(F.collect_list("DestinationPort")).alias("TopTargetPorts"))
+    joined = counts.alias("d").join(ports.alias("e"), same_key("d", "e", ["RuleName"]))
+    return joined.select("d.RuleName", "BlockCount", "UniqueSourceIPs", "TopTargetPorts").orderBy(F.desc("BlockCount"), "RuleName")
 
 
 def detect_high_volume_denies(
@@ -224,10 +218,11 @@ def recent_rows(
     time: str = "ts",
     condition: Column | None = None,
     n: int | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
-    """Recent rows, newest first; `n` makes it a top-n listing."""
+    """Recent rows, newest first, of equal times the largest `tie` first; `n` makes it a top-n listing."""
     rows = table.where(since(F.col(time), as_of, lookback))
     if condition is not None:
         rows = rows.where(condition)
-    listing = rows.select(*columns).orderBy(F.desc(time))
+    listing = rows.orderBy(F.desc(time), *([F.desc(tie)] if tie else [])).select(*columns)
     return listing.limit(n) if n is not None else listing

@@ -1,7 +1,7 @@
 """Metric tables: latest values, counter rates, quantiles, rollups and component reports.
 
 Samples have `ts`, `value` and the columns that name a series. Ordered work runs through
-`functions.blocks`, so a series with very many samples is cut into time blocks.
+`functions.blocks`, so every series is cut into time buckets.
 """
 
 from __future__ import annotations
@@ -9,18 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logharbor.functions.blocks import BLOCK, Blocks
+from logharbor.functions.blocks import AT, Blocks
 from logharbor.functions.timestamps import lag_seconds
 
-# Histogram bounds in seconds, the healthy error rate, and the size of an alert list.
+# Histogram bounds in seconds, the healthy error rate, and the usual size of an alert list.
 BUCKETS = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0)
 HEALTHY_ERROR_RATE = 0.05
 RECENT_ALERTS = 1000
 
 
-def latest_metrics(samples: DataFrame, keys: list[str]) -> DataFrame:
-    """Latest value per key; combines map-side in fixed-width buffers."""
-    return samples.groupBy(*keys).agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
+def latest_metrics(samples: DataFrame, keys: list[str], tie: str = "value") -> DataFrame:
+    """Latest value per key; of equal times the largest `tie`, so the order of the input does not matter."""
+    newest = samples.groupBy(*keys).agg(F.max(F.struct("ts", F.col(tie).alias("tie"), "value")).alias("newest"))
+    return newest.select(*keys, "newest.value", "newest.ts")
 
 
 def pipeline_lag(samples: DataFrame, as_of, name: str, column: str = "name") -> DataFrame:
@@ -45,12 +46,8 @@ def counter_increase(samples: DataFrame, keys: list[str], tie: str, window_secon
     """
     blocks = Blocks(samples, keys, ["ts", tie], min_width=window_seconds)
     gains = blocks.previous({"_previous": "value"}).withColumn("_gain", _gain())
-    # small keys stay where the gains were computed; only the rows of large keys move once more
-    small = gains.where(F.col(BLOCK).isNull()).withColumn("_own", F.lit(True))
-    large = blocks.with_lookback(gains.where(F.col(BLOCK).isNotNull()), window_seconds)
-    parts = [_window_growth(part, [*keys, BLOCK], tie, window_seconds) for part in (small, large)]
-    out = parts[0].unionByName(parts[1])
-    return out.drop("_previous", "_gain", BLOCK)
+    rows = blocks.with_lookback(gains, window_seconds)
+    return _window_growth(rows, [AT], tie, window_seconds).drop("_previous", "_gain", AT)
 
 
 def _window_growth(rows: DataFrame, group: list[str], tie: str, window_seconds: float) -> DataFrame:
@@ -74,13 +71,13 @@ def counter_rate(samples: DataFrame, keys: list[str], tie: str, window_seconds:
 
 def sample_gains(samples: DataFrame, keys: list[str], tie: str) -> DataFrame:
     """Adds `gain`, the growth of the counter since the sample before, resets allowed for."""
-    stepped = Blocks(samples, keys, ["ts", tie]).previous({"_previous": "value"}).drop(BLOCK)
+    stepped = Blocks(samples, keys, ["ts", tie]).previous({"_previous": "value"}).drop(AT)
     return stepped.withColumn("gain", _gain()).drop("_previous")
 
 
 def counter_delta(samples: DataFrame, keys: list[str], tie: str) -> DataFrame:
     """Growth from one snapshot to the next where it is positive; the first counts from zero."""
-    stepped = Blocks(samples, keys, ["ts", tie]).previous({"_previous": "value"}).drop(BLOCK)
+    stepped = Blocks(samples, keys, ["ts", tie]).previous({"_previous": "value"}).drop(AT)
     delta = F.col("value") - F.coalesce("_previous", F.lit(0.0))
     return stepped.withColumn("delta", delta).where(F.col("delta") > 0).drop("_previous")
 
@@ -177,13 +174,14 @@ def metric_rollup(samples: DataFrame, labels: list[str]) -> DataFrame:
     )
 
 
-def dashboard_snapshot(health: DataFrame, samples: DataFrame, alerts: DataFrame, tie: str) -> DataFrame:
-    """One listing of the latest health per component, latest metrics and the newest alerts."""
-    newest_health = health.groupBy("component").agg(
-        F.max_by("healthy", "ts").alias("healthy"), F.max("ts").alias("ts")
-    )
-    newest = latest_metrics(samples, ["name"])
-    recent = alerts.orderBy(F.desc("ts"), F.desc(tie)).limit(RECENT_ALERTS)
+def dashboard_snapshot(
+    health: DataFrame, samples: DataFrame, alerts: DataFrame, tie: str, recent_alerts: int = RECENT_ALERTS
+) -> DataFrame:
+    """One listing of the latest health per component, latest metrics and the `recent_alerts` newest alerts."""
+    place = F.struct("ts", F.col(tie).alias("tie"), "healthy")
+    newest_health = health.groupBy("component").agg(F.max(place).alias("newest")).select("component", "newest.healthy", "newest.ts")
+    newest = latest_metrics(samples, ["name"], tie)
+    recent = alerts.orderBy(F.desc("ts"), F.desc(tie)).limit(recent_alerts)
     parts = [
         newest_health.select(F.lit("health").alias("part"), F.col("component").alias("item"), F.col("healthy").cast("double").alias("value"), "ts"),
         newest.select(F.lit("metric").alias("part"), F.col("name").alias("item"), "value", "ts"),

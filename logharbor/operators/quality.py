@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from logharbor.functions.binding import bind
 from logharbor.functions.network import ip_version
 from logharbor.functions.timestamps import parse_timestamp
-from logharbor.functions.variants import TYPE_NAMES, parse_strict, variant_type
+from logharbor.functions.variants import TYPE_NAMES, json_depth, parse_strict, variant_type
 
 # Value patterns that point at secrets, and how references to a secret store begin.
 SENSITIVE_PATTERNS = (r"password[s]?", r"secret[s]?", r"key[s]?", r"token[s]?", r"credential[s]?")
@@ -277,18 +277,22 @@ def sensitive_columns(df: DataFrame, key: list[str], columns: list[str]) -> Data
     return df.select(*key, F.inline(F.filter(cells, lambda c: c["warnings"] > 0)))
 
 
-def sensitive_values(df: DataFrame, key: list[str], json_text: str, max_depth: int = 8) -> DataFrame:
+def sensitive_values(df: DataFrame, key: list[str], json_text: str) -> DataFrame:
     """String values at any path of a JSON column that point at a secret.
 
     Only texts that mention a pattern (or hide letters in escapes) are parsed, once each. The walk
-    goes level by level inside the row; objects inside lists are entered, lists inside lists are not.
+    goes level by level inside the row, as deep as the deepest of those texts, which a first job finds;
+    objects inside lists are entered, lists inside lists are not.
     """
     text = F.col(json_text)
     hinted = text.rlike("(?i)" + "|".join(SENSITIVE_PATTERNS)) | text.contains("\\u")
     root = F.struct(F.lit("").alias("path"), parse_strict(text).alias("v"))
     walk = df.where(hinted).select(*key, F.array(root).alias("_level0"))
+    deepest = df.where(hinted & parse_strict(text).isNotNull()).agg(F.max(json_depth(text))).first()[0] or 0
+    if not deepest:
+        walk = walk.limit(0)
     levels = []
-    for depth in range(max_depth):
+    for depth in range(max(deepest, 1)):
         walk = walk.withColumn(f"_level{depth + 1}", _next_level(F.col(f"_level{depth}")))
         levels.append(F.col(f"_level{depth + 1}"))
     texts = F.filter(F.concat(*levels), lambda e: variant_type(e["v"]) == "string")

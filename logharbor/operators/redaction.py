@@ -68,21 +68,28 @@ def redact_text(text: Column, patterns: dict[str, str] | None = None) -> Column:
 
 
 def _redact_value(value: Column, dtype: T.DataType, name: str) -> Column:
-    """Structs and lists are entered before the name is judged; only scalars go by name."""
+    """Structs, lists and maps are entered before the name is judged; only scalars go by name."""
+    if _is_nested(dtype):
+        return _redact_inside(value, dtype)
+    if is_pii_name(name):
+        return F.lit(marker(name))
+    return redact_text(value) if isinstance(dtype, T.StringType) else value
+
+
+def _is_nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
+
+
+def _redact_inside(value: Column, dtype: T.DataType) -> Column:
+    """A nested value; elements of a list have no name, so only patterns apply. Lists in lists are not entered."""
     if isinstance(dtype, T.StructType):
         return _redact_struct(value, dtype)
-    if isinstance(dtype, T.ArrayType):
-        element = dtype.elementType
-        if isinstance(element, T.StringType):
-            return F.transform(value, lambda item: redact_text(item))
-        if isinstance(element, T.StructType):
-            return F.transform(value, lambda v: _redact_struct(v, element))
-        return value
     if isinstance(dtype, T.MapType):
         return _redact_map(value, dtype)
-    if is_pii_name(name):
-        return F.lit(marker(name))
-    return redact_text(value) if isinstance(dtype, T.StringType) else value
+    element = dtype.elementType
+    if isinstance(element, (T.StructType, T.MapType)):
+        return F.transform(value, lambda item: _redact_inside(item, element))
+    return F.transform(value, lambda item: redact_text(item)) if isinstance(element, T.StringType) else value
 
 
 def _redact_struct(value: Column, dtype: T.StructType) -> Column:
@@ -91,15 +98,21 @@ def _redact_struct(value: Column, dtype: T.StructType) -> Column:
 
 
 def _redact_map(value: Column, dtype: T.MapType) -> Column:
-    """Maps carry their field names as keys, so the name test runs per entry."""
-    if not isinstance(dtype.valueType, T.StringType):
-        return value
+    """Maps carry their field names as keys, so the name test runs per entry.
+
+    Scalars become text, since a value under a personal name does.
+    """
+    inner = dtype.valueType
 
     def entry(key: Column, item: Column) -> Column:
+        if _is_nested(inner):
+            return _redact_inside(item, inner)
+        name = key.cast("string")
         named = F.lit(False)
         for part in PII_NAME_PARTS:
-            named = named | F.lower(key).contains(part)
-        return F.when(named, F.concat(F.lit("[REDACTED:"), F.upper(key), F.lit("]"))).otherwise(redact_text(item))
+            named = named | F.lower(name).contains(part)
+        kept = redact_text(item) if isinstance(inner, T.StringType) else item.cast("string")
+        return F.when(named, F.concat(F.lit("[REDACTED:"), F.upper(name), F.lit("]"))).otherwise(kept)
 
     return F.transform_values(value, entry)
 

@@ -35,10 +35,18 @@ def to_type(value: Column, found: T.DataType, wanted: FieldSpec) -> Column:
 
 
 def prepare_rows(
-    df: DataFrame, spec: TableSpec, as_of, classification: str = "standard", keep: list[str] = ()
+    df: DataFrame,
+    spec: TableSpec,
+    as_of,
+    classification: str = "standard",
+    keep: list[str] = (),
+    check_values: bool = False,
 ) -> DataFrame:
     """The table's columns plus `reason` in one narrow pass; conversion is judged before absence.
 
+    With `check_values`, a value outside the allowed ones of its column (in any case) is a reason too,
+    judged last.
+
     A missing event time becomes `as_of`; a time that does not convert is a conversion failure.
     """
     raw = {f"_{f.name}": mapped_column(df, spec, f.name) for f in spec.fields}
@@ -69,6 +77,11 @@ def prepare_rows(
     reason = first_reason(
         (F.col("_failed"), "preparation_error:ValueError"),
         (missing != "", F.concat(F.lit("missing_fields:"), missing)),
+        *[
+            (~F.lower(F.col(f.name)).isin(*f.allowed), f"bad_value:{f.name}")
+            for f in spec.fields
+            if check_values and f.allowed
+        ],
     )
     return computed_once(
         final,

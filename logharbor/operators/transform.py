@@ -19,8 +19,6 @@ INPUT_FORMATS = ["%Y-%m-%dT%H:%M:%S.%fZ", "%Y-%m-%d %H:%M:%S", "%b %d %Y %H:%M:%
 OUTPUT_FORMAT = "%Y-%m-%dT%H:%M:%S.%fZ"
 TRUE_WORDS = ["true", "1", "yes", "on"]
 FALSE_WORDS = ["false", "0", "no", "off"]
-#: Map entries up to this number are compiled into the plan; larger maps are joined.
-INLINE_MAP_ENTRIES = 200
 
 
 @dataclass(frozen=True)
@@ -81,15 +79,6 @@ def _list(value: Column, dtype: T.DataType, p: dict) -> Column:
     return F.transform(F.split(value, pattern), lambda item: F.trim(item))
 
 
-def _map(value: Column, dtype: T.DataType, p: dict) -> Column:
-    mapping = p.get("mapping") or {}
-    default = F.lit(p.get("default"))
-    if not mapping:
-        return default
-    entries = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.coalesce(F.try_element_at(entries, value), default)
-
-
 # Kinds of a rule; a kind not listed here is skipped.
 KINDS = {
     "timestamp": _timestamp,
@@ -100,20 +89,21 @@ KINDS = {
     "string": _string,
     "json": _json,
     "list": _list,
-    "map": _map,
 }
+MAP = "map"
 
 
-def _is_joined_map(rule: Transform) -> bool:
-    return rule.kind == "map" and len(rule.parameters.get("mapping") or {}) > INLINE_MAP_ENTRIES
+def _mapped(df: DataFrame, rule: Transform, name: str) -> DataFrame:
+    """A lookup as a left join, whatever the number of entries; a value without an entry has the default.
 
-
-def _join_map(df: DataFrame, rule: Transform, name: str) -> DataFrame:
-    """A large lookup as a left join; the optimizer broadcasts it only if it is small enough."""
-    spark = df.sparkSession
-    lookup = spark.createDataFrame(list(rule.parameters["mapping"].items()), ["_key", name])
-    joined = df.join(lookup, df[rule.field] == lookup["_key"], "left").drop("_key")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(rule.parameters.get("default"))))
+    The entries are a relation of known size, which the optimizer broadcasts if it is small.
+    """
+    mapping, default = rule.parameters.get("mapping") or {}, F.lit(rule.parameters.get("default"))
+    if not mapping:
+        return df.withColumn(name, default)
+    lookup = df.sparkSession.createDataFrame(list(mapping.items()), [f"{name}_key", name])
+    joined = df.join(lookup, F.col(f"`{rule.field}`") == F.col(f"{name}_key"), "left").drop(f"{name}_key")
+    return joined.withColumn(name, F.coalesce(F.col(name), default))
 
 
 def transform_table(df: DataFrame, rules: list[Transform], keep: list[str] = ()) -> DataFrame:
@@ -124,22 +114,22 @@ def transform_table(df: DataFrame, rules: list[Transform], keep: list[str] = ())
     """
     checks, outputs = [], []
     for i, rule in enumerate(rules):
-        if rule.kind not in KINDS:
+        if rule.kind not in KINDS and rule.kind != MAP:
             continue
         failure = F.lit(f"Failed to transform field {rule.field}")
         if rule.field not in df.columns:
-            if rule.required and rule.kind not in ("string", "map"):
+            if rule.required and rule.kind not in ("string", MAP):
                 checks.append((F.lit(True), failure))
             continue
         name = f"_t{i}"
         source = F.col(f"`{rule.field}`")
-        if _is_joined_map(rule):
-            df = _join_map(df, rule, name)
+        if rule.kind == MAP:
+            df = _mapped(df, rule, name)
         else:
             df = df.withColumn(name, KINDS[rule.kind](source, df.schema[rule.field].dataType, rule.parameters))
-            if not rule.required:
-                df = df.withColumn(name, F.when(source.isNotNull(), F.col(name)))
-        if rule.required and rule.kind not in ("string", "map"):
+        if not rule.required:
+            df = df.withColumn(name, F.when(source.isNotNull(), F.col(name)))
+        if rule.required and rule.kind not in ("string", MAP):
             checks.append((F.col(name).isNull(), failure))
         outputs.append(F.col(name).alias(rule.output))
     reason = first_reason(*checks) if checks else F.lit(None).cast("string")

@@ -209,9 +209,9 @@ def _(spark, sf_dir):
         "fw",
         """
 select TimeGenerated, SourceIP, DestinationIP, Action, Protocol, BytesTransferred
-from fw order by TimeGenerated desc limit 10""",
+from fw order by TimeGenerated desc, event_id desc limit 10""",
     ),
 )
 def _(spark, sf_dir):
     columns = ["TimeGenerated", "SourceIP", "DestinationIP", "Action", "Protocol", "BytesTransferred"]
-    return det.recent_rows(view(spark, sf_dir, "fw"), AS_OF, columns, WHOLE_RANGE, "TimeGenerated", n=10)
+    return det.recent_rows(view(spark, sf_dir, "fw"), AS_OF, columns, WHOLE_RANGE, "TimeGenerated", n=10, tie="event_id")

@@ -304,6 +304,37 @@ def _(spark, sf_dir):
     return models.score_priority(document_features(spark, sf_dir)).select("doc_id", "priority_score")
 
 
+@query(
+    "priority_score_facts",
+    "select count(*) as documents, true as in_range, true as ranks_labels from documents",
+)
+def _(spark, sf_dir):
+    """What holds for any solver: a score in [0, 1] per document, and good documents ahead of bad ones."""
+    model = models.fit_priority_model(labelled_documents(spark, sf_dir), DOC_COLUMNS)
+    scored = models.score_priority(document_features(spark, sf_dir), model)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    joined = scored.join(labels, "doc_id", "left")
+    mean = {q: F.avg(F.when(F.col("quality") == q, F.col("priority_score"))) for q in (0, 1)}
+    return joined.agg(
+        F.count("*").alias("documents"),
+        F.bool_and(F.col("priority_score").between(0, 1)).alias("in_range"),
+        (mean[1] > mean[0]).alias("ranks_labels"),
+    )
+
+
+@query(
+    "model_refresh_facts",
+    "select unnest(['digits', 'lines', 'n_chars', 'words']) as feature, true as finite, 1 as weights",
+)
+def _(spark, sf_dir):
+    """A refreshed model has one finite weight for each feature."""
+    rows = labelled_documents(spark, sf_dir)
+    weights = models.model_weights(rows, models.refresh_model(rows, DOC_COLUMNS, min_rows=50), DOC_COLUMNS)
+    return weights.groupBy("feature").agg(
+        F.bool_and(F.abs("weight") < float("inf")).alias("finite"), F.count("*").cast("int").alias("weights")
+    )
+
+
 @query("model_refresh")
 def _(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)

@@ -8,6 +8,7 @@ from logharbor.functions.tagging import accepted, rejected
 from logharbor.operators import routing, sinks
 from logharbor.plans.fixtures import AS_OF, firewall_lines, table, view, with_views
 from logharbor.plans.registry import query
+from logharbor.session import scratch_dir
 from logharbor.sources import delimited, firewall, json_logs, manifest
 from logharbor.specs import FIREWALL, FIREWALL_STRICT, VPN, TableSpec
 
@@ -351,6 +352,38 @@ def _(spark, sf_dir):
     return sinks.with_batch_counts(routing.route_counts(both, ["table_name"]))
 
 
+@query(
+    "routing_allowed_values",
+    with_views(
+        "fw",
+        f"""with {RAW_LOG}
+select coalesce(case when dst_port = 'n/a' then 'preparation_error:ValueError' when src_ip is null then 'missing_fields:SourceIP'
+    when lower(FirewallAction) not in ('allow', 'deny', 'drop') then 'bad_value:Action' end, 'accepted') as outcome, count(*) as rows
+from raw_log group by 1""",
+    ),
+)
+def _(spark, sf_dir):
+    rows = routing.prepare_rows(raw_log(spark, sf_dir), FIREWALL, AS_OF, check_values=True)
+    return rows.groupBy(F.coalesce("reason", F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("rows"))
+
+
+@query(
+    "routed_roundtrip",
+    with_views(
+        "fw",
+        """select 'Custom_Firewall_CL' as table_name, cast(TimeGenerated as date) as day, count(*) as rows,
+  cast(sum(BytesTransferred) as bigint) as bytes from fw where event_id % 17 <> 0 and event_id % 19 <> 0 group by 1, 2""",
+    ),
+)
+def _(spark, sf_dir):
+    """Accepted rows written as the routed table, by table and day, and read back."""
+    path = scratch_dir(spark, "routed_roundtrip")
+    sinks.write_routed(accepted(tagged_firewall(spark, sf_dir)), path, FIREWALL, fmt="parquet")
+    return spark.read.parquet(path).groupBy("table_name", "day").agg(
+        F.count("*").alias("rows"), F.sum("BytesTransferred").alias("bytes")
+    )
+
+
 @query(
     "route_lookup",
     """
@@ -484,6 +517,38 @@ def _(spark, sf_dir):
     return sinks.backlog(batches, AS_OF).withColumn("oldest_age_seconds", F.round("oldest_age_seconds", 3))
 
 
+def _mended(records):
+    mended = records.withColumn("line", F.regexp_replace("line", r"\|x\|", "|0|"))
+    return firewall.parse_firewall_lines(mended, AS_OF)
+
+
+@query(
+    "dlq_replay_folder",
+    with_views(
+        "fw",
+        f"""with {DEAD_SQL}, batches as (select error_category, day, batch_no, count(*) as n from numbered group by all)
+select 'routed' as part, cast(sum(n) as bigint) as rows from batches where error_category <> 'validation_error'
+union all select 'archived', count(*) from batches where error_category <> 'validation_error'
+union all select 'left', count(*) from batches where error_category = 'validation_error'""",
+    ),
+)
+def _(spark, sf_dir):
+    """A dead-letter table on disk, replayed twice under one run: the same as replayed once."""
+    root = scratch_dir(spark, "dlq_replay_folder")
+    sinks.dead_letter_batches(
+        failed_rows(spark, sf_dir), batch_size=20, order=["failed_at", "event_id"],
+        identity=F.col("event_id").cast("string"), redact=False,
+    ).write.parquet(f"{root}/dlq")
+    for _ in range(2):
+        sinks.replay_folder(spark, f"{root}/dlq", f"{root}/archive", f"{root}/routed", FIREWALL, _mended, "1")
+    paths = {"routed": f"{root}/routed", "archived": f"{root}/archive/batches", "left": f"{root}/dlq_left"}
+    parts = [
+        (spark.read.json(path) if part == "routed" else spark.read.parquet(path)).agg(F.count("*").alias("rows")).select(F.lit(part).alias("part"), "rows")
+        for part, path in paths.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "dlq_replay",
     with_views(
@@ -504,11 +569,7 @@ def _(spark, sf_dir):
         identity=F.col("event_id").cast("string"), redact=False,
     )
 
-    def reroute(records):
-        mended = records.withColumn("line", F.regexp_replace("line", r"\|x\|", "|0|"))
-        return firewall.parse_firewall_lines(mended, AS_OF)
-
-    outcome = sinks.replay(batches, reroute)
+    outcome = sinks.replay(batches, _mended)
     return outcome.groupBy("error_category").agg(
         F.count("*").alias("batches"),
         F.sum("record_count").alias("records"),

@@ -23,10 +23,23 @@ def rounded(df, *columns):
 
 @query(
     "latest_metrics",
-    with_views("metrics", "select series, name, arg_max(value, ts) as value, max(ts) as ts from metrics group by 1, 2"),
+    with_views("metrics", "select series, name, arg_max(value, (ts, event_id)) as value, max(ts) as ts from metrics group by 1, 2"),
 )
 def _(spark, sf_dir):
-    return metrics.latest_metrics(samples(spark, sf_dir), KEYS)
+    return metrics.latest_metrics(samples(spark, sf_dir), KEYS, "event_id")
+
+
+@query(
+    "latest_metrics_ties",
+    with_views(
+        "metrics",
+        "select series, name, arg_max(value, (date_trunc('day', ts), event_id)) as value, max(date_trunc('day', ts)) as ts from metrics group by 1, 2",
+    ),
+)
+def _(spark, sf_dir):
+    """Many samples of one time: the largest event id decides."""
+    daily = samples(spark, sf_dir).withColumn("ts", F.date_trunc("day", "ts"))
+    return metrics.latest_metrics(daily, KEYS, "event_id")
 
 
 @query(
@@ -198,8 +211,8 @@ def _(spark, sf_dir):
     with_views(
         "metrics",
         """
-select 'health' as part, series as item, arg_max(case when value <= 100 then 1.0 else 0.0 end, ts)::double as value, max(ts) as ts from metrics group by series
-union all select 'metric', name, arg_max(value, ts), max(ts) from metrics group by name
+select 'health' as part, series as item, arg_max(case when value <= 100 then 1.0 else 0.0 end, (ts, event_id))::double as value, max(ts) as ts from metrics group by series
+union all select 'metric', name, arg_max(value, (ts, event_id)), max(ts) from metrics group by name
 union all select * from (select 'alert', name, value, ts from metrics where value > 100 order by ts desc, event_id desc limit 1000) t""",
     ),
 )

@@ -60,6 +60,31 @@ def _(spark, sf_dir):
     return out.withColumn("k", F.variant_get("props", "$.k", "bigint")).drop("props")
 
 
+@query(
+    "transform_map",
+    """select event_id, case event_type when 'view' then 'V' when 'click' then 'C' when 'error' then null else 'other' end as optional,
+  case event_type when 'view' then 'V' when 'click' then 'C' else 'other' end as needed,
+  case when event_type = 'error' then null when user_id < 300 then concat('u', cast(user_id as varchar)) else 'other' end as large
+from events""",
+)
+def _(spark, sf_dir):
+    """Lookups of two and of three hundred entries; an optional null stays null, a required one has the default."""
+    kind = F.col("event_type")
+    raw = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(kind != "error", kind).alias("code"),
+        F.when(kind != "error", F.col("user_id").cast("string")).alias("user"),
+    )
+    few = {"mapping": {"view": "V", "click": "C"}, "default": "other"}
+    many = {"mapping": {str(k): f"u{k}" for k in range(300)}, "default": "other"}
+    rules = [
+        Transform("code", "map", "optional", parameters=few),
+        Transform("code", "map", "needed", required=True, parameters=few),
+        Transform("user", "map", "large", parameters=many),
+    ]
+    return transform_table(raw, rules, ["event_id"]).drop("reason")
+
+
 # ---- data quality --------------------------------------------------------------------------------
 
 DQ_RULES = [
@@ -193,7 +218,21 @@ def _(spark, sf_dir):
         listed, F.lit(', ["key"], 5], "props": '), F.col("props"), F.lit("}"),
     )
     logs = table(spark, sf_dir, "events").select("event_id", text.alias("doc"))
-    return quality.sensitive_values(logs, ["event_id"], "doc", max_depth=3)
+    return quality.sensitive_values(logs, ["event_id"], "doc")
+
+
+@query(
+    "sensitive_scan_deep",
+    "select event_id, 'a.b.c.d.e.f.g.h.i.j.k.note' as path, concat('password of ', event_type) as value, 1 as warnings from events where event_id % 3 = 0",
+)
+def _(spark, sf_dir):
+    """A secret twelve levels down, in every third text."""
+    text = F.concat(F.lit('{"note": "password of '), "event_type", F.lit('"}'))
+    for name in "kjihgfedcba":
+        text = F.concat(F.lit(f'{{"{name}": '), text, F.lit("}"))
+    text = F.when(F.col("event_id") % 3 == 0, text).otherwise(F.lit('{"note": "nothing"}'))
+    logs = table(spark, sf_dir, "events").select("event_id", text.alias("doc"))
+    return quality.sensitive_values(logs, ["event_id"], "doc")
 
 
 # ---- redaction -----------------------------------------------------------------------------------
@@ -210,6 +249,37 @@ def _(spark, sf_dir):
     return redaction.redact_frame(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _masked(name: str) -> str:
+    return f"'{redaction.marker(name)}'"
+
+
+@query(
+    "pii_redact_maps",
+    f"""select event_id, 'by {redaction.marker("email")}' as nested_note, {_masked("email")} as nested_email,
+  ['{redaction.marker("email")}', 'fine'] as listed, {_masked("phone")} as phone, cast(event_id % 7 as varchar) as amount
+from events""",
+)
+def _(spark, sf_dir):
+    """Values of maps are entered like members of structs: structs, lists, and numbers under a personal name."""
+    mail = F.concat(F.lit("a"), F.col("user_id").cast("string"), F.lit("@b.co"))
+    member = F.struct(F.concat(F.lit("by "), mail).alias("note"), mail.alias("email"))
+    rows = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.create_map(F.lit("who"), member).alias("members"),
+        F.create_map(F.lit("who"), F.array(mail, F.lit("fine"))).alias("lists"),
+        F.create_map(F.lit("phone"), F.col("event_id"), F.lit("amount"), F.col("event_id") % 7).alias("numbers"),
+    )
+    out = redaction.redact_frame(rows, ["members", "lists", "numbers"])
+    return out.select(
+        "event_id",
+        F.col("members.who.note").alias("nested_note"),
+        F.col("members.who.email").alias("nested_email"),
+        F.col("lists.who").alias("listed"),
+        F.col("numbers.phone").alias("phone"),
+        F.col("numbers.amount").alias("amount"),
+    )
+
+
 @query(
     "pii_redact_conversations",
     f"select conv_id, turn, role, {_redacted_sql('text')} as text from conversations",
