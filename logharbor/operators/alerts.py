@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logharbor.functions.blocks import AT, Blocks
 from logharbor.functions.timestamps import bin_time, width_seconds
+from logharbor.operators.metrics import histogram_quantile
 from logharbor.specs import AlertCondition
 
 # Equality tolerance, streak limits and notification intervals.
@@ -158,40 +160,89 @@ COUNTER_RULES = (
     CounterRule("DroppedLogsBurst", "dropped_logs_total", "increase", 200.0, "15 minutes", 300, "warning"),
     CounterRule("DroppedLogs", "dropped_logs_total", "increase", 100.0, "15 minutes", 300, "warning"),
 )
-# The shipped conditions on gauges; the first two watch a 95th percentile and a latency.
+# The shipped conditions on gauges.
 GAUGE_RULES = (
-    AlertCondition("LatencyP95High", "processing_latency_p95", 180.0, "gt", 600, "warning"),
     AlertCondition("HighProcessingLatency", "processing_latency_seconds", 300.0, "gt", 300, "warning"),
     AlertCondition("pipeline_lag", "pipeline_lag_seconds", 300.0, "gt", 300, "high"),
     AlertCondition("component_health", "component_health_status", 1.0, "lt", 300, "critical"),
 )
 
 
+@dataclass(frozen=True)
+class QuantileRule:
+    """A quantile of a histogram's growth over `step`, all series together, above a limit for `duration` seconds."""
+
+    name: str
+    metric_name: str
+    quantile: float
+    threshold: float
+    step: str
+    duration: int
+    severity: str
+
+
+# The shipped rule on a histogram.
+QUANTILE_RULE = QuantileRule("LatencyP95High", "processing_latency_seconds_bucket", 0.95, 180.0, "5 minutes", 600, "warning")
+
+
+def sliding_totals(gains: DataFrame, keys: list[str], step: str, every: str) -> DataFrame:
+    """Growth over the last `step` at every look, once per `every`; looks without a gain in reach have no row.
+
+    A gain counts at the looks t with t - step < ts <= t, of which there are step / every, so it is
+    repeated for those and summed up map-side; no window over a series is needed.
+    """
+    width, pace = int(width_seconds(step) * 1_000_000), int(width_seconds(every) * 1_000_000)
+    us = F.unix_micros("ts")
+    first = F.ceil(us / F.lit(pace)).cast("bigint")
+    last = F.ceil((us + width) / F.lit(pace)).cast("bigint") - 1
+    looks = F.when(first <= last, F.sequence(first, last))
+    spread = gains.select(*keys, "gain", F.explode(looks).alias("_look"))
+    totals = spread.groupBy(*keys, "_look").agg(F.sum("gain").alias("total"))
+    return totals.select(*keys, F.timestamp_micros(F.col("_look") * pace).alias("ts"), "total")
+
+
+def sliding_rule_episodes(gains: DataFrame, rules: list[CounterRule], keys: list[str], every: str = "1 minute") -> DataFrame:
+    """Episodes of rules on counters, over a range that slides: judged once per `every`, so no bin edge hides a burst."""
+    judged = []
+    for rule in rules:
+        value = F.col("total") / F.lit(float(width_seconds(rule.step))) if rule.kind == "rate" else F.col("total")
+        points = sliding_totals(gains.where(F.col("name") == rule.metric_name), keys, rule.step, every)
+        judged.append(_judged_points(points.withColumn("value", value), rule, keys))
+    return alert_episodes(reduce(DataFrame.unionByName, judged), keys, "value")
+
+
+def quantile_rule_episodes(gains: DataFrame, rule: QuantileRule, every: str = "1 minute") -> DataFrame:
+    """Episodes of a rule on a quantile; `gains` has name, le, ts and gain of cumulative bucket counters."""
+    grown = sliding_totals(gains.where(F.col("name") == rule.metric_name), ["le"], rule.step, every)
+    points = histogram_quantile(grown.withColumnRenamed("total", "count"), ["ts"], rule.quantile)
+    return alert_episodes(_judged_points(points.withColumnRenamed("quantile", "value"), rule, []), [], "value")
+
+
+def _judged_points(points: DataFrame, rule: CounterRule | QuantileRule, keys: list[str]) -> DataFrame:
+    return points.select(
+        F.lit(rule.name).alias("alert"),
+        F.lit(rule.severity).alias("severity"),
+        F.lit(rule.duration).alias("duration"),
+        *keys,
+        "ts",
+        "value",
+        F.coalesce(F.col("value") > F.lit(float(rule.threshold)), F.lit(False)).alias("holds"),
+    )
+
+
 def counter_rule_episodes(gains: DataFrame, rules: list[CounterRule], keys: list[str]) -> DataFrame:
     """Episodes of rules on counters, judged once per step; `gains` has name, ts and gain.
 
     Each rule reduces its counter to one value per series and step before the timeline is ordered.
     """
-    judged = None
+    judged = []
     for rule in rules:
         total = F.sum("gain")
         value = total / F.lit(float(width_seconds(rule.step))) if rule.kind == "rate" else total
-        points = (
-            gains.where(F.col("name") == rule.metric_name)
-            .groupBy(*keys, bin_time(F.col("ts"), rule.step).alias("ts"))
-            .agg(value.alias("value"))
-            .select(
-                F.lit(rule.name).alias("alert"),
-                F.lit(rule.severity).alias("severity"),
-                F.lit(rule.duration).alias("duration"),
-                *keys,
-                "ts",
-                "value",
-                (F.col("value") > F.lit(float(rule.threshold))).alias("holds"),
-            )
-        )
-        judged = points if judged is None else judged.unionByName(points)
-    return alert_episodes(judged, keys, "value")
+        rows = gains.where(F.col("name") == rule.metric_name)
+        points = rows.groupBy(*keys, bin_time(F.col("ts"), rule.step).alias("ts")).agg(value.alias("value"))
+        judged.append(_judged_points(points, rule, keys))
+    return alert_episodes(reduce(DataFrame.unionByName, judged), keys, "value")
 
 
 def failure_streaks(

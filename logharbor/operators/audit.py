@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logharbor.functions.tagging import computed_once
+
 # Fields of an audit event.
 EVENT_FIELDS = (
     "timestamp", "event_type", "user", "action", "resource", "status", "details", "source_ip",
@@ -95,7 +97,7 @@ def check_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     def verdicts(texts: pd.Series) -> pd.Series:
         return texts.map(judge)
 
-    return lines.withColumn("finding", verdicts(F.col(line)))
+    return computed_once(lines, *[F.col(f"`{c}`") for c in lines.columns if c != "finding"], verdicts(F.col(line)).alias("finding"))
 
 
 def tampered_lines(lines: DataFrame, line: str = "line") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logharbor.operators import alerts, metrics, reports
@@ -303,6 +304,83 @@ def _(spark, sf_dir):
     return alerts.counter_rule_episodes(gained, rules, ["series"]).withColumn("value", F.round("value", 6))
 
 
+# the shipped rules, on the counters and gauges that they name
+_SHIPPED = {"error": "failed_records_total", "click": "processing_errors_total", "view": "dropped_logs_total", "purchase": "processing_latency_seconds", "signup": "pipeline_lag_seconds"}
+_NAMED_SQL = "named as (select * replace (case name {} end as name) from metrics)".format(" ".join(f"when '{k}' then '{v}'" for k, v in _SHIPPED.items()))
+_RUNS_SQL = """marked as (select *, coalesce(lag(holds) over w, false) as held from points window w as (partition by alert, series order by ts, value)),
+runs as (select *, max(case when holds and not held then ts end) over (partition by alert, series order by ts, value) as started_at from marked)
+select alert, series, severity, started_at, min(ts) filter (holds and epoch_us(ts) - epoch_us(started_at) >= duration * 1000000::bigint) as fired_at,
+  min(ts) filter (not holds) as resolved_at
+from runs where holds or held group by 1, 2, 3, 4 having fired_at is not null"""
+
+
+def _sliding_sql(gains: str, keys: str, seconds: int) -> str:
+    """Totals of the gains in (t - seconds, t] at every full minute t."""
+    return f"""(select {keys}, make_timestamp(look * 60000000) as ts, sum(gain) as total from
+    (select *, unnest(range(cast(ceil(epoch_us(ts) / 60000000.0::double) as bigint), cast(ceil((epoch_us(ts) + {seconds * 1000000}) / 60000000.0::double) as bigint))) as look from {gains}) t
+    group by {keys}, look)"""
+
+
+def _shipped_sql() -> str:
+    parts = []
+    for r in alerts.COUNTER_RULES:
+        seconds = {"5 minutes": 300, "15 minutes": 900}[r.step]
+        value = f"total / {float(seconds)}::double" if r.kind == "rate" else "total"
+        rows = f"(select * from gains where name = '{r.metric_name}')"
+        parts.append(
+            f"select '{r.name}' as alert, '{r.severity}' as severity, {r.duration} as duration, series, ts, {value} as value, {value} > {r.threshold}::double as holds from {_sliding_sql(rows, 'series', seconds)} p"
+        )
+    gauges = [
+        f"select '{c.name}', '{c.severity}', {c.duration}, series, ts, value, {_OPS[c.operator].format(f'{c.threshold}::double')} from named where name = '{c.metric_name}'"
+        for c in alerts.GAUGE_RULES
+    ]
+    return f"{_NAMED_SQL}, {GAINS.replace('from metrics', 'from named')}, points as ({' union all '.join(parts + gauges)}), {_RUNS_SQL}"
+
+
+@query("shipped_alert_rules", with_views("metrics", f"with {_shipped_sql()}"))
+def _(spark, sf_dir):
+    """Every shipped rule on counters and gauges, the counters over ranges that slide by a minute."""
+    renamed = F.create_map(*[F.lit(x) for pair in _SHIPPED.items() for x in pair])[F.col("name")]
+    named = samples(spark, sf_dir).withColumn("name", renamed)
+    gained = metrics.sample_gains(named, KEYS, "event_id")
+    on_counters = alerts.sliding_rule_episodes(gained, list(alerts.COUNTER_RULES), ["series"])
+    judged = alerts.apply_conditions(named, list(alerts.GAUGE_RULES))
+    on_gauges = alerts.alert_episodes(judged, ["series"], "value")
+    columns = ["alert", "series", "severity", "started_at", "fired_at", "resolved_at"]
+    return on_counters.select(*columns).unionByName(on_gauges.select(*columns))
+
+
+_BOUNDS = (60.0, 120.0, 180.0, 240.0, float("inf"))
+
+
+@query(
+    "quantile_alert_rule",
+    with_views(
+        "metrics",
+        f"""with seen as (select *, row_number() over (partition by series order by ts, event_id) as nth from metrics),
+bounds as (select unnest([60.0::double, 120.0::double, 180.0::double, 240.0::double, 'inf'::double]) as le),
+gains as (select le, ts, case when nth > 1 and value * 3 <= le then 1.0::double else 0.0::double end as gain from seen, bounds),
+grown as {_sliding_sql("gains", "le", 300)},
+ranked as (select ts, le, total, 0.95::double * max(total) over (partition by ts) as rank from grown),
+hits as (select ts, rank, min(le) filter (total >= rank) as le, arg_min(total, le) filter (total >= rank) as total,
+    coalesce(max(le) filter (total < rank), 0) as low, coalesce(max(total) filter (total < rank), 0) as base from ranked group by ts, rank),
+points as (select 'LatencyP95High' as alert, 'warning' as severity, 600 as duration, '' as series, ts,
+    case when rank <= 0 then null when le = 'inf'::double then 240.0::double else low + (le - low) * coalesce((rank - base) / nullif(total - base, 0), 0) end as value from hits),
+judged as (select * replace (coalesce(value > 180, false) as holds) from (select *, false as holds from points)),
+{_RUNS_SQL.replace("from points window", "from judged window").replace("alert, series, severity,", "alert, severity,").replace("group by 1, 2, 3, 4", "group by 1, 2, 3")}""",
+    ),
+)
+def _(spark, sf_dir):
+    """The 95th percentile of a histogram whose bucket counters grow with every sample."""
+    order = Window.partitionBy("series").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    latency = samples(spark, sf_dir).withColumn("value", F.col("value") * 3)
+    rows = [F.struct(F.lit(b).alias("le"), F.count_if(F.col("value") <= b).over(order).cast("double").alias("value")) for b in _BOUNDS]
+    counters = latency.select("event_id", "series", "ts", F.array(*rows).alias("b")).select("event_id", "series", "ts", F.inline("b"))
+    counters = counters.withColumn("name", F.lit(alerts.QUANTILE_RULE.metric_name))
+    gained = metrics.sample_gains(counters, ["series", "name", "le"], "event_id")
+    return alerts.quantile_rule_episodes(gained, alerts.QUANTILE_RULE).drop("value")
+
+
 @query(
     "alert_notifications",
     with_views(
