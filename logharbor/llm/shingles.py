@@ -26,7 +26,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    if n > len(_POWERS.get(base, ())):
+    if base not in _POWERS or n > len(_POWERS[base]):
         out = np.full(max(n, min(2 * n, _KEPT)), base, np.uint64)
         out[:1] = 1
         out = np.multiply.accumulate(out)
