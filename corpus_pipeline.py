@@ -53,8 +53,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the remaining texts, and whether decoding gives the tokens' texts back (it always should)."""
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")))
+    """Token ids of the remaining texts, and digests of the ids and of the decoded text."""
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), decoded="decoded")
     return coded.select(
         "doc_id",
         "lang",

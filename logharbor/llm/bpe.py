@@ -255,23 +255,44 @@ def _shipped(df: DataFrame, tokenizer: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(df: DataFrame, text_col: str = "text", out: str = "token_ids", tokenizer: str = TOKENIZER) -> DataFrame:
+def packed_ids(bpe: Bpe, texts: pa.Array) -> pa.ListArray:
+    packed = [bpe.encode(text) for text in texts.to_pylist()]
+    offsets = np.cumsum([0, *map(len, packed)]) // 4
+    ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids)
+
+
+def spelled(names: list[str | None], lists: pa.ListArray) -> pa.StringArray:
+    ids, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names)))
+    named = pc.take(pa.array(names), pc.if_else(known, ids, None))
+    offsets -= offsets[0]
+    if named.null_count:
+        offsets = np.concatenate([[0], np.cumsum(named.is_valid().to_numpy(zero_copy_only=False))])[offsets]
+        named = named.drop_null()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), named), " ")
+
+
+def encode(
+    df: DataFrame, text_col: str = "text", out: str = "token_ids", tokenizer: str = TOKENIZER, decoded: str | None = None
+) -> DataFrame:
     """The table with the ids of each whole text in a new column; null and empty texts have no ids.
 
-    Rows are encoded one by one, so repeated rows and ties do not matter; an empty table stays empty.
-    Other columns are passed on; one that is named `out` is replaced. Texts are normalised and split as
-    the tokenizer file says, and special tokens written out in a text become their ids.
+    With `decoded`, the same pass decodes the ids into a column of that name. Rows are encoded one by
+    one, so repeated rows and ties do not matter; an empty table stays empty. Other columns are passed
+    on; one that is named like a new one is replaced. Texts are normalised and split as the tokenizer
+    file says, and special tokens written out in a text become their ids.
     """
     spec = _shipped(df, tokenizer)
+    if decoded is None:
+        return df.withColumn(out, arrow_column(lambda texts: packed_ids(loaded(spec.value), texts), "array<int>")(whole_text(text_col)))
 
-    def work(texts: pa.Array) -> pa.Array:
-        bpe = loaded(spec.value)
-        packed = [bpe.encode(text) for text in texts.to_pylist()]
-        offsets = np.cumsum([0, *map(len, packed)]) // 4
-        ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids)
+    def both(texts: pa.Array) -> pa.Array:
+        ids = packed_ids(loaded(spec.value), texts)
+        return pa.StructArray.from_arrays([ids, spelled(vocabulary(spec.value), ids)], ["ids", "decoded"])
 
-    return df.withColumn(out, arrow_column(work, "array<int>")(whole_text(text_col)))
+    coded = df.withColumn("__coded", arrow_column(both, "struct<ids: array<int>, decoded: string>")(whole_text(text_col)))
+    return coded.withColumns({out: F.col("__coded.ids"), decoded: F.col("__coded.decoded")}).drop("__coded")
 
 
 def decode(df: DataFrame, ids_col: str = "token_ids", out: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -281,19 +302,8 @@ def decode(df: DataFrame, ids_col: str = "token_ids", out: str = "decoded", toke
     are left out; null and empty lists give an empty text. A column named `out` is replaced.
     """
     spec = _shipped(df, tokenizer)
-
-    def work(lists: pa.Array) -> pa.Array:
-        names = pa.array(vocabulary(spec.value))
-        ids, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
-        named = pc.take(names, pc.if_else(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names))), ids, None))
-        offsets -= offsets[0]
-        if named.null_count:
-            offsets = np.concatenate([[0], np.cumsum(named.is_valid().to_numpy(zero_copy_only=False))])[offsets]
-            named = named.drop_null()
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), named), " ")
-
     lists = F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>"))
-    return df.withColumn(out, arrow_column(work, "string", 1 << 20)(lists))
+    return df.withColumn(out, arrow_column(lambda ids: spelled(vocabulary(spec.value), ids), "string")(lists))
 
 
 _NAMES: dict[str, list[str | None]] = {}
@@ -314,7 +324,7 @@ def vocabulary(spec: str) -> list[str | None]:
 
 def digest_rows(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", whole_text("text").alias("text"))
-    coded = decode(encode(texts).drop("text"))
+    coded = encode(texts, decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

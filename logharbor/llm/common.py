@@ -56,7 +56,7 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch | None])
     return run
 
 
-def arrow_column(work: Callable[[pa.Array], pa.Array], kind: str, limit: int = 8 << 20) -> Callable[[Column], Column]:
+def arrow_column(work: Callable[[pa.Array], pa.Array], kind: str, limit: int = SLICE) -> Callable[[Column], Column]:
     """A function of one column, applied to about `limit` bytes of its values at a time."""
 
     @F.arrow_udf(kind)
@@ -67,7 +67,7 @@ def arrow_column(work: Callable[[pa.Array], pa.Array], kind: str, limit: int = 8
     return apply
 
 
-def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold about `limit` bytes; a longer text is a run of its own."""
     values = batch.column(column)
     sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)

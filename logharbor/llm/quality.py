@@ -132,7 +132,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", out: str = "statist
         return pa.StructArray.from_arrays(columns, list(STATISTICS))
 
     kind = "struct<" + ", ".join(f"{name}: double" for name in STATISTICS) + ">"
-    return docs.withColumn(out, arrow_column(work, kind, 4 << 20)(whole_text(text_col)))
+    return docs.withColumn(out, arrow_column(work, kind)(whole_text(text_col)))
 
 
 @dataclass(frozen=True)

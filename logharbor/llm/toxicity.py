@@ -89,26 +89,35 @@ def fit(number: np.ndarray, owner: np.ndarray, toxic: np.ndarray, prior: float)
     """Minimise the non-negative risk with logistic loss by Adam, with a lasso step after each.
 
     risk = prior * mean over toxic of loss(z) + max(0, mean over unlabelled of loss(-z) - prior * mean
-    over toxic of loss(-z)). Where the second part is negative, the step goes against it instead.
+    over toxic of loss(-z)). Where the second part is negative, the step goes against it instead. Entries
+    (`number`, `owner`) come ordered by text.
     """
     n = len(toxic)
     texts_with = np.bincount(number, minlength=BUCKETS)
     active = np.flatnonzero((texts_with >= LEAST_TEXTS) & (texts_with <= 0.5 * n))
-    place = np.full(BUCKETS, -1)
+    if not len(active):
+        return Model(float(np.log(prior / (1 - prior))), np.zeros(BUCKETS, np.float32))
+    place = np.full(BUCKETS, -1, np.int32)
     place[active] = np.arange(len(active))
-    keep = place[number] >= 0
-    column, row = place[number[keep]], owner[keep]
+    column, row = place[number], owner.astype(np.int32)
+    column, row = column[column >= 0], row[column >= 0]
+    # the entries by text for scores, and by feature for the gradient
+    by_feature = row[np.argsort(column, kind="stable")]
+    feature_starts = np.concatenate([[0], np.cumsum(np.bincount(column, minlength=len(active)))[:-1]])
+    filled, text_starts = np.unique(row, return_index=True)
+    del row, number, owner
     weights, bias = np.zeros(len(active)), float(np.log(prior / (1 - prior)))
     moment, square = np.zeros(len(active) + 1), np.zeros(len(active) + 1)
     share_p, share_u = prior * toxic / toxic.sum(), ~toxic / (~toxic).sum()
     for step in range(1, STEPS + 1):
-        z = bias + np.bincount(row, weights[column], n)
+        z = np.full(n, bias)
+        z[filled] += np.add.reduceat(weights[column], text_starts)
         p = sigmoid(z)
         clean_loss = np.logaddexp(0, z)
         clean_risk = (share_u - share_p) @ clean_loss
         slope = (share_u - share_p) * p  # of the part that stands for clean texts
         slope = slope - share_p * (1 - p) if clean_risk >= 0 else -slope
-        gradient = np.append(np.bincount(column, slope[row], len(active)) + RIDGE * weights, slope.sum())
+        gradient = np.append(np.add.reduceat(slope[by_feature], feature_starts) + RIDGE * weights, slope.sum())
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         rate = RATE / (np.sqrt(square / (1 - 0.999**step)) + 1e-6)
@@ -122,7 +131,7 @@ def fit(number: np.ndarray, owner: np.ndarray, toxic: np.ndarray, prior: float)
 
 def _listed(batch: pa.RecordBatch) -> pa.Table:
     tables = []
-    for part in text_slices(batch, "content", 2 << 20):
+    for part in text_slices(batch, "content"):
         number, owner = distinct_features(part.column("content"))
         offsets = pa.array(np.searchsorted(owner, np.arange(len(part) + 1)).astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(number.astype(np.int32)))
@@ -154,8 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unla
     if not toxic.any() or toxic.all():
         return nothing
     lists = table.column("features").combine_chunks()
-    owner = np.repeat(np.arange(len(toxic)), np.diff(lists.offsets.to_numpy()))
-    return fit(lists.flatten().to_numpy().astype(np.int64), owner, toxic, prior)
+    owner = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    return fit(lists.flatten().to_numpy(), owner, toxic, prior)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "toxicity") -> DataFrame:
@@ -169,7 +178,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "tox
     def work(texts: pa.Array) -> pa.Array:
         return pa.array(sigmoid(shipped.value.logits(texts)))
 
-    return docs.withColumn(out, arrow_column(work, "double", 4 << 20)(whole_text(text_col)))
+    return docs.withColumn(out, arrow_column(work, "double")(whole_text(text_col)))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
