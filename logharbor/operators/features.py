@@ -163,16 +163,22 @@ def flag_anomalies(scaled: DataFrame, columns: list[str], threshold: float = ANO
 
 
 def strong_correlations(df: DataFrame, columns: list[str], limit: float = 0.7) -> DataFrame:
-    """Pairs of features with |Pearson| over the limit, from one aggregation; constants are left out."""
+    """Pairs of features with |Pearson| over the limit; constants are left out.
+
+    The means come first, as a scalar subquery; then one aggregation sums the products of the centred
+    values, of rows where both are present, in plain sums that stay inside generated code.
+    """
+    mean = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("m")).scalar()
+    centred = df.select(*columns).withColumn("_m", mean).select(*[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in columns])
     pairs = [(a, b) for a in columns for b in columns if a < b]
-    totals = df.agg(
-        *[F.stddev_pop(c).alias(f"_d_{c}") for c in columns],
-        *[F.covar_pop(a, b).alias(f"_c_{a}_{b}") for a, b in pairs],
+    totals = centred.agg(
+        *[F.sum(F.col(c) * F.col(c)).alias(f"_d_{c}") for c in columns],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"_c_{a}_{b}") for a, b in pairs],
     )
     rows = [
         F.struct(
             F.lit(f"{a}_{b}").alias("pair"),
-            F.try_divide(F.col(f"_c_{a}_{b}"), F.col(f"_d_{a}") * F.col(f"_d_{b}")).alias("correlation"),
+            F.try_divide(F.col(f"_c_{a}_{b}"), F.sqrt(F.col(f"_d_{a}")) * F.sqrt(F.col(f"_d_{b}"))).alias("correlation"),
         )
         for a, b in pairs
     ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,9 +38,21 @@ def _regex(kind: str, pattern: str) -> str:
     return f"(?U){_STARTS[kind]}(?:{pattern})" if known and kind in _STARTS else f"(?U){pattern}"
 
 
+#: Patterns that need a digit, next to each other in the order they are applied.
+_NUMERIC = ("phone", "ssn", "credit_card", "ipv4")
+
+
 def _may_match(kind: str, pattern: str, text: Column) -> Column:
-    """False where a plain substring test already rules the pattern out."""
-    return text.contains("@") if kind == "email" and PII_PATTERNS[kind] == pattern else F.lit(True)
+    """False where a plain test already rules the pattern out."""
+    if PII_PATTERNS.get(kind) != pattern:
+        return F.lit(True)
+    if kind == "email":
+        return text.contains("@")
+    return _has_digit(text) if kind in _NUMERIC else F.lit(True)
+
+
+def _has_digit(text: Column) -> Column:
+    return text.rlike(r"(?U)\d")
 
 
 # A field whose lower-case name contains one of these holds personal data.
@@ -60,10 +73,22 @@ def is_pii_name(name: str) -> bool:
 
 
 def redact_text(text: Column, patterns: dict[str, str] | None = None) -> Column:
-    """Text with every pattern match replaced by its marker, pattern after pattern."""
+    """Text with every pattern match replaced by its marker, pattern after pattern.
+
+    Markers hold no digit, so one look at the text decides for all numeric patterns.
+    """
+    source, plain = text, patterns is None
+
+    def replaced(value: Column, kind: str) -> Column:
+        return F.regexp_replace(value, _regex(kind, (patterns or PII_PATTERNS)[kind]), marker(kind))
+
     for kind, pattern in (patterns or PII_PATTERNS).items():
-        replaced = F.regexp_replace(text, _regex(kind, pattern), marker(kind))
-        text = F.when(_may_match(kind, pattern, text), replaced).otherwise(text)
+        if plain and kind in _NUMERIC:
+            if kind == _NUMERIC[0]:
+                numeric = reduce(replaced, _NUMERIC, text)
+                text = F.when(_has_digit(source), numeric).otherwise(text)
+            continue
+        text = F.when(_may_match(kind, pattern, text), replaced(text, kind)).otherwise(text)
     return text
 
 
