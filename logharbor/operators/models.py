@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from typing import Any
+
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -35,6 +38,19 @@ def score_priority(rows: DataFrame, model: PipelineModel | None = None) -> DataF
     )
 
 
+def score_with(rows: DataFrame, columns: list[str], model: Any) -> DataFrame:
+    """Adds `priority_score` from a model of the user's own, an object with `predict` over a table of features.
+
+    The object is sent to the workers and sees one Arrow batch at a time.
+    """
+
+    @F.pandas_udf("double")
+    def scores(features: pd.DataFrame) -> pd.Series:
+        return pd.Series(model.predict(features[columns])).astype("float64")
+
+    return rows.withColumn("priority_score", scores(F.struct(*columns)))
+
+
 def refresh_model(
     labelled: DataFrame, columns: list[str], path: str | None = None, min_rows: int = REFRESH_ROWS, label: str = "label"
 ) -> PipelineModel | None:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logharbor.functions.blocks import AT, Blocks, running_number, salted_join
 from logharbor.operators.features import MISSING_PRIORITY
@@ -19,10 +22,18 @@ URGENT = 0.8
 
 
 def _group_sizes(features: DataFrame, columns: list[str], ts: str, tie: str) -> DataFrame:
-    """Size and first row of every group of equal features, written once for the uses that follow."""
+    """Size and first row of every group of equal features, written once for the uses that follow.
+
+    Fractional values are refused: closer than the radius no longer means equal then.
+    """
     sizes = features.groupBy(*columns).agg(F.count("*").alias("size"), F.min(F.struct(ts, tie)).alias("_at_first"))
     place = F.col("_at_first")
-    return cut_lineage(sizes.select(*columns, "size", place[ts].alias("_first"), place[tie].alias("_tie")))
+    sizes = cut_lineage(sizes.select(*columns, "size", place[ts].alias("_first"), place[tie].alias("_tie")))
+    numeric = [f.name for f in sizes.select(*columns).schema if isinstance(f.dataType, T.NumericType)]
+    parts = [F.coalesce(F.col(c) != F.floor(c), F.lit(False)) for c in numeric]
+    if parts and not sizes.where(reduce(Column.__or__, parts)).isEmpty():
+        raise ValueError("clusters are groups of equal rows only for whole-numbered features")
+    return sizes
 
 
 def _number_clusters(sizes: DataFrame, columns: list[str], min_size: int) -> DataFrame:

@@ -147,6 +147,20 @@ def _(spark, sf_dir):
     return patterns.label_clusters(rows, CLUSTER_COLUMNS, "ts", "event_id").select("event_id", "cluster")
 
 
+@query(
+    "log_cluster_table",
+    with_views(
+        "applog",
+        f"""with {FEATURE_SQL},
+sizes as (select {', '.join(CLUSTER_COLUMNS)}, count(*) as size, min((ts, event_id)) as first_row from features group by all having count(*) >= 5)
+select {', '.join(CLUSTER_COLUMNS)}, size, row_number() over (order by first_row) - 1 as cluster from sizes""",
+    ),
+)
+def _(spark, sf_dir):
+    rows = feature_rows(spark, sf_dir).select("event_id", "ts", *CLUSTER_COLUMNS)
+    return patterns.cluster_table(rows, CLUSTER_COLUMNS, "ts", "event_id")
+
+
 # ---- sequences -----------------------------------------------------------------------------------
 
 SEQ_SQL = """items as (
@@ -287,6 +301,13 @@ def document_features(spark, sf_dir):
     )
 
 
+class LongFirst:
+    """Longer documents first, up to a thousand characters."""
+
+    def predict(self, features):
+        return (features["n_chars"] / 1000.0).clip(upper=1.0)
+
+
 def labelled_documents(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     return document_features(spark, sf_dir).join(labels, "doc_id")
@@ -299,6 +320,16 @@ def _(spark, sf_dir):
     return scored.select("doc_id", F.round("priority_score", 6).alias("priority_score"))
 
 
+@query(
+    "priority_score_own_model",
+    "select doc_id, round(least(n_chars / 1000.0::double, 1.0::double), 6) as priority_score from documents",
+)
+def _(spark, sf_dir):
+    """A model of the user's own: any object with `predict` over a table of the features."""
+    scored = models.score_with(document_features(spark, sf_dir), DOC_COLUMNS, LongFirst())
+    return scored.select("doc_id", F.round("priority_score", 6).alias("priority_score"))
+
+
 @query("priority_score_default", "select doc_id, 1.0::double as priority_score from documents")
 def _(spark, sf_dir):
     return models.score_priority(document_features(spark, sf_dir)).select("doc_id", "priority_score")

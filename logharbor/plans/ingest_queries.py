@@ -114,6 +114,38 @@ def _(spark, sf_dir):
     return manifest.file_outcomes(tagged).select("path", "rows", "bad_rows", "status")
 
 
+@query(
+    "outcome_summary",
+    with_views(
+        "fw",
+        """
+with files as (select cast(TimeGenerated as date) as day, count(*) filter (event_id % 17 = 0) as bad from fw group by 1)
+select count(*) as total_files, count(*) filter (bad = 0) as successful_files, count(*) filter (bad > 0) as failed_files,
+  count(*) * 100 as total_bytes, count(*) filter (bad = 0)::double / count(*) as success_rate from files""",
+    ),
+)
+def _(spark, sf_dir):
+    """Totals over one object of a hundred bytes per day."""
+    reason = F.when(F.col("event_id") % 17 == 0, F.lit("bad"))
+    rows = view(spark, sf_dir, "fw").select(F.to_date("TimeGenerated").cast("string").alias("path"), F.lit(100).cast("bigint").alias("size"), reason.alias("reason"))
+    return manifest.outcome_summary(manifest.file_outcomes(rows))
+
+
+@query(
+    "expired_partitions",
+    with_views(
+        "fw",
+        "select cast(TimeGenerated as date) as day, count(*) as rows from fw where TimeGenerated >= timestamp '2024-01-11 00:00:00' group by 1",
+    ),
+)
+def _(spark, sf_dir):
+    """Days left of a routed table after those older than twenty days are deleted."""
+    path = scratch_dir(spark, "expired_partitions")
+    sinks.write_routed(view(spark, sf_dir, "fw").select("TimeGenerated", "event_id"), path, FIREWALL, fmt="parquet")
+    sinks.expire_partitions(spark, path, AS_OF, 20)
+    return spark.read.parquet(path).groupBy("day").agg(F.count("*").alias("rows"))
+
+
 @query(
     "json_ingest",
     """select event_id, cast(json_extract(props, '$.k') as bigint) as k from events

@@ -8,6 +8,7 @@ from logharbor.operators import access, audit, encryption, quality, redaction
 from logharbor.operators.transform import Transform, transform_table
 from logharbor.plans.fixtures import AS_OF, table, view, with_views
 from logharbor.plans.registry import query
+from logharbor.session import scratch_dir
 
 # ---- transforms ----------------------------------------------------------------------------------
 
@@ -405,6 +406,17 @@ def _(spark, sf_dir):
     )
 
 
+@query("table_key_rotation", "select c_custkey, c_name, c_mktsegment from customer")
+def _(spark, sf_dir):
+    """An encrypted table rewritten under a new key and opened with it."""
+    old, new = (F.unhex(F.sha2(F.lit(name), 256)) for name in ("first key", "second key"))
+    columns, root = ["c_name", "c_mktsegment"], scratch_dir(spark, "table_key_rotation")
+    plain = table(spark, sf_dir, "customer").select("c_custkey", *columns)
+    encryption.encrypt_columns(plain, columns, old).write.parquet(f"{root}/old")
+    encryption.rotate_table(spark, f"{root}/old", f"{root}/new", columns, old, new)
+    return encryption.decrypt_columns(spark.read.parquet(f"{root}/new"), columns, new)
+
+
 # ---- access --------------------------------------------------------------------------------------
 
 GRANTS_SQL = "grants as (select * from (values {}) g(role, permission))".format(

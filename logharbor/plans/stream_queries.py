@@ -164,11 +164,13 @@ def _(spark, sf_dir):
     events = alerts.alert_events(stream_view(spark, sf_dir, "metrics"), CONDITIONS, "event_id")
     root = scratch_dir(spark, "alert_table")
 
-    def append(batch: DataFrame, epoch: int) -> None:
+    write = alerts.alert_writer(f"{root}/alerts")
+
+    def twice(batch: DataFrame, epoch: int) -> None:
         for _ in range(2):
-            alerts.append_alerts(batch, epoch, f"{root}/alerts")
+            write(batch, epoch)
 
-    events.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(append).trigger(
+    events.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(twice).trigger(
         availableNow=True
     ).start().awaitTermination()
     return spark.read.parquet(f"{root}/alerts").groupBy("alert", "event").agg(F.count("*").alias("rows"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -85,3 +85,26 @@ def alert_events(
 def append_alerts(events: DataFrame, epoch: int, path: str) -> None:
     """Alert rows of one micro-batch as a folder of its epoch; a repeated epoch overwrites it."""
     events.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def alert_writer(path: str, handlers: Sequence[Callable[[DataFrame], None]] = ()) -> Callable[[DataFrame, int], None]:
+    """A function for foreachBatch: append the alert rows, then give what was written to each handler.
+
+    A handler that fails does not keep the others from running, nor the batch from being committed: its
+    error goes to `<path>_errors`, in the folder of the epoch. Handlers see a repeated epoch again.
+    """
+
+    def write(events: DataFrame, epoch: int) -> None:
+        append_alerts(events, epoch, path)
+        rows = events.sparkSession.read.schema(EVENTS).parquet(f"{path}/epoch={epoch}")
+        errors = []
+        for handler in handlers:
+            try:
+                handler(rows)
+            except Exception as error:
+                errors.append((getattr(handler, "__name__", type(handler).__name__), type(error).__name__, str(error)))
+        if errors:
+            failed = events.sparkSession.createDataFrame(errors, "handler string, error_type string, error string")
+            failed.write.mode("overwrite").parquet(f"{path}_errors/epoch={epoch}")
+
+    return write

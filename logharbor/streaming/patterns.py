@@ -39,21 +39,17 @@ def _row(pattern: str, frequency: int, last_ms: int, forgotten: bool) -> pd.Data
 
 
 def _combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per pattern of a partition: its rows and its newest time."""
-    kept = None
+    """One row per pattern of an Arrow batch: its rows and its newest time."""
     for frame in frames:
-        part = frame.assign(rows=1) if kept is None else pd.concat([kept, frame.assign(rows=1)])
-        kept = part.groupby("pattern", as_index=False).agg({"rows": "sum", "ts": "max"})
-    if kept is not None:
-        yield kept
+        yield frame.assign(rows=1).groupby("pattern", as_index=False).agg({"rows": "sum", "ts": "max"})[["pattern", "rows", "ts"]]
 
 
 def running_pattern_counts(hashed: DataFrame, ttl_seconds: int = 86_400, late: str = "10 minutes") -> DataFrame:
     """After each micro-batch, the count so far of every pattern in it.
 
     `hashed` is a stream with `pattern` and `ts`. A pattern unseen for `ttl_seconds` of event time is
-    dropped from the state with a last row marked `forgotten`. Partitions combine their rows first,
-    so a pattern that fills a third of the stream still reaches its task as one row per partition.
+    dropped from the state with a last row marked `forgotten`. Batches combine their rows first, so
+    a pattern that fills a third of the stream reaches its task as one row per Arrow batch, and nothing is held.
     """
     rows = hashed.select("pattern", "ts").where("pattern is not null")
     rows = rows.mapInPandas(_combine, "pattern string, rows long, ts timestamp").withWatermark("ts", late)

@@ -5,12 +5,13 @@ import hashlib
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from logharbor.operators import alerts, audit, features, metrics, patterns, reports, sinks
 from logharbor.specs import FIREWALL, AlertCondition
 from logharbor.streaming import ingest
-from logharbor.streaming.alerts import alert_events, append_alerts
+from logharbor.streaming.alerts import EVENTS, alert_events, alert_writer, append_alerts
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -316,3 +317,27 @@ def test_ties_do_not_depend_on_the_order_of_the_input(spark):
         assert {r.k: r.value for r in metrics.latest_metrics(frame, ["k"], "tie").collect()} == {"a": 6.0, "b": 11.0}
         labels = patterns.cluster_table(spark.createDataFrame(order, schema), ["k", "value"], "ts", "tie")
         assert {r.k: r.cluster for r in labels.collect()} == {"a": 0, "b": 1}
+
+
+def test_alert_handlers_see_what_was_written_and_may_fail(spark, tmp_path):
+    seen = []
+
+    def count(rows):
+        seen.append(rows.count())
+
+    def broken(rows):
+        raise RuntimeError("no route")
+
+    events = spark.createDataFrame([("a", "s", "high", "fired", at(0), 1.0)], EVENTS)
+    write = alert_writer(str(tmp_path / "alerts"), [broken, count])
+    for _ in range(2):
+        write(events, 4)
+    assert seen == [1, 1] and spark.read.parquet(str(tmp_path / "alerts")).count() == 1
+    errors = spark.read.parquet(str(tmp_path / "alerts_errors")).collect()
+    assert [(r.handler, r.error_type, r.error) for r in errors] == [("broken", "RuntimeError", "no route")]
+
+
+def test_fractional_features_are_not_clustered_by_equality(spark):
+    frame = spark.createDataFrame([(1, at(0), 0.5)] * 6, "id int, ts timestamp, x double")
+    with pytest.raises(ValueError, match="whole-numbered"):
+        patterns.cluster_table(frame, ["x"], "ts", "id")
