@@ -23,11 +23,14 @@ SHORT_ESCAPES = {"0022": '\\"', "005C": "\\\\", "000A": "\\n", "000D": "\\r", "0
 
 
 def _json_text(text: Column) -> Column:
-    """A string as a JSON literal in ASCII, as the hash is taken over; most need no escapes."""
+    """A string as a JSON literal in ASCII, as the hash is taken over; most need few escapes or none."""
     plain = text.rlike(r"^[ !#-\[\]-~]*\z")
-    printable = text.rlike(r"^[ -~]*\z")
-    quoted = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    body = F.when(plain, text).when(printable, quoted).otherwise(_escaped(text))
+    short = text.rlike(r"^[ -~\x08\t\n\f\r]*\z")
+    quoted = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for code, escape in SHORT_ESCAPES.items():
+        if code != "005C":  # the backslash comes first
+            quoted = F.replace(quoted, F.lit(chr(int(code, 16))), F.lit(escape))
+    body = F.when(plain, text).when(short, quoted).otherwise(_escaped(text))
     return F.when(text.isNull(), "null").otherwise(F.concat(F.lit('"'), body, F.lit('"')))
 
 
