@@ -12,6 +12,7 @@ import json
 import re
 import struct
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from logharbor.llm.common import arrow_column, whole_text
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Words and token pairs whose answer a worker keeps; beyond that it starts over.
-KEPT_WORDS, KEPT_PAIRS, KEPT_WORD_CHARS = 300_000, 500_000, 48
+KEPT_WORDS, KEPT_PAIRS, KEPT_WORD_CHARS = 200_000, 250_000, 48
 NEVER = 1 << 60
 
 
@@ -83,7 +84,7 @@ class Bpe:
 
     def __init__(self, spec: str):
         model = json.loads(spec)
-        self.library = Tokenizer.from_str(spec)
+        self.spec = spec
         self.specials = {t["content"]: t["id"] for t in model["added_tokens"]}
         ids: dict[str, int] = model["model"]["vocab"]
         self.end = model["model"]["end_of_word_suffix"]
@@ -109,6 +110,8 @@ class Bpe:
             # a token counts only if its own text is encoded as that one token
             if left in symbols and right in symbols and self._apart(left, right, self.rank[made]):
                 symbols[made] = symbols[left] + symbols[right]
+        self.tails.clear()
+        self.heads.clear()
         self.automaton = SuffixAutomaton(symbols)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words, self.named = Words(self, byte_names()), Words(self, None)
@@ -154,6 +157,11 @@ class Bpe:
             answer = self.pairs[left, right] = self._apart(left, right)
         return answer
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The file's own rules, for texts in scripts other than Latin."""
+        return Tokenizer.from_str(self.spec)
+
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-token, given in the file's byte characters."""
         base, sam = self.base, self.automaton

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 from logharbor.session import prepare, scratch_dir
 
 #: Rows of one Arrow batch; texts are long, so batches are smaller than Spark's default.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 #: Bytes of text that are worked on at a time, so that the arrays stay in the processor's cache.
-SLICE = 1 << 19
+SLICE = 1 << 18
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -45,6 +46,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def hand_back() -> None:
+    """Give freed memory back to the system: workers are reused, and what one job held the next one does not need."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def by_batch(work: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch | None]) -> Callable:
     """A function for mapInArrow that treats each batch on its own; it may return nothing."""
 
@@ -52,6 +63,8 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch | None])
         for batch in batches:
             if batch.num_rows and (out := work(batch)) is not None:
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+            del batch
+            hand_back()
 
     return run
 
@@ -62,7 +75,9 @@ def arrow_column(work: Callable[[pa.Array], pa.Array], kind: str, limit: int = S
     @F.arrow_udf(kind)
     def apply(values: pa.Array) -> pa.Array:
         batch = pa.record_batch({"value": values})
-        return pa.concat_arrays([work(part.column("value")) for part in text_slices(batch, "value", limit)])
+        out = pa.concat_arrays([work(part.column("value")) for part in text_slices(batch, "value", limit)])
+        hand_back()
+        return out
 
     return apply
 
