@@ -350,7 +350,7 @@ def _(spark, sf_dir):
     return on_counters.select(*columns).unionByName(on_gauges.select(*columns))
 
 
-_BOUNDS = (60.0, 120.0, 180.0, 240.0, float("inf"))
+_LATENCY_BOUNDS = (60.0, 120.0, 180.0, 240.0, float("inf"))
 
 
 @query(
@@ -374,7 +374,7 @@ def _(spark, sf_dir):
     """The 95th percentile of a histogram whose bucket counters grow with every sample."""
     order = Window.partitionBy("series").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     latency = samples(spark, sf_dir).withColumn("value", F.col("value") * 3)
-    rows = [F.struct(F.lit(b).alias("le"), F.count_if(F.col("value") <= b).over(order).cast("double").alias("value")) for b in _BOUNDS]
+    rows = [F.struct(F.lit(b).alias("le"), F.count_if(F.col("value") <= b).over(order).cast("double").alias("value")) for b in _LATENCY_BOUNDS]
     counters = latency.select("event_id", "series", "ts", F.array(*rows).alias("b")).select("event_id", "series", "ts", F.inline("b"))
     counters = counters.withColumn("name", F.lit(alerts.QUANTILE_RULE.metric_name))
     gained = metrics.sample_gains(counters, ["series", "name", "le"], "event_id")
