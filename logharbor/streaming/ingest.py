@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,27 +42,26 @@ class IngestPaths:
 def route_batch(
     tagged: DataFrame, epoch: int, paths: IngestPaths, spec, category: Callable[[Exception], Column], write: Writer
 ) -> None:
-    """Write one micro-batch in a single pass; if the write fails, keep every row of it.
+    """Write one micro-batch; if the write fails, keep every row of it.
 
     Accepted rows then become dead letters, and quarantined ones go to a folder of their own. Every
     output is a folder of the epoch that a repeated epoch overwrites, the metrics of the batch included.
+    The parsed batch is kept for its uses, so it is parsed once.
     """
     status = F.when(F.col(REASON).isNull(), "accepted").otherwise("quarantined")
-    seen = Observation()
-    rows = tagged.observe(seen, F.count(F.lit(1)).alias("input_rows"), F.count(REASON).alias("quarantined_rows"))
-    rows = rows.withColumns({"table_name": F.lit(spec.table_name), STATUS: status})
-    began = time.time()
-    failure = None
+    kept = tagged.persist()
+    began, failed = time.time(), False
     try:
-        write(rows, f"{paths.routed}/epoch={epoch}")
-    except Exception as error:
-        failure = error
-        _keep_failed(tagged, epoch, paths, spec, error, category(error))
-    if failure is None:
-        counts = dict(seen.get)
-    else:  # the write stopped somewhere, so what it saw is not the batch
-        counts = tagged.agg(F.count(F.lit(1)).alias("input_rows"), F.count(REASON).alias("quarantined_rows")).first().asDict()
-    counts |= {"batch_seconds": time.time() - began, "failed": float(failure is not None)}
+        try:
+            rows = kept.withColumns({"table_name": F.lit(spec.table_name), STATUS: status})
+            write(rows, f"{paths.routed}/epoch={epoch}")
+        except Exception as error:
+            failed = True
+            _keep_failed(kept, epoch, paths, spec, error, category(error))
+        counts = kept.agg(F.count(F.lit(1)).alias("input_rows"), F.count(REASON).alias("quarantined_rows")).first().asDict()
+    finally:
+        kept.unpersist()
+    counts |= {"batch_seconds": time.time() - began, "failed": float(failed)}
     samples = [(epoch, datetime.now(timezone.utc), name, float(value)) for name, value in counts.items()]
     progress = tagged.sparkSession.createDataFrame(samples, PROGRESS)
     progress.coalesce(1).write.mode("overwrite").parquet(f"{paths.progress}/epoch={epoch}")
