@@ -34,11 +34,6 @@ def whole_text(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
-def named(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the columns an operator works on, under its own names, so that extra columns cannot clash."""
-    return df.select(*[F.col(f"`{name}`").alias(alias) for alias, name in columns.items()])
-
-
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: computed once, and safe when executors are lost."""
     path = scratch_dir(df.sparkSession, purpose)
