@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logharbor.llm.common import arrow_column, by_batch, read_table, session, text_slices, whole_text
-from logharbor.llm.shingles import WORDS, shingle_hashes, shingle_sets
+from logharbor.llm.shingles import WORDS, shingle_hashes, shingle_sets, shingle_sql
 
 #: Share of an item's shingles, in percent, from which a document holds it.
 PERCENT = 75
@@ -169,17 +169,6 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shingle_sql(table: str, key: str) -> str:
-    """DuckDB SQL for the distinct five-word shingles of a table's texts."""
-    upper, lower = (", ".join(f"chr({c + k})" for c in range(26)) for k in (65, 97))
-    folded = f"translate(coalesce(text, ''), concat({upper}), concat({lower}))"
-    return f"""
-      select distinct {key}, unnest(case when len(w) >= {WORDS}
-          then list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))
-          when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle
-      from (select {key}, regexp_extract_all({folded}, '[^\\x20\\x09-\\x0D]+') as w from {table})"""
-
-
 ORACLE = f"""
 with d as ({shingle_sql("documents", "doc_id")}), i as ({shingle_sql("benchmark", "item_id")}),
 sizes as (select item_id, count(*) as size from i group by item_id),

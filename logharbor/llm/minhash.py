@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from logharbor.llm.common import by_batch, runs, text_slices, whole_groups, whole_text, written
 from logharbor.llm.components import components
 from logharbor.llm.lines import row_key
-from logharbor.llm.shingles import WORDS, mixed, shingle_sets
+from logharbor.llm.shingles import WORDS, mixed, shingle_sets, shingle_sql
 
 #: Minima of a signature and minima of a band. A pair at the threshold shares no band with a chance of 5e-6.
 MINIMA, BAND = 128, 4
@@ -238,3 +238,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def component_rows(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+ORACLE = f"""
+with recursive d as ({shingle_sql("documents", "doc_id")}), sizes as (select doc_id, count(*) as n from d group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as common from d a join d b using (shingle) where a.doc_id <> b.doc_id group by all),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * common >= {PERCENT} * (x.n + y.n - common)),
+reach as (select doc_id as node, doc_id as seen from sizes union select node, b from reach join links on a = seen),
+least as (select node, min(seen) as component_id from reach group by node)
+select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id,
+       doc_id = coalesce(component_id, doc_id) as kept
+from documents left join sizes using (doc_id) left join least on node = doc_id
+"""

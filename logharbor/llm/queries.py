@@ -31,6 +31,8 @@ QUERIES: dict[str, Build] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_dedup": repeats.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_decontaminate": contamination.ORACLE,
+    "op10_minhash_dedup": minhash.ORACLE,
 }

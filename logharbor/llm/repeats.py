@@ -316,3 +316,20 @@ def digest_rows(docs: DataFrame) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+ORACLE = f"""
+with t as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+w as (select doc_id, p, md5(substr(h, 2 * p + 1, {2 * LENGTH})) as k from t, unnest(range(0, n - {LENGTH - 1})) as u(p)),
+again as (select doc_id, p from w where k in (select k from w group by k having count(*) > 1)),
+cut as (select *, coalesce(p - lag(p) over (partition by doc_id order by p) > {LENGTH}, true)::int as opens from again),
+runs as (select doc_id, min(p) as lo, max(p) + {LENGTH} as hi
+  from (select *, sum(opens) over (partition by doc_id order by p) as run from cut) group by doc_id, run),
+edges as (select doc_id, lo, hi from runs union all select doc_id, n, n from t),
+rest as (select doc_id, lo, hi, coalesce(lag(hi) over (partition by doc_id order by lo, hi), 0) as begin from edges),
+kept as (
+  select doc_id, count(*) - 1 as n_spans, cast(sum(hi - lo) as bigint) as n_removed,
+         string_agg(substr(h, 2 * begin + 1, 2 * (lo - begin)), '' order by begin, lo) as rest
+  from rest join t using (doc_id) group by doc_id)
+select doc_id, n as n_bytes, n_removed, n_spans, sha256(unhex(coalesce(rest, ''))) as kept_sha256 from t join kept using (doc_id)
+"""
