@@ -46,6 +46,8 @@ NEVER = frozenset(
 )
 #: Words that name boilerplate unless the main element lies inside.
 SELDOM = frozenset("sidebar header masthead widget widgets aside rail search topbar".split())
+#: Words that make a class name tell of a state of the page rather than of the element.
+STATE = frozenset("has is no with without open closed opened enabled disabled active allowed type status".split())
 HINT = frozenset("article content entry post story text body main".split())
 
 TAG = re.compile(
@@ -96,7 +98,11 @@ def _opened(name: str, attributes: str, parent: Element | None) -> Element:
             elif key == "hidden" or key == "aria-hidden":
                 e.never |= key == "hidden" or value.lower() == "true"
             elif name not in ("html", "body"):
-                words = {w.lower() for w in WORD.findall(value)}
+                words = set()
+                for part in value.split():
+                    own = {w.lower() for w in WORD.findall(part)}
+                    # a main element is named by whole names only: "comment", but not "comment-list"
+                    words |= {part.lower()} if name in MAIN else set() if own & STATE else own
                 e.main |= key == "role" and "main" in words
                 e.never |= not words.isdisjoint(NEVER)
                 e.seldom |= not words.isdisjoint(SELDOM)

@@ -175,8 +175,8 @@ def test_minimum_cuts():
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header class=site><a href=/>Site</a>
-<div id=top-search><form><input><button>Go</button></form></div></header><div class="layout sidebar-right"><div class="breadcrumb"><a>Home</a></div>
-<main><article class="post"><header><h1>The &amp; title</h1></header><p>First <b>bold</b> para &nbsp; with
+<div id=top-search><form><input><button>Go</button></form></div></header><div class="layout sidebar-right menu-closed"><div class="breadcrumb"><a>Home</a></div>
+<main class="site-main"><article class="post type-post comments-open has-ads"><header><h1>The &amp; title</h1></header><p>First <b>bold</b> para &nbsp; with
  text.<p>Second para&#33;<ul><li>One<li>Two</ul><div class="ad-slot">Buy now!</div><table><tr><td>a<td>b</table><aside>Related</aside></article>
 <section id="comments"><article class="comment"><p>Nice post, thanks for sharing this. I agree.</p></article></section></main>
 <div class="sidebar"><p>About us, we are a company. Great.</p></div></div><div class="cookieNotice">We use cookies. Accept.</div>
