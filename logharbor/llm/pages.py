@@ -264,12 +264,14 @@ def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", bou
 
     A logistic fit that is drawn to PRIOR; without such blocks it is PRIOR itself.
     """
-    sample = first_by_hash(pages.where(F.col(f"`{html_col}`").isNotNull()), bound, f"`{id_col}`")
+    column = F.col(f"`{id_col}`")
+    ids = F.broadcast(first_by_hash(pages.select(column.alias("__id")), bound, "__id"))  # as many rows as the bound
+    sample = pages.join(ids, column == F.col("__id"), "left_semi")
 
     def work(texts: pa.Array) -> pa.Array:
         return pa.array([[b.row for b in rated(blocks(t))] for t in texts.to_pylist()], pa.list_(pa.list_(pa.float64())))
 
-    listed = sample.select(arrow_column(work, "array<array<double>>")(whole_text(html_col)).alias("rows")).toArrow()
+    listed = sample.select(arrow_column(work, "array<array<double>>")(whole_text(html_col)).alias("rows")).limit(bound).toArrow()
     rows = [row for page in listed.column("rows").to_pylist() for row in page]
     known = np.array([_teacher(row) for row in rows])
     if not len(rows) or not (known == 0).any() or not (known == 1).any():

@@ -235,9 +235,10 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Rul
     Without labels of both kinds there is nothing to tell apart: every score is then the share of good
     rows, or 0.5 without labels.
     """
-    ids = F.broadcast(first_by_hash(training_labels(labels, "quality"), bound))  # as many rows as the bound
-    sample = docs.select("doc_id", F.col("text").alias("content")).join(ids, "doc_id")
-    table = with_statistics(sample, "content").select("label", "statistics.*").toArrow()
+    known = training_labels(labels, "quality")
+    ids = first_by_hash(known.select("doc_id"), bound).join(known, "doc_id")
+    sample = docs.select("doc_id", F.col("text").alias("content")).join(F.broadcast(ids), "doc_id")
+    table = with_statistics(sample, "content").select("label", "statistics.*").limit(bound).toArrow()
     good = table.column("label").to_numpy().astype(np.float64)
     if not 0 < good.sum() < len(good):
         return RuleModel(30.0 if len(good) and good.all() else -30.0 if len(good) else 0.0, ())

@@ -156,7 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unla
         ids = toxic_ids.withColumn("toxic", F.lit(True)).unionByName(other_ids.withColumn("toxic", F.lit(False)))
         picked = F.broadcast(ids)  # as many rows as the two bounds allow
         sample = rows.select("doc_id", whole_text("text").alias("content")).join(picked, "doc_id").select("toxic", "content")
-        table = sample.mapInArrow(by_batch(_listed), "toxic boolean, features array<int>").toArrow()
+        listed = sample.mapInArrow(by_batch(_listed), "toxic boolean, features array<int>")
+        table = listed.limit(toxic_rows + unlabelled_rows).toArrow()  # no more even if ids repeat
     finally:
         known.unpersist()
     toxic = table.column("toxic").to_numpy().astype(bool)
