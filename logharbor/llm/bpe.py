@@ -12,6 +12,7 @@ import json
 import re
 import struct
 import unicodedata
+from array import array
 from functools import cached_property
 
 import numpy as np
@@ -26,7 +27,7 @@ from logharbor.llm.common import arrow_column, whole_text
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Words and token pairs whose answer a worker keeps; beyond that it starts over.
-KEPT_WORDS, KEPT_PAIRS, KEPT_WORD_CHARS = 200_000, 250_000, 48
+KEPT_WORDS, KEPT_PAIRS, KEPT_WORD_CHARS = 400_000, 500_000, 48
 NEVER = 1 << 60
 
 
@@ -102,7 +103,6 @@ class Bpe:
                 raise ValueError("the encoder needs vocabularies with one merge per token")
             self.parts[made], self.rank[made], self.merge[left, right] = (left, right), rank, rank
         base = [number for number in ids.values() if number not in self.parts]
-        self.base = {self.names[number]: number for number in base}
         symbols: dict[int, list[int]] = {number: [number] for number in base}
         self.tails: dict[int, list[tuple[int, int]]] = {}
         self.heads: dict[int, list[tuple[int, int]]] = {}
@@ -114,7 +114,11 @@ class Bpe:
         self.heads.clear()
         self.automaton = SuffixAutomaton(symbols)
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words, self.named = Words(self, byte_names()), Words(self, None)
+        names = byte_names()
+        #: The token of a byte inside a word, and at its end.
+        self.inner, self.closing = [ids[n] for n in names], [ids[n + self.end] for n in names]
+        self.bytes = {name: b for b, name in enumerate(names)}
+        self.words = Words(self)
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
 
     def _edge(self, token: int, side: int, kept: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
@@ -162,24 +166,30 @@ class Bpe:
         """The file's own rules, for texts in scripts other than Latin."""
         return Tokenizer.from_str(self.spec)
 
-    def encode_word(self, word: str) -> list[int]:
-        """Ids of one pre-token, given in the file's byte characters."""
-        base, sam = self.base, self.automaton
-        symbols = [base[c] for c in word[:-1]] + [base[word[-1] + self.end]]
-        last, start = [-1] * (len(symbols) + 1), [0] * (len(symbols) + 1)
+    def encode_word(self, word: bytes) -> list[int]:
+        """Ids of one pre-token."""
+        sam, known = self.automaton, self.pairs
+        step, link, length, tokens, shorter = sam.step, sam.link, sam.length, sam.token, sam.shorter
+        symbols = [self.inner[b] for b in word[:-1]]
+        symbols.append(self.closing[word[-1]])
+        last, start = [-1], [0]
         state = matched = 0
         for at, symbol in enumerate(symbols, 1):
-            while symbol not in sam.step[state]:
-                state = sam.link[state]
-                matched = sam.length[state]
-            state, matched = sam.step[state][symbol], matched + 1
-            found = state if sam.token[state] >= 0 and sam.length[state] == matched else sam.shorter[state]
-            while True:
-                token, begin = sam.token[found], at - sam.length[found]
-                if begin == 0 or self.follows(last[begin], token):
+            edges = step[state]
+            while symbol not in edges:
+                state = link[state]
+                matched, edges = length[state], step[state]
+            state, matched = edges[symbol], matched + 1
+            found = state if tokens[state] >= 0 and length[state] == matched else shorter[state]
+            begin = at - length[found]
+            while begin:
+                pair = (last[begin], tokens[found])
+                if known[pair] if pair in known else self.follows(*pair):
                     break
-                found = sam.shorter[found]
-            last[at], start[at] = token, begin
+                found = shorter[found]
+                begin = at - length[found]
+            last.append(tokens[found])
+            start.append(begin)
         ids, at = [], len(symbols)
         while at:
             ids.append(last[at])
@@ -187,12 +197,12 @@ class Bpe:
         return ids[::-1]
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text as 32-bit little-endian integers."""
+        """Ids of a whole text as packed 32-bit integers."""
         if "<" not in text or not (pieces := self.special.split(text))[1:]:
             return self._encode_piece(text)
         out = []
         for number, piece in enumerate(pieces):
-            out.append(struct.pack("<i", self.specials[piece]) if number % 2 else self._encode_piece(piece))
+            out.append(struct.pack("i", self.specials[piece]) if number % 2 else self._encode_piece(piece))
         return b"".join(out)
 
     def _encode_piece(self, text: str) -> bytes:
@@ -202,22 +212,27 @@ class Bpe:
             return b"".join(map(self.words.__getitem__, LATIN_WORD.findall(unicodedata.normalize("NFC", text).lower())))
         # other scripts: character classes depend on the Unicode version, so the file's own rules are asked
         words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-        return b"".join(self.named[name] for name, _ in words)
+        return b"".join(self.words[bytes(map(self.bytes.__getitem__, name)).decode(errors="surrogateescape")] for name, _ in words)
 
 
 class Words(dict):
-    """Packed ids by word; a word is encoded when it is first met. Without `byte_name`, words are in byte characters."""
+    """Packed ids by word; a word is encoded when it is first met.
+
+    Half of the words that are kept are the latest, the other half those before them: a word that is met
+    again moves to the latest, so common words stay.
+    """
 
-    def __init__(self, bpe: Bpe, byte_name: list[str] | None):
+    def __init__(self, bpe: Bpe):
         super().__init__()
-        self.bpe, self.byte_name = bpe, byte_name
+        self.bpe, self.before = bpe, {}
 
     def __missing__(self, word: str) -> bytes:
-        name = "".join(map(self.byte_name.__getitem__, word.encode())) if self.byte_name else word
-        ids = self.bpe.encode_word(name)
-        packed = struct.pack(f"<{len(ids)}i", *ids)
+        packed = self.before.get(word)
+        if packed is None:
+            packed = array("i", self.bpe.encode_word(word.encode(errors="surrogateescape"))).tobytes()
         if len(word) <= KEPT_WORD_CHARS:
-            if len(self) >= KEPT_WORDS:
+            if 2 * len(self) >= KEPT_WORDS:
+                self.before = dict(self)
                 self.clear()
             self[word] = packed
         return packed

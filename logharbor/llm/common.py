@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,11 +45,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
+_HANDED = [0.0]
+
+
 def hand_back() -> None:
-    """Give freed memory back to the system: workers are reused, and what one job held the next one does not need."""
-    pa.default_memory_pool().release_unused()
-    if _TRIM:
-        _TRIM(0)
+    """Give freed memory back to the system, at most every two seconds: workers are reused, and what one job held
+    the next one does not need."""
+    now = time.monotonic()
+    if now - _HANDED[0] > 2:
+        _HANDED[0] = now
+        pa.default_memory_pool().release_unused()
+        if _TRIM:
+            _TRIM(0)
 
 
 def by_batch(work: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch | None]) -> Callable:
