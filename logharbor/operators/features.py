@@ -166,7 +166,7 @@ def strong_correlations(df: DataFrame, columns: list[str], limit: float = 0.7) -
     """Pairs of features with |Pearson| over the limit; constants are left out.
 
     The means come first, as a scalar subquery; then one aggregation sums the products of the centred
-    values, of rows where both are present, in plain sums that stay inside generated code.
+    values, in plain sums that stay inside generated code. Features are expected to be filled.
     """
     mean = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("m")).scalar()
     centred = df.select(*columns).withColumn("_m", mean).select(*[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in columns])
