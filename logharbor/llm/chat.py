@@ -44,7 +44,7 @@ def marker_pattern(role: str) -> str:
 
 
 def with_signs(lines: DataFrame) -> DataFrame:
-    """Lines (column `line`, column `blank` from the table) with what the model sees of each, and the bare text."""
+    """Lines (column `line`, column `blank` from the table) with what the model sees of each, and the length of the marker."""
     marker = F.lit(0)
     for k, role in enumerate(ROLES, 1):
         marker = F.when(F.col("line").rlike(marker_pattern(role)), F.lit(k)).otherwise(marker)
@@ -54,7 +54,8 @@ def with_signs(lines: DataFrame) -> DataFrame:
     length = sum((F.char_length("line") > edge).cast("int") for edge in LENGTHS)
     asks = F.trim("line").endswith("?")
     sign = ((F.col("marker") * 2 + F.col("blank").cast("int")) * (len(LENGTHS) + 1) + length) * 2 + asks.cast("int")
-    return lines.withColumn("marker", marker).withColumns({"bare": bare, "sign": sign.cast("int")})
+    head = F.char_length("line") - F.char_length(bare)
+    return lines.withColumn("marker", marker).withColumns({"head": head, "sign": sign.cast("int")})
 
 
 SIGNS = (len(ROLES) + 1) * 2 * (len(LENGTHS) + 1) * 2
@@ -179,7 +180,7 @@ def _read_off(shipped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "block"):
             sign = table.column("sign").to_numpy()
-            rows = {c: table.column(c).to_pylist() for c in ("conv", "turn", "line_no", "role", "bare", "blank", "enters", "leaves", "open_turn", "open_line")}
+            rows = {c: table.column(c).to_pylist() for c in ("conv", "turn", "line_no", "role", "line", "marker", "head", "empties", "enters", "leaves", "open_turn", "open_line")}
             edges, out = _edges(table), []
             for begin, end in zip(edges, edges[1:]):
                 enters, state = rows["enters"][begin], rows["leaves"][begin]
@@ -192,7 +193,11 @@ def _read_off(shipped):
                 for a, b in zip(cuts, cuts[1:]):
                     role, opens, here = *STATES[states[a]], range(begin + a, begin + b)
                     place = (rows["turn"][begin + a], rows["line_no"][begin + a]) if opens else (rows["open_turn"][begin], rows["open_line"][begin])
-                    text = "\n".join("\n" * (rows["blank"][k] and (k > here[0] or not opens)) + rows["bare"][k] for k in here)
+                    shown = [rows["line"][k] + "\n" * rows["empties"][k] for k in here]
+                    if opens and rows["marker"][here[0]] == ROLES.index(role) + 1:
+                        shown[0] = shown[0][rows["head"][here[0]] :]
+                    apart = [rows["line_no"][k] == 0 and rows["turn"][k] > 0 and (k > here[0] or not opens) for k in here]
+                    text = "\n".join("\n" * a + x for a, x in zip(apart, shown))
                     right = sum(rows["role"][k] == role for k in here)
                     out.append((rows["conv"][begin], *place, rows["turn"][here[0]], rows["line_no"][here[0]], opens, role, len(here), right, text))
             yield pa.RecordBatch.from_pylist([dict(zip(TURN.names, row)) for row in out], TURN)
@@ -208,10 +213,11 @@ _TURN = "conv long, start_turn long, start_line long, turn long, line_no long, o
 
 
 def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
-    """Turns of each transcript by the best path: where a turn starts, its role, and its text without markers.
+    """Turns of each transcript by the best path: where a turn starts, its role, and its text without its marker.
 
     `lines` comes from `with_signs` and has conv, turn, line_no, role (of the source, may be null), line,
-    blank. A turn that crosses a block is given in pieces with the same start; the first one opens it.
+    blank, empties. Only a line that opens a turn loses its marker, and only one that names the turn's
+    role; all else of the text stays, empty lines too. A turn that crosses a block is given in pieces with the same start; the first one opens it.
     `n_right` counts the lines whose role in the source is the recovered one. A transcript without lines
     has no turns.
     """
@@ -230,7 +236,7 @@ def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
         _chain, "block string, enters long, leaves long, open_turn long, open_line long"
     )
     placed = lines.join(written(chained, "chat"), "block").repartition("block").sortWithinPartitions(*order)
-    columns = ("block", "conv", "turn", "line_no", "role", "bare", "blank", "sign", "enters", "leaves", "open_turn", "open_line")
+    columns = ("block", "conv", "turn", "line_no", "role", "line", "marker", "head", "empties", "sign", "enters", "leaves", "open_turn", "open_line")
     return placed.select(*columns).mapInArrow(_read_off(shipped), _TURN)
 
 
@@ -246,7 +252,8 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     Rows that repeat all of conversation, turn, role and text are one row; rows that share a turn number
     are ordered by role and text, and are expected to be few. A null conversation id is one transcript, a
     null turn comes first, a null text is empty. A turn begins with a speaker marker in one of four
-    styles, or, for a quarter of the turns, with none; turns are set apart by blank lines.
+    styles, or, for a quarter of the turns, with none; turns are set apart by blank lines. An empty line
+    is not a line of its own, unless it is the first of its row: `empties` counts those after a line.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"),
@@ -257,9 +264,14 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     style = F.element_at(F.array(*styles), (F.pmod(F.xxhash64("conv"), F.lit(4)) + 1).cast("int"))
     plain = F.col("role").isNull() | (F.pmod(F.xxhash64("conv", "turn"), F.lit(4)) == 0)
     text = F.concat(F.when(plain, F.lit("")).otherwise(style), "text")
-    lines = rows.select("conv", "turn", "role", F.md5("text").alias("tie"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"), F.split(text, "\n").alias("all"))
-    before = F.when(F.col("line_no") > 0, F.get("all", F.col("line_no") - 1) == "").otherwise(F.col("turn") > 0)
-    return lines.where("line_no = 0 or line <> ''").withColumn("blank", before).drop("all")
+    split = rows.select("conv", "turn", "role", F.md5("text").alias("tie"), F.split(text, "\n").alias("all"))
+    full = F.expr("filter(sequence(0, size(all) - 1), i -> i = 0 or all[i] <> '')")
+    held = "line_no, all[line_no] as line, coalesce(get(full, k + 1), size(all)) - line_no - 1 as empties, line_no > 0 and get(all, line_no - 1) = '' as parted"
+    lines = split.withColumn("full", full).selectExpr(
+        "conv", "turn", "role", "tie", f"inline(transform(full, (line_no, k) -> struct({held})))"
+    )
+    before = F.when(F.col("line_no") > 0, F.col("parted")).otherwise(F.col("turn") > 0)
+    return lines.withColumn("blank", before).drop("parted")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

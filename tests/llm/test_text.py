@@ -249,6 +249,25 @@ def test_odd_conversations(llm):
     assert chat.recover_turns(empty, chat.train(empty)).count() == 0
 
 
+def one_turn_model() -> chat.Model:
+    """Every transcript is one turn of the assistant, whatever its lines show."""
+    begins, goes_on = (chat.STATES.index(("assistant", b)) for b in (True, False))
+    first, step = np.zeros(chat.N), np.zeros((chat.N, chat.N))
+    first[begins] = step[begins, goes_on] = step[goes_on, goes_on] = 1e6
+    return chat.Model(first, step, np.zeros((chat.N, chat.SIGNS)))
+
+
+def test_turns_keep_all_of_their_text(llm):
+    inner = "Here it is\nAnswer: 42\n\n\nContext: none\n<q> Question: ?\n\n"
+    rows = [(1, 0, "assistant", "Sure\n" + inner), (1, 1, "user", "Me: no"), (2, 0, "user", "\n\nhello"), (3, 0, None, "\n\n")]
+    frame = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    shown = {r.turn: r.line for r in chat.transcript_lines(frame.where("conv_id = 1")).where("line_no = 0").collect()}
+    turns = chat.recover_turns(chat.with_signs(chat.transcript_lines(frame)), one_turn_model()).collect()
+    got = {r.conv: r.text for r in turns}
+    assert got[1] == "Sure\n" + inner + "\n\n" + shown[1] and shown[1].endswith("Me: no")
+    assert got[2].endswith("\n\nhello") and got[3] == "\n\n"
+
+
 def test_every_query_and_oracle_is_named_after_its_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES)
