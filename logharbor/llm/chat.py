@@ -3,16 +3,18 @@
 A state is a role together with whether a line begins a turn or continues one. A line shows a speaker
 marker or none, whether a blank line comes before it, its length and whether it asks. The best path is
 found by Viterbi over blocks of lines: a block is a matrix of best scores from each state before it to
-each state at its end, so a long transcript is worked on by many tasks.
+each state at its end, so a long transcript is worked on by many tasks. Blocks are cut by the position
+of lines in their transcript, so none has more than its number of lines, whatever the turn numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logharbor.llm.common import read_table, runs, session, whole_groups, whole_text, written
@@ -28,7 +30,7 @@ SPEAKERS = {
 #: Begin of a turn of each role, then continuation of each.
 STATES = tuple((role, begins) for begins in (True, False) for role in ROLES)
 N = len(STATES)
-#: Turn numbers of one block.
+#: Lines of one block, and so the most turns that it can hold.
 BLOCK_TURNS = 1000
 #: Line lengths are told apart at these numbers of characters.
 LENGTHS = (0, 20, 80, 240)
@@ -134,13 +136,51 @@ def _blocks(shipped):
                 at = begin + np.maximum(begun, 0)
                 out.append([x.ravel().tolist() for x in (best, begun, turn[at], line[at])])
             heads = pa.array(edges[:-1])
-            kept = {c: table.column(c).combine_chunks().take(heads) for c in ("block", "conv", "turn_block")}
+            kept = {c: table.column(c).combine_chunks().take(heads) for c in ("block", "conv", "nth")}
             columns = (pa.array(x, pa.list_(pa.int64())) for x in zip(*out))
             yield pa.RecordBatch.from_pydict(kept | dict(zip(("scores", "begun", "turns", "lines"), columns)))
 
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order with the lines before them in their transcript, within the partition."""
+    last, total = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes, names = batch.column("size").to_numpy(), batch.column("name").to_pylist()
+        sums = np.cumsum(sizes) - sizes
+        codes = batch.column("name").dictionary_encode().indices.to_numpy()
+        edges = runs(codes)
+        begins = np.repeat(sums[edges[:-1]], np.diff(edges))
+        begin = sums - begins
+        if names[0] == last:
+            begin[: edges[1]] += total
+        last, total = names[-1], int(begin[-1] + sizes[-1])
+        columns = {c: batch.column(c) for c in ("conv", "turn", "role", "tie", "part", "size")}
+        yield pa.RecordBatch.from_pydict(columns | {"begin": pa.array(begin, pa.int64())})
+
+
+def positions(lines: DataFrame) -> DataFrame:
+    """For each row (conv, turn, role, tie) of the transcripts the lines before it in its transcript, `begin`.
+
+    Rows are dealt out in order, so a transcript of any length, also one with a single turn number, is
+    counted by many tasks; the sums of a transcript's parts are at most as many as there are tasks.
+    """
+    name = F.coalesce(F.col("conv").cast("string"), F.lit("-"))
+    rows = lines.where("line_no = 0").select("conv", "turn", "role", "tie", F.col("of").cast("long").alias("size"), name.alias("name"))
+    order = ["conv", "turn", "role", "tie"]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    kind = "conv long, turn long, role string, tie string, part int, size long, begin long"
+    counted = written(dealt.mapInArrow(_counted, kind), "chat")
+    sums = counted.groupBy("conv", "part").agg(F.sum("size").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(F.col("conv").alias("c"), F.col("part").alias("p"), F.coalesce(before, F.lit(0)).alias("earlier"))
+    same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))
+    return counted.join(sums, same).select(*order, (F.col("begin") + F.col("earlier")).alias("begin"))
+
+
 def _edges(table: pa.Table) -> np.ndarray:
     return runs(table.column("block").combine_chunks().dictionary_encode().indices.to_numpy())
 
@@ -215,24 +255,27 @@ _TURN = "conv long, start_turn long, start_line long, turn long, line_no long, o
 def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
     """Turns of each transcript by the best path: where a turn starts, its role, and its text without its marker.
 
-    `lines` comes from `with_signs` and has conv, turn, line_no, role (of the source, may be null), line,
-    blank, empties. Only a line that opens a turn loses its marker, and only one that names the turn's
+    `lines` comes from `with_signs` of `transcript_lines`; role is that of the source and may be null. Only a line that opens a turn loses its marker, and only one that names the turn's
     role; all else of the text stays, empty lines too. A turn that crosses a block is given in pieces with the same start; the first one opens it.
     `n_right` counts the lines whose role in the source is the recovered one. A transcript without lines
-    has no turns.
+    has no turns. Rows of one turn number, or without one, may be any number: blocks count lines.
     """
     shipped = lines.sparkSession.sparkContext.broadcast(model)  # a few KB
-    turn_block = F.floor(F.col("turn") / BLOCK_TURNS)
+    keys = ["conv", "turn", "role", "tie"]
+    begins = positions(lines).withColumnsRenamed({c: f"of_{c}" for c in keys})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in keys])
+    nth = F.floor((F.col("begin") + F.col("k")) / BLOCK_TURNS)
     name = F.coalesce(F.col("conv").cast("string"), F.lit("-"))
-    lines = lines.withColumns({"turn_block": turn_block, "block": F.concat_ws(":", name, turn_block.cast("string"))})
+    lines = lines.join(begins, same).withColumn("nth", nth)
+    lines = lines.withColumn("block", F.concat_ws(":", name, F.col("nth").cast("string")))
     order = ["block", "turn", "role", "tie", "line_no"]
     ordered = lines.repartition("block").sortWithinPartitions(*order)
     lists = ", ".join(f"{c} array<bigint>" for c in ("scores", "begun", "turns", "lines"))
-    blocks = ordered.select("block", "conv", "turn_block", "turn", "line_no", "sign").mapInArrow(
-        _blocks(shipped), f"block string, conv long, turn_block long, {lists}"
+    blocks = ordered.select("block", "conv", "nth", "turn", "line_no", "sign").mapInArrow(
+        _blocks(shipped), f"block string, conv long, nth long, {lists}"
     )
-    chained = blocks.withColumn("name", name).repartition("name").sortWithinPartitions("name", "turn_block")
-    chained = chained.drop("conv", "turn_block").mapInArrow(
+    chained = blocks.withColumn("name", name).repartition("name").sortWithinPartitions("name", "nth")
+    chained = chained.drop("conv", "nth").mapInArrow(
         _chain, "block string, enters long, leaves long, open_turn long, open_line long"
     )
     placed = lines.join(written(chained, "chat"), "block").repartition("block").sortWithinPartitions(*order)
@@ -250,7 +293,7 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     """The lines of each conversation as one transcript, with the role of the source for training and checking.
 
     Rows that repeat all of conversation, turn, role and text are one row; rows that share a turn number
-    are ordered by role and text, and are expected to be few. A null conversation id is one transcript, a
+    are ordered by role and a digest of their text. A null conversation id is one transcript, a
     null turn comes first, a null text is empty. A turn begins with a speaker marker in one of four
     styles, or, for a quarter of the turns, with none; turns are set apart by blank lines. An empty line
     is not a line of its own, unless it is the first of its row: `empties` counts those after a line.
@@ -266,7 +309,7 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     text = F.concat(F.when(plain, F.lit("")).otherwise(style), "text")
     split = rows.select("conv", "turn", "role", F.md5("text").alias("tie"), F.split(text, "\n").alias("all"))
     full = F.expr("filter(sequence(0, size(all) - 1), i -> i = 0 or all[i] <> '')")
-    held = "line_no, all[line_no] as line, coalesce(get(full, k + 1), size(all)) - line_no - 1 as empties, line_no > 0 and get(all, line_no - 1) = '' as parted"
+    held = "line_no, all[line_no] as line, coalesce(get(full, k + 1), size(all)) - line_no - 1 as empties, line_no > 0 and get(all, line_no - 1) = '' as parted, k, size(full) as of"
     lines = split.withColumn("full", full).selectExpr(
         "conv", "turn", "role", "tie", f"inline(transform(full, (line_no, k) -> struct({held})))"
     )

@@ -268,6 +268,19 @@ def test_turns_keep_all_of_their_text(llm):
     assert got[2].endswith("\n\nhello") and got[3] == "\n\n"
 
 
+def test_blocks_are_cut_by_lines_not_by_turn_numbers(llm, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 10)
+    rows = [(c, t, "user", f"text {k}\nmore\n\nof it") for k in range(40) for c, t in ((None, k % 2), (5, None), (6, k))]
+    rows.append((7, 0, "user", "\n".join(map(str, range(95)))))
+    frame = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    lines = chat.with_signs(chat.transcript_lines(frame))
+    turns = chat.recover_turns(lines, one_turn_model()).collect()
+    for conv, n in ((None, 120), (5, 120), (6, 120), (7, 95)):
+        pieces = [r for r in turns if r.conv == conv]
+        assert sum(r.n_lines for r in pieces) == n and max(r.n_lines for r in pieces) <= 10
+        assert sum(r.opens for r in pieces) == 1 and len({(r.start_turn, r.start_line) for r in pieces}) == 1
+
+
 def test_every_query_and_oracle_is_named_after_its_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES)
