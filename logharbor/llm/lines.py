@@ -303,7 +303,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             F.col("first.id").alias("first_id"),
         ).alias("mark"),
     )
-    found = found.groupBy("key").agg(F.collect_list("mark").alias("marks"))
+    # rows that repeat id and text bring the same marks: a set is bounded by the lines of one text
+    found = found.groupBy("key").agg(F.collect_set("mark").alias("marks"))
     joined = rows.join(found, "key", "left").select("key", "id", "content", "marks")
     columns = "key binary, id long, n_lines long, n_dropped long, n_links long, first_ids array<long>, text string"
     return joined.mapInArrow(by_batch(_rebuilt), columns)

@@ -297,13 +297,14 @@ def repeated_passages(
     pieces = pieces.mapInArrow(
         by_batch(_cut(length)), "id long, key binary, anchor long, lo int, hi int, n long, crowded boolean, data binary"
     )
-    if first:  # rows that repeat id and text are one place
-        pieces = pieces.dropDuplicates(["anchor", "key", "lo"])
+    # rows that repeat id and text are one place; with keep="none" they have been settled by their number
+    pieces = pieces.dropDuplicates(["anchor", "key", "lo"])
     settled = _settled(written(pieces, "repeats"), first, length, group)
 
     local = signed.select("key", F.expr("inline(spans)"))
     spans = reduce(DataFrame.unionByName, settled, whole.unionByName(local))
-    spans = spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    # rows that repeat id and text bring the same spans: a set is bounded by one text
+    spans = spans.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     out = rows.join(spans, "key", "left").select("id", "content", "spans")
     return out.mapInArrow(by_batch(_removed), "id long, n_bytes long, spans array<struct<lo: int, hi: int>>, kept binary")
 

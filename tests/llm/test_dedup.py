@@ -115,6 +115,50 @@ def test_repeated_rows_keep_the_same_lines(llm):
     assert [r.n_dropped for r in lines.line_dedup(docs).collect()] == [0, 0]
 
 
+def test_marks_of_repeated_rows_are_bounded_by_one_text(llm, monkeypatch):
+    rebuilt, text = lines._rebuilt, "\n".join(chr(65 + k) * 30 for k in range(30))
+
+    def bounded(batch):
+        assert all(len(marks or []) <= 30 for marks in batch.column("marks").to_pylist())
+        return rebuilt(batch)
+
+    monkeypatch.setattr(lines, "_rebuilt", bounded)
+    docs = llm.createDataFrame([(None, text)] * 40 + [(3, text)], DOCS).repartition(7)
+    got = sorted(((r.id, r.n_lines, r.n_dropped) for r in lines.line_dedup(docs).collect()), key=str)
+    assert got == [(3, 30, 30)] + [(None, 30, 0)] * 40
+
+
+@pytest.mark.parametrize("group", [1000, 2])
+def test_spans_and_segments_of_repeated_rows_are_bounded_by_one_text(llm, monkeypatch, group):
+    removed, factored = repeats._removed, repeats._factored
+    draw = random.Random(6)
+    text = "".join(draw.choice("abcdef") for _ in range(1500))
+    near = text[:700] + "#" + text[700:]
+
+    def bounded(batch):
+        assert all(len(spans or []) <= 200 for spans in batch.column("spans").to_pylist())
+        return removed(batch)
+
+    def single(first, length):
+        run = factored(first, length)
+
+        def checked(batches):
+            for batch in batches:
+                places = list(zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "lo"))))
+                assert len(places) == len(set(places))
+                yield from run(iter([batch]))
+
+        return checked
+
+    monkeypatch.setattr(repeats, "_removed", bounded)
+    monkeypatch.setattr(repeats, "_factored", single)
+    rows = [(1, text)] * 40 + [(3, near), (4, "plain")]
+    docs = llm.createDataFrame(rows, DOCS).repartition(7)
+    found = repeats.repeated_passages(docs, length=64, group=group).collect()
+    got = sorted(((r.id, r.n_bytes, len(r.spans), bytes(r.kept)) for r in found), key=str)
+    assert got == sorted(repeated_bytes(rows, 64, False), key=str)
+
+
 def near_copies() -> list[tuple[int, str | None]]:
     draw = random.Random(9)
     words = ["".join(draw.choice("abcdef") for _ in range(5)) for _ in range(400)]
