@@ -178,13 +178,6 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, found: Dat
     return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(_compare, "a long, b long")
 
 
-def _matching(batch: pa.RecordBatch) -> pa.Table | None:
-    """Rows whose text has the shingle set that is looked for."""
-    hashes, starts = shingle_sets(batch.column("text"), WORDS)
-    kept = [_digest(hashes[i:j]) == want for i, j, want in zip(starts, starts[1:], batch.column("digest").to_pylist())]
-    return pa.table({"node": batch.column("node"), "text": batch.column("text")}).filter(pa.array(kept))
-
-
 def _best(pairs: DataFrame) -> DataFrame:
     """For each node the partner whose signature agrees best."""
     return pairs.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", "best.b")
@@ -195,9 +188,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two rows are linked when their sets of five-word shingles have a Jaccard similarity of at least 0.75.
     Null and empty texts have no set and no link; a shorter text is one shingle. Rows with equal sets
-    are one class, so repeated rows and ties take part once. `component_id` is the smallest id of the
-    component; a null id counts as larger than any, and a row is kept if its id is the component's. `key`
-    names id and text. An empty table gives an empty result, and other columns are not read.
+    are one class, for which the text of one row stands, so repeated rows, null ids and ties take part
+    once. `component_id` is the smallest id of the component; a null id counts as larger than any, and a
+    row is kept if its id is the component's. `key` names id and text. An empty table gives an empty
+    result, and other columns are not read.
 
     A class meets, in each band, the smallest class of its bucket; of these the one whose signature
     agrees best is confirmed on the full sets. Where a bucket then still holds several components, its
@@ -208,16 +202,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("key", row_key(F.col("id"), F.col("content")))
     signed = written(rows.mapInArrow(by_batch(_sign), _SIGNATURE), "minhash")
     classes = signed.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]
+        F.min("id").alias("id"), F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]
     )
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "minhash")
 
     banded = classes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     members = written(banded.join(shared.drop("last"), "bucket"), "minhash")
-    wanted = members.select("node").distinct().join(classes.select("node", "id", "digest"), "node")
-    texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"])).select("node", "digest", F.col("content").alias("text"))
-    texts = written(texts.mapInArrow(by_batch(_matching), "node long, text string"), "minhash")
+    wanted = members.select("node").distinct().join(classes.select("node", "key"), "node")
+    texts = rows.join(wanted, "key").select("node", F.col("content").alias("text"))
+    texts = written(texts.dropDuplicates(["node"]), "minhash")  # rows that repeat id and text share a key
 
     stars = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     for side in "ab":

@@ -189,6 +189,24 @@ def test_near_duplicates_without_ids(llm):
     assert got == sorted([(None, 4, False), (4, 4, True), (4, 4, True), (None, None, True), (None, None, True)], key=str)
 
 
+def test_one_text_stands_for_a_class(llm, monkeypatch):
+    kept, tables = minhash.written, []
+    monkeypatch.setattr(minhash, "written", lambda df, purpose: tables.append(kept(df, purpose)) or tables[-1])
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(300)]
+    base = [draw.choice(words) for _ in range(60)]
+    other = [*base[:30], "changed", *base[31:]]
+    rows = [(None, " ".join(base))] * 30 + [(None, " ".join(other))] * 30 + [(None, f"odd {k} " + " ".join(base[: k + 5])) for k in range(9)]
+    rows += [(1, " ".join(base).upper())] * 20 + [(1, " ".join(draw.choice(words) for _ in range(60))), (2, " ".join(other))]
+    found = minhash.near_duplicates(llm.createDataFrame(rows, DOCS).repartition(5)).collect()
+    want = component_ids([(0, rows[0][1]), (1, rows[30][1])])
+    assert want == {0: 0, 1: 0}
+    assert sorted(r.component_id or 0 for r in found if r.n_shingles == 56)[-1] == 1
+    assert all(r.component_id == 1 for r in found if r.n_shingles == 56)
+    texts = next(t for t in tables if t.columns == ["node", "text"])
+    assert texts.count() == texts.select("node").distinct().count() >= 2
+
+
 def test_components_of_paths_stars_and_loops(llm):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(201, 200), (200, 201), (7, 7)]
     got = {(r.node, r.component) for r in components(llm.createDataFrame(edges, "a long, b long")).collect()}
