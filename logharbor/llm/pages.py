@@ -24,7 +24,20 @@ FOLLOW, SIBLING, COUSIN = 0.4, 0.8, 0.3
 UNIT = 1000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea iframe svg math template noembed noframes object".split())
+#: Elements whose content is no markup.
+RAW = frozenset("script style title textarea iframe".split())
+#: Elements that a browser does not show as text of the page: their text is a block of its own, marked `never`.
+UNSEEN = frozenset("svg template noembed noframes".split())
+#: Elements in which a tag that ends in a slash has no content.
+FOREIGN = frozenset(["svg", "math"])
+#: Start tags that an open foreign element ends at, unless one of POINTS lies between.
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var article section main".split()
+)
+POINTS = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+#: Elements without content when their own start tag ends in a slash.
+CLOSABLE = UNSEEN | FOREIGN | {"object"}
 BLOCK = frozenset(
     "address article aside blockquote body button canvas caption center col colgroup dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
@@ -32,7 +45,7 @@ BLOCK = frozenset(
 )
 #: Elements that an open element of these kinds ends at, when a start tag of the key comes.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPE = frozenset("ul ol menu dl table select body html article section div nav aside main footer header form td th".split())
+SCOPE = frozenset("ul ol menu dl table select body html article section div nav aside main footer header form td th object math".split()) | UNSEEN
 KEEPS_P_OPEN = frozenset("button canvas col colgroup head legend noscript option optgroup caption tbody td tfoot th thead tr".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset(["article", "main"])
@@ -75,10 +88,21 @@ class Element:
     never: bool = False
     hint: bool = False
     seldom: bool = False
+    unseen: bool = False
+    foreign: bool = False
     #: Set when the main element turns out to lie inside.
     holds_main: bool = False
 
 
+@dataclass(slots=True)
+class Run:
+    """Text since the last block-level tag, the element of its first word, and how much of it is linked."""
+
+    pieces: list[str] = field(default_factory=list)
+    home: Element | None = None
+    linked: int = 0
+
+
 @dataclass(slots=True)
 class Block:
     text: str
@@ -89,7 +113,8 @@ class Block:
 
 def _opened(name: str, attributes: str, parent: Element | None) -> Element:
     up = parent or Element("", None)
-    e = Element(name, parent, up.main or name in MAIN, up.aside or name in ASIDE, up.never, up.hint)
+    e = Element(name, parent, up.main or name in MAIN, up.aside or name in ASIDE, up.never or name in UNSEEN, up.hint)
+    e.unseen, e.foreign = up.unseen or name in UNSEEN, name in FOREIGN or (up.foreign and up.name not in POINTS)
     if "=" in attributes or "hidden" in attributes:
         for key, value in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
@@ -117,21 +142,32 @@ def _opened(name: str, attributes: str, parent: Element | None) -> Element:
 
 
 def blocks(page: str) -> list[Block]:
-    """Runs of text between block-level tags, in page order, with the element that each lies in."""
+    """Runs of text between block-level tags, in page order, with the element that each lies in.
+
+    Text of UNSEEN elements is a run of its own and does not part the one around it. An element that is
+    not closed ends with the one that contains it; an UNSEEN one that no end tag follows is passed over.
+    """
     out: list[Block] = []
     stack: list[Element] = [_opened("html", "", None)]
-    pieces: list[str] = []
-    anchors = linked = 0
-    home: Element | None = None
+    shown, unseen = Run(), Run()
+    ends: dict[str, int] = {}
+    anchors = 0
 
     def flush() -> None:
-        nonlocal linked, home
-        if pieces:
-            text = " ".join(html.unescape("".join(pieces)).split())
-            if text:
-                out.append(Block(text, home or stack[-1], linked))
-            pieces.clear()
-        linked, home = 0, None
+        for run in (shown, unseen):
+            if run.pieces:
+                text = " ".join(html.unescape("".join(run.pieces)).split())
+                if text:
+                    out.append(Block(text, run.home or stack[-1], run.linked))
+                run.pieces.clear()
+            run.linked, run.home = 0, None
+
+    def ended(name: str) -> bool:
+        """Whether an end tag of the name comes later; each is looked for once."""
+        if ends.get(name, 0) < at:
+            found = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
+            ends[name] = found.start() if found else len(page)
+        return ends[name] < len(page)
 
     def close(upto: int) -> None:
         nonlocal anchors
@@ -143,11 +179,12 @@ def blocks(page: str) -> list[Block]:
         found = TAG.search(page, at)
         text = page[at : found.start() if found else len(page)]
         if text:
-            if home is None and not text.isspace():
-                home = stack[-1]
-            pieces.append(text)
+            run = unseen if stack[-1].unseen else shown
+            if run.home is None and not text.isspace():
+                run.home = stack[-1]
+            run.pieces.append(text)
             if anchors:
-                linked += len(text)
+                run.linked += len(text)
         if not found:
             break
         at = found.end()
@@ -158,7 +195,7 @@ def blocks(page: str) -> list[Block]:
             if name in BLOCK:
                 flush()
             if name == "br":
-                pieces.append(" ")
+                (unseen if stack[-1].unseen else shown).pieces.append(" ")
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
                     close(k)
@@ -167,6 +204,9 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         attributes = found[3] or ""
+        if stack[-1].foreign and stack[-1].name not in POINTS and name in BREAKS_OUT:
+            while stack[-1].foreign and stack[-1].name not in POINTS:
+                close(len(stack) - 1)
         if name in BLOCK:
             flush()
             if name not in KEEPS_P_OPEN:
@@ -185,11 +225,14 @@ def blocks(page: str) -> list[Block]:
                     elif stack[k].name in SCOPE:
                         break
         if name == "br":
-            pieces.append(" ")
+            (unseen if stack[-1].unseen else shown).pieces.append(" ")
+        elif attributes.endswith("/") and (name in CLOSABLE or stack[-1].foreign):
+            continue
         elif name in RAW:
-            if not attributes.endswith("/") or name in ("script", "style", "title", "textarea", "iframe"):
-                end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = end.end() if end else len(page)
+        elif name in UNSEEN and not ended(name):
+            continue
         elif name not in VOID:
             stack.append(_opened(name, attributes, stack[-1]))
             anchors += name == "a"
@@ -293,7 +336,8 @@ def main_text(
 
     Blocks on the content side of the cut are joined by one space in page order; character references
     are decoded and white space in a block is one space. Null and empty pages, and pages without
-    content, have an empty text. Pages are labelled one by one, so repeated rows and ties do not matter.
+    content, have an empty text. Markup-free elements (RAW) have no text; fallbacks of objects and formulas
+    are text like any other, that of UNSEEN elements counts as boilerplate. Pages are labelled one by one, so repeated rows and ties do not matter.
     Other columns are passed on; one that is named `out` is replaced. An empty table stays empty.
     """
     weights = train(pages, html_col, id_col) if weights is None else weights

@@ -195,6 +195,29 @@ def test_main_text_of_pages(llm):
     assert pages.main_text(frame.limit(0)).count() == 0
 
 
+def test_main_text_keeps_what_stands_in_and_after_foreign_elements(llm):
+    tail = "<p>A second paragraph of the article, with a sentence. And one more.</p></article><nav><a>Home</a></nav>"
+    after = "A second paragraph of the article, with a sentence. And one more."
+    first = {
+        "<p>The sum <math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/></math> holds for all.</p>": "The sum x=1 holds for all.",
+        "<object data=a.swf><param name=a><p>The film shows a bird. It flies.</p></object>": "The film shows a bird. It flies.",
+        "<p>The icon <svg viewBox='0 0 1 1'><path d=M0/><title/><title>T</title><text>Zoom</text></svg>, as said.</p>": "The icon , as said.",
+        "<ul><li>One<template><li>Row</li></template> item</li></ul>": "One item",
+        "<p>Open <svg><path d='M0'/> ends here.</p>": "Open ends here.",
+        "<p>Open <math><mi>y</mi> ends here.</p>": "Open y ends here.",
+        "<object data=a><p>Open object, not closed.</p>": "Open object, not closed.",
+        "<template><p>Open template, not closed.</p>": "Open template, not closed.",
+        "<svg><g><p>Open drawing, left by a paragraph.</p>": "Open drawing, left by a paragraph.",
+        "<p>Before <noembed>old</noembed><noframes>older</noframes>after.</p>": "Before after.",
+    }
+    rows = [(k, f"<body><article>{part}{tail}") for k, part in enumerate(first)]
+    # a later drawing that is closed does not close an earlier one
+    rows.append((len(rows), "<body><article><p>Open <svg><path d='M0'/></p>" + tail + "<svg><text>Zoom</text></svg>"))
+    frame = llm.createDataFrame(rows, "page_id long, html string")
+    got = {r.page_id: r.text for r in pages.main_text(frame, weights=pages.PRIOR).collect()}
+    assert got == dict(enumerate([f"{text} {after}" for text in first.values()] + ["Open " + after]))
+
+
 def test_main_text_of_the_given_pages(llm):
     import html
     import re
