@@ -1,11 +1,14 @@
 """Ordered work per key when one key may hold a large share of all rows.
 
-A window over (key, time) sorts every row of a key in one task. Here every key is cut into time buckets
-of one width, the window runs per (key, bucket), and what a bucket needs from earlier or later ones
-travels in a table with one row per bucket: each bucket is summed up, a window over the buckets of a
-key turns the summaries into what is carried, and an equi join hands it to the rows. There is no
-counting pass and no other plan for large keys. Rows of one key within one bucket are not cut apart, so
-the width (`spark.logharbor.bucketSeconds`) is chosen for the busiest key.
+A window over (key, time) sorts every row of a key in one task. Here every key is cut into slices of about
+equally many rows, in the total order the work needs, so that a burst of one key within one second and rows
+without a time are cut like any others. The cuts come from a sample of the rows, as those of a sample sort
+do. The window runs per (key, slice), and what a slice needs from earlier or later ones travels in a table
+with one row per slice: each slice is summed up, a window over the slices of a key turns the summaries into
+what is carried, and an equi join hands it to the rows.
+
+The frame is counted and sampled when `Blocks` is made, so an input that is costly to compute is written
+first. Rows that agree in every column of the order stay in one slice.
 """
 
 from __future__ import annotations
@@ -13,12 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logharbor.session import bucket_seconds, max_group_rows
+from logharbor.session import max_group_rows, slice_rows
 
-#: Names a bucket: the key columns and the bucket's number. A struct compares null keys as equal.
+#: Names a slice: the key columns and the slice's number within the key. A struct compares null keys as equal.
 AT = "_at"
 BLOCK = "_block"
-NO_TIME = -(1 << 62)
+#: Slices of a frame for each shuffle partition: with some to each task, tasks come out about even.
+PER_PARTITION = 16
+#: Sampled rows that make up a slice. Slices differ by about one part in the root of this.
+SAMPLES = 64
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:
@@ -29,20 +35,53 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     return condition
 
 
-class Blocks:
-    """A frame whose keys are cut into time buckets; `order` is a total order within a key, its time first."""
+def cut_points(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, int] | None:
+    """For each key with more than one slice, where its slices but the first begin, in order; and the most cuts of a key.
+
+    A slice has `spark.logharbor.sliceRows` rows or more, and there are at most PER_PARTITION slices for
+    each shuffle partition, so this table, which the driver holds and broadcasts, is bounded by the
+    settings. None where the whole frame is one slice.
+    """
+    spark, places = df.sparkSession, df.select(*keys, *order)
+    total, partitions = places.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(slice_rows(spark), -(-total // (PER_PARTITION * partitions)))
+    if total <= rows:
+        return None
+    drawn = places.where(F.pmod(F.xxhash64(F.lit(5), *keys, *order), F.lit(rows)) < SAMPLES)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    # a row for a sample: of a slice with fewer rows than samples each row is one
+    begins = drawn.withColumn("_nth", nth).where(F.col("_nth") % min(SAMPLES, rows) == 0)
+    cuts = begins.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(*order))).alias("_cuts"))
+    found = cuts.toArrow()
+    longest = max((len(c) for c in found.column("_cuts")), default=0)
+    return spark.createDataFrame(found, cuts.schema), longest
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], min_width: float = 0.0):
-        self.keys, self.order = list(keys), list(order)
-        self.width = int(max(bucket_seconds(df.sparkSession), min_width) * 1_000_000)
-        self.df = df.withColumn(AT, self.place(self.number_of(F.col(order[0]))))
 
-    def number_of(self, time: Column) -> Column:
-        """Number of the bucket of a time; rows without a time come first, in a bucket of their own."""
-        return F.coalesce(F.floor(F.unix_micros(time) / F.lit(self.width)).cast("bigint"), F.lit(NO_TIME))
+class Blocks:
+    """A frame whose keys are cut into slices; `order` is a total order within a key, nulls first."""
 
-    def place(self, number: Column) -> Column:
-        return F.struct(*self.keys, number.alias(BLOCK))
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str]):
+        self.keys, self.order = list(keys), list(order)
+        found, number = cut_points(df, self.keys, self.order), F.lit(0)
+        if found:
+            cuts, longest = found
+            if keys:
+                joined = df.alias("d").join(F.broadcast(cuts.alias("c")), same_key("d", "c", self.keys), "left")
+                df = joined.select("d.*", "_cuts")
+            else:
+                df = df.withColumn("_cuts", cuts.select("_cuts").scalar())
+            number = self._number(longest)
+        self.df = df.withColumn(AT, F.struct(*self.keys, number.alias(BLOCK))).drop("_cuts")
+
+    def _number(self, longest: int) -> Column:
+        """How many cuts of the key are at or before a row, by binary search."""
+        place = F.struct(*self.order)
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(longest.bit_length()))] or [F.lit(1)])
+
+        def step(at: Column, width: Column) -> Column:
+            return F.when(F.get("_cuts", at + width - 1) <= place, at + width).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), step)
 
     @property
     def window(self):
@@ -53,7 +92,7 @@ class Blocks:
         return self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def neighbours(self, begin: int, end: int):
-        """Buckets of the same key from `begin` to `end` places away."""
+        """Slices of the same key from `begin` to `end` places away."""
         keys = [F.col(f"{AT}.{k}") for k in self.keys]
         return Window.partitionBy(*keys).orderBy(f"{AT}.{BLOCK}").rowsBetween(begin, end)
 
@@ -62,7 +101,7 @@ class Blocks:
         return self.neighbours(Window.unboundedPreceding, -1)
 
     def carried(self, df: DataFrame, summary: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
-        """Adds to every row the `carry` columns, windows over the summaries of its key's buckets."""
+        """Adds to every row the `carry` columns, windows over the summaries of its key's slices."""
         sums = df.groupBy(AT).agg(*[c.alias(name) for name, c in summary.items()])
         edges = sums.select(AT, *[c.alias(name) for name, c in carry.items()])
         return df.join(edges, AT)
@@ -78,17 +117,6 @@ class Blocks:
             out = out.withColumn(new, F.when(first, F.col(f"_c_{new}.v")).otherwise(F.lag(old).over(self.window)))
         return out.drop(*carry)
 
-    def with_lookback(self, df: DataFrame, window_seconds: float) -> DataFrame:
-        """Repeats rows near the end of a bucket in the bucket after it, marked by `_own` = false.
-
-        Needs buckets at least `window_seconds` wide, so a row is repeated at most once.
-        """
-        time = F.col(self.order[0])
-        later = time + F.make_dt_interval(secs=F.lit(float(window_seconds)))
-        homes = F.array_distinct(F.array(self.number_of(time), self.number_of(later)))
-        out = df.drop(AT).select("*", F.posexplode(homes).alias("_copy", BLOCK))
-        return out.withColumns({"_own": F.col("_copy") == 0, AT: self.place(F.col(BLOCK))}).drop("_copy", BLOCK)
-
 
 def running_number(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Position of each row within its key in the given order, starting at 1."""

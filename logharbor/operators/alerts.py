@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from logharbor.functions.blocks import AT, Blocks
 from logharbor.functions.timestamps import bin_time, width_seconds
 from logharbor.operators.metrics import histogram_quantile
+from logharbor.session import cut_lineage
 from logharbor.specs import AlertCondition
 
 # Equality tolerance, streak limits and notification intervals.
@@ -57,7 +58,7 @@ def alert_episodes(judged: DataFrame, keys: list[str], tie: str) -> DataFrame:
 
     Input rows carry `alert`, `severity`, `duration` and `holds`; each (alert, keys) is one timeline.
     A run of true samples fires at its first sample at least `duration` seconds after its start, and
-    resolves at the next false sample. Only the start of the run needs the order: a bucket hands on
+    resolves at the next false sample. Only the start of the run needs the order: a slice hands on
     whether the condition held at its end and where the last run began; the episode itself is a
     grouped minimum.
     """
@@ -73,7 +74,7 @@ def alert_episodes(judged: DataFrame, keys: list[str], tie: str) -> DataFrame:
         "_began": F.max(F.when(began, F.col("ts"))),
     }
     before = F.coalesce(F.last("_tail").over(blocks.earlier), F.lit(False))
-    # where the last run of a bucket began: inside, or at its first sample if nothing held before that
+    # where the last run of a slice began: inside, or at its first sample if nothing held before that
     opens = F.when(F.col("_head.holds") & ~F.col("_before"), F.col("_head.ts"))
     sums = df.groupBy(AT).agg(*[c.alias(name) for name, c in summary.items()]).withColumn("_before", before)
     sums = sums.withColumn("_opened", F.coalesce("_began", opens))
@@ -208,14 +209,14 @@ def sliding_rule_episodes(gains: DataFrame, rules: list[CounterRule], keys: list
         value = F.col("total") / F.lit(float(width_seconds(rule.step))) if rule.kind == "rate" else F.col("total")
         points = sliding_totals(gains.where(F.col("name") == rule.metric_name), keys, rule.step, every)
         judged.append(_judged_points(points.withColumn("value", value), rule, keys))
-    return alert_episodes(reduce(DataFrame.unionByName, judged), keys, "value")
+    return alert_episodes(cut_lineage(reduce(DataFrame.unionByName, judged)), keys, "value")
 
 
 def quantile_rule_episodes(gains: DataFrame, rule: QuantileRule, every: str = "1 minute") -> DataFrame:
     """Episodes of a rule on a quantile; `gains` has name, le, ts and gain of cumulative bucket counters."""
     grown = sliding_totals(gains.where(F.col("name") == rule.metric_name), ["le"], rule.step, every)
     points = histogram_quantile(grown.withColumnRenamed("total", "count"), ["ts"], rule.quantile)
-    return alert_episodes(_judged_points(points.withColumnRenamed("quantile", "value"), rule, []), [], "value")
+    return alert_episodes(cut_lineage(_judged_points(points.withColumnRenamed("quantile", "value"), rule, [])), [], "value")
 
 
 def _judged_points(points: DataFrame, rule: CounterRule | QuantileRule, keys: list[str]) -> DataFrame:
@@ -242,7 +243,7 @@ def counter_rule_episodes(gains: DataFrame, rules: list[CounterRule], keys: list
         rows = gains.where(F.col("name") == rule.metric_name)
         points = rows.groupBy(*keys, bin_time(F.col("ts"), rule.step).alias("ts")).agg(value.alias("value"))
         judged.append(_judged_points(points, rule, keys))
-    return alert_episodes(reduce(DataFrame.unionByName, judged), keys, "value")
+    return alert_episodes(cut_lineage(reduce(DataFrame.unionByName, judged)), keys, "value")
 
 
 def failure_streaks(

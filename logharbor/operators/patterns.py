@@ -65,10 +65,10 @@ def label_clusters(
 
 
 def _sequenced(rows: DataFrame, keys: list[str], order: list[str], element: Column, length: int) -> DataFrame:
-    """Adds `start_idx`, the position in the key, and `pattern`; keeps the bucket column.
+    """Adds `start_idx`, the position in the key, and `pattern`; keeps the slice column.
 
-    A bucket hands on its number of rows and its first `length` - 1 elements, which complete the windows
-    at the end of the buckets before it.
+    A slice hands on its number of rows and its first `length` - 1 elements, which complete the windows
+    at the end of the slices before it.
     """
     blocks = Blocks(rows, keys, order)
     df = blocks.df.withColumns({"_nth": F.row_number().over(blocks.window), "_element": element.cast("string")})
@@ -100,8 +100,7 @@ def numbered_sequences(
 ) -> DataFrame:
     """Every row with its position in the key, its pattern and how often that has occurred so far.
 
-    The rows with their patterns are written once; they are numbered per (key, pattern) from there, in
-    the same buckets.
+    The rows with their patterns are written once; they are numbered per (key, pattern) from there.
     """
     hashed = cut_lineage(_sequenced(rows, keys, order, element, length).drop(AT))
     counted = running_number(hashed, [*keys, "pattern"], order, "_frequency")

@@ -11,6 +11,7 @@ from logharbor.functions.blocks import running_number
 from logharbor.functions.tagging import REASON
 from logharbor.functions.timestamps import as_timestamp, lag_seconds
 from logharbor.operators.redaction import redact_frame
+from logharbor.session import cut_lineage
 from logharbor.specs import TABLES
 
 DLQ_KEYS = ["table_name", "error_category", "day", "batch_no"]
@@ -56,9 +57,10 @@ def dead_letter_batches(
 
     Input: table_name, failed_at, error, error_category and `record` (struct). Rows are numbered per
     table, category and day, so one group never holds more than a batch. The id is the md5 of the
-    identities of the members in order.
+    identities of the members in order. What is numbered is written first, so that finding out what failed
+    is done once.
     """
-    rows = failed.withColumns({"day": F.to_date("failed_at"), "_identity": identity})
+    rows = cut_lineage(failed.withColumns({"day": F.to_date("failed_at"), "_identity": identity}))
     rows = running_number(rows, DLQ_KEYS[:3], order, "_position")
     if redact:
         rows = redact_frame(rows, columns=["record"])

@@ -10,9 +10,9 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Width of the time buckets that ordered work per key is cut into (see functions.blocks).
-BUCKET_SECONDS_KEY = "spark.logharbor.bucketSeconds"
-BUCKET_SECONDS_DEFAULT = 3600
+#: Least rows of the slices that ordered work per key is cut into (see functions.blocks).
+SLICE_ROWS_KEY = "spark.logharbor.sliceRows"
+SLICE_ROWS_DEFAULT = 200_000
 #: Rows of one join key that a single task may get; larger keys are spread (see functions.blocks).
 MAX_GROUP_ROWS_KEY = "spark.logharbor.maxGroupRows"
 MAX_GROUP_ROWS_DEFAULT = 5_000_000
@@ -67,8 +67,8 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def bucket_seconds(spark: SparkSession) -> float:
-    return float(spark.conf.get(BUCKET_SECONDS_KEY, str(BUCKET_SECONDS_DEFAULT)))
+def slice_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get(SLICE_ROWS_KEY, str(SLICE_ROWS_DEFAULT)))
 
 
 def max_group_rows(spark: SparkSession) -> int:

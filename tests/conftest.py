@@ -1,4 +1,4 @@
-"""One local session for all tests; small buckets are a fixture of the tests that need them."""
+"""One local session for all tests; small slices are a fixture of the tests that need them."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from logharbor.session import BUCKET_SECONDS_KEY, MAX_GROUP_ROWS_KEY, build_session  # noqa: E402
+from logharbor.session import SLICE_ROWS_KEY, MAX_GROUP_ROWS_KEY, build_session  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,9 +24,9 @@ def spark():
 
 @pytest.fixture
 def small_groups(spark):
-    """Buckets of seven seconds, and join keys with more than seven rows are spread."""
-    spark.conf.set(BUCKET_SECONDS_KEY, "7")
+    """Slices of seven rows, and join keys with more than seven rows are spread."""
+    spark.conf.set(SLICE_ROWS_KEY, "7")
     spark.conf.set(MAX_GROUP_ROWS_KEY, "7")
     yield 7
-    spark.conf.unset(BUCKET_SECONDS_KEY)
+    spark.conf.unset(SLICE_ROWS_KEY)
     spark.conf.unset(MAX_GROUP_ROWS_KEY)

@@ -3,12 +3,15 @@
 import datetime
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from logharbor.functions.blocks import AT, BLOCK, Blocks, running_number, salted_join
+from logharbor.operators.metrics import counter_increase
 from logharbor.operators.patterns import sequence_hashes
+from logharbor.session import SLICE_ROWS_KEY
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -36,9 +39,32 @@ def by_key():
     return groups
 
 
-def test_every_key_is_cut_by_the_same_width(frame, small_groups):
-    buckets = {(r["key"], r[BLOCK]) for r in Blocks(frame, ["key"], ["ts", "id"]).df.select(f"{AT}.*").collect()}
-    assert buckets == {(r[1], int(r[2].timestamp()) // small_groups) for r in rows()}
+def test_every_key_is_cut_in_its_order(frame, small_groups):
+    got = Blocks(frame, ["key"], ["ts", "id"]).df.select("id", "ts", f"{AT}.*").collect()
+    sizes = Counter((r["key"], r[BLOCK]) for r in got)
+    assert max(sizes.values()) <= 2 * small_groups and len(sizes) > 10
+    for key in {r["key"] for r in got}:
+        numbers = [r[BLOCK] for r in sorted((r for r in got if r["key"] == key), key=lambda r: (r["ts"], r["id"]))]
+        assert numbers == sorted(numbers) and set(numbers) == set(range(max(numbers) + 1))
+
+
+@pytest.mark.parametrize("value", [None, START])
+def test_a_key_without_times_and_a_burst_are_cut(spark, value):
+    """A third of the rows in one second of one key, a third without a time, as one frame of many slices."""
+    n = 60_000
+    some = F.when(F.col("id") % 3 == 0, F.lit(value).cast("timestamp")).otherwise(F.timestamp_seconds("id"))
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 < 2, "hot").otherwise((F.col("id") % 50).cast("string")).alias("key"), some.alias("ts"))
+    spark.conf.set(SLICE_ROWS_KEY, "1000")
+    try:
+        blocks = Blocks(df, ["key"], ["ts", "id"])
+        numbered = running_number(df, ["key"], ["ts", "id"], "n")
+    finally:
+        spark.conf.unset(SLICE_ROWS_KEY)
+    sizes = [r["count"] for r in blocks.df.groupBy(AT).count().collect()]
+    assert max(sizes) < 2 * 1000 and sum(sizes) == n
+    of_tasks = blocks.df.repartition(4, AT).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert of_tasks.max() <= 2 * of_tasks.median()
+    assert numbered.where("key = 'hot'").agg(F.max("n"), F.count_distinct("n")).first() == (40_000, 40_000)
 
 
 def test_positions(frame, small_groups):
@@ -58,7 +84,21 @@ def test_previous_value(frame, small_groups):
     assert got == {r[0]: g[i - 1][3] if i else None for g in by_key().values() for i, r in enumerate(g)}
 
 
-def test_sequences_over_bucket_edges(frame, small_groups):
+@pytest.mark.parametrize("window", [3, 60, 200_000])
+def test_increase_over_windows_of_many_slices(frame, small_groups, window):
+    got = {r["id"]: r["increase"] for r in counter_increase(frame, ["key"], "id", window).collect()}
+    for group in by_key().values():
+        gains = [0.0]
+        for before, row in zip(group, group[1:]):
+            a, b = before[3], row[3]
+            gains.append(0.0 if a is None or b is None else b if b < a else b - a)
+        for row in group:
+            inside = [g for g, r in zip(gains, group) if row[2] - datetime.timedelta(seconds=window) < r[2] <= row[2]]
+            later = [g for g, r in zip(gains, group) if r[2] == row[2] and r[0] > row[0]]
+            assert got[row[0]] == pytest.approx(sum(inside) - sum(later))
+
+
+def test_sequences_over_slice_edges(frame, small_groups):
     df = sequence_hashes(frame, ["key"], ["ts", "id"], F.col("id"), 4)
     got = {r["id"]: r["pattern"] for r in df.collect()}
     want = {}

@@ -8,7 +8,7 @@ from __spark_entry__ import queries
 from logharbor.functions.tagging import accepted
 from logharbor.operators.detections import detect_bruteforce, detect_exfiltration
 from logharbor.plans.fixtures import firewall_lines
-from logharbor.session import BUCKET_SECONDS_KEY
+from logharbor.session import SLICE_ROWS_KEY
 from logharbor.sources.firewall import parse_firewall_lines
 from tests.conftest import SF
 from tests.test_detections import AS_OF, FIREWALL, SCHEMA
@@ -47,12 +47,12 @@ def test_parsing_is_one_narrow_pass_without_python(spark):
 def test_ordered_work_has_one_plan_at_every_size(spark, name, scans):
     """The rows are read at most twice, and no plan depends on how many rows a key has."""
     plans = []
-    for width in ("600", "50000"):
-        spark.conf.set(BUCKET_SECONDS_KEY, width)
+    for least in ("10", "40"):
+        spark.conf.set(SLICE_ROWS_KEY, least)
         try:
             df = queries()[name](spark, SF)
         finally:
-            spark.conf.unset(BUCKET_SECONDS_KEY)
+            spark.conf.unset(SLICE_ROWS_KEY)
         plans.append(re.sub(r"#\d+L?|\b\d+\b|plan_id=\S+", "", df._jdf.queryExecution().optimizedPlan().toString()))
         df.collect()
         final = plan_of(df)

@@ -1,9 +1,9 @@
-"""Every registered query against DuckDB, with other buckets than the default, and join keys that are spread."""
+"""Every registered query against DuckDB, with keys cut into small slices, and join keys that are spread."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from logharbor.session import BUCKET_SECONDS_KEY, MAX_GROUP_ROWS_KEY
+from logharbor.session import SLICE_ROWS_KEY, MAX_GROUP_ROWS_KEY
 from tests.compare import compare, connect
 from tests.conftest import SF
 
@@ -16,12 +16,12 @@ def con():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_its_oracle(spark, con, name):
     spark.conf.set(MAX_GROUP_ROWS_KEY, "30")
-    spark.conf.set(BUCKET_SECONDS_KEY, "50000")
+    spark.conf.set(SLICE_ROWS_KEY, "40")
     try:
         ok, note = compare(spark, con, queries()[name], oracle_sql().get(name), SF)
     finally:
         spark.conf.unset(MAX_GROUP_ROWS_KEY)
-        spark.conf.unset(BUCKET_SECONDS_KEY)
+        spark.conf.unset(SLICE_ROWS_KEY)
     assert ok, note
 
 
