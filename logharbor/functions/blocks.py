@@ -62,7 +62,9 @@ class Blocks:
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str]):
         self.keys, self.order = list(keys), list(order)
-        found, number = cut_points(df, self.keys, self.order), F.lit(0)
+        found = cut_points(df, self.keys, self.order)
+        # 0 in every row; a literal would be folded, and a join on it alone be a nested loop
+        number = F.pmod(F.xxhash64(*self.order), F.lit(1)).cast("int")
         if found:
             cuts, longest = found
             if keys:
