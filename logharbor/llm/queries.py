@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logharbor.llm import bpe, chat, contamination, exact_dedup, lines, minhash, pages, quality, repeats, toxicity
+from logharbor.llm import bpe, chat, contamination, exact_dedup, lexical, lines, merkle, minhash, nearest, pages, quality, repeats, toxicity
 from logharbor.llm.common import read_table, session
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,9 @@ QUERIES: dict[str, Build] = {
     "op8_decontaminate": contamination.op8_decontaminate,
     "op9_main_text": pages.op9_main_text,
     "op10_minhash_dedup": over("documents", minhash.component_rows),
+    "op11_ranked_search": lexical.op11_ranked_search,
+    "op12_merkle_manifest": over("documents", merkle.manifest_rows),
+    "op13_top_k_search": over("embeddings", nearest.search_rows),
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -35,4 +38,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_decontaminate": contamination.ORACLE,
     "op10_minhash_dedup": minhash.ORACLE,
+    "op11_ranked_search": lexical.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
+    "op13_top_k_search": nearest.ORACLE,
 }
