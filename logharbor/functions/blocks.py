@@ -35,16 +35,16 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     return condition
 
 
-def cut_points(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, int] | None:
+def cut_points(df: DataFrame, keys: list[str], order: list[str], least: int | None = None) -> tuple[DataFrame, int] | None:
     """For each key with more than one slice, where its slices but the first begin, in order; and the most cuts of a key.
 
-    A slice has `spark.logharbor.sliceRows` rows or more, and there are at most PER_PARTITION slices for
+    A slice has about `least` rows or more (`spark.logharbor.sliceRows` unless given), and there are at most PER_PARTITION slices for
     each shuffle partition, so this table, which the driver holds and broadcasts, is bounded by the
     settings. None where the whole frame is one slice.
     """
     spark, places = df.sparkSession, df.select(*keys, *order)
     total, partitions = places.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = max(slice_rows(spark), -(-total // (PER_PARTITION * partitions)))
+    rows = max(least or slice_rows(spark), -(-total // (PER_PARTITION * partitions)))
     if total <= rows:
         return None
     drawn = places.where(F.pmod(F.xxhash64(F.lit(5), *keys, *order), F.lit(rows)) < SAMPLES)
@@ -60,9 +60,9 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFr
 class Blocks:
     """A frame whose keys are cut into slices; `order` is a total order within a key, nulls first."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str]):
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], least: int | None = None):
         self.keys, self.order = list(keys), list(order)
-        found = cut_points(df, self.keys, self.order)
+        found = cut_points(df, self.keys, self.order, least)
         # 0 in every row; a literal would be folded, and a join on it alone be a nested loop
         number = F.pmod(F.xxhash64(*self.order), F.lit(1)).cast("int")
         if found:
@@ -120,9 +120,9 @@ class Blocks:
         return out.drop(*carry)
 
 
-def running_number(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+def running_number(df: DataFrame, keys: list[str], order: list[str], name: str, least: int | None = None) -> DataFrame:
     """Position of each row within its key in the given order, starting at 1."""
-    blocks = Blocks(df, keys, order)
+    blocks = Blocks(df, keys, order, least)
     out = blocks.carried(
         blocks.df, {"_n": F.count(F.lit(1))}, {"_before": F.coalesce(F.sum("_n").over(blocks.earlier), F.lit(0))}
     )
