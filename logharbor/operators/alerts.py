@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.functions.blocks import AT, Blocks
+from logharbor.functions.blocks import AT, Blocks, same_key
 from logharbor.functions.timestamps import bin_time, width_seconds
 from logharbor.operators.metrics import histogram_quantile
 from logharbor.session import cut_lineage
@@ -118,26 +118,44 @@ def alert_notifications(
     """When each alert group notifies: at its first alert, then no sooner than `repeat` after.
 
     Groups are looked at once per `interval`, so alerts are first reduced to one row per group and
-    interval; a group's history is then bounded by the time span, not by the number of alerts, and is
-    folded in order.
+    interval. Each such tick points to the first one that is at least `repeat` later, and the ticks that
+    notify are those reached from the first one: each round follows the pointers of all that are reached
+    and then doubles the pointers, so the rounds grow with the logarithm of a group's notifications, and
+    no task holds the history of a group.
     """
-    ticks = alerts.groupBy(*group, bin_time(F.col("ts"), interval).alias("tick")).agg(
-        F.count("*").alias("alerts")
-    )
-    history = ticks.groupBy(*group).agg(
-        F.array_sort(F.collect_list(F.struct(F.unix_seconds("tick").alias("t"), "alerts"))).alias("h")
-    )
-    gap = width_seconds(repeat)
-    sent_type = "array<struct<t:bigint,alerts:bigint>>"
-
-    def step(sent: Column, tick: Column) -> Column:
-        due = (F.size(sent) == 0) | (tick["t"] >= F.element_at(sent, -1)["t"] + gap)
-        return F.when(due, F.concat(sent, F.array(tick))).otherwise(sent)
-
-    sent = F.aggregate("h", F.array().cast(sent_type), step)
-    return history.select(*group, F.inline(sent)).select(
-        *group, F.timestamp_seconds("t").alias("notified_at"), "alerts"
-    )
+    tick = bin_time(F.col("ts"), interval).alias("tick")
+    ticks = cut_lineage(alerts.groupBy(*group, tick).agg(F.count("*").alias("alerts")))
+    step = cut_lineage(_next_ticks(ticks, group, width_seconds(repeat)))
+    reached = ticks.groupBy(*group).agg(F.min("tick").alias("tick"))
+    while True:
+        same = same_key("r", "s", group) & (F.col("r.tick") == F.col("s.tick"))
+        more = reached.alias("r").join(step.alias("s"), same).select(*[f"s.{c}" for c in group], F.col("s.following").alias("tick"))
+        more = cut_lineage(more)
+        if more.isEmpty():
+            break
+        reached = reached.unionByName(more)
+        same = same_key("r", "s", group) & (F.col("r.following") == F.col("s.tick"))
+        step = cut_lineage(step.alias("r").join(step.alias("s"), same).select(*[f"r.{c}" for c in group], "r.tick", "s.following"))
+    same = same_key("t", "r", group) & (F.col("t.tick") == F.col("r.tick"))
+    found = ticks.alias("t").join(reached.alias("r"), same, "left_semi")
+    return found.select(*group, F.col("tick").alias("notified_at"), "alerts")
+
+
+def _next_ticks(ticks: DataFrame, group: list[str], gap: float) -> DataFrame:
+    """Each tick with the `following` one of its group that is at least `gap` seconds later, if there is one.
+
+    Ticks are sorted backwards in time together with places `gap` after each; what stands last before
+    such a place is the least tick so far.
+    """
+    us = F.unix_micros("tick")
+    here = F.struct((-us).alias("_back"), F.lit(0).alias("_look"), F.col("tick").alias("_seen"))
+    look = F.struct((-us - int(gap * 1_000_000)).alias("_back"), F.lit(1).alias("_look"), F.lit(None).cast("timestamp").alias("_seen"))
+    both = ticks.select(*group, "tick", F.inline(F.array(here, look)))
+    blocks = Blocks(both, group, ["_back", "_look"])
+    df = blocks.carried(blocks.df, {"_least": F.min("_seen")}, {"_before": F.min("_least").over(blocks.earlier)})
+    following = F.coalesce(F.min("_seen").over(blocks.running), F.col("_before"))
+    df = df.withColumn("following", following).where((F.col("_look") == 1) & F.col("following").isNotNull())
+    return df.select(*group, "tick", "following")
 
 
 @dataclass(frozen=True)
@@ -189,15 +207,17 @@ QUANTILE_RULE = QuantileRule("LatencyP95High", "processing_latency_seconds_bucke
 def sliding_totals(gains: DataFrame, keys: list[str], step: str, every: str) -> DataFrame:
     """Growth over the last `step` at every look, once per `every`; looks without a gain in reach have no row.
 
-    A gain counts at the looks t with t - step < ts <= t, of which there are step / every, so it is
-    repeated for those and summed up map-side; no window over a series is needed.
+    A gain counts at the looks t with t - step < ts <= t. Gains are first summed up over those that count
+    at the same looks, one sum per series and `every`, and only the sums are repeated for their
+    step / every looks; no window over a series is needed.
     """
     width, pace = int(width_seconds(step) * 1_000_000), int(width_seconds(every) * 1_000_000)
     us = F.unix_micros("ts")
     first = F.ceil(us / F.lit(pace)).cast("bigint")
     last = F.ceil((us + width) / F.lit(pace)).cast("bigint") - 1
-    looks = F.when(first <= last, F.sequence(first, last))
-    spread = gains.select(*keys, "gain", F.explode(looks).alias("_look"))
+    sums = gains.select(*keys, "gain", first.alias("_first"), last.alias("_last")).where("_first <= _last")
+    sums = sums.groupBy(*keys, "_first", "_last").agg(F.sum("gain").alias("gain"))
+    spread = sums.select(*keys, "gain", F.explode(F.sequence("_first", "_last")).alias("_look"))
     totals = spread.groupBy(*keys, "_look").agg(F.sum("gain").alias("total"))
     return totals.select(*keys, F.timestamp_micros(F.col("_look") * pace).alias("ts"), "total")
 

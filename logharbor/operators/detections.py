@@ -69,16 +69,10 @@ def detect_exfiltration(
     keys = ["TimeGenerated", "SourceIP"]
     totals = per_target.groupBy(*keys).agg(F.sum("bytes").alias("total"), F.sum("rows").alias("TransferCount"))
     totals = totals.where(F.col("total") > F.lit(min_bytes))
-    named = per_target.alias("d").join(totals.select(*keys).alias("e"), same_key("d", "e", keys), "left_semi")
-    targets = named.groupBy(*keys).agg(F.array_sort(F.collect_list("DestinationIP")).alias("DestinationIPs"))
-    found = totals.alias("d").join(targets.alias("e"), same_key("d", "e", keys))
-    return found.select(
-        "d.TimeGenerated",
-        "d.SourceIP",
-        megabytes(F.col("total")).alias("TotalMB"),
-        "TransferCount",
-        "DestinationIPs",
-    ).orderBy(F.desc("TotalMB"), "TimeGenerated", "SourceIP")
+    named = per_target.alias("d").join(totals.alias("e"), same_key("d", "e", keys))
+    named = named.select(*[f"d.{c}" for c in keys], "DestinationIP", "total", "TransferCount")
+    found = named.groupBy(*keys, "total", "TransferCount").agg(F.array_sort(F.collect_list("DestinationIP")).alias("DestinationIPs"))
+    return found.select(*keys, megabytes(F.col("total")).alias("TotalMB"), "TransferCount", "DestinationIPs").orderBy(F.desc("TotalMB"), "TimeGenerated", "SourceIP")
 
 
 def block_summary(fw: DataFrame, as_of, lookback: str = "24 hours", approx: bool = False) -> DataFrame:

@@ -146,19 +146,28 @@ def histogram_quantile(buckets: DataFrame, keys: list[str], q: float) -> DataFra
     return staged.select(*keys, value.otherwise(inside).alias("quantile"))
 
 
-def component_metrics(batches: DataFrame) -> DataFrame:
-    """Per component: rows, errors, errors by type, mean times and sizes, error rate, health.
+def component_state(batches: DataFrame, slots: list[str] | None = None) -> DataFrame:
+    """Sums per component and error type (and time slot), from which the metrics follow; states of any slots add up.
 
     Input rows are batches with component, count, duration, batch_size and error_type (null = none).
-    Errors are first counted per (component, type), so the map is built from few rows.
     """
-    by_type = batches.groupBy("component", "error_type").agg(
+    return batches.groupBy("component", "error_type", *(slots or [])).agg(
         F.sum("count").alias("count"),
         F.sum("duration").alias("duration"),
         F.sum("batch_size").alias("size"),
         F.count("batch_size").alias("batches"),
         F.count("error_type").alias("errors"),
     )
+
+
+def component_metrics(batches: DataFrame) -> DataFrame:
+    """Per component: rows, errors, errors by type, mean times and sizes, error rate, health."""
+    return metrics_of_state(component_state(batches))
+
+
+def metrics_of_state(state: DataFrame) -> DataFrame:
+    """The metrics of `component_metrics` from states; error types are counted first, so the map is built from few rows."""
+    by_type = state.groupBy("component", "error_type").agg(*[F.sum(c).alias(c) for c in ("count", "duration", "size", "batches", "errors")])
     pair = F.when(F.col("error_type").isNotNull(), F.struct("error_type", "errors"))
     total = by_type.groupBy("component").agg(
         F.sum("count").alias("processed_count"),

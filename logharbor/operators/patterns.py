@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,8 @@ REPEATS = 10
 SIGNIFICANT = 100
 TOP_PATTERNS = 10
 MIN_CLUSTER = 5
+#: Counters of a task in a summary of patterns.
+COUNTERS = 1000
 URGENT = 0.8
 
 
@@ -135,6 +139,42 @@ def frequent_patterns(hashed: DataFrame, n: int = TOP_PATTERNS, significant: int
     )
 
 
+def pattern_summary(hashed: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """Patterns that may be frequent, counted in bounded memory: a few rows from each task, whatever it read.
+
+    Each task keeps `counters` counters. Where there are more patterns, all counters go down by the largest
+    that does not fit any more, and the sum of what was taken is the task's `slack`: no pattern has lost
+    more. Rows are pattern, counted and slack; every task has a row without a pattern for its slack and
+    its number of rows. Summaries of several jobs are simply put together.
+    """
+
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, slack, rows = pd.Series(dtype="int64"), 0, 0
+        for frame in frames:
+            rows += len(frame)
+            held = held.add(frame["pattern"].value_counts(), fill_value=0).astype("int64")
+            if len(held) > counters:
+                cut = int(held.nlargest(counters + 1).iloc[-1])
+                slack, held = slack + cut, held[held > cut] - cut
+        found = pd.DataFrame({"pattern": held.index.astype("object"), "counted": held.to_numpy(), "slack": 0})
+        yield pd.concat([found, pd.DataFrame({"pattern": [None], "counted": [rows], "slack": [slack]})])
+
+    rows = hashed.select("pattern").where("pattern is not null")
+    return rows.mapInPandas(summed, "pattern string, counted long, slack long")
+
+
+def heavy_patterns(summary: DataFrame, share: float | None = None) -> DataFrame:
+    """Patterns with bounds of their frequency (`at_least`, `at_most`), from a summary.
+
+    A pattern that is not listed is at most as frequent as the sum of all slack, which is under the number
+    of rows divided by the counters. With `share`, those that may make up so much of all rows: none is missed.
+    """
+    totals = summary.where("pattern is null").agg(F.coalesce(F.sum("counted"), F.lit(0)).alias("rows"), F.coalesce(F.sum("slack"), F.lit(0)).alias("slack"))
+    found = summary.where("pattern is not null").groupBy("pattern").agg(F.sum("counted").alias("at_least"))
+    found = found.withColumn("at_most", F.col("at_least") + totals.select("slack").scalar())
+    return found if share is None else found.where(F.col("at_most") >= totals.select("rows").scalar() * F.lit(float(share)))
+
+
 def attach_sequences(numbered: DataFrame, keys: list[str], repeats: int = REPEATS) -> DataFrame:
     """Rows of `numbered_sequences` with the first repeating sequence that covers each of them.
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from logharbor.functions.binding import bind
 from logharbor.functions.network import ip_version
 from logharbor.functions.timestamps import parse_timestamp
-from logharbor.functions.variants import TYPE_NAMES, json_depth, parse_strict, variant_type
+from logharbor.functions.variants import TYPE_NAMES, parse_strict, variant_type
 
 # Value patterns that point at secrets, and how references to a secret store begin.
 SENSITIVE_PATTERNS = (r"password[s]?", r"secret[s]?", r"key[s]?", r"token[s]?", r"credential[s]?")
@@ -280,53 +282,50 @@ def sensitive_columns(df: DataFrame, key: list[str], columns: list[str]) -> Data
 def sensitive_values(df: DataFrame, key: list[str], json_text: str) -> DataFrame:
     """String values at any path of a JSON column that point at a secret.
 
-    Only texts that mention a pattern (or hide letters in escapes) are parsed, once each. The walk
-    goes level by level inside the row, as deep as the deepest of those texts, which a first job finds;
-    objects inside lists are entered, lists inside lists are not.
+    Only texts that mention a pattern (or hide letters in escapes) and are one JSON value are walked, each
+    once, in Arrow batches; the plan and the time per value do not depend on how deep they lie. Objects
+    inside lists are entered, lists inside lists are not. The parser takes up to 1000 levels, and a text
+    with more is not JSON to it.
     """
     text = F.col(json_text)
     hinted = text.rlike("(?i)" + "|".join(SENSITIVE_PATTERNS)) | text.contains("\\u")
-    root = F.struct(F.lit("").alias("path"), parse_strict(text).alias("v"))
-    walk = df.where(hinted).select(*key, F.array(root).alias("_level0"))
-    deepest = df.where(hinted & parse_strict(text).isNotNull()).agg(F.max(json_depth(text))).first()[0] or 0
-    if not deepest:
-        walk = walk.limit(0)
-    levels = []
-    for depth in range(max(deepest, 1)):
-        walk = walk.withColumn(f"_level{depth + 1}", _next_level(F.col(f"_level{depth}")))
-        levels.append(F.col(f"_level{depth + 1}"))
-    texts = F.filter(F.concat(*levels), lambda e: variant_type(e["v"]) == "string")
-    values = walk.select(*key, F.inline_outer(texts)).select(
-        *key, "path", F.try_variant_get("v", "$", "string").alias("value")
-    )
-    found = values.where(is_sensitive(F.col("value")))
+    walked = df.where(hinted & parse_strict(text).isNotNull()).select(*key, text.alias("_json"))
+    kept = walked.select(*key).schema
+    found = walked.mapInArrow(_walked(kept.names), T.StructType([*kept.fields, T.StructField("path", T.StringType()), T.StructField("value", T.StringType())]))
+    found = found.where(is_sensitive(F.col("value")))
     return found.withColumn("warnings", sensitive_patterns(F.col("value")))
 
 
-def _next_level(level: Column) -> Column:
-    """Members of the objects of a level, and the elements of the lists among those members."""
-
-    def members(entry: Column) -> Column:
-        fields = F.map_entries(F.try_variant_get(entry["v"], "$", "map<string,variant>"))
-        prefix = F.when(entry["path"] == "", "").otherwise(F.concat(entry["path"], F.lit(".")))
-        return F.transform(
-            fields, lambda m: F.struct(F.concat(prefix, m["key"]).alias("path"), m["value"].alias("v"))
-        )
-
-    def elements(entry: Column) -> Column:
-        listed = F.try_variant_get(entry["v"], "$", "array<variant>")
-        return F.transform(
-            listed,
-            lambda v, i: F.struct(
-                F.concat(entry["path"], F.lit("["), i.cast("string"), F.lit("]")).alias("path"), v.alias("v")
-            ),
-        )
-
-    objects = F.filter(level, lambda e: variant_type(e["v"]) == "dict")
-    children = F.flatten(F.transform(objects, lambda e: members(e)))
-
-    def with_elements(found: Column) -> Column:
-        lists = F.filter(found, lambda e: variant_type(e["v"]) == "list")
-        return F.concat(found, F.flatten(F.transform(lists, lambda e: elements(e))))
-
-    return F.get(F.transform(F.array(children), lambda c: with_elements(c)), F.lit(0))
+def _walked(key: list[str]):
+    """The key columns with each string value and its path, a row per value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, paths, values = [], [], []
+            for row, text in enumerate(batch.column("_json").to_pylist()):
+                for path, value in string_values(text):
+                    rows.append(row)
+                    paths.append(path.encode("utf-8", "replace"))
+                    values.append(value.encode("utf-8", "replace"))
+            found = [batch.column(c).take(pa.array(rows, pa.int64())) for c in key]
+            texts = [pa.array(x, pa.binary()).cast(pa.string()) for x in (paths, values)]
+            yield pa.record_batch([*found, *texts], [*key, "path", "value"])
+
+    return run
+
+
+def string_values(text: str) -> Iterator[tuple[str, str]]:
+    """The strings of a JSON object with their paths: members by dots, elements of a list by [n]."""
+    root = json.loads(text)
+    stack = [("", root)] if isinstance(root, dict) else []
+    while stack:
+        path, value = stack.pop()
+        if isinstance(value, str):
+            yield path, value
+        elif isinstance(value, dict):
+            prefix = path and f"{path}."
+            for name, member in value.items():
+                if isinstance(member, list):
+                    stack += [(f"{prefix}{name}[{n}]", v) for n, v in enumerate(member) if not isinstance(v, list)]
+                else:
+                    stack.append((prefix + name, member))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logharbor.operators import detections as det
+from logharbor.operators import sketches
 from logharbor.plans.fixtures import AS_OF, WHOLE_RANGE, view, with_views
 from logharbor.plans.registry import query
+from logharbor.session import scratch_dir
 
 
 @query(
@@ -58,6 +60,45 @@ def _(spark, sf_dir):
     return det.detect_exfiltration(view(spark, sf_dir, "fw"), AS_OF, WHOLE_RANGE)
 
 
+@query(
+    "block_summary_state",
+    with_views("fw", "select RuleName, count(*) as BlockCount, true as close from fw where Action in ('deny','drop') group by RuleName"),
+)
+def _(spark, sf_dir):
+    """Blocked traffic per rule over the whole range, from hourly states alone; the estimates are checked."""
+    path, fw = scratch_dir(spark, "block_summary_state"), view(spark, sf_dir, "fw")
+    sketches.distinct_state(fw.where(F.col("Action").isin(*det.BLOCKING)), ["RuleName"], ["SourceIP"]).write.parquet(path)
+    found = sketches.distinct_counts(spark.read.parquet(path), ["RuleName"], ["SourceIP"])
+    exact = det.block_summary(fw, AS_OF, WHOLE_RANGE).select("RuleName", "UniqueSourceIPs")
+    close = sketches.close_to(F.col("SourceIP"), F.col("UniqueSourceIPs"))
+    return found.alias("f").join(exact.alias("e"), F.col("f.RuleName").eqNullSafe(F.col("e.RuleName"))).select(
+        "f.RuleName", F.col("rows").alias("BlockCount"), close.alias("close")
+    )
+
+
+@query(
+    "detect_bruteforce_state",
+    with_views(
+        "fw",
+        """
+select SourceIP, count(*) as AttemptCount, count(distinct DestinationIP) as TargetHosts,
+  min(TimeGenerated) as FirstSeen, max(TimeGenerated) as LastSeen
+from fw where Action in ('deny','drop') and DestinationPort in (22,3389,23,5900) and TimeGenerated >= timestamp '2024-01-05 00:00:00'
+group by SourceIP having count(*) >= 3""",
+    ),
+)
+def _(spark, sf_dir):
+    """Repeated attempts from daily states. So few hosts per source are counted without error by the sketches."""
+    path = scratch_dir(spark, "detect_bruteforce_state")
+    rows = view(spark, sf_dir, "fw").where(F.col("Action").isin(*det.BLOCKING) & F.col("DestinationPort").isin(*det.REMOTE_ACCESS_PORTS))
+    sketches.distinct_state(rows, ["SourceIP"], ["DestinationIP"], every="1 day").write.parquet(path)
+    found = sketches.distinct_counts(spark.read.parquet(path), ["SourceIP"], ["DestinationIP"], since="2024-01-05T00:00:00")
+    return found.where("rows >= 3").select(
+        "SourceIP", F.col("rows").alias("AttemptCount"), F.col("DestinationIP").alias("TargetHosts"),
+        F.col("first_seen").alias("FirstSeen"), F.col("last_seen").alias("LastSeen"),
+    )
+
+
 @query(
     "block_summary",
     with_views(

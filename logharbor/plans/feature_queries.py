@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logharbor.operators import features, models, patterns
+from logharbor.operators import clusters, features, models, patterns
 from logharbor.plans.fixtures import AS_OF, table, view, with_views
 from logharbor.plans.registry import query
+from logharbor.session import cut_lineage, scratch_dir
 
 COLUMNS = list(features.FEATURES)
 RECORD = ["level", "source", "type", "message"]
@@ -147,6 +148,34 @@ def _(spark, sf_dir):
     return patterns.label_clusters(rows, CLUSTER_COLUMNS, "ts", "event_id").select("event_id", "cluster")
 
 
+def _density_sql(radius: float, least: int) -> str:
+    """Clusters by definition: core points by counting all pairs, and the least core point that each can be reached from."""
+    return f"""with recursive points as (
+  select event_id, cast(ts as timestamp) as ts, value / 10.0::double as a, (hour(cast(ts as timestamp)) + minute(cast(ts as timestamp)) / 60.0::double) as b from events),
+near as (select p.event_id as p, q.event_id as q from points p join points q
+  on (p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) <= {radius}::double * {radius}::double),
+core as (select p from near group by p having count(*) >= {least}),
+edges as (select p, q from near where p in (select p from core) and q in (select p from core)),
+walk as (select p as node, p as seen from core union select q, seen from walk join edges on node = p),
+roots as (select node, min(seen) as root from walk group by node),
+firsts as (select root, min((ts, event_id)) as first from roots join points on event_id = node group by root),
+numbered as (select root, row_number() over (order by first) - 1 as cluster from firsts),
+labels as (select node as event_id, cluster from roots join numbered using (root)),
+edged as (select p as event_id, min(cluster) as cluster from near join labels on q = labels.event_id group by p)
+select event_id, coalesce(labels.cluster, edged.cluster, -1) as cluster
+from points left join labels using (event_id) left join edged using (event_id)"""
+
+
+@query("density_clusters", _density_sql(0.15, 6))
+def _(spark, sf_dir):
+    """Density clusters of two fractional features."""
+    ts = F.col("ts").cast("timestamp")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", ts.alias("ts"), (F.col("value") / F.lit(10.0)).alias("a"), (F.hour(ts) + F.minute(ts) / F.lit(60.0)).alias("b")
+    )
+    return clusters.density_clusters(rows, ["a", "b"], "ts", "event_id", radius=0.15, min_size=6).select("event_id", "cluster")
+
+
 @query(
     "log_cluster_table",
     with_views(
@@ -205,6 +234,23 @@ def _(spark, sf_dir):
     return patterns.frequent_patterns(hashed)
 
 
+@query(
+    "heavy_patterns",
+    f"""with {SEQ_SQL}, counts as (select pattern, count(*) as frequency from hashed where pattern is not null group by 1)
+select pattern, frequency, true as within from counts where frequency >= 0.02 * (select sum(frequency) from counts)""",
+)
+def _(spark, sf_dir):
+    """Patterns of two hundredths of all rows or more, from summaries of 40 counters a task; the bounds are checked."""
+    path = scratch_dir(spark, "heavy_patterns")
+    hashed = cut_lineage(patterns.sequence_hashes(item_rows(spark, sf_dir), ["user_id"], ["ts", "event_id"], F.col("item")))
+    patterns.pattern_summary(hashed, counters=40).write.parquet(path)
+    heavy = patterns.heavy_patterns(spark.read.parquet(path), share=0.02)
+    counts = hashed.where("pattern is not null").groupBy("pattern").agg(F.count("*").alias("frequency"))
+    total = counts.agg(F.sum("frequency").alias("n")).select("n").scalar()
+    within = F.coalesce(F.col("frequency").between(F.col("at_least"), F.col("at_most")), F.lit(False))
+    return counts.where(F.col("frequency") >= 0.02 * total).join(heavy, "pattern", "left").select("pattern", "frequency", within.alias("within"))
+
+
 ATTACH_SQL = """attached as (
   select i.event_id, i.user_id, i.ts, i.idx, arg_min(f.idx, f.idx) as sequence_id, arg_min(f.frequency, f.idx) as frequency
   from items i left join found f on f.user_id = i.user_id and f.idx between i.idx - 4 and i.idx group by all)"""
@@ -234,13 +280,19 @@ enriched as (
 
 def enriched(spark, sf_dir):
     """Rows with a priority from their value (absent for views), the anomaly score and the sequence."""
-    flagged = features.flag_anomalies(scaled_rows(spark, sf_dir), COLUMNS, threshold=0.6)
-    scores = flagged.select("event_id", F.round("anomaly_score", 6).alias("anomaly_score"), "is_anomaly")
-    kind = F.col("event_type")
-    priority = F.when(kind != "view", F.round(F.col("value") / F.lit(500.0), 6))
-    priorities = table(spark, sf_dir, "events").select("event_id", priority.alias("priority_score"))
-    rows = attached(spark, sf_dir).join(scores, "event_id").join(priorities, "event_id")
-    return patterns.enrich(rows)
+    kept = ["event_id", "ts", "user_id", "type", "value"]
+    rows = features.extract_features(logs(spark, sf_dir), features.default_extractors(AS_OF, RECORD), kept)
+    flagged = features.flag_anomalies(features.scale(rows, COLUMNS, features.scaler_state(rows, COLUMNS)), COLUMNS, threshold=0.6)
+    kind = F.col("type")
+    rows = flagged.select(
+        *kept[:3],
+        F.when(kind.isin("error", "signup"), "bad").otherwise("good").alias("item"),
+        F.round("anomaly_score", 6).alias("anomaly_score"),
+        "is_anomaly",
+        F.when(kind != "view", F.round(F.col("value") / F.lit(500.0), 6)).alias("priority_score"),
+    )
+    numbered = patterns.numbered_sequences(rows, ["user_id"], ["ts", "event_id"], F.col("item"))
+    return patterns.enrich(patterns.attach_sequences(numbered, ["user_id"], repeats=3))
 
 
 @query(

@@ -43,7 +43,7 @@ from events where event_type in ('view','click')""",
 select event_id, cast(ts as timestamp) as ts, user_id,
   case event_type when 'error' then 'ERROR' when 'signup' then 'WARNING' when 'view' then 'DEBUG' else 'INFO' end as level,
   concat('component-', cast(user_id % 5 as string)) as component, event_type as type,
-  concat(event_type, ' by user ', cast(user_id as string), ' value ', props) as message
+  concat(event_type, ' by user ', cast(user_id as string), ' value ', props) as message, value
 from events""",
     ),
     "metrics": (

@@ -9,7 +9,7 @@ from logharbor.operators import routing, sinks
 from logharbor.plans.fixtures import AS_OF, firewall_lines, table, view, with_views
 from logharbor.plans.registry import query
 from logharbor.session import scratch_dir
-from logharbor.sources import delimited, firewall, json_logs, manifest
+from logharbor.sources import delimited, firewall, json_logs, json_splits, manifest
 from logharbor.specs import FIREWALL, FIREWALL_STRICT, VPN, TableSpec
 
 
@@ -114,6 +114,44 @@ def _(spark, sf_dir):
     return manifest.file_outcomes(tagged).select("path", "rows", "bad_rows", "status")
 
 
+@query(
+    "object_times",
+    "select cast(event_id % 7 as varchar) as path, count(*) as rows, true as timed from events group by 1",
+)
+def _(spark, sf_dir):
+    """How long the rows of an object took, and its bytes per second."""
+    rows = manifest.clocked(table(spark, sf_dir, "events").select((F.col("event_id") % 7).cast("string").alias("path"), F.octet_length("props").cast("bigint").alias("size")))
+    found = manifest.file_outcomes(rows.withColumn("reason", F.lit(None).cast("string")))
+    seconds, rate = F.col("duration_seconds"), F.col("bytes_per_second")
+    timed = (seconds >= 0) & F.when(seconds == 0, rate.isNull()).otherwise(F.abs(rate * seconds - F.col("bytes")) < 1e-6)
+    return found.select("path", "rows", timed.alias("timed"))
+
+
+@query(
+    "json_array_ingest",
+    """
+select user_id % 5 as bucket, cast(json_extract(props, '$.k') as bigint) as k, count(*) as records
+from events group by 1, 2""",
+)
+def _(spark, sf_dir):
+    """Arrays of two thousand events, a file each, that several tasks read a part of."""
+    folder = scratch_dir(spark, "json_array_ingest")
+    note = F.lit(', "note": "a } in \\"text\\" {", "props": ')
+    record = F.concat(F.lit('{"b": '), (F.col("user_id") % 5).cast("string"), note, F.coalesce("props", F.lit("null")), F.lit("}"))
+    arrays = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 2000).alias("file")).agg(F.collect_list(record).alias("records"))
+    content = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("]"))
+    arrays.select("file", content.alias("value")).write.partitionBy("file").text(folder)
+    width = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(width)
+    spark.conf.set(width, "64k")
+    try:
+        records = json_splits.read_json_objects(spark, folder, large=1)
+    finally:
+        spark.conf.set(width, before)
+    kept = records.select(F.variant_get("record", "$.b", "bigint").alias("bucket"), F.try_variant_get("record", "$.props.k", "bigint").alias("k"))
+    return kept.groupBy("bucket", "k").agg(F.count("*").alias("records"))
+
+
 @query(
     "outcome_summary",
     with_views(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logharbor.operators import alerts, metrics, reports
+from logharbor.functions.blocks import Blocks
+from logharbor.operators import alerts, metrics, reports, sketches
 from logharbor.plans.fixtures import AS_OF, view, with_views
 from logharbor.plans.registry import query
+from logharbor.session import scratch_dir
 from logharbor.specs import AlertCondition
 
 AS_OF_SQL = f"timestamp '{AS_OF.replace('T', ' ')}'"
@@ -167,6 +168,48 @@ def _(spark, sf_dir):
     return rounded(report.drop("processing_time"), "avg_processing_time", "avg_batch_size", "error_rate").withColumn("error_types", shown)
 
 
+@query(
+    "component_state",
+    with_views(
+        "applog",
+        """
+select component, count(*) as processed_count, count(*) filter (level = 'ERROR') as error_count,
+  round(count(*) filter (level = 'ERROR')::double / count(*), 6) as error_rate
+from applog where ts >= timestamp '2024-01-10 00:00:00' and ts < timestamp '2024-01-20 00:00:00' group by 1""",
+    ),
+)
+def _(spark, sf_dir):
+    """Metrics of ten days from hourly states that were written and read again."""
+    one = F.lit(1).cast("bigint")
+    batches = view(spark, sf_dir, "applog").select(
+        "component", one.alias("count"), F.lit(0.0).alias("duration"), one.alias("batch_size"),
+        F.when(F.col("level") == "ERROR", F.col("type")).alias("error_type"), F.date_trunc("hour", "ts").alias("slot"),
+    )
+    path = scratch_dir(spark, "component_state")
+    metrics.component_state(batches, ["slot"]).write.parquet(path)
+    state = spark.read.parquet(path).where("slot >= timestamp '2024-01-10 00:00:00' and slot < timestamp '2024-01-20 00:00:00'")
+    return rounded(metrics.metrics_of_state(state).select("component", "processed_count", "error_count", "error_rate"), "error_rate")
+
+
+@query(
+    "quantile_state",
+    with_views("metrics", "select name, q, count(*) as samples, true as close from metrics, (select unnest([0.5::double, 0.95::double, 0.99::double]) as q) t group by 1, 2"),
+)
+def _(spark, sf_dir):
+    """Quantiles from hourly sketches that were written and read again: their true ranks are within a hundredth."""
+    path, ranks = scratch_dir(spark, "quantile_state"), {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    rows = samples(spark, sf_dir)
+    sketches.quantile_state(rows, KEYS).write.parquet(path)
+    found = sketches.quantiles(spark.read.parquet(path), ["name"], ranks)
+    asked = F.array(*[F.struct(F.lit(q).alias("q"), F.col(c).alias("estimate")) for c, q in ranks.items()])
+    asked = found.select("name", "samples", F.inline(asked))
+    below = rows.join(F.broadcast(asked), "name").groupBy("name", "q", "samples").agg(
+        F.count_if(F.col("value") < F.col("estimate")).alias("under"), F.count_if(F.col("value") <= F.col("estimate")).alias("upto")
+    )
+    close = (F.col("under") <= (F.col("q") + 0.01) * F.col("samples")) & (F.col("upto") >= (F.col("q") - 0.01) * F.col("samples"))
+    return below.select("name", "q", "samples", close.alias("close"))
+
+
 @query(
     "component_health",
     with_views(
@@ -372,10 +415,14 @@ judged as (select * replace (coalesce(value > 180, false) as holds) from (select
 )
 def _(spark, sf_dir):
     """The 95th percentile of a histogram whose bucket counters grow with every sample."""
-    order = Window.partitionBy("series").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    latency = samples(spark, sf_dir).withColumn("value", F.col("value") * 3)
-    rows = [F.struct(F.lit(b).alias("le"), F.count_if(F.col("value") <= b).over(order).cast("double").alias("value")) for b in _LATENCY_BOUNDS]
-    counters = latency.select("event_id", "series", "ts", F.array(*rows).alias("b")).select("event_id", "series", "ts", F.inline("b"))
+    latency = samples(spark, sf_dir).select("event_id", "series", "ts", (F.col("value") * 3).alias("value"))
+    blocks = Blocks(latency, ["series"], ["ts", "event_id"])
+    within = {f"b{k}": F.count_if(F.col("value") <= b) for k, b in enumerate(_LATENCY_BOUNDS)}
+    before = {f"before{k}": F.coalesce(F.sum(f"b{k}").over(blocks.earlier), F.lit(0)) for k in range(len(within))}
+    counted = blocks.carried(blocks.df, within, before)
+    values = [(c.over(blocks.running) + F.col(f"before{k}")).cast("double").alias("value") for k, c in enumerate(within.values())]
+    rows = F.array(*[F.struct(F.lit(b).alias("le"), v) for b, v in zip(_LATENCY_BOUNDS, values)])
+    counters = counted.select("event_id", "series", "ts", rows.alias("b")).select("event_id", "series", "ts", F.inline("b"))
     counters = counters.withColumn("name", F.lit(alerts.QUANTILE_RULE.metric_name))
     gained = metrics.sample_gains(counters, ["series", "name", "le"], "event_id")
     return alerts.quantile_rule_episodes(gained, alerts.QUANTILE_RULE).drop("value")

@@ -417,6 +417,22 @@ def _(spark, sf_dir):
     return encryption.decrypt_columns(spark.read.parquet(f"{root}/new"), columns, new)
 
 
+@query("table_key_rotation_resumed", "select c_custkey, c_name, c_mktsegment, 2 as key_version from customer")
+def _(spark, sf_dir):
+    """A rotation that stops after three of its parts, is read meanwhile, and goes on."""
+    old, new = (F.unhex(F.sha2(F.lit(name), 256)) for name in ("first key", "second key"))
+    columns, root = ["c_name", "c_mktsegment"], scratch_dir(spark, "table_key_rotation_resumed")
+    plain = table(spark, sf_dir, "customer").select("c_custkey", *columns)
+    encryption.create_versioned(plain, root, columns, old, ["c_custkey"], parts=8)
+    if encryption.rotate_versioned(spark, root, columns, old, new, at_once=3):
+        raise RuntimeError("three of eight parts are not all")
+    meanwhile = encryption.decrypt_columns(encryption.read_versioned(spark, root), columns, old)
+    if not meanwhile.exceptAll(plain.withColumn("key_version", F.lit(1))).isEmpty():
+        raise RuntimeError("readers must see the old version until all parts are staged")
+    encryption.rotate_versioned(spark, root, columns, old, new)
+    return encryption.decrypt_columns(encryption.read_versioned(spark, root), columns, new)
+
+
 # ---- access --------------------------------------------------------------------------------------
 
 GRANTS_SQL = "grants as (select * from (values {}) g(role, permission))".format(

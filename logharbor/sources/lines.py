@@ -17,7 +17,7 @@ def _file_columns() -> list:
     ]
 
 
-def _options(glob: str | None, newer_than: str | None) -> dict[str, str]:
+def file_options(glob: str | None, newer_than: str | None) -> dict[str, str]:
     options = {"recursiveFileLookup": "true"}
     if glob:
         options["pathGlobFilter"] = glob
@@ -30,7 +30,7 @@ def read_lines(
     spark: SparkSession, folder: str, glob: str | None = None, newer_than: str | None = None
 ) -> DataFrame:
     """One row per line: `line` and the file it came from. Bad bytes become U+FFFD."""
-    raw = spark.read.options(**_options(glob, newer_than)).text(folder)
+    raw = spark.read.options(**file_options(glob, newer_than)).text(folder)
     return raw.select(F.make_valid_utf8("value").alias("line"), *_file_columns())
 
 
@@ -38,7 +38,7 @@ def read_objects(
     spark: SparkSession, folder: str, glob: str | None = None, newer_than: str | None = None
 ) -> DataFrame:
     """One row per object with its whole text, for formats that span lines."""
-    raw = spark.read.options(**_options(glob, newer_than)).text(folder, wholetext=True)
+    raw = spark.read.options(**file_options(glob, newer_than)).text(folder, wholetext=True)
     return raw.select(F.make_valid_utf8("value").alias("content"), *_file_columns())
 
 

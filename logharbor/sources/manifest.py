@@ -54,17 +54,29 @@ def list_folder(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def file_outcomes(tagged: DataFrame) -> DataFrame:
+def clocked(rows: DataFrame, name: str = "read_ms") -> DataFrame:
+    """Adds when each row was worked on, in milliseconds of the executor's clock; put right after the read."""
+    return rows.withColumn(name, F.reflect(F.lit("java.lang.System"), F.lit("currentTimeMillis")).cast("bigint"))
+
+
+def file_outcomes(tagged: DataFrame, clock: str = "read_ms") -> DataFrame:
     """Per object: rows, bad rows, bytes and whether every row was usable.
 
-    `tagged` has path, size and reason; hot files combine map-side before the shuffle.
+    `tagged` has path, size and reason; hot files combine map-side before the shuffle. Rows that were
+    `clocked` also give each object's `duration_seconds`, from its first row to its last over all tasks, and
+    `bytes_per_second`, null where the clock did not move in between.
     """
+    timed = clock in tagged.columns
+    seconds = (F.max(clock) - F.min(clock)) / F.lit(1000.0) if timed else None
     per_file = tagged.groupBy("path").agg(
         F.count("*").alias("rows"),
         F.count("reason").alias("bad_rows"),
         F.max("size").alias("bytes"),
         F.min("reason").alias("first_reason"),
+        *([seconds.alias("duration_seconds")] if timed else []),
     )
+    if timed:
+        per_file = per_file.withColumn("bytes_per_second", F.try_divide("bytes", "duration_seconds"))
     return per_file.withColumn(
         "status", F.when(F.col("bad_rows") == 0, "successful").otherwise("failed")
     )

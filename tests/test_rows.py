@@ -271,3 +271,57 @@ def test_rejected_rows_keep_their_reason(spark):
     df = spark.createDataFrame([(1, None), (2, "bad")], "n int, reason string")
     assert [r.n for r in accepted(df).collect()] == [1]
     assert [(r.n, r.reason) for r in rejected(df).collect()] == [(2, "bad")]
+
+
+# ---- objects in pieces ---------------------------------------------------------------------------
+
+
+def odd_objects():
+    """Arrays with braces, brackets, quotes and escapes in strings, nested and scalar elements, and broken ones."""
+    import json
+    import random
+
+    draw = random.Random(8)
+
+    def value(depth=0):
+        kind = draw.randrange(7 if depth < 3 else 4)
+        if kind < 2:
+            return draw.choice(['a}b', 'x]{["', 'tail\\', 'é "q" \\" {', "", "},{", '\\\\"', "\n}"])
+        if kind < 4:
+            return draw.choice([1, -2.5, True, None])
+        if kind == 4:
+            return [value(depth + 1) for _ in range(draw.randrange(3))]
+        return {draw.choice(["k", "}", '"', "m]"]) + str(n): value(depth + 1) for n in range(draw.randrange(4))}
+
+    texts = []
+    for n in range(40):
+        items = [draw.choice([value(1), {"n": n, "v": value()}]) for _ in range(draw.randrange(8))]
+        texts.append(json.dumps(items, ensure_ascii=draw.random() < 0.5, indent=draw.choice([None, 1, 2])) + draw.choice(["", "\n", "  \n"]))
+    texts += ["[]", " [ ] ", "[1, 2]", '[{"a": 1}]', '\n[\n{"a": {}},\n{}]\n']
+    lines = ['{"a": 1}\n{"b": "}"}\n\n{"c": [1]}', '{"a": 1}\n{broken\n{"b": 2}\n', "1\n2"]
+    bad = ['[{"a": 1},]', '[{"a": 1}{"b": 2}]', '[{"a": 1}', '[{"a": 1}] x', '[{"a": 1}]\n[{"b": 2}]', '[,{"a": 1}]', '[{"a": 1},,{"b": 1}]', '[{"a": 1}]]', '{"a": 1}]', "[{'a': 1}]", '[{"a": 1}, {"b": "x]']
+    return texts + lines + bad
+
+
+def test_arrays_in_pieces_are_those_of_the_whole_object(spark, tmp_path):
+    from logharbor.sources import json_splits
+    from logharbor.session import SLICE_ROWS_KEY
+
+    for n, text in enumerate(odd_objects()):
+        (tmp_path / f"{n:03d}.json").write_text(text, encoding="utf-8", newline="")
+    conf = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1", SLICE_ROWS_KEY: "5"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        pieces, whole = (
+            json_splits.read_json_objects(spark, str(tmp_path), large=large).selectExpr("path", "to_json(record) as r").groupBy("path").agg(F.sort_array(F.collect_list("r")).alias("r")).collect()
+            for large in (0, 1 << 20)
+        )
+        splits = json_splits.read_pieces(spark, str(tmp_path)).groupBy("path").agg(F.count_distinct("block").alias("n")).agg(F.max("n")).first()[0]
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert splits > 5
+    names = lambda rows: {r.path.rsplit("/", 1)[1]: r.r for r in rows}
+    assert names(pieces) == names(whole)
+    assert len(names(pieces)) > 40
