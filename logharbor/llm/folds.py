@@ -24,13 +24,20 @@ def training_labels(labels: DataFrame, name: str) -> DataFrame:
 
 
 def first_by_hash(ids: DataFrame, bound: int, column: str = "doc_id") -> DataFrame:
-    """At most `bound` of the ids, the same ones on each run: those with the least hash.
+    """At most `bound` different ids, the same ones on each run: those with the least hash.
 
-    Only the lowest hashes, four times as many as wanted, are sorted, so that the sort does not grow with
-    the number of partitions. `ids` has the id column only.
+    An id counts once however often it is repeated. Only the lowest hashes, about four times as many as
+    wanted, are sorted, so that the sort does not grow with the number of partitions. `ids` has the id
+    column only.
     """
     spread = F.xxhash64(F.col(column), F.lit(23))
-    share = 4 * bound / max(ids.count(), 1)
+    share = 4 * bound / max(ids.agg(F.approx_count_distinct(column)).first()[0], 1)
     if share < 1:
         ids = ids.where(spread < F.lit(int(share * 2**64) - 2**63))
-    return ids.orderBy(spread, column).limit(bound)
+    return ids.distinct().orderBy(spread, column).limit(bound)
+
+
+def one_text_per_id(rows: DataFrame, picked: DataFrame, name: str, text: str) -> DataFrame:
+    """The rows whose `name` is picked, one for each name and further column of `picked`: that with the least digest."""
+    found = rows.select(name, text).join(F.broadcast(picked), name)
+    return found.groupBy(*picked.columns).agg(F.min_by(text, F.sha2(text, 256)).alias(text))

@@ -197,7 +197,7 @@ def merkle_manifest(
         tree.alias("tree"), F.col(f"`{id_col}`").alias("id"), leaf.alias("leaf"), (nothing if claimed is None else claimed).alias("claimed")
     )
     leaves = written(leaves.withColumn("row", F.monotonically_increasing_id()), "merkle-leaves")
-    placed = running_number(leaves, ["tree"], ["id", "leaf", "row"], "nth")
+    placed = running_number(leaves, ["tree"], ["id", "leaf", "row"], "nth", least=4 * block)
     cell = F.struct("nth", "id", "leaf", "claimed")
     at = F.floor((F.col("nth") - 1) / block).alias("block")
     blocks = written(placed.groupBy("tree", at).agg(F.array_sort(F.collect_list(cell)).alias("leaves")), "merkle-blocks")

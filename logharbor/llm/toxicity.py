@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logharbor.llm.common import arrow_column, by_batch, read_table, session, text_slices, whole_text
-from logharbor.llm.folds import first_by_hash, held_out, training_labels
+from logharbor.llm.folds import first_by_hash, held_out, one_text_per_id, training_labels
 from logharbor.llm.shingles import mixed, powers, text_bytes
 
 #: Largest number of confirmed toxic and of unlabelled texts that the model is fitted on.
@@ -142,22 +142,25 @@ def _listed(batch: pa.RecordBatch) -> pa.Table:
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model:
     """Fit on at most `toxic_rows` toxic and `unlabelled_rows` unlabelled texts, none of them held out.
 
-    The toxic share is taken from the labelled rows outside the held-out fold. Without toxic or without
-    other texts nothing can be learned: every score is then the share itself (0 without labels).
+    The toxic share is taken from the labelled rows outside the held-out fold, and is taken to be one half
+    at most. Features that occur in fewer than LEAST_TEXTS or in more than half of the texts are not used.
+    Ids are sampled, each once however often it is repeated, and of rows that share an id the text with the
+    least digest stands for all; rows without an id are named by the digest of their text. Without toxic or
+    without other texts nothing can be learned: every score is then the share itself (0 without labels).
     """
     known = training_labels(labels, "toxic").cache()
     try:
         marked, total = known.agg(F.sum("label"), F.count(F.lit(1))).first()
         prior = min(max((marked or 0) / max(total, 1), 1e-9), 0.5)
         nothing = Model(float(np.log(prior / (1 - prior))), np.zeros(BUCKETS, np.float32))
-        rows = docs.where(~held_out() & F.col("doc_id").isNotNull())
-        toxic_ids = first_by_hash(known.where("label = 1").select("doc_id"), toxic_rows)
-        other_ids = first_by_hash(rows.select("doc_id"), unlabelled_rows)
+        content = whole_text("text")
+        name = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.sha2(content, 256)))
+        rows = docs.where(~held_out()).select(name.alias("name"), content.alias("content"))
+        toxic_ids = first_by_hash(known.where("label = 1").select(F.col("doc_id").cast("long").alias("name")), toxic_rows, "name")
+        other_ids = first_by_hash(rows.select("name"), unlabelled_rows, "name")
         ids = toxic_ids.withColumn("toxic", F.lit(True)).unionByName(other_ids.withColumn("toxic", F.lit(False)))
-        picked = F.broadcast(ids)  # as many rows as the two bounds allow
-        sample = rows.select("doc_id", whole_text("text").alias("content")).join(picked, "doc_id").select("toxic", "content")
-        listed = sample.mapInArrow(by_batch(_listed), "toxic boolean, features array<int>")
-        table = listed.limit(toxic_rows + unlabelled_rows).toArrow()  # no more even if ids repeat
+        sample = one_text_per_id(rows, ids, "name", "content").select("toxic", "content")
+        table = sample.mapInArrow(by_batch(_listed), "toxic boolean, features array<int>").toArrow()  # as many rows as the two bounds allow
     finally:
         known.unpersist()
     toxic = table.column("toxic").to_numpy().astype(bool)

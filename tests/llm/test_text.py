@@ -104,6 +104,21 @@ def test_scores_without_labels_and_of_empty_texts(llm):
     assert quality.score(docs.limit(0), quality.train(docs, none)).count() == 0
 
 
+def test_repeated_rows_and_null_ids_do_not_bend_the_toxicity_model(llm):
+    """One clean row 3000 times, and the same texts under one id, leave the sample of ids and the model as they were."""
+    docs, labels = read_table(llm, SF, "documents").select("doc_id", "text"), read_table(llm, SF, "labels")
+    plain = toxicity.train(docs, labels, unlabelled_rows=300)
+    clean = labels.join(docs, "doc_id").where("toxic = 0 and crc32(cast(doc_id as string)) % 5 <> 0").orderBy("doc_id").select("doc_id", "text").limit(1)
+    repeats = clean.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n")
+    bent = toxicity.train(docs.unionByName(repeats), labels, unlabelled_rows=300)
+    texts = docs.limit(300).toArrow().column("text").combine_chunks()
+    assert np.allclose(toxicity.sigmoid(plain.logits(texts)), toxicity.sigmoid(bent.logits(texts)), atol=1e-3)
+    # without ids every text is named by itself, so there is something to learn from
+    nameless = docs.withColumn("doc_id", F.when(F.col("doc_id").isin([r[0] for r in labels.where("toxic = 1").select("doc_id").collect()]), F.col("doc_id")))
+    model = toxicity.train(nameless, labels, unlabelled_rows=300)
+    assert (model.weights != 0).sum() > 10
+
+
 def test_the_non_negative_risk_finds_the_toxic_word():
     draw = np.random.default_rng(1)
     n, bad = 600, 7
@@ -230,6 +245,57 @@ def test_main_text_of_the_given_pages(llm):
         assert (rows[page.page_id].text, rows[page.page_id].n_chars) == (want, len(want))
 
 
+ARTICLE = """<body><nav><a href=x>Home</a></nav><article><h1>A title</h1><p>Some text that is here to be read. And more of it.</p>
+{}<p>The last words of the article are these.</p></article><footer>Copyright</footer>"""
+
+
+def test_a_word_inside_a_class_name_does_not_take_article_text_out():
+    inner = "<p>The price rose by three points today, they said.</p>"
+    for name in ("share-price", "login-error", "related-work", "ad-hoc", "comment-on-law", "headerFile", "widget_theory"):
+        for tag in ("p", "section", "div"):
+            part = f'<{tag} class="{name}">{inner}</{tag}>' if tag != "p" else inner.replace("<p>", f'<p class="x {name}">')
+            assert "three points" in " ".join(pages.content(ARTICLE.format(part), pages.PRIOR)), (name, tag)
+    for name in ("share-buttons", "newsletter-signup", "commentList", "ad", "related-posts", "cookie_notice_box", "alert"):
+        assert "three points" not in " ".join(pages.content(ARTICLE.format(f'<div class="{name}">{inner}</div>'), pages.PRIOR)), name
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>{n}x", "<b>{n}<p>{n}x", "<i><div><b>{n}</i>{n}x", "</p>{n}", "<a{n}", "<ul><li>{n}x", "<article></article>{n}", "<div class='ad-x'>{n}x", "<em><p>{n}</em>{n}"],
+)
+def test_pages_of_very_many_tags_take_time_in_proportion(page):
+    import re
+    import time
+
+    many = lambda n: re.sub(r"(</?\w+(?: [^>]*)?>?)\{n\}", lambda m: m[1] * n, page)
+    pages.content(many(100), pages.PRIOR)
+    began = time.process_time()
+    pages.content(many(100_000), pages.PRIOR)
+    assert time.process_time() - began < 8  # hours where it grows with the square
+
+
+def test_main_text_without_semantic_tags(llm):
+    import re
+    from collections import Counter
+
+    given = read_table(llm, SF, "pages")
+    weights = pages.train(given)
+    both = Counter()
+    for page in given.collect():
+        bare = re.sub(r'\s(class|id|role)="[^"]*"', "", page.html)
+        bare = re.sub(r"<(/?)(nav|article|aside|footer|header|main|section|form)\b[^>]*>", r"<\1div>", bare)
+        want, got = (Counter(" ".join(pages.content(t, weights)).split()) for t in (page.html, bare))
+        both.update(found=sum(got.values()), wanted=sum(want.values()), right=sum((got & want).values()))
+    assert both["right"] > 0.99 * both["found"] and both["right"] > 0.99 * both["wanted"]
+
+
+def test_repeated_and_null_page_ids_in_training(llm):
+    rows = [(i % 40, ARTICLE.format(f"<p>Text number {i % 40} is here.</p>")) for i in range(80)]
+    more = [(3, ARTICLE.format("<p>Another text of the same id.</p>"))] * 300 + [(None, rows[0][1]), (None, None)]
+    plain, bent = (pages.train(llm.createDataFrame(r, "page_id long, html string"), bound=40) for r in (rows, rows + more))
+    assert plain.shape == (2, len(pages.FEATURES)) and np.abs(plain - bent).max() < 0.2
+
+
 # ---- chat ----------------------------------------------------------------------------------------
 
 
