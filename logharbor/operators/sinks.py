@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from logharbor.functions.tagging import REASON
 from logharbor.functions.timestamps import as_timestamp, lag_seconds
 from logharbor.operators.redaction import redact_frame
 from logharbor.session import cut_lineage
+from logharbor.sources.manifest import list_folder
 from logharbor.specs import TABLES
 
 DLQ_KEYS = ["table_name", "error_category", "day", "batch_no"]
@@ -166,18 +168,22 @@ def retention_report(
 def expire_partitions(spark: SparkSession, path: str, as_of, days: int) -> list[str]:
     """Delete the day partitions of a routed table that lie wholly before the cutoff.
 
-    Works on the folder listing only: the partition column is the day, so no data is read.
+    The listing of the folder names the days, so no data is read. A day is deleted by overwriting its
+    partition with no rows, which Spark does on any file system that it writes to, through SQL alone;
+    its empty folder stays. Returns the folders of the deleted days.
     """
-    cutoff = spark.range(1).select(
-        F.to_date(as_timestamp(as_of) - F.expr(f"interval {int(days)} days")).cast("string")
-    ).first()[0]
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    removed = []
-    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "table_name=*/day=*")) or []:
-        folder = status.getPath()
-        if folder.getName().removeprefix("day=") < cutoff:
-            fs.delete(folder, True)
-            removed.append(folder.toString())
-    return sorted(removed)
+    cutoff = F.to_date(as_timestamp(as_of) - F.expr(f"interval {int(days)} days")).cast("string")
+    place = F.regexp_extract("Key", r"^(.*/table_name=[^/]*/day=[^/]*)/[^/]*$", 1).alias("place")
+    days_found = list_folder(spark, path).select(place).distinct().withColumn("day", F.substring_index("place", "day=", -1))
+    old = sorted(r.place for r in days_found.where((F.col("place") != "") & (F.col("day") < cutoff)).select("place").collect())
+    if old:
+        name = f"expiring_{uuid.uuid4().hex}"
+        quoted = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} (any STRING, table_name STRING, day STRING) USING text PARTITIONED BY (table_name, day) LOCATION '{quoted}'")
+        try:
+            for place in old:
+                table_name, day = (part.split("=", 1)[1].replace("'", "\\'") for part in place.rsplit("/", 2)[1:])
+                spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (table_name = '{table_name}', day = '{day}') SELECT 'x' WHERE false")
+        finally:
+            spark.sql(f"DROP TABLE {name}")
+    return old

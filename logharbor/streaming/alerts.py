@@ -18,6 +18,23 @@ EVENTS = "alert string, series string, severity string, event string, ts timesta
 STATE = "since long, fired boolean, us array<long>, tie array<double>, holds array<boolean>, value array<double>"
 
 
+def _last_looks(samples: list[tuple], check_us: int) -> list[tuple]:
+    """The last sample of each interval, by time and tie."""
+    return list({s[0] // check_us: s for s in sorted(samples, key=lambda s: s[:2])}.values())
+
+
+def _last_of_batch(check_us: int) -> Callable:
+    line = ["alert", "series", "severity", "duration"]
+
+    def reduced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            look = frame["ts"].astype("datetime64[us]").astype("int64") // check_us
+            ordered = frame.assign(look=look).sort_values(["ts", "tie"])
+            yield ordered.drop_duplicates([*line, "look"], keep="last").drop(columns="look")
+
+    return reduced
+
+
 def _follower(check_us: int) -> Callable:
     def follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         """Advance one timeline as far as the watermark: remember since when the condition holds, fire and resolve once."""
@@ -26,14 +43,14 @@ def _follower(check_us: int) -> Callable:
         for frame in frames:
             us = frame["ts"].astype("datetime64[us]").astype("int64")
             samples += zip(us.tolist(), frame["tie"].tolist(), frame["holds"].tolist(), frame["value"].tolist())
+            if check_us:
+                samples = _last_looks(samples, check_us)
         samples.sort(key=lambda s: s[:2])
         passed = state.getCurrentWatermarkMs() * 1000
         if check_us:
             passed = passed // check_us * check_us
         due = [s for s in samples if s[0] < passed]
         samples = samples[len(due) :]
-        if check_us:
-            due = list({us // check_us: (us, *rest) for us, *rest in due}.values())
         out = []
         severity, duration = key[2], int(key[3])
         for us, _, holds, value in due:
@@ -70,14 +87,20 @@ def alert_events(
     Samples wait until the watermark passes them, so those up to `late` behind the newest one are judged
     in the order of their times, as the batch job does; of equal times in the order of `tie`. Later ones
     are dropped, and Spark counts them in the progress of the query (numRowsDroppedByWatermark). With
-    `check`, only the last sample of each such interval is judged, as after `last_per_check`. The state of
-    a timeline is the samples that wait and, while its condition holds, since when; else there is none.
+    `check`, only the last sample of each such interval is judged, as after `last_per_check`: Arrow batches
+    keep one sample per timeline and interval before they are grouped, and so does the state, so a series
+    that fills a third of the stream is a few rows to its task. Without it the state of a timeline is the
+    samples that wait for the watermark; `maxFilesPerTrigger` of the source bounds what a batch adds to
+    them. While a condition holds, its state also has since when; else there is none.
     """
     columns = ["series", "name", "ts", "value", F.col(tie).cast("double").alias("tie")]
-    judged = apply_conditions(samples.select(*columns), conditions).withWatermark("ts", late)
-    judged = judged.select("alert", "series", "severity", "duration", "ts", "tie", "holds", "value")
-    return judged.groupBy("alert", "series", "severity", "duration").applyInPandasWithState(
-        _follower(int(width_seconds(check) * 1_000_000) if check else 0),
+    line = ["alert", "series", "severity", "duration"]
+    judged = apply_conditions(samples.select(*columns), conditions).select(*line, "ts", "tie", "holds", "value")
+    check_us = int(width_seconds(check) * 1_000_000) if check else 0
+    if check:
+        judged = judged.mapInPandas(_last_of_batch(check_us), judged.schema)
+    return judged.withWatermark("ts", late).groupBy("alert", "series", "severity", "duration").applyInPandasWithState(
+        _follower(check_us),
         EVENTS, STATE, "append", GroupStateTimeout.EventTimeTimeout,
     )
 

@@ -1,5 +1,6 @@
 """Sinks, replay, audit, alerts, models and streams."""
 
+import collections
 import datetime
 import hashlib
 import json
@@ -8,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logharbor.operators import alerts, audit, features, metrics, patterns, reports, sinks
+from logharbor.operators import alerts, audit, encryption, features, metrics, patterns, reports, sinks
 from logharbor.specs import FIREWALL, AlertCondition
 from logharbor.streaming import ingest
 from logharbor.streaming.alerts import EVENTS, alert_events, alert_writer, append_alerts
@@ -209,6 +210,60 @@ def test_notifications_repeat_no_sooner_than_two_hours(spark):
     assert [((r.notified_at - START).total_seconds(), r.alerts) for r in got] == [(0, 2), (7200, 1), (19800, 1)]
 
 
+def test_notifications_of_a_long_history(spark):
+    """Ten years of alerts every 65 minutes in one group, against a walk over them; a second group with gaps."""
+    n = 10 * 365 * 86400 // 3900
+    first = spark.range(n).select(F.lit("a").alias("g"), F.timestamp_seconds(F.lit(1_700_000_100) + F.col("id") * 3900).alias("ts"))
+    second = spark.createDataFrame([(None, at(s)) for s in (0, 10, 7199, 7300, 14500, 90000)], "g string, ts timestamp")
+    df = first.unionByName(second)
+    got = {}
+    for r in alerts.alert_notifications(df, ["g"]).collect():
+        got.setdefault(r.g, []).append(r.notified_at)
+    for group in ("a", None):
+        ticks = sorted({r.ts.replace(minute=r.ts.minute // 5 * 5, second=0) for r in df.where(F.col("g").eqNullSafe(group)).collect()})
+        want = []
+        for tick in ticks:
+            if not want or tick >= want[-1] + datetime.timedelta(hours=2):
+                want.append(tick)
+        assert sorted(got[group]) == want
+
+
+def test_heavy_patterns_are_bounded(spark):
+    """Many more patterns than counters: bounds hold, and no pattern above the share is missed."""
+    rows = [f"p{k}" for k in range(30) for _ in range(3 * k)] + [f"rare{k}" for k in range(3000)]
+    random.Random(4).shuffle(rows)
+    exact = collections.Counter(rows)
+    hashed = spark.createDataFrame([(p,) for p in [*rows, None]], "pattern string").repartition(5)
+    summary = patterns.pattern_summary(hashed, counters=60)
+    assert summary.count() <= 5 * 61
+    slack = summary.where("pattern is null").agg(F.sum("slack"), F.sum("counted")).first()
+    assert slack[0] <= len(rows) / 60 and slack[1] == len(rows)
+    for share in (None, 0.015):
+        bounds = {r.pattern: (r.at_least, r.at_most) for r in patterns.heavy_patterns(summary, share).collect()}
+        assert all(low <= exact[p] <= high for p, (low, high) in bounds.items())
+        assert all(p in bounds for p, count in exact.items() if count > (slack[0] if share is None else share * len(rows)))
+    assert patterns.heavy_patterns(patterns.pattern_summary(hashed.limit(0))).count() == 0
+
+
+def test_a_rotation_that_was_stopped_anywhere_is_repeated(spark, tmp_path):
+    root, (old, new) = str(tmp_path / "t"), (F.unhex(F.sha2(F.lit(k), 256)) for k in "ab")
+    plain = spark.createDataFrame([(i, f"v{i}" if i % 9 else None) for i in range(200)], "id int, secret string")
+    encryption.create_versioned(plain, root, ["secret"], old, ["id"], parts=5)
+
+    def opened(key):
+        rows = encryption.decrypt_columns(encryption.read_versioned(spark, root), ["secret"], key).collect()
+        return sorted((r.id, r.secret, r.key_version) for r in rows)
+
+    want = sorted((r.id, r.secret) for r in plain.collect())
+    assert not encryption.rotate_versioned(spark, root, ["secret"], old, new, at_once=2)
+    # a part that was written but not noted is written again
+    spark.createDataFrame([(1, "half", 2)], "id int, secret string, key_version int").write.parquet(f"{root}/data/version=2/part=4")
+    assert opened(old) == [(*r, 1) for r in want]
+    assert not encryption.rotate_versioned(spark, root, ["secret"], old, new, at_once=1)
+    assert encryption.rotate_versioned(spark, root, ["secret"], old, new)
+    assert encryption.current_version(spark, root) == 2 and opened(new) == [(*r, 2) for r in want]
+
+
 def test_quantile_of_buckets(spark):
     values = [0.05, 0.3, 0.7, 1.5, 3.0, 4.0, 7.0, 8.0, 9.0, 50.0]
     df = spark.createDataFrame([("a", v) for v in values], "k string, value double")
