@@ -4,7 +4,8 @@ A state is a role together with whether a line begins a turn or continues one. A
 marker or none, whether a blank line comes before it, its length and whether it asks. The best path is
 found by Viterbi over blocks of lines: a block is a matrix of best scores from each state before it to
 each state at its end, so a long transcript is worked on by many tasks. Blocks are cut by the position
-of lines in their transcript, so none has more than its number of lines, whatever the turn numbers.
+of lines in their transcript, so none has more than its number of lines, whatever the turn numbers; the
+matrices are combined in a tree.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ STATES = tuple((role, begins) for begins in (True, False) for role in ROLES)
 N = len(STATES)
 #: Lines of one block, and so the most turns that it can hold.
 BLOCK_TURNS = 1000
+#: Neighbouring blocks of a transcript that are combined to one piece at a time.
+FAN = 1024
 #: Line lengths are told apart at these numbers of characters.
 LENGTHS = (0, 20, 80, 240)
 #: Log probabilities are whole numbers of this part, so that sums are exact in any order.
@@ -185,33 +188,99 @@ def _edges(table: pa.Table) -> np.ndarray:
     return runs(table.column("block").combine_chunks().dictionary_encode().indices.to_numpy())
 
 
-def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The state before and at the end of each block on the best path of its transcript, and its open turn."""
-    for table in whole_groups(batches, "name"):
-        names = table.column("name").combine_chunks().dictionary_encode().indices.to_numpy()
-        edges, size = runs(names), (N + 1, N)
-        values = {c: table.column(c).to_pylist() for c in ("scores", "begun", "turns", "lines")}
-        out = {c: [] for c in ("enters", "leaves", "open_turn", "open_line")}
-        for begin, end in zip(edges, edges[1:]):
-            total, came = None, []
-            for k in range(begin, end):
-                scores = np.array(values["scores"][k]).reshape(size)
-                reach = scores[N:] if total is None else scores[:N] + total[:, None]
-                came.append(np.full(N, N) if total is None else reach.argmax(0))
-                total = np.maximum(reach.max(0), IMPOSSIBLE)
-            leaves = [int(total.argmax())]
-            for states in came[:0:-1]:
-                leaves.append(int(states[leaves[-1]]))
-            enters, opened = N, (None, None)
+def _followed(table: pa.Table) -> Iterator[tuple]:
+    """For each group of neighbouring pieces: where it stands in the table, and its paths from every state before it.
+
+    `totals` has the best score of each (state before, state at the end); `came`, piece by piece, the state
+    before the piece on that path; `opened` the turn and line where the path's open turn began, -1 if before.
+    """
+    edges = runs(table.column("group").combine_chunks().dictionary_encode().indices.to_numpy())
+    size = (-1, N + 1, N)
+    scores, begun, turns, lines = (np.array(table.column(c).to_pylist(), np.int64).reshape(size) for c in ("scores", "begun", "turns", "lines"))
+    for begin, end in zip(edges, edges[1:]):
+        totals, came = scores[begin], []
+        opened = np.stack([begun[begin], turns[begin], lines[begin]])
+        for k in range(begin + 1, end):
+            reach = totals[:, :, None] + scores[k][None, :N]
+            before = reach.argmax(1)
+            came.append(before)
+            totals = np.maximum(np.take_along_axis(reach, before[:, None], 1)[:, 0], IMPOSSIBLE)
+            earlier = np.stack([np.take_along_axis(o, before, 1) for o in opened])
+            here = np.stack([x[k][before, np.arange(N)] for x in (begun, turns, lines)])
+            opened = np.where(here[0] >= 0, here, earlier)
+        yield begin, end, totals, came, opened, (begun, turns, lines)
+
+
+def _product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring pieces of a transcript as one piece."""
+    for table in whole_groups(batches, "group"):
+        heads, out = [], []
+        for begin, _, totals, _, opened, _ in _followed(table):
+            heads.append(begin)
+            out.append([x.ravel().tolist() for x in (totals, *opened)])
+        kept = {c: table.column(c).combine_chunks().take(pa.array(heads)) for c in ("name", "up")}
+        columns = [pa.array(x, pa.list_(pa.int64())) for x in zip(*out)]
+        yield pa.RecordBatch.from_arrays([*kept.values(), *columns], ["name", "nth", "scores", "begun", "turns", "lines"])
+
+
+def _handed_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The state before and at the end of each piece, and its open turn, from those of the group of pieces."""
+    for table in whole_groups(batches, "group"):
+        given = {c: table.column(c).to_pylist() for c in ("enters", "leaves", "open_turn", "open_line")}
+        out = {c: [] for c in given}
+        for begin, end, _, came, _, (begun, turns, lines) in _followed(table):
+            first = given["enters"][begin]
+            leaves = [given["leaves"][begin]]
+            for before in came[::-1]:
+                leaves.append(int(before[first, leaves[-1]]))
+            enters, opened = first, (given["open_turn"][begin], given["open_line"][begin])
             for k, leave in zip(range(begin, end), leaves[::-1]):
                 for c, value in zip(out, (enters, leave, *opened)):
                     out[c].append(value)
-                at = enters * N + leave
-                if values["begun"][k][at] >= 0:
-                    opened = (values["turns"][k][at], values["lines"][k][at])
+                if begun[k][enters, leave] >= 0:
+                    opened = (int(turns[k][enters, leave]), int(lines[k][enters, leave]))
                 enters = leave
-        kept = {"block": table.column("block").combine_chunks()}
-        yield pa.RecordBatch.from_pydict(kept | {c: pa.array(x, pa.int64()) for c, x in out.items()})
+        kept = [table.column(c).combine_chunks() for c in ("name", "nth")]
+        yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, pa.int64()) for x in out.values())], ["name", "nth", *out])
+
+
+def _top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole transcripts: nothing before them, and the state at the end with the best score."""
+    for batch in batches:
+        scores = np.array(batch.column("scores").to_pylist(), np.int64).reshape(-1, N + 1, N)
+        n, none = len(scores), pa.nulls(len(scores), pa.int64())
+        columns = [batch.column("name"), batch.column("nth"), pa.array(np.full(n, N)), pa.array(scores[:, N].argmax(1)), none, none]
+        yield pa.RecordBatch.from_arrays(columns, ["name", "nth", "enters", "leaves", "open_turn", "open_line"])
+
+
+def chained(blocks: DataFrame) -> DataFrame:
+    """`name, nth, enters, leaves, open_turn, open_line` of each block on the best path of its transcript.
+
+    Products of max-plus matrices are associative: FAN neighbouring pieces of a transcript are combined to
+    one piece, level by level, until each transcript is one. Its state at the end is then handed down the
+    same levels. A task holds FAN pieces of a transcript at a time, however long it is.
+    """
+    lists = ", ".join(f"{c} array<bigint>" for c in ("scores", "begun", "turns", "lines"))
+    states = "name string, nth long, enters long, leaves long, open_turn long, open_line long"
+
+    def grouped(pieces: DataFrame) -> DataFrame:
+        pieces = pieces.withColumn("up", F.floor(F.col("nth") / FAN))
+        return pieces.withColumn("group", F.concat_ws(":", "name", F.col("up").cast("string")))
+
+    def sorted_by_group(pieces: DataFrame) -> DataFrame:
+        return pieces.repartition("group").sortWithinPartitions("group", "nth")
+
+    levels = [written(blocks, "chat")]
+    while (levels[-1].agg(F.max("nth")).first()[0] or 0) > 0:
+        combined = sorted_by_group(grouped(levels[-1])).mapInArrow(_product, f"name string, nth long, {lists}")
+        levels.append(written(combined, "chat"))
+    found = levels[-1].mapInArrow(_top, states)
+    for level in levels[-2::-1]:
+        above = written(found, "chat").withColumnsRenamed({"name": "of", "nth": "at"})
+        pieces = grouped(level)
+        below = pieces.join(above, (F.col("name") == F.col("of")) & (F.col("up") == F.col("at"))).drop("of", "at")
+        found = sorted_by_group(below).mapInArrow(_handed_down, states)
+    return found
 
 
 def _read_off(shipped):
@@ -274,11 +343,9 @@ def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
     blocks = ordered.select("block", "conv", "nth", "turn", "line_no", "sign").mapInArrow(
         _blocks(shipped), f"block string, conv long, nth long, {lists}"
     )
-    chained = blocks.withColumn("name", name).repartition("name").sortWithinPartitions("name", "nth")
-    chained = chained.drop("conv", "nth").mapInArrow(
-        _chain, "block string, enters long, leaves long, open_turn long, open_line long"
-    )
-    placed = lines.join(written(chained, "chat"), "block").repartition("block").sortWithinPartitions(*order)
+    states = chained(blocks.select(name.alias("name"), "nth", "scores", "begun", "turns", "lines"))
+    states = states.withColumn("block", F.concat_ws(":", "name", F.col("nth").cast("string"))).drop("name", "nth")
+    placed = lines.join(written(states, "chat"), "block").repartition("block").sortWithinPartitions(*order)
     columns = ("block", "conv", "turn", "line_no", "role", "line", "marker", "head", "empties", "sign", "enters", "leaves", "open_turn", "open_line")
     return placed.select(*columns).mapInArrow(_read_off(shipped), _TURN)
 

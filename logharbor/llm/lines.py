@@ -4,6 +4,10 @@ A line is cut into EDITS + 1 segments. If another line is within EDITS edits, at
 the shorter one occurs in the longer one, close to its own place. So segments are indexed by length of
 line, number and content; a line probes the index with its substrings at the places that are possible
 for each length. Pairs that meet are verified by a banded bit-parallel edit distance.
+
+Lines of one template share a segment and little else says that they are near. The lines of such a crowded
+key are cut a second time, at places that share out what varies between them, and meet only if they also
+agree in one of these segments.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ EDITS = 2
 LEAST_BYTES = 20
 #: Rows of either side that one task compares for one index key.
 BLOCK = 1000
+#: Index entries of a key from which its lines are cut a second time, and lines that show what varies.
+CROWD, SHOWN = 100, 64
 #: Classes of bytes whose counts bound the distance from below.
 CLASSES = 16
 
@@ -214,13 +220,83 @@ def _verify(batch: pa.RecordBatch) -> pa.Table:
     return pa.table({"a": batch.column("a"), "b": batch.column("b")}).filter(kept)
 
 
+def varying_cuts(lines: list[bytes]) -> tuple[int, int]:
+    """Where lines of one length are cut so that each of the three segments has about as much that varies."""
+    table = np.frombuffer(b"".join(lines), np.uint8).reshape(len(lines), -1)
+    kinds = np.array([len(np.unique(column)) for column in table.T])
+    length, weight = len(kinds), np.cumsum(np.log(kinds) + 1e-9)
+    first, second = (int(np.searchsorted(weight, weight[-1] * share / (EDITS + 1))) + 1 for share in (1, 2))
+    first = min(max(first, 1), length - 2)
+    return first, min(max(second, first + 1), length - 1)
+
+
+def _cuts(batch: pa.RecordBatch) -> pa.Table:
+    found = [varying_cuts(lines) for lines in batch.column("shown").to_pylist()]
+    first, second = (pa.array(x, pa.int32()) for x in zip(*found))
+    return pa.table({"key": batch.column("key"), "first": first, "second": second})
+
+
+def second_keys(line: bytes, entry: bool, longer: int, cuts: tuple[int, int], key: int) -> dict[int, bool]:
+    """The keys of a line among those of its first key, and whether it is an entry there.
+
+    The line is `longer` bytes longer than the entries, which are cut at `cuts`. Any cut into EDITS + 1
+    segments will do: the substrings that are probed are those of `line_keys`.
+    """
+    places = (0, *cuts, len(line) - longer)
+    found: dict[int, bool] = {}
+    for number in range(EDITS + 1):
+        begin, size = places[number], places[number + 1] - places[number]
+        for shift in range(max(-number, longer - EDITS + number), min(number, longer + EDITS - number) + 1):
+            at = begin + shift
+            if at >= 0 and at + size <= len(line):
+                code = xxhash.xxh3_64_intdigest(line[at : at + size], (key * (EDITS + 1) + number) % (1 << 64))
+                code -= (code >> 63) << 64
+                found[code] = found.get(code, False) or (entry and shift == 0)
+    return found
+
+
+def _second_keys(batch: pa.RecordBatch) -> pa.Table:
+    keys, nodes, entries = [], [], []
+    columns = (batch.column(c).to_pylist() for c in ("key", "node", "entry", "line", "length", "first", "second"))
+    for key, node, entry, line, length, first, second in zip(*columns):
+        if first is None:
+            first, second = length // 3, 2 * length // 3
+        found = second_keys(line, entry, len(line) - length, (first, second), key)
+        keys += found
+        nodes += [node] * len(found)
+        entries += found.values()
+    return pa.table({"key": pa.array(keys, pa.int64()), "node": pa.array(nodes, pa.int64()), "entry": pa.array(entries, pa.bool_())})
+
+
+def _refined(crowd: DataFrame, lines: DataFrame) -> DataFrame:
+    """Crowded keys and their lines once more, by segments that share out what varies.
+
+    Entries of a key have one length. A bounded number of them, chosen by a hash, decides where they are
+    cut, which is a matter of speed alone.
+    """
+    rows = crowd.join(lines.select("node", "line", "size"), "node")
+    counts = rows.where("entry").groupBy("key").agg(F.count(F.lit(1)).alias("entries"), F.max("size").alias("length"))
+    rows = rows.join(counts, "key")
+    some = F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("entries") / SHOWN)) == 0
+    shown = rows.where(F.col("entry") & some).groupBy("key").agg(F.collect_list("line").alias("shown"))
+    cuts = shown.mapInArrow(by_batch(_cuts), "key long, first int, second int")
+    placed = rows.join(cuts, "key", "left").select("key", "node", "entry", "line", "length", "first", "second")
+    return placed.mapInArrow(by_batch(_second_keys), "key long, node long, entry boolean")
+
+
 def _candidates(hits: DataFrame, lines: DataFrame) -> DataFrame:
-    """Pairs of lines that meet at a key: one index entry directly, several in blocks of BLOCK x BLOCK rows."""
+    """Pairs of lines that meet at a key: one index entry directly, several in blocks of BLOCK x BLOCK rows.
+
+    Keys with CROWD entries or more are replaced by those of a second cut first.
+    """
     single = hits.where("lo = hi").select(F.least("node", "lo").alias("a"), F.greatest("node", "lo").alias("b"))
     crowd = hits.where("lo < hi").select("key", "node", "entry")
+    large = written(crowd.groupBy("key").agg(F.count_if("entry").alias("entries")).where(F.col("entries") >= CROWD).select("key"), "lines")
+    refined = _refined(crowd.join(large, "key", "left_semi"), lines)
+    crowd = written(crowd.join(large, "key", "left_anti").unionByName(refined), "lines")
     counts = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("entry").alias("entries"))
     counts = counts.select("key", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("n", "entries")])
-    crowd = crowd.join(counts, "key")
+    crowd = crowd.join(counts.where("entries > 0"), "key")
     spread = F.xxhash64("node", F.lit(3))
     probe = crowd.select("key", "node", F.lit(False).alias("entry"), F.pmod(spread, "n").alias("j"), F.explode(F.expr("sequence(0L, entries - 1L)")).alias("i"))
     fixed = crowd.where("entry").select("key", "node", "entry", F.explode(F.expr("sequence(0L, n - 1L)")).alias("j"), F.pmod(spread, "entries").alias("i"))

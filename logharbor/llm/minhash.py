@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logharbor.llm.common import by_batch, runs, text_slices, whole_groups, whole_text, written
@@ -23,6 +23,8 @@ PERCENT = 75
 AGREE = 0.60
 #: Rows of either side that one task compares in a bucket.
 BLOCK = 1000
+#: Rows of a bucket from which they meet by rare shingles in place of the band.
+CROWD = 100
 
 _DRAW = np.random.default_rng(5).integers(0, 1 << 63, (2, MINIMA), dtype=np.uint64)
 _SCALE, _SHIFT = (_DRAW[0] << np.uint64(1)) | np.uint64(1), _DRAW[1]
@@ -122,7 +124,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, inverse = np.unique(columns["node"], return_index=True, return_inverse=True)[1:]
         hashes, starts = shingle_sets(table.column("text").take(pa.array(rows)).combine_chunks(), WORDS)
         sets = [hashes[starts[k] : starts[k + 1]] for k in range(len(rows))]
-        edges = runs(columns["part"])
+        edges, banded = runs(columns["part"]), table.column("banded").to_numpy()
         found = [np.zeros((0, 2), np.int64)]
         for begin, end in zip(edges, edges[1:]):
             here = slice(begin, end)
@@ -135,7 +137,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ok = (agree >= AGREE * MINIMA) & (component[fixed] != component[x]) & (100 * less >= PERCENT * more)
                 ok &= ~loose[fixed] | (node[fixed] > node[x])
                 at = np.flatnonzero(ok)
-                if len(at):
+                if len(at) and banded[begin]:
                     same = codes[at] == bands[here][x]
                     at = at[codes[at, same.argmax(1)] == bucket[x]]
                 if len(at):
@@ -152,13 +154,49 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"a": a, "b": b})
 
 
+def _shingled(batch: pa.RecordBatch) -> pa.Table:
+    tables = []
+    for part in text_slices(batch, "text"):
+        hashes, starts = shingle_sets(part.column("text"), WORDS)
+        owner = pa.array(np.repeat(np.arange(len(part)), np.diff(starts)))
+        tables.append(pa.table({"node": part.column("node").take(owner), "bucket": pa.array(hashes.view(np.int64))}))
+    return pa.concat_tables(tables)
+
+
+def _by_rare_shingles(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Buckets (bucket, node) in which any two of these nodes that are links meet: their shingles that are rare among them.
+
+    In an order that all sets share, here from rare to frequent, sets of a similarity of 75 % have a common
+    shingle among the first quarter of either and one more (prefix filtering).
+    """
+    shingles = texts.join(nodes, "node", "left_semi").mapInArrow(by_batch(_shingled), "node long, bucket long")
+    shingles = written(shingles, "minhash")
+    counts = shingles.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # shingles of one node only come first in the order, and take their places in its prefix
+    shared = shingles.join(counts, "bucket").join(classes.select("node", "n_shingles"), "node")
+    own = F.col("n_shingles") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("df", "bucket"))
+    least = F.col("n_shingles") - F.ceil(F.col("n_shingles") * PERCENT / 100) + 1
+    return shared.withColumn("nth", nth + own).where(F.col("nth") <= least).select("bucket", "node")
+
+
 def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     """Links (a, b) of rows that share a bucket and are not in one component yet; enough to join their components.
 
     In each bucket the rows outside its most frequent component are compared with all others. Both sides
-    are cut into blocks, so no task holds a whole bucket, and only links leave a task.
+    are cut into blocks, so no task holds a whole bucket, and only links leave a task. Many components in
+    one bucket are pages of one template rather than copies: where CROWD rows or more lie outside the most
+    frequent one, the rows of the bucket meet in buckets of rare shingles instead.
     """
     placed = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("bucket").agg((F.sum("n") - F.max("n")).alias("loose"))
+    crowded = written(sizes.where(F.col("loose") >= CROWD).select("bucket"), "minhash")
+    nodes = written(placed.join(crowded, "bucket", "left_semi").select("node").distinct(), "minhash")
+    rare = _by_rare_shingles(nodes, classes, texts).withColumn("banded", F.lit(False))
+    banded = placed.join(crowded, "bucket", "left_anti").select("bucket", "node").withColumn("banded", F.lit(True))
+    placed = written(banded.unionByName(rare), "minhash").join(found, "node", "left")
+    placed = placed.select("bucket", "node", "banded", F.coalesce("component", "node").alias("component"))
     counts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("bucket").agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")
@@ -173,7 +211,7 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, found: Dat
     spread = F.xxhash64("node", F.lit(7))
     fixed = rows.withColumns({"probe": F.lit(False), "i": F.pmod(spread, "blocks").cast("int"), "j": F.explode(F.expr("sequence(0, probes - 1)"))})
     probe = rows.where("loose").withColumns({"probe": F.lit(True), "j": F.pmod(spread, "probes").cast("int"), "i": F.explode(F.expr("sequence(0, blocks - 1)"))})
-    blocks = fixed.unionByName(probe).select("bucket", "node", "component", "probe", "loose", F.xxhash64("bucket", "i", "j").alias("part"))
+    blocks = fixed.unionByName(probe).select("bucket", "node", "component", "probe", "loose", "banded", F.xxhash64("bucket", "banded", "i", "j").alias("part"))
     blocks = blocks.join(classes.select("node", "n_shingles", "bands", "sketch"), "node").join(texts, "node")
     return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(_compare, "a long, b long")
 

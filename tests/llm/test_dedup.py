@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -212,3 +213,64 @@ def test_components_of_paths_stars_and_loops(llm):
     got = {(r.node, r.component) for r in components(llm.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(k, 0) for k in range(41)} | {(k, 100) for k in range(100, 140)} | {(200, 200), (201, 200)}
     assert components(llm.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_lines_within_the_distance_share_a_second_key_whatever_the_cuts():
+    draw = random.Random(11)
+    for _ in range(3000):
+        one = bytes(draw.choice(b"ab0") for _ in range(draw.randrange(20, 40)))
+        two = bytearray(one)
+        for _ in range(draw.randrange(3)):
+            at, kind = draw.randrange(len(two)), draw.randrange(3)
+            two[at : at + (kind > 0)] = b"" if kind == 1 else bytes([draw.choice(b"ab01")])
+        short, long = sorted((one, bytes(two)), key=len)
+        first = draw.randrange(1, len(short) - 1)
+        cuts, key = (first, draw.randrange(first + 1, len(short))), draw.randrange(-(1 << 63), 1 << 63)
+        entries = {k for k, entry in lines.second_keys(short, True, 0, cuts, key).items() if entry}
+        assert len(entries) == 3 and entries & set(lines.second_keys(long, False, len(long) - len(short), cuts, key))
+        assert entries & set(lines.second_keys(long, True, 0, cuts, key)) or len(short) < len(long)
+
+
+@pytest.mark.parametrize("crowd", [3, 10**6])
+def test_lines_of_one_template(llm, monkeypatch, crowd):
+    """Lines that differ in a number only, some of them near, others equal, longer and shorter ones."""
+    monkeypatch.setattr(lines, "CROWD", crowd)
+    monkeypatch.setattr(lines, "SHOWN", 4)
+    draw = random.Random(12)
+
+    def line():
+        number = "".join(draw.choice("0123456789") for _ in range(draw.choice([5, 6, 7])))
+        return f"Record number {number} of the {draw.choice(['yearly', 'yearly', 'monthly'])} report"
+
+    rows = [(i, "\n".join(line() for _ in range(12))) for i in range(30)]
+    rows += [(100 + i, rows[i][1].replace("Record", "Records").replace("4", "5", 1)) for i in range(5)]
+    found = lines.line_dedup(llm.createDataFrame(rows, DOCS).repartition(4)).collect()
+    got = sorted((r.id, r.n_lines, r.n_dropped, r.n_links, r.first_ids, r.text) for r in found)
+    want = near_lines(rows, lines.edit_distance, lines.LEAST_BYTES, lines.EDITS)
+    assert got == sorted(want) and sum(w[3] for w in want) > 100
+
+
+def test_cuts_share_out_what_varies():
+    template = [f"Record number {n:09d} of the yearly report".encode() for n in range(0, 10**9, 9_999_991)]
+    first, second = lines.varying_cuts(template)
+    assert 14 < first < second < 23
+    assert lines.varying_cuts([b"x" * 20] * 5) in [(k, m) for k in range(1, 19) for m in range(k + 1, 20)]
+
+
+@pytest.mark.parametrize("crowd", [3, 10**6])
+def test_pages_of_one_template(llm, monkeypatch, crowd):
+    """Rows that share most of their shingles and are no links, with some near copies among them."""
+    monkeypatch.setattr(minhash, "CROWD", crowd)
+    draw = random.Random(13)
+    frame = [f"t{k}" for k in range(150)]
+    rows = []
+    for i in range(90):
+        own = [f"w{draw.randrange(10**6)}" for _ in range(70)]
+        rows.append((i, " ".join(frame[:75] + own + frame[75:])))
+        if i % 9 == 0:
+            rows.append((1000 + i, " ".join(frame[:75] + own[:-4] + ["other"] + frame[75:])))
+        if i % 30 == 0:
+            rows += [(2000 + i + k, " ".join(frame[:75] + own + [f"end{k}"] + frame[75:])) for k in range(6)]
+    found = minhash.near_duplicates(llm.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert {r.id: r.component_id for r in found} == component_ids(rows)
+    assert 1 < max(Counter(r.component_id for r in found).values()) < 20

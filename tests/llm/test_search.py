@@ -46,7 +46,7 @@ def ranks(docs, items, k):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("index_terms", "stages", "k"), [(1 << 19, 4, 10), (0, 3, 2), (0, 1, 3)])
+@pytest.mark.parametrize(("index_terms", "stages", "k"), [(1 << 19, 4, 10), (0, 3, 2)])
 def test_ranked_search(llm, index_terms, stages, k):
     draw = random.Random(3)
     words = "the The of. a-b élan ÉLAN x1 漢字 42 and rare1 rare2 rare3 zig_zag  nb".split(" ")
@@ -121,7 +121,7 @@ def manifest(rows, fanout):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("fanout", "block", "n"), [(2, 1, 37), (2, 4, 150), (3, 3, 140), (5, 1, 60), (2, 1024, 40)])
+@pytest.mark.parametrize(("fanout", "block", "n"), [(2, 1, 37), (3, 3, 140), (2, 1024, 40)])
 def test_manifest(llm, fanout, block, n):
     draw = random.Random(n)
     rows = [(i, draw.choice(["web", None]), draw.choice(["en", "en", "en", "é", "", None]), draw.choice([None, 5]), draw.choice(["", None, "naïve", "x" * 9000])) for i in range(n)]

@@ -312,6 +312,8 @@ def test_best_paths_do_not_depend_on_blocks(llm, monkeypatch):
 
     whole = turns(1000)
     assert whole == turns(2)
+    monkeypatch.setattr(chat, "FAN", 3)
+    assert whole == turns(2)
     assert sum(v[1] for v in whole.values()) > 0.98 * sum(v[0] for v in whole.values())
 
     shown: dict[int, list] = {}
@@ -328,6 +330,37 @@ def test_best_paths_do_not_depend_on_blocks(llm, monkeypatch):
         assert score + sum(model.step[a, b] for a, b in zip(path, path[1:])) == best.max()
 
 
+@pytest.mark.parametrize("fan", [7, 1024])
+def test_a_transcript_of_very_many_blocks_is_combined_in_a_tree(llm, monkeypatch, fan):
+    monkeypatch.setattr(chat, "FAN", fan)
+    draw = np.random.default_rng(fan)
+    sizes, rows, want = {"-": 3000, "5": 1, "6": 8}, [], {}
+    for name, n in sizes.items():
+        scores = draw.integers(-(10**9), 0, (n, chat.N + 1, chat.N))
+        begun = np.where(draw.random((n, chat.N + 1, chat.N)) < 0.2, 1, -1)
+        turns = np.arange(n)[:, None, None] * 100 + np.arange(chat.N)
+        turns = np.broadcast_to(turns, begun.shape)
+        rows += [(name, k, *(x[k].ravel().tolist() for x in (scores, begun, turns, turns + 1))) for k in range(n)]
+        total, came = scores[0][chat.N], []
+        for block in scores[1:]:
+            reach = total[:, None] + block[: chat.N]
+            came.append(reach.argmax(0))
+            total = reach.max(0)
+        leaves = [int(total.argmax())]
+        for before in came[::-1]:
+            leaves.append(int(before[leaves[-1]]))
+        leaves.reverse()
+        enters, opened = chat.N, (None, None)
+        for k, leave in enumerate(leaves):
+            want[name, k] = (enters, leave, *opened)
+            if begun[k, enters, leave] >= 0:
+                opened = (int(turns[k, enters, leave]), int(turns[k, enters, leave]) + 1)
+            enters = leave
+    kind = "name string, nth long, scores array<long>, begun array<long>, turns array<long>, lines array<long>"
+    got = chat.chained(llm.createDataFrame(rows, kind).repartition(4)).collect()
+    assert {(r.name, r.nth): (r.enters, r.leaves, r.open_turn, r.open_line) for r in got} == want
+
+
 def test_odd_conversations(llm):
     rows = [(1, 0, "user", None), (1, 1, None, "x\n\ny"), (None, 0, "user", "hello?"), (None, None, "assistant", ""), (2, 0, "user", "a"), (2, 0, "user", "a"), (3, 0, "tool", "z" * 50000)]
     frame = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("line", F.lit(1))
@@ -371,5 +404,5 @@ def test_blocks_are_cut_by_lines_not_by_turn_numbers(llm, monkeypatch):
 
 
 def test_every_query_and_oracle_is_named_after_its_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
