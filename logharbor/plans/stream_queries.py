@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logharbor.plans.fixtures import AS_OF, firewall_lines, stream_view, with_views
+from logharbor.operators.patterns import heavy_patterns
+from logharbor.plans.fixtures import AS_OF, firewall_lines, stream_view, table, with_views
 from logharbor.plans.metric_queries import CONDITIONS, EPISODES_SQL
 from logharbor.plans.registry import query
 from logharbor.session import scratch_dir
@@ -118,6 +119,25 @@ def _(spark, sf_dir):
     return spark.read.parquet(drain(found, scratch_dir(spark, "denies"))).drop("epoch")
 
 
+@query(
+    "stream_sliding_denies",
+    with_views(
+        "fw",
+        """
+with starts as (
+  select *, unnest([time_bucket(interval '30 minutes', TimeGenerated), time_bucket(interval '30 minutes', TimeGenerated) - interval '30 minutes']) as WindowStart
+  from fw where lower(Action) in ('deny','drop'))
+select WindowStart, SourceIP, DestinationIP, min(TimeGenerated) as FirstSeen, max(TimeGenerated) as LastSeen, count(*) as DeniedEvents
+from starts group by 1, 2, 3 having count(*) >= 2
+  and WindowStart + interval '1 hour' <= (select max(TimeGenerated) - interval '10 minutes' from fw)""",
+    ),
+)
+def _(spark, sf_dir):
+    """Windows of an hour that begin every half hour."""
+    found = detections.high_volume_denies(stream_view(spark, sf_dir, "fw"), min_events=2, slide="30 minutes")
+    return spark.read.parquet(drain(found, scratch_dir(spark, "sliding_denies"))).drop("epoch")
+
+
 @query(
     "stream_large_outbound",
     with_views(
@@ -186,3 +206,27 @@ def _(spark, sf_dir):
     counts = patterns.running_pattern_counts(hashed, ttl_seconds=400 * 86_400)
     rows = spark.read.parquet(drain(counts, scratch_dir(spark, "patterns"), "update"))
     return rows.groupBy("pattern").agg(F.max("frequency").alias("frequency"))
+
+
+_KIND = "case when event_type = 'error' then concat('error/', cast(user_id % 40 as string)) else event_type end"
+
+
+@query(
+    "stream_heavy_patterns",
+    f"""with counts as (select md5({_KIND}) as pattern, count(*) as frequency from events group by 1)
+select pattern, frequency, true as within from counts where frequency >= 0.01 * (select sum(frequency) from counts)""",
+)
+def _(spark, sf_dir):
+    """Patterns of a hundredth of the stream or more, from summaries of 20 counters a task without any state."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+    pattern = F.md5(F.expr(_KIND)).alias("pattern")
+    root = scratch_dir(spark, "heavy_patterns")
+    events.select(pattern).writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(
+        patterns.summary_writer(f"{root}/out", 20)
+    ).trigger(availableNow=True).start().awaitTermination()
+    heavy = heavy_patterns(spark.read.parquet(f"{root}/out"), share=0.01)
+    counts = table(spark, sf_dir, "events").groupBy(pattern).agg(F.count("*").alias("frequency"))
+    total = counts.agg(F.sum("frequency").alias("n")).select("n").scalar()
+    within = F.coalesce(F.col("frequency").between(F.col("at_least"), F.col("at_most")), F.lit(False))
+    return counts.where(F.col("frequency") >= 0.01 * total).join(heavy, "pattern", "left").select("pattern", "frequency", within.alias("within"))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from logharbor.operators.patterns import COUNTERS, pattern_summary
+
 COUNTS = "pattern string, frequency long, last_seen timestamp, forgotten boolean"
 STATE = "frequency long, last_ms long"
 
@@ -44,6 +46,19 @@ def _combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.assign(rows=1).groupby("pattern", as_index=False).agg({"rows": "sum", "ts": "max"})[["pattern", "rows", "ts"]]
 
 
+def summary_writer(path: str, counters: int = COUNTERS) -> Callable[[DataFrame, int], None]:
+    """A function for foreachBatch: bounded summaries of the patterns of each micro-batch, a folder for each epoch.
+
+    However many patterns there are, an epoch adds a few rows per task and no state is kept; a repeated
+    epoch overwrites its folder. `heavy_patterns` over any of the folders gives bounds of the frequencies.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        pattern_summary(batch, counters).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return write
+
+
 def running_pattern_counts(hashed: DataFrame, ttl_seconds: int = 86_400, late: str = "10 minutes") -> DataFrame:
     """After each micro-batch, the count so far of every pattern in it.
 
