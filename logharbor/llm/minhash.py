@@ -23,8 +23,8 @@ PERCENT = 75
 AGREE = 0.60
 #: Rows of either side that one task compares in a bucket.
 BLOCK = 1000
-#: Rows of a bucket from which they meet by rare shingles in place of the band.
-CROWD = 100
+#: Rows of a bucket outside its most frequent component, a block of them, from which rows meet by rare shingles instead.
+CROWD = BLOCK
 
 _DRAW = np.random.default_rng(5).integers(0, 1 << 63, (2, MINIMA), dtype=np.uint64)
 _SCALE, _SHIFT = (_DRAW[0] << np.uint64(1)) | np.uint64(1), _DRAW[1]
@@ -158,25 +158,26 @@ def _shingled(batch: pa.RecordBatch) -> pa.Table:
     tables = []
     for part in text_slices(batch, "text"):
         hashes, starts = shingle_sets(part.column("text"), WORDS)
-        owner = pa.array(np.repeat(np.arange(len(part)), np.diff(starts)))
-        tables.append(pa.table({"node": part.column("node").take(owner), "bucket": pa.array(hashes.view(np.int64))}))
+        sizes = np.diff(starts)
+        owner, n = pa.array(np.repeat(np.arange(len(part)), sizes)), pa.array(np.repeat(sizes, sizes))
+        tables.append(pa.table({"node": part.column("node").take(owner), "bucket": pa.array(hashes.view(np.int64)), "n": n}))
     return pa.concat_tables(tables)
 
 
-def _by_rare_shingles(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Buckets (bucket, node) in which any two of these nodes that are links meet: their shingles that are rare among them.
 
     In an order that all sets share, here from rare to frequent, sets of a similarity of 75 % have a common
     shingle among the first quarter of either and one more (prefix filtering).
     """
-    shingles = texts.join(nodes, "node", "left_semi").mapInArrow(by_batch(_shingled), "node long, bucket long")
+    shingles = texts.join(nodes, "node", "left_semi").mapInArrow(by_batch(_shingled), "node long, bucket long, n long")
     shingles = written(shingles, "minhash")
     counts = shingles.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # shingles of one node only come first in the order, and take their places in its prefix
-    shared = shingles.join(counts, "bucket").join(classes.select("node", "n_shingles"), "node")
-    own = F.col("n_shingles") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+    shared = shingles.join(counts, "bucket")
+    own = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node"))
     nth = F.row_number().over(Window.partitionBy("node").orderBy("df", "bucket"))
-    least = F.col("n_shingles") - F.ceil(F.col("n_shingles") * PERCENT / 100) + 1
+    least = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
     return shared.withColumn("nth", nth + own).where(F.col("nth") <= least).select("bucket", "node")
 
 
@@ -185,15 +186,15 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, found: Dat
 
     In each bucket the rows outside its most frequent component are compared with all others. Both sides
     are cut into blocks, so no task holds a whole bucket, and only links leave a task. Many components in
-    one bucket are pages of one template rather than copies: where CROWD rows or more lie outside the most
-    frequent one, the rows of the bucket meet in buckets of rare shingles instead.
+    one bucket are pages of one template rather than copies: where a block of rows or more lies outside the
+    most frequent one, the rows of the bucket meet in buckets of rare shingles instead.
     """
     placed = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("bucket").agg((F.sum("n") - F.max("n")).alias("loose"))
     crowded = written(sizes.where(F.col("loose") >= CROWD).select("bucket"), "minhash")
     nodes = written(placed.join(crowded, "bucket", "left_semi").select("node").distinct(), "minhash")
-    rare = _by_rare_shingles(nodes, classes, texts).withColumn("banded", F.lit(False))
+    rare = _by_rare_shingles(nodes, texts).withColumn("banded", F.lit(False))
     banded = placed.join(crowded, "bucket", "left_anti").select("bucket", "node").withColumn("banded", F.lit(True))
     placed = written(banded.unionByName(rare), "minhash").join(found, "node", "left")
     placed = placed.select("bucket", "node", "banded", F.coalesce("component", "node").alias("component"))
