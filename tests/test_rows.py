@@ -285,10 +285,10 @@ def test_nested_fields_and_names(spark):
     assert row.user.address.zip == 5
     assert row.tags == ["[REDACTED:EMAIL]", "ok"]
     assert tuple(row.people[0]) == ("[REDACTED:PASSWORD]", "[REDACTED:IPV4]")
-    assert row.grid == [["a@b.co"]]
+    assert row.grid == [["u@v.io"]]
     assert row.api_token == "[REDACTED:API_TOKEN]" and row.author == "[REDACTED:AUTHOR]"
-    assert row.note == "ssn [REDACTED:SSN]"
-    assert row.extra == {"my_secret": "[REDACTED:MY_SECRET]", "m": "call [REDACTED:PHONE]"}
+    assert row.note == "form [REDACTED:SSN]"
+    assert row.extra == {"my_secret": "[REDACTED:MY_SECRET]", "m": "dial [REDACTED:PHONE]"}
 
 
 def test_rejected_rows_keep_their_reason(spark):
