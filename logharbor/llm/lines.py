@@ -338,8 +338,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document: what one keeps, all keep. `key` names id and text. An empty table gives an empty result;
     other columns are not read.
 
-    Equal lines are reduced to one before they are joined. A key that many lines share is compared in
-    blocks, from which only pairs leave whose byte counts allow so few edits.
+    Equal lines are reduced to one before they are joined. The lines of a key with many entries are cut a
+    second time and meet only if they agree there too; those that still share a key are compared in blocks,
+    from which only pairs leave whose byte counts allow so few edits.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("content"))
     rows = rows.select("id", "content", row_key(F.col("id"), F.col("content")).alias("key"))

@@ -234,8 +234,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A class meets, in each band, the smallest class of its bucket; of these the one whose signature
     agrees best is confirmed on the full sets. Where a bucket then still holds several components, its
-    rows are compared across them. So a large group is joined by few links, and no pair that could join
-    two components is left out.
+    rows are compared across them, or, if a block of rows or more stands apart in it, meet by rare shingles.
+    So a large group is joined by few links, and pages of one template are not compared all with all. Of
+    the pairs that could join two components those are left out that share no band (5e-6 at the threshold)
+    or whose signatures agree in less than AGREE of their minima (four standard deviations under it).
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("content"))
     rows = rows.withColumn("key", row_key(F.col("id"), F.col("content")))
