@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logharbor.functions.blocks import running_number, salted_join
-from logharbor.session import cut_lineage
+from logharbor.session import cut_lineage, written
 
 # Neighbourhood radius and the points, itself included, that make a core point.
 RADIUS = 0.3
@@ -28,8 +28,8 @@ MOST_COLUMNS = 3
 FINE = 8
 #: Share by which cells are smaller than they could be, so that rounding does not part neighbours.
 SLACK = 1e-6
-#: Divisions after which points are compared one by one.
-FINEST = 50
+#: Divisions after which points are compared one by one, and places of a box that are compared so at once.
+FINEST, FEW = 50, 16
 
 
 class Grid:
@@ -106,13 +106,15 @@ def _linked(grid: Grid, core: DataFrame, points: DataFrame) -> DataFrame:
     """Pairs of core cells (_a, _b as structs) with a pair of core points within the radius.
 
     `core` has the extent of each core cell, `points` the core points. Each round divides the boxes that
-    are still open along every side; a cell pair leaves with its first pair of boxes that is wholly close.
+    are still open along every side, those with few different places into the places; a cell pair leaves
+    with its first pair of boxes that is wholly close.
     """
     as_key = F.struct(*grid.cell).alias("key")
     boxes = core.select(as_key, F.lit("").alias("code"), *grid.low, *grid.high)
     half = [o for o in grid.steps if o > (0,) * len(o)]
     sides = core.select(as_key.alias("_a"), grid.around(half)).select("_a", F.struct(*grid.cell).alias("_b"))
     state = sides.withColumns({"_ca": F.lit(""), "_cb": F.lit("")})
+    here = points.groupBy(as_key, *grid.at).agg(F.lit("").alias("code"), F.lit(FEW + 1).cast("bigint").alias("n"))
     links, level = [], 0
     while True:
         a, b = boxes.alias("a"), boxes.alias("b")
@@ -121,21 +123,24 @@ def _linked(grid: Grid, core: DataFrame, points: DataFrame) -> DataFrame:
         met = met.join(b, (F.col("_b") == F.col("b.key")) & (F.col("_cb") == F.col(f"b.{parent}")))
         met = met.where(grid.nearest("a", "b") <= grid.square)
         close = (grid.farthest("a", "b") <= grid.square).alias("close")
-        met = cut_lineage(met.select("_a", "_b", F.col("a.code").alias("_ca"), F.col("b.code").alias("_cb"), close))
+        met = written(met.select("_a", "_b", F.col("a.code").alias("_ca"), F.col("b.code").alias("_cb"), close), "clusters")
         found = met.where("close").select("_a", "_b").distinct()
         links.append(found)
         state = met.where("not close").drop("close").join(found, ["_a", "_b"], "left_anti")
         if state.isEmpty():
             return reduce(DataFrame.unionByName, links).distinct()
         level += 1
-        open_cells = state.select(F.inline(F.array(F.struct(F.col("_a").alias("key")), F.struct(F.col("_b").alias("key"))))).distinct()
+        ends = [F.struct(F.col(c).alias("key"), F.col(code).alias("code")) for c, code in (("_a", "_ca"), ("_b", "_cb"))]
+        opened = state.select(F.inline(F.array(*ends))).distinct()
         names = [f"_f{k}" for k in range(len(grid.cell))]
-        code = lambda parts: F.concat_ws(",", *grid.codes(parts, names).values())
-        here = points.select(as_key, *grid.at).join(open_cells, "key", "left_semi")
-        parent = F.lit("") if level == 1 else code(1 << (level - 1))
-        by = ["key", "parent", "code"] + (grid.at if level >= FINEST else [])
-        boxes = here.withColumns({"parent": parent, "code": code(1 << level)}).groupBy(*by).agg(*grid.extent())
-        boxes = cut_lineage(boxes.select("key", "parent", "code", *grid.low, *grid.high))
+        finer = F.concat_ws(",", *grid.codes(1 << level, names).values())
+        place = F.concat_ws(":", *grid.at)
+        here = here.join(opened, ["key", "code"], "left_semi").withColumnRenamed("code", "parent")
+        here = here.withColumn("code", F.when((F.col("n") <= FEW) | F.lit(level >= FINEST), place).otherwise(finer)).drop("n")
+        here = written(here, "clusters")
+        boxes = here.groupBy("key", "parent", "code").agg(*grid.extent(), F.count(F.lit(1)).alias("n"))
+        boxes = written(boxes, "clusters")
+        here = here.drop("parent").join(boxes.select("key", "code", "n"), ["key", "code"])
 
 
 def contracted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -143,20 +148,22 @@ def contracted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Every round each node joins the neighbour with the least hash, itself included, and edges between
     what is left are kept; the hash differs from round to round, so the number of nodes falls by a share
-    each time whatever the shape. Least hashes come from a partial aggregate.
+    each time whatever the shape. Least hashes come from a partial aggregate. What a round leaves is
+    written as a table, whose size is known: a checkpoint would hand on the planner's estimate, and as each
+    round multiplies those of the rounds before, it would soon be a number of many thousand digits.
     """
     labels, turn = nodes.select("node", F.col("node").alias("label")), 0
-    edges = cut_lineage(edges.select("_a", "_b").distinct())
+    edges = written(edges.select("_a", "_b").distinct(), "clusters")
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
         order = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("hash"), F.col(c).alias("to"))
         least = both.groupBy("_a").agg(F.least(F.min(order("_b")), F.min(order("_a")))["to"].alias("to"))
-        least = cut_lineage(least.withColumnRenamed("_a", "from"))
+        least = written(least.withColumnRenamed("_a", "from"), "clusters")
         moved = edges.join(least, F.col("_a") == F.col("from")).select(F.col("to").alias("_a"), "_b")
         moved = moved.join(least, F.col("_b") == F.col("from")).select("_a", F.col("to").alias("_b"))
-        edges = cut_lineage(moved.where("_a <> _b").distinct())
+        edges = written(moved.where("_a <> _b").distinct(), "clusters")
         labels = labels.join(least, F.col("label") == F.col("from"), "left")
-        labels = cut_lineage(labels.select("node", F.coalesce("to", "label").alias("label")))
+        labels = written(labels.select("node", F.coalesce("to", "label").alias("label")), "clusters")
         turn += 1
     return labels
 
@@ -184,21 +191,21 @@ def density_clusters(
     points = placed.where(usable).withColumns(grid.cells())
     codes = [f"_f{k}" for k in range(len(columns))]
     boxes = points.withColumns(grid.codes(FINE, codes)).groupBy(*grid.cell, *codes)
-    boxes = cut_lineage(boxes.agg(*grid.extent(), F.count(F.lit(1)).alias("n")))
-    sizes = cut_lineage(boxes.groupBy(*grid.cell).agg(F.sum("n").alias("_n")))
+    boxes = written(boxes.agg(*grid.extent(), F.count(F.lit(1)).alias("n")), "clusters")
+    sizes = written(boxes.groupBy(*grid.cell).agg(F.sum("n").alias("_n")), "clusters")
     counts = sizes.select(*grid.cell, F.col("_n").alias("_rows"))
     dense = sizes.where(F.col("_n") >= min_size).select(*grid.cell)
 
     sized = salted_join(points.select("_row", *grid.at, *grid.cell), sizes, grid.cell, "inner", ["_row"], counts)
-    loose = cut_lineage(sized.where(F.col("_n") < min_size).drop("_n"))
+    loose = written(sized.where(F.col("_n") < min_size).drop("_n"), "clusters")
     probes = grid.as_boxes(loose, "_row", *grid.cell).select("_row", *grid.low, *grid.high, grid.around(grid.steps))
-    near = cut_lineage(_neighbours(grid, probes, points.select("_row", *grid.at, *grid.cell), boxes))
+    near = written(_neighbours(grid, probes, points.select("_row", *grid.at, *grid.cell), boxes), "clusters")
     enough = near.groupBy("_row").agg(F.sum("n").alias("n")).where(F.col("n") >= min_size).select("_row")
-    lone = cut_lineage(loose.join(enough, "_row"))
+    lone = written(loose.join(enough, "_row"), "clusters")
 
     in_dense = points.join(dense, grid.cell, "left_semi")
     core_points = in_dense.select(*grid.cell, *grid.at).unionByName(lone.select(*grid.cell, *grid.at))
-    core = cut_lineage(core_points.groupBy(*grid.cell).agg(*grid.extent()))
+    core = written(core_points.groupBy(*grid.cell).agg(*grid.extent()), "clusters")
     nodes = core.select(F.struct(*grid.cell).alias("node"))
     labels = contracted(nodes, _linked(grid, core, core_points))
 
@@ -208,7 +215,7 @@ def density_clusters(
     first = labels.join(first, "node").groupBy("label").agg(F.min("first").alias("first"))
     numbered = running_number(cut_lineage(first.select("label", "first.ts", "first.tie")), [], ["ts", "tie"], "nth")
     of_cell = labels.join(numbered, "label").select("node.*", (F.col("nth") - 1).alias("_label"))
-    of_cell = cut_lineage(of_cell)
+    of_cell = written(of_cell, "clusters")
 
     # a loose point is core, or at the edge of a dense cell or of a loose core point, or noise
     edge = probes.join(lone.select("_row"), "_row", "left_anti")

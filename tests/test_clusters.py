@@ -3,6 +3,7 @@
 import datetime
 import math
 import random
+import re
 
 import pytest
 
@@ -101,3 +102,24 @@ def test_nodes_are_contracted_to_their_components(spark):
             parts.remove(two)
             one |= two
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, parts))
+
+
+def test_size_estimates_do_not_grow_from_round_to_round(spark, capsys):
+    """The planner multiplies the sizes of joined frames: handed on by rounds, they become numbers of thousands of digits."""
+    nodes = spark.range(400).withColumnRenamed("id", "node")
+    found = clusters.contracted(nodes, nodes.where("node < 399").selectExpr("node as _a", "node + 1 as _b"))
+    found.explain("cost")
+    assert not re.search(r"sizeInBytes=[\d.]+E\+|sizeInBytes=[\d.,]+ EiB", capsys.readouterr().out)
+    assert found.select("label").distinct().count() == 1
+
+
+@pytest.mark.parametrize("spread", [1e-9, 0.02, 0.2])
+def test_boxes_of_many_and_of_few_places(spark, spread):
+    """Cells with more places than are compared at once next to cells with few, repeated places among them."""
+    draw = random.Random(4)
+    points = [(x + draw.uniform(-spread, spread), draw.uniform(-spread, spread)) for x in (0.0, 0.99, 2.0, 3.02) for _ in range(40)]
+    points += points[:20] + [(4.0 + 0.001 * k, 0.0) for k in range(5)] + [(-0.0, 0.0), (0.0, -0.0)]
+    rows = [(i, START, x, y) for i, (x, y) in enumerate(points)]
+    frame = spark.createDataFrame(rows, "id long, ts timestamp, a double, b double")
+    got = {r.id: r.cluster for r in density_clusters(frame, ["a", "b"], "ts", "id", 1.0, 5).collect()}
+    assert got == by_definition(rows, 1.0, 5)
