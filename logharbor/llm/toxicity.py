@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logharbor.llm.common import arrow_column, by_batch, read_table, session, text_slices, whole_text
+from logharbor.llm.common import arrow_column, by_batch, hand_back, read_table, runs, session, text_slices, whole_text
 from logharbor.llm.folds import first_by_hash, held_out, one_text_per_id, training_labels
 from logharbor.llm.shingles import mixed, powers, text_bytes
 
@@ -104,20 +104,23 @@ def fit(number: np.ndarray, owner: np.ndarray, toxic: np.ndarray, prior: float)
     # the entries by text for scores, and by feature for the gradient
     by_feature = row[np.argsort(column, kind="stable")]
     feature_starts = np.concatenate([[0], np.cumsum(np.bincount(column, minlength=len(active)))[:-1]])
-    filled, text_starts = np.unique(row, return_index=True)
-    del row, number, owner
+    text_starts = runs(row)[:-1]
+    filled = row[text_starts]
+    entries = np.empty(len(column))  # one array for all steps
+    del row, number, owner, place
     weights, bias = np.zeros(len(active)), float(np.log(prior / (1 - prior)))
     moment, square = np.zeros(len(active) + 1), np.zeros(len(active) + 1)
     share_p, share_u = prior * toxic / toxic.sum(), ~toxic / (~toxic).sum()
     for step in range(1, STEPS + 1):
         z = np.full(n, bias)
-        z[filled] += np.add.reduceat(weights[column], text_starts)
+        z[filled] += np.add.reduceat(np.take(weights, column, out=entries, mode="clip"), text_starts)
         p = sigmoid(z)
         clean_loss = np.logaddexp(0, z)
         clean_risk = (share_u - share_p) @ clean_loss
         slope = (share_u - share_p) * p  # of the part that stands for clean texts
         slope = slope - share_p * (1 - p) if clean_risk >= 0 else -slope
-        gradient = np.append(np.add.reduceat(slope[by_feature], feature_starts) + RIDGE * weights, slope.sum())
+        sums = np.add.reduceat(np.take(slope, by_feature, out=entries, mode="clip"), feature_starts)
+        gradient = np.append(sums + RIDGE * weights, slope.sum())
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         rate = RATE / (np.sqrt(square / (1 - 0.999**step)) + 1e-6)
@@ -167,8 +170,12 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unla
     if not toxic.any() or toxic.all():
         return nothing
     lists = table.column("features").combine_chunks()
+    del table
     owner = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
-    return fit(lists.flatten().to_numpy(), owner, toxic, prior)
+    model = fit(lists.flatten().to_numpy(), owner, toxic, prior)
+    del lists, owner
+    hand_back(at_once=True)  # the driver lives on: what the fit held is not needed again
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "toxicity") -> DataFrame:

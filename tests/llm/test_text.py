@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from itertools import product
 
@@ -104,6 +105,21 @@ def test_scores_without_labels_and_of_empty_texts(llm):
     assert quality.score(docs.limit(0), quality.train(docs, none)).count() == 0
 
 
+def test_memory_of_the_fit_for_each_entry(monkeypatch):
+    """The driver fits the model; its arrays besides the input take a bounded number of bytes for an entry."""
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    draw, texts, each = np.random.default_rng(1), 8000, 250
+    number = draw.integers(0, 20_000, texts * each).astype(np.int32)
+    owner = np.repeat(np.arange(texts, dtype=np.int32), each)
+    tracemalloc.start()
+    try:
+        toxicity.fit(number, owner, draw.random(texts) < 0.25, 0.2)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 33 * len(number)
+
+
 def test_repeated_rows_and_null_ids_do_not_bend_the_toxicity_model(llm):
     """One clean row 3000 times, and the same texts under one id, leave the sample of ids and the model as they were."""
     docs, labels = read_table(llm, SF, "documents").select("doc_id", "text"), read_table(llm, SF, "labels")
