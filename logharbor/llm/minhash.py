@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logharbor.llm.common import by_batch, runs, text_slices, whole_groups, whole_text, written
+from logharbor.llm.common import by_batch, by_shuffle, runs, text_slices, whole_groups, whole_text, written
 from logharbor.llm.components import components
 from logharbor.llm.lines import row_key
 from logharbor.llm.shingles import WORDS, mixed, shingle_sets, shingle_sql
@@ -174,7 +174,7 @@ def _by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     shingles = written(shingles, "minhash")
     counts = shingles.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # shingles of one node only come first in the order, and take their places in its prefix
-    shared = shingles.join(counts, "bucket")
+    shared = by_shuffle(shingles, counts, "bucket")
     own = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node"))
     nth = F.row_number().over(Window.partitionBy("node").orderBy("df", "bucket"))
     least = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
@@ -189,14 +189,14 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, found: Dat
     one bucket are pages of one template rather than copies: where a block of rows or more lies outside the
     most frequent one, the rows of the bucket meet in buckets of rare shingles instead.
     """
-    placed = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    placed = by_shuffle(members, found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("bucket").agg((F.sum("n") - F.max("n")).alias("loose"))
     crowded = written(sizes.where(F.col("loose") >= CROWD).select("bucket"), "minhash")
     nodes = written(placed.join(crowded, "bucket", "left_semi").select("node").distinct(), "minhash")
     rare = _by_rare_shingles(nodes, texts).withColumn("banded", F.lit(False))
     banded = placed.join(crowded, "bucket", "left_anti").select("bucket", "node").withColumn("banded", F.lit(True))
-    placed = written(banded.unionByName(rare), "minhash").join(found, "node", "left")
+    placed = by_shuffle(written(banded.unionByName(rare), "minhash"), found, "node", "left")
     placed = placed.select("bucket", "node", "banded", F.coalesce("component", "node").alias("component"))
     counts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("bucket").agg(
@@ -249,19 +249,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     banded = classes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    members = written(banded.join(shared.drop("last"), "bucket"), "minhash")
-    wanted = members.select("node").distinct().join(classes.select("node", "key"), "node")
+    members = written(by_shuffle(banded, shared.drop("last"), "bucket"), "minhash")
+    wanted = by_shuffle(members.select("node").distinct(), classes.select("node", "key"), "node")
     texts = rows.join(wanted, "key").select("node", F.col("content").alias("text"))
     texts = written(texts.dropDuplicates(["node"]), "minhash")  # rows that repeat id and text share a key
 
     stars = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     for side in "ab":
-        stars = stars.join(classes.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
+        stars = by_shuffle(stars, classes.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
     stars = _best(stars.mapInArrow(by_batch(_agreement), "a long, b long, agree int"))
     links = written(_confirmed(stars, texts), "minhash")
     links = links.unionByName(_across(members, classes, texts, components(links)))
 
-    placed = classes.select("digest", "id", "node").join(components(links), "node", "left")
+    placed = by_shuffle(classes.select("digest", "id", "node"), components(links), "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("id").alias("component_id"))
     labels = placed.join(least, "component").select("digest", "component_id")

@@ -12,6 +12,14 @@ def llm(spark):
     return session(spark)
 
 
+@pytest.fixture
+def small_broadcasts(llm):
+    """A table that takes more than 20 MB when it is broadcast ends the query; by binary keys a few rows take 16 MB."""
+    llm.conf.set("spark.sql.maxBroadcastTableSize", "20m")
+    yield
+    llm.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
 def shingles(text: str | None) -> set:
     words = (text or "").encode().lower().split()
     if len(words) < 5:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logharbor.llm import exact_dedup, lines, minhash, repeats
+from logharbor.llm.common import written
 from logharbor.llm.components import components
 from logharbor.llm.suffixes import factors
 from tests.llm.conftest import component_ids, near_lines, repeated_bytes
@@ -190,6 +191,16 @@ def test_near_duplicates_without_ids(llm):
     assert got == sorted([(None, 4, False), (4, 4, True), (4, 4, True), (None, None, True), (None, None, True)], key=str)
 
 
+def test_bands_are_not_broadcast_as_if_each_list_were_one_row(llm, small_broadcasts):
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(5000)]
+    rows = [(i, " ".join(draw.choices(words, k=20))) for i in range(9000)]
+    rows += [(i + 9000, f"{text} more") for i, text in rows[:40]]
+    docs = written(llm.createDataFrame(rows, DOCS), "test")
+    got = {r.id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == {i: i % 9000 for i, _ in rows}
+
+
 def test_one_text_stands_for_a_class(llm, monkeypatch):
     kept, tables = minhash.written, []
     monkeypatch.setattr(minhash, "written", lambda df, purpose: tables.append(kept(df, purpose)) or tables[-1])
