@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logharbor.llm.common import arrow_column, by_batch, read_table, session, text_slices, whole_text
+from logharbor.llm.common import arrow_column, by_batch, by_shuffle, read_table, session, text_slices, whole_text
 from logharbor.llm.shingles import WORDS, shingle_hashes, shingle_sets, shingle_sql
 
 #: Share of an item's shingles, in percent, from which a document holds it.
@@ -148,7 +148,7 @@ def _by_join(docs: DataFrame, wanted: DataFrame, text_col: str, out: str) -> Dat
     signed = wanted.withColumn("entry", F.unhex(F.md5(F.concat_ws(":", F.col("item").cast("string"), "content"))))
     minima = signed.mapInArrow(by_batch(_signature_rows), "entry binary, minimum long")
     shingles = texts.mapInArrow(by_batch(_document_rows), "key binary, minimum long")
-    pairs = shingles.join(minima, "minimum").select("key", "entry").distinct()
+    pairs = by_shuffle(shingles, minima, "minimum").select("key", "entry").distinct()
     whole = signed.select("entry", "item", F.col("content").alias("wanted"))
     pairs = pairs.join(texts.dropDuplicates(["key"]), "key").join(whole, "entry").select("key", "content", "item", "wanted")
     found = pairs.mapInArrow(by_batch(_verify), "key binary, item long, shared long, size long")

@@ -112,6 +112,15 @@ def test_near_lines(llm, monkeypatch, block):
     assert lines.line_dedup(docs.limit(0)).count() == 0
 
 
+def test_keys_of_lines_are_not_broadcast_as_if_each_text_had_one(llm, small_broadcasts):
+    draw = random.Random(9)
+    texts = ["\n".join(draw.randbytes(15).hex() for _ in range(8)) for _ in range(9000)]
+    rows = [*enumerate(texts), *((9000 + i, text.split("\n")[0] + "x") for i, text in enumerate(texts[:40]))]
+    docs = written(llm.createDataFrame(rows, DOCS), "test")
+    got = {r.id: (r.n_dropped, r.first_ids, r.text) for r in lines.line_dedup(docs).collect()}
+    assert got == {i: (1, [i - 9000], "") if i >= 9000 else (0, [], text) for i, text in rows}
+
+
 def test_repeated_rows_keep_the_same_lines(llm):
     docs = llm.createDataFrame([(1, "a line that is long enough"), (1, "a line that is long enough")], DOCS)
     assert [r.n_dropped for r in lines.line_dedup(docs).collect()] == [0, 0]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logharbor.llm import bpe, chat, contamination, pages, quality, toxicity
-from logharbor.llm.common import read_table
+from logharbor.llm.common import read_table, written
 from logharbor.llm.mincut import label
 from logharbor.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.conftest import shingles
@@ -189,6 +189,17 @@ def test_contained_items(llm, index_shingles):
     assert contamination.contained_items(frame.limit(0), bench, index_shingles=index_shingles).count() == 0
 
 
+def test_shingles_are_not_broadcast_as_if_each_text_had_one(llm, small_broadcasts):
+    draw = random.Random(6)
+    words = [f"w{k}" for k in range(5000)]
+    items = [(i, " ".join(draw.choices(words, k=40))) for i in range(15000)]
+    docs = [(i, f"{items[i][1]} and more") for i in range(40)] + [(i, " ".join(draw.choices(words, k=100))) for i in range(40, 4000)]
+    bench = written(llm.createDataFrame(items, "item_id long, text string"), "test")
+    frame = written(llm.createDataFrame(docs, "doc_id long, text string"), "test")
+    found = contamination.contained_items(frame, bench, index_shingles=0)
+    assert {r.doc_id: [f.item for f in r.found] for r in found.collect()} == {i: [i] if i < 40 else [] for i, _ in docs}
+
+
 # ---- pages ---------------------------------------------------------------------------------------
 
 
